@@ -101,6 +101,6 @@ def formula_matrix_np(rows: np.ndarray, dim: int) -> np.ndarray:
 
 def formula_sql(a: str, dim: int) -> str:
     """DuckDB SQL twin of :func:`formula_vec`."""
-    return (f"list_transform(range({dim}), lambda b: ((CAST({a} AS BIGINT) * {a} * 31 + "
-            f"CAST({a} AS BIGINT) * (b + 1) * 7919 + b * b * 17) % {FORMULA_MOD} - {FORMULA_SHIFT}) "
+    return (f"list_transform(range({dim}), lambda b: ((CAST(({a}) AS BIGINT) * ({a}) * 31 + "
+            f"CAST(({a}) AS BIGINT) * (b + 1) * 7919 + b * b * 17) % {FORMULA_MOD} - {FORMULA_SHIFT}) "
             f"/ CAST({FORMULA_MOD} AS DOUBLE))")

@@ -1 +1,130 @@
-"""Registered queries (see module docstring of registry)."""
+"""Registered layer and scoring queries over ``embeddings`` (1x8x8 images, labels 0-9):
+O45-O50, O52."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import vec as V
+from ..operators import layers as L
+from ..operators import tensor as TS
+from . import nets as N
+from .q_embed import EMB_SQL, emb_sets
+from .registry import register
+
+
+def emb(spark, sf):
+    return spark.read.parquet(f"{sf}/embeddings.parquet")
+
+
+def mlp_params(spark):
+    return L.collect_params(L.formula_params(spark, N.MLP_SPEC))
+
+
+def cnn_params(spark):
+    return L.collect_params(L.formula_params(spark, N.CNN_SPEC))
+
+
+def score(spark, sf, net: str):
+    layers, params = (N.MLP_LAYERS, mlp_params(spark)) if net == "mlp" else (N.CNN_LAYERS, cnn_params(spark))
+    return L.apply_network(emb(spark, sf), "embedding", layers, params, ["vec_id", "label"])
+
+
+def _scores_long(df):
+    return df.select("vec_id", F.posexplode("scores").alias("k", "score")) \
+        .select("vec_id", "k", F.round("score", 6).alias("score"))
+
+
+@register("score_mlp", "WITH " + N.MLP_SQL + "\nSELECT vec_id, k, round(score, 6) AS score FROM mlp")
+def score_mlp(spark, sf):
+    return _scores_long(score(spark, sf, "mlp"))
+
+
+@register("score_cnn", "WITH " + N.CNN_SQL + "\nSELECT vec_id, k, round(score, 6) AS score FROM cnn")
+def score_cnn(spark, sf):
+    return _scores_long(score(spark, sf, "cnn"))
+
+
+@register("linear_layer", f"""
+WITH x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+w1 AS (SELECT r, {N.f('1 + r', 64)} AS w FROM range(16) t(r)),
+b1 AS (SELECT {N.f('17', 16)} AS b)
+SELECT x.vec_id, CAST(w1.r AS INTEGER) AS row, round(list_dot_product(x.x, w1.w) + b1.b[w1.r + 1], 6) AS y
+FROM x CROSS JOIN w1 CROSS JOIN b1""")
+def linear_layer(spark, sf):
+    p = mlp_params(spark)
+    y = L.linear(emb(spark, sf), "embedding", p["fc1.weight"], p["fc1.bias"], ["vec_id"])
+    return y.select("vec_id", F.posexplode("y").alias("row", "y")).withColumn("y", F.round("y", 6))
+
+
+@register("relu", f"""
+WITH x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+w1 AS (SELECT r, {N.f('1 + r', 64)} AS w FROM range(16) t(r)),
+b1 AS (SELECT {N.f('17', 16)} AS b)
+SELECT x.vec_id, CAST(w1.r AS INTEGER) AS row, round(greatest(list_dot_product(x.x, w1.w) + b1.b[w1.r + 1], 0.0), 6) AS y
+FROM x CROSS JOIN w1 CROSS JOIN b1""")
+def relu(spark, sf):
+    p = mlp_params(spark)
+    y = L.linear(emb(spark, sf), "embedding", p["fc1.weight"], p["fc1.bias"], ["vec_id"])
+    y = L.relu(y, "y")
+    return y.select("vec_id", F.posexplode("y").alias("row", "y")).withColumn("y", F.round("y", 6))
+
+
+def _images_long(spark, sf):
+    lg = TS.to_long(emb(spark, sf), "vec_id", "embedding")
+    return lg.select(F.col("vec_id").alias("id"), F.lit(0).alias("ch"), F.expr("cast(pos div 8 as int)").alias("y"),
+                     F.expr("cast(pos % 8 as int)").alias("x"), F.col("v").cast("double").alias("v"))
+
+
+def _conv1_kernel(spark):
+    p = L.formula_params(spark, {"w": N.CNN_SPEC["conv1.weight"]})
+    k = p.select(F.col("row").alias("out_ch"), F.posexplode("vec").alias("j", "w")) \
+        .select("out_ch", F.lit(0).alias("ch"), F.expr("j div 3").alias("ky"), F.expr("j % 3").alias("kx"), "w")
+    b = L.formula_params(spark, {"b": N.CNN_SPEC["conv1.bias"]}) \
+        .select(F.posexplode("vec").alias("out_ch", "b"))
+    return k, b
+
+
+CONV_SQL_HEAD = "WITH " + N.CNN_SQL + "\n"
+
+
+@register("conv2d", CONV_SQL_HEAD + """
+SELECT c1.vec_id AS id, c1.ch, CAST(c1.y AS INTEGER) AS y, CAST(c1.x AS INTEGER) AS x, round(c1.s + bb1.b, 6) AS v
+FROM c1 JOIN bb1 ON bb1.o = c1.ch""")
+def conv2d(spark, sf):
+    k, b = _conv1_kernel(spark)
+    out = L.conv2d_long(_images_long(spark, sf), k, b, 8, 8, 3)
+    return out.withColumn("v", F.round("v", 6))
+
+
+@register("max_pool", CONV_SQL_HEAD + """
+SELECT vec_id AS id, ch, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, round(v, 6) AS v FROM p1""")
+def max_pool(spark, sf):
+    k, b = _conv1_kernel(spark)
+    c = L.conv2d_long(_images_long(spark, sf), k, b, 8, 8, 3).withColumn("v", F.greatest("v", F.lit(0.0)))
+    return L.max_pool_long(c, 6, 6, 2).withColumn("v", F.round("v", 6))
+
+
+@register("batch_norm", """
+WITH lg AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+                   CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+st AS (SELECT pos, avg(v) AS mean, var_pop(v) AS var FROM lg GROUP BY pos),
+gb AS (SELECT generate_subscripts(g, 1) - 1 AS pos, unnest(g) AS gamma, unnest(b) AS beta
+       FROM (SELECT """ + N.f('50', 64) + " AS g, " + N.f('51', 64) + """ AS b))
+SELECT lg.vec_id, lg.pos, round((lg.v - st.mean) / sqrt(st.var + 1e-5) * gb.gamma + gb.beta, 6) AS v
+FROM lg JOIN st USING (pos) JOIN gb USING (pos)""")
+def batch_norm(spark, sf):
+    lg = TS.to_long(emb(spark, sf), "vec_id", "embedding")
+    gb = L.formula_params(spark, {"g": (1, 64, 50)}).select(F.posexplode("vec").alias("pos", "gamma")) \
+        .join(L.formula_params(spark, {"b": (1, 64, 51)}).select(F.posexplode("vec").alias("pos", "beta")), "pos")
+    stats = L.feature_stats(lg).join(F.broadcast(gb), "pos")
+    return L.batch_norm_long(lg, stats).withColumn("v", F.round("v", 6))
+
+
+@register("param_shapes", "WITH " + EMB_SQL + """
+SELECT model || '.weight' AS name, max(word_id) + 1 AS rows, CAST(max(len(vec)) AS BIGINT) AS cols
+FROM sets GROUP BY model""")
+def param_shapes(spark, sf):
+    params = emb_sets(spark, sf).select(F.concat(F.col("model"), F.lit(".weight")).alias("name"),
+                                        F.col("word_id").alias("row"), "vec")
+    return L.param_shapes(params)
