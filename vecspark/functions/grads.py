@@ -1,0 +1,187 @@
+"""NumPy loss-and-gradient kernels for the training jobs (run per Arrow batch).
+
+Each kernel takes the current parameters and a pandas batch and returns
+``(loss_sum, n_rows, n_correct, grads)`` where ``grads`` holds the gradient of the
+**summed** loss; the driver divides by the step's total row count, so a distributed
+step equals one single-process mini-batch step over the same rows.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+from .nn import BN_EPS, conv_weight, max_pool
+
+
+def _softmax_xent(logits: np.ndarray, target: np.ndarray):
+    m = logits.max(axis=1, keepdims=True)
+    e = np.exp(logits - m)
+    s = e.sum(axis=1, keepdims=True)
+    p = e / s
+    idx = np.arange(len(target))
+    loss = (np.log(s[:, 0]) + m[:, 0] - logits[idx, target]).sum()
+    d = p
+    d[idx, target] -= 1.0
+    correct = int((np.argmax(logits, axis=1) == target).sum())
+    return loss, d, correct
+
+
+def cbow_grad(params: dict, ctx: np.ndarray, target: np.ndarray):
+    """CBOW: mean of context embeddings (padding row 0 included) -> linear -> softmax."""
+    E, W, b = params["embedding.weight"], params["output.weight"], params["output.bias"]
+    h = E[ctx].mean(axis=1)
+    logits = h @ W.T + b
+    loss, d, correct = _softmax_xent(logits, target)
+    gW = d.T @ h
+    gb = d.sum(axis=0)
+    dh = (d @ W) / ctx.shape[1]
+    gE = np.zeros_like(E)
+    for k in range(ctx.shape[1]):
+        np.add.at(gE, ctx[:, k], dh)
+    return loss, len(target), correct, {"embedding.weight": gE, "output.weight": gW, "output.bias": gb}
+
+
+def skipgram_grad(params: dict, center: np.ndarray, context: np.ndarray):
+    """Skip-gram: embedding of the centre word -> linear -> softmax over the context word."""
+    E, W, b = params["embedding.weight"], params["output.weight"], params["output.bias"]
+    h = E[center]
+    logits = h @ W.T + b
+    loss, d, correct = _softmax_xent(logits, context)
+    gE = np.zeros_like(E)
+    np.add.at(gE, center, d @ W)
+    return loss, len(center), correct, {"embedding.weight": gE, "output.weight": d.T @ h,
+                                        "output.bias": d.sum(axis=0)}
+
+
+def dropout_mask(seed: int, step: int, ids: np.ndarray, units: int, p: float, layer: int) -> np.ndarray:
+    """Keep-mask from a hash of (seed, step, row id, layer, unit): independent of partitioning."""
+    x = (ids.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+         + np.arange(units, dtype=np.uint64)[None, :] * np.uint64(0xBF58476D1CE4E5B9)
+         + np.uint64((seed * 1_000_003 + step * 7919 + layer) & 0xFFFFFFFF))
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(29)
+    u = (x >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+    return (u >= p) / (1.0 - p)
+
+
+def mlp_grad(params: dict, X: np.ndarray, y: np.ndarray, groups: np.ndarray, ids: np.ndarray,
+             n_hidden: int, dropout: float, seed: int, step: int):
+    """MLP: [linear -> ReLU -> batch norm -> dropout] x n_hidden -> linear -> softmax.
+
+    Batch-norm statistics are those of each ``group`` (the reference's batch of rows),
+    so the result does not depend on how groups are spread over tasks. Also returns the
+    per-layer batch means/variances (summed over groups) for the running statistics.
+    """
+    grads = {k: np.zeros_like(v) for k, v in params.items() if not k.endswith(("running_mean", "running_var"))}
+    loss_sum, correct, stats = 0.0, 0, {}
+    for g in np.unique(groups):
+        sel = groups == g
+        a, yy, rid = X[sel], y[sel], ids[sel]
+        cache = []
+        for i in range(1, n_hidden + 1):
+            z = a @ params[f"fc{i}.weight"].T + params[f"fc{i}.bias"]
+            r = np.maximum(z, 0.0)
+            mu, var = r.mean(axis=0), r.var(axis=0)
+            nb = len(r)
+            stats.setdefault(f"bn{i}", [np.zeros_like(mu), np.zeros_like(var), 0])
+            stats[f"bn{i}"][0] += mu
+            stats[f"bn{i}"][1] += var * nb / max(nb - 1, 1)
+            stats[f"bn{i}"][2] += 1
+            xhat = (r - mu) / np.sqrt(var + BN_EPS)
+            o = xhat * params[f"bn{i}.weight"] + params[f"bn{i}.bias"]
+            mask = dropout_mask(seed, step, rid, o.shape[1], dropout, i) if dropout > 0 else 1.0
+            cache.append((a, z, var, xhat, mask))
+            a = o * mask
+        last = f"fc{n_hidden + 1}"
+        logits = a @ params[f"{last}.weight"].T + params[f"{last}.bias"]
+        loss, d, c = _softmax_xent(logits, yy)
+        loss_sum += loss
+        correct += c
+        grads[f"{last}.weight"] += d.T @ a
+        grads[f"{last}.bias"] += d.sum(axis=0)
+        da = d @ params[f"{last}.weight"]
+        for i in range(n_hidden, 0, -1):
+            a_in, z, var, xhat, mask = cache[i - 1]
+            do = da * mask
+            grads[f"bn{i}.weight"] += (do * xhat).sum(axis=0)
+            grads[f"bn{i}.bias"] += do.sum(axis=0)
+            dxhat = do * params[f"bn{i}.weight"]
+            nb = len(xhat)
+            dr = (nb * dxhat - dxhat.sum(axis=0) - xhat * (dxhat * xhat).sum(axis=0)) / (nb * np.sqrt(var + BN_EPS))
+            dz = dr * (z > 0)
+            grads[f"fc{i}.weight"] += dz.T @ a_in
+            grads[f"fc{i}.bias"] += dz.sum(axis=0)
+            da = dz @ params[f"fc{i}.weight"]
+    return loss_sum, len(y), correct, grads, stats
+
+
+def _conv_fwd(X, Wt, b):
+    from numpy.lib.stride_tricks import sliding_window_view
+    k = Wt.shape[2]
+    win = sliding_window_view(X, (k, k), axis=(2, 3))
+    return np.einsum("nchwij,ocij->nohw", win, Wt, optimize=True) + b[None, :, None, None], win
+
+
+def _conv_bwd(dout, win, Wt, xshape):
+    k = Wt.shape[2]
+    dW = np.einsum("nchwij,nohw->ocij", win, dout, optimize=True)
+    db = dout.sum(axis=(0, 2, 3))
+    dX = np.zeros(xshape)
+    oh, ow = dout.shape[2], dout.shape[3]
+    for i in range(k):
+        for j in range(k):
+            dX[:, :, i:i + oh, j:j + ow] += np.einsum("nohw,oc->nchw", dout, Wt[:, :, i, j], optimize=True)
+    return dX, dW, db
+
+
+def _pool_bwd(dout, x, k):
+    n, c, h, w = x.shape
+    h2, w2 = h // k, w // k
+    blk = x[:, :, :h2 * k, :w2 * k].reshape(n, c, h2, k, w2, k).transpose(0, 1, 2, 4, 3, 5).reshape(n, c, h2, w2, k * k)
+    first = np.argmax(blk, axis=-1)                     # gradient goes to the first maximum
+    g = np.zeros_like(blk)
+    np.put_along_axis(g, first[..., None], dout[..., None], axis=-1)
+    g = g.reshape(n, c, h2, w2, k, k).transpose(0, 1, 2, 4, 3, 5).reshape(n, c, h2 * k, w2 * k)
+    dx = np.zeros_like(x)
+    dx[:, :, :h2 * k, :w2 * k] = g
+    return dx
+
+
+def cnn_grad(params: dict, X: np.ndarray, y: np.ndarray, convs: list[tuple[str, int]], fcs: list[str],
+             shape: tuple[int, int, int], pool: int = 2):
+    """CNN: [conv -> ReLU -> max pool] per conv layer -> flatten -> [linear -> ReLU]... -> linear."""
+    t = X.reshape((len(X),) + tuple(shape))
+    cache = []
+    for name, k in convs:
+        Wt = conv_weight(params, name, k)
+        z, win = _conv_fwd(t, Wt, params[f"{name}.bias"])
+        r = np.maximum(z, 0.0)
+        p = max_pool(r, pool)
+        cache.append((name, k, t.shape, win, z, r))
+        t = p
+    flat_shape = t.shape
+    a = t.reshape(len(t), -1)
+    acts = []
+    for i, name in enumerate(fcs):
+        z = a @ params[f"{name}.weight"].T + params[f"{name}.bias"]
+        acts.append((a, z))
+        a = np.maximum(z, 0.0) if i < len(fcs) - 1 else z
+    loss, d, correct = _softmax_xent(a, y)
+    grads = {}
+    for i in range(len(fcs) - 1, -1, -1):
+        name = fcs[i]
+        a_in, z = acts[i]
+        if i < len(fcs) - 1:
+            d = d * (z > 0)
+        grads[f"{name}.weight"] = d.T @ a_in
+        grads[f"{name}.bias"] = d.sum(axis=0)
+        d = d @ params[f"{name}.weight"]
+    d = d.reshape(flat_shape)
+    for name, k, xshape, win, z, r in reversed(cache):
+        d = _pool_bwd(d, r, pool) * (z > 0)
+        dX, dW, db = _conv_bwd(d, win, conv_weight(params, name, k), xshape)
+        grads[f"{name}.weight"] = dW.reshape(dW.shape[0], -1)
+        grads[f"{name}.bias"] = db
+        d = dX
+    return loss, len(y), correct, grads

@@ -1 +1,71 @@
-"""Registered queries (see module docstring of registry)."""
+"""Registered training queries (O53-O57). Learned weights have no SQL oracle (rows-only),
+except ordinary least squares, which is exact."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import metrics as M
+from ..operators import train as TR
+from ..operators import windows as W
+from . import corpus as C
+from .registry import register
+
+# Training settings of the registered queries. The vocabulary cap bounds the full-softmax
+# cost (rows x V x dim per epoch); epochs / dims follow the reference where affordable.
+TRAIN_VOCAB = 2000
+CBOW_DIMS = (50,)
+CBOW_EPOCHS = 10
+SKIPGRAM_EPOCHS = 10
+IMAGE_EPOCHS = 5
+
+
+def _log(steps, extra=None):
+    out = M.training_log(steps)
+    if extra:
+        out = out.select(*[F.lit(v).alias(k) for k, v in extra.items()], "*")
+    return out
+
+
+@register("train_cbow")
+def train_cbow(spark, sf):
+    vocab, enc = C.vocab_and_encoded(spark, sf, max_vocab=TRAIN_VOCAB)
+    win = W.cbow_windows(enc, w=2)
+    logs = []
+    for dim in CBOW_DIMS:
+        _, steps = TR.fit_cbow(win, TRAIN_VOCAB + 1, dim=dim, epochs=CBOW_EPOCHS)
+        logs.append(_log(steps, {"dim": dim}))
+    return W.concat(logs)
+
+
+@register("train_skipgram")
+def train_skipgram(spark, sf):
+    vocab, enc = C.vocab_and_encoded(spark, sf, max_vocab=TRAIN_VOCAB)
+    pairs = W.skipgram_pairs(enc, w=2)
+    _, steps = TR.fit_skipgram(pairs, TRAIN_VOCAB + 1, dim=50, epochs=SKIPGRAM_EPOCHS, lr=0.025)
+    return _log(steps, {"dim": 50})
+
+
+@register("train_mlp")
+def train_mlp(spark, sf):
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    _, steps = TR.fit_mlp(df, "embedding", "label", "vec_id", layers=(64, 256, 128, 10), epochs=IMAGE_EPOCHS)
+    return _log(steps)
+
+
+@register("train_cnn")
+def train_cnn(spark, sf):
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    _, steps, _ = TR.fit_cnn(df, "embedding", "label", "vec_id", epochs=IMAGE_EPOCHS)
+    return _log(steps)
+
+
+@register("linear_regression", "SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, "
+          "round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept, "
+          "round(regr_r2(l_extendedprice, l_quantity), 12) AS r2, regr_count(l_extendedprice, l_quantity) AS n "
+          "FROM lineitem")
+def linear_regression(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    r = TR.fit_ols(li, ["l_quantity"], "l_extendedprice")
+    return r.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"),
+                    F.round("r2", 12).alias("r2"), F.col("n").cast("long").alias("n"))
