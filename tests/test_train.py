@@ -1,0 +1,109 @@
+"""Training: kernels against finite differences, distributed step against one process,
+partition independence, falling loss."""
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from vecspark.functions import grads as G
+from vecspark.operators import train as TR
+
+
+def _fd_check(f, params, names, eps=1e-6, n_probe=6, seed=0):
+    rng = np.random.default_rng(seed)
+    _, _, _, g = f(params)[:4]
+    for name in names:
+        for _ in range(n_probe):
+            idx = tuple(rng.integers(0, s) for s in params[name].shape)
+            p1 = {k: v.copy() for k, v in params.items()}
+            p2 = {k: v.copy() for k, v in params.items()}
+            p1[name][idx] += eps
+            p2[name][idx] -= eps
+            num = (f(p1)[0] - f(p2)[0]) / (2 * eps)
+            assert abs(num - g[name][idx]) < 1e-5 * max(1.0, abs(num)), (name, idx, num, g[name][idx])
+
+
+def test_cbow_and_skipgram_gradients():
+    rng = np.random.default_rng(1)
+    V, d = 7, 4
+    P = {"embedding.weight": rng.standard_normal((V, d)), "output.weight": rng.standard_normal((V, d)),
+         "output.bias": rng.standard_normal(V)}
+    ctx = rng.integers(0, V, (9, 4))
+    ctx[0] = [0, 0, 3, 3]                       # padding and a repeated word in one window
+    tgt = rng.integers(1, V, 9)
+    _fd_check(lambda p: G.cbow_grad(p, ctx, tgt), P, list(P))
+    c, t = rng.integers(1, V, 11), rng.integers(1, V, 11)
+    _fd_check(lambda p: G.skipgram_grad(p, c, t), P, list(P))
+
+
+def test_mlp_gradient_with_batch_norm_and_dropout():
+    rng = np.random.default_rng(2)
+    sizes = [5, 6, 4, 3]
+    P = {}
+    for i in range(1, 4):
+        P[f"fc{i}.weight"] = rng.standard_normal((sizes[i], sizes[i - 1]))
+        P[f"fc{i}.bias"] = rng.standard_normal(sizes[i])
+    for i in (1, 2):
+        P[f"bn{i}.weight"] = rng.standard_normal(sizes[i])
+        P[f"bn{i}.bias"] = rng.standard_normal(sizes[i])
+    X, y = rng.standard_normal((10, 5)), rng.integers(0, 3, 10)
+    groups, ids = np.array([0] * 6 + [1] * 4), np.arange(10)
+    f = lambda p: G.mlp_grad(p, X, y, groups, ids, 2, 0.2, 3, 5)
+    _fd_check(f, P, list(P))
+
+
+def test_cnn_gradient():
+    rng = np.random.default_rng(3)
+    P = {"conv1.weight": rng.standard_normal((2, 9)), "conv1.bias": rng.standard_normal(2),
+         "conv2.weight": rng.standard_normal((3, 8)), "conv2.bias": rng.standard_normal(3),
+         "fc1.weight": rng.standard_normal((4, 3)), "fc1.bias": rng.standard_normal(4),
+         "fc2.weight": rng.standard_normal((3, 4)), "fc2.bias": rng.standard_normal(3)}
+    X, y = rng.standard_normal((5, 64)), rng.integers(0, 3, 5)
+    f = lambda p: G.cnn_grad(p, X, y, [("conv1", 3), ("conv2", 2)], ["fc1", "fc2"], (1, 8, 8))
+    _fd_check(f, P, list(P))
+
+
+def test_distributed_gradient_equals_single_process(spark):
+    rng = np.random.default_rng(4)
+    V, d, n = 11, 3, 400
+    P = {"embedding.weight": rng.standard_normal((V, d)), "output.weight": rng.standard_normal((V, d)),
+         "output.bias": rng.standard_normal(V)}
+    ctx = rng.integers(0, V, (n, 4))
+    tgt = rng.integers(1, V, n)
+    pdf = pd.DataFrame({"k": np.arange(n), "c1": ctx[:, 0], "c2": ctx[:, 1], "c3": ctx[:, 2], "c4": ctx[:, 3],
+                        "target": tgt})
+    kern = lambda p, b: G.cbow_grad(p, b[["c1", "c2", "c3", "c4"]].to_numpy(np.int64), b["target"].to_numpy(np.int64))
+    ref = G.cbow_grad(P, ctx, tgt)
+    for parts in (1, 4):
+        df = spark.createDataFrame(pdf).repartition(parts)
+        loss, cnt, correct, g, _ = TR.distributed_gradient(df, kern, P, list(P))
+        assert cnt == n and abs(loss - ref[0]) < 1e-9 and correct == ref[2]
+        for k in P:
+            assert np.max(np.abs(g[k] - ref[3][k])) < 1e-10
+
+
+def test_training_partition_independent_and_loss_falls(spark):
+    rng = np.random.default_rng(5)
+    n, V = 600, 9
+    rows = [(0, i // 20, i % 20, *map(int, rng.integers(0, V, 4)), int(rng.integers(1, V))) for i in range(n)]
+    schema = "doc_id long, line_no int, pos int, c1 int, c2 int, c3 int, c4 int, target int"
+    out = []
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, schema).repartition(parts)
+        params, steps = TR.fit_cbow(df, V, dim=4, epochs=3, lr=0.05, steps_per_epoch=3, seed=9)
+        out.append((params, steps.orderBy("epoch", "step").collect()))
+    for k in out[0][0]:
+        assert np.max(np.abs(out[0][0][k] - out[1][0][k])) < 1e-9
+    losses = {}
+    for r in out[0][1]:
+        losses.setdefault(r.epoch, []).append(r.loss)
+    assert np.mean(losses[2]) < np.mean(losses[0])
+
+
+def test_mlp_and_cnn_fit_reduce_loss(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    _, steps = TR.fit_mlp(df, "embedding", "label", "vec_id", layers=(64, 32, 16, 10), epochs=3, steps_per_epoch=3)
+    e = {r.epoch: r.loss for r in steps.groupBy("epoch").avg("loss").withColumnRenamed("avg(loss)", "loss").collect()}
+    assert e[2] < e[0]
+    _, steps2, layers = TR.fit_cnn(df, "embedding", "label", "vec_id", epochs=2, steps_per_epoch=3)
+    assert steps2.count() == 6 and layers[0] == ("reshape", (1, 8, 8))

@@ -26,8 +26,10 @@ def tensor_table(spark: SparkSession, values, dtype: str | None = None) -> DataF
         a = a.reshape(1, 1)
     elif a.ndim == 1:
         a = a.reshape(1, -1)
-    rows = [(i, [x.item() for x in a[i].ravel()]) for i in range(a.shape[0])]
-    return spark.createDataFrame(rows, f"id long, vec array<{'double' if t in ('float', 'double') else t}>") \
+    conv = {"double": float, "float": float, "bigint": int, "int": int, "boolean": bool}[t]
+    rows = [(i, [conv(x.item()) for x in a[i].ravel()]) for i in range(a.shape[0])]
+    base = "double" if t == "float" else ("bigint" if t == "int" else t)
+    return spark.createDataFrame(rows, f"id long, vec array<{base}>") \
         .select("id", F.col("vec").cast(f"array<{t}>").alias("vec"))
 
 
