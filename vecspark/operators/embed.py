@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vec as V
 
-MAX_QUERIES = 100_000          # rows of query vectors collected and broadcast to the scan
+MAX_QUERY_BYTES = 256 << 20    # query vectors collected and broadcast to a scan
 LOOKUP_BROADCAST_KEYS = 1_000_000
 
 # --- fixed values: the analogy task sentence of the report ---------------------
@@ -83,9 +83,10 @@ def filter_correct(report: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- scans
 
 def _collect_queries(queries: DataFrame, exclude_col: str | None, target_col: str | None):
-    n = queries.count()
-    if n > MAX_QUERIES:
-        raise ValueError(f"{n} query vectors exceed the broadcast bound {MAX_QUERIES}; batch them")
+    from .ranking import estimated_bytes
+    nbytes = estimated_bytes(queries, F.coalesce(F.size("qvec"), F.lit(0)) * 8)
+    if nbytes > MAX_QUERY_BYTES:
+        raise ValueError(f"query vectors take {nbytes} bytes, above the broadcast bound; split the queries")
     cols = ["qid", "model", "qvec"] + ([exclude_col] if exclude_col else []) + \
         ([target_col] if target_col else [])
     pdf = queries.select(*cols).where(F.col("qvec").isNotNull()).toPandas()

@@ -44,11 +44,27 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_id",
             .drop(_PART, _LOCAL, "_vs_off"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Return ``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+# default byte bound for broadcasting a data-derived table (override: vecspark.broadcastBytes)
+BROADCAST_BYTES = 64 << 20
+ROW_OVERHEAD = 48
 
-    The count is an action; call this on tables that are already small aggregates or
-    written tables. Beyond the bound the join falls back to a shuffle join, where AQE can
-    still switch to a broadcast at run time and split skewed partitions.
+
+def broadcast_limit(spark) -> int:
+    v = spark.conf.get("vecspark.broadcastBytes", None)
+    return int(v) if v else BROADCAST_BYTES
+
+
+def estimated_bytes(df: DataFrame, row_bytes: Column) -> int:
+    """Measured size of a table: one aggregate pass summing a per-row byte estimate."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
+    return int(r["n"] or 0) * ROW_OVERHEAD + int(r["b"] or 0)
+
+
+def broadcast_if_fits(df: DataFrame, row_bytes: Column, max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its measured size is within the byte bound, else ``df`` unchanged.
+
+    Beyond the bound the join stays a shuffle join; AQE may still turn it into a broadcast
+    at run time from the real shuffle sizes, and splits skewed (hot-key) partitions.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    limit = max_bytes if max_bytes is not None else broadcast_limit(df.sparkSession)
+    return F.broadcast(df) if estimated_bytes(df, row_bytes) <= limit else df

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vec as V
+from .ranking import broadcast_if_fits
 
 
 def to_long(df: DataFrame, id_col: str, vec_col: str, value: str = "v") -> DataFrame:
@@ -154,7 +155,7 @@ def reduce_rows(df: DataFrame, vec_col: str, out: str = "sum") -> DataFrame:
 
 
 def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], key: list[str],
-                 broadcast_rows: int = 2_000_000) -> DataFrame:
+                 broadcast_bytes: int | None = None) -> DataFrame:
     """Mean of the context words' vectors per window (padding id 0 included).
 
     Context ids are exploded (2w rows per window), joined to ``<word_id, vec>`` and
@@ -166,8 +167,7 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
         .select(*key, "_c.slot", "_c.word_id")
     vecs = vectors.select(F.col("word_id").cast(ids.schema["word_id"].dataType).alias("word_id"),
                           V.to_double("vec").alias("vec"))
-    if vecs.count() <= broadcast_rows:
-        vecs = F.broadcast(vecs)
+    vecs = broadcast_if_fits(vecs, F.size("vec") * 8 + 8, broadcast_bytes)
     j = ids.join(vecs, "word_id")
     summed = j.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("slot", "vec"))).alias("_vs"))
     dim_zero = F.transform(F.col("_vs")[0]["vec"], lambda x: F.lit(0.0))

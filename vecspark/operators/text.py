@@ -10,10 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_FILTERS, count_char, word_array
-from .ranking import global_row_number
-
-# vocabularies up to this many words are broadcast to the token scan
-VOCAB_BROADCAST_ROWS = 2_000_000
+from .ranking import broadcast_if_fits, global_row_number
 
 
 def filter_sentences(lines: DataFrame, min_spaces: int = 2, col: str = "line") -> DataFrame:
@@ -43,18 +40,17 @@ def fit_vocab(tokens: DataFrame, max_vocab: int | None = None) -> DataFrame:
     return vocab.select("word", F.col("word_id").cast("int").alias("word_id"), "n")
 
 
-def encode(tokens: DataFrame, vocab: DataFrame, broadcast_rows: int | None = VOCAB_BROADCAST_ROWS,
+def encode(tokens: DataFrame, vocab: DataFrame, broadcast_bytes: int | None = None,
            renumber: bool = False) -> DataFrame:
     """Tokens -> ``<doc_id, line_no, pos, word_id>``; words missing from ``vocab`` are dropped.
 
-    The vocabulary is broadcast only when its row count is within ``broadcast_rows``;
-    otherwise it is a shuffle join on ``word`` where AQE splits hot words (skew join).
+    The vocabulary is broadcast only when its measured size is within the byte bound
+    (``broadcast_bytes`` or the session default); otherwise it is a shuffle join on
+    ``word`` where AQE splits hot words (skew join).
     With ``renumber=True`` positions are made dense again after dropping words (needed
     when the vocabulary was capped), using a chunked per-line running count.
     """
-    v = vocab.select("word", "word_id")
-    if broadcast_rows is not None and v.count() <= broadcast_rows:
-        v = F.broadcast(v)
+    v = broadcast_if_fits(vocab.select("word", "word_id"), F.length("word") + 8, broadcast_bytes)
     enc = tokens.join(v, "word").select("doc_id", "line_no", "pos", "word_id")
     if renumber:
         enc = dense_positions(enc)

@@ -18,6 +18,9 @@ def build_session(master: str | None = None, partitions: int | None = None,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            b = b.config("spark.driver.memory", os.environ.get("VECSPARK_DRIVER_MEMORY", "8g"))
     parts = partitions or int(os.environ.get("VECSPARK_PARTITIONS", "8"))
     b = (b.config("spark.sql.shuffle.partitions", str(parts))
           .config("spark.sql.adaptive.enabled", "true")
