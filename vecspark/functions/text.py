@@ -34,8 +34,14 @@ def count_char(col: Column, ch: str = " ") -> Column:
 
 
 def word_array(col: Column, filters: str = DEFAULT_FILTERS, lower: bool = True) -> Column:
-    """Lower-case, map each filter character to the split character, split on it, drop empties."""
+    """Lower-case, map each filter character to the split character, split on it, drop empties.
+
+    Splitting the trimmed text on runs of the split character gives the same words as
+    splitting on each one and dropping empty strings, without a lambda (so the
+    expression stays inside whole-stage code generation).
+    """
     c = F.lower(col) if lower else col
     if filters:
         c = F.regexp_replace(c, char_class(filters), SPLIT)
-    return F.filter(F.split(c, SPLIT), lambda w: w != F.lit(""))
+    t = F.trim(c)
+    return F.when(t == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(t, SPLIT + "+"))

@@ -75,7 +75,7 @@ def apply_network(df: DataFrame, vec_col: str, layers: list[tuple], params: dict
     """
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast((layers, params))
-    schema_keep = [df.schema[c].simpleString() for c in keep]
+    schema_keep = [f"{c} {df.schema[c].dataType.simpleString()}" for c in keep]
     schema = ", ".join(schema_keep + [f"{out} array<double>"] + (["pred int"] if with_pred else []))
 
     def kernel(batches):

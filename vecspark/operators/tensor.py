@@ -158,18 +158,51 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
                  broadcast_bytes: int | None = None) -> DataFrame:
     """Mean of the context words' vectors per window (padding id 0 included).
 
-    Context ids are exploded (2w rows per window), joined to ``<word_id, vec>`` and
-    summed per window; each group has exactly ``len(ctx_cols)`` rows.
+    When the vector table fits the measured broadcast bound it is collected once into a
+    NumPy matrix, broadcast, and every Arrow batch of windows gathers and averages its
+    rows (no shuffle). Otherwise the context ids are exploded (2w rows per window),
+    joined to ``<word_id, vec>`` and summed per window; each group has exactly
+    ``len(ctx_cols)`` rows.
     """
+    import numpy as np
+    import pandas as pd
+    from .ranking import broadcast_limit, estimated_bytes
+
     n = len(ctx_cols)
-    ids = windows.select(*key, F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).alias("word_id"))
+    limit = broadcast_bytes if broadcast_bytes is not None else broadcast_limit(windows.sparkSession)
+    vecs = vectors.select(F.col("word_id").cast("long").alias("word_id"), V.to_double("vec").alias("vec"))
+    if estimated_bytes(vecs, F.size("vec") * 8 + 8) <= limit:
+        pdf = vecs.toPandas()
+        ids = pdf["word_id"].to_numpy(np.int64)
+        Emat = np.zeros((int(ids.max()) + 1, len(pdf["vec"].iloc[0])))
+        present = np.zeros(int(ids.max()) + 1, dtype=bool)
+        Emat[ids] = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]])
+        present[ids] = True
+        bc = windows.sparkSession.sparkContext.broadcast((Emat, present))
+        key_types = [windows.schema[c].dataType.simpleString() for c in key]
+
+        def kernel(batches):
+            E, ok = bc.value
+            for b in batches:
+                ctx = b[ctx_cols].to_numpy(np.int64)
+                keep = ok[np.clip(ctx, 0, len(ok) - 1)].all(axis=1) & (ctx < len(ok)).all(axis=1) & (ctx >= 0).all(axis=1)
+                g = E[ctx[keep]]
+                acc = g[:, 0]
+                for k in range(1, n):
+                    acc = acc + g[:, k]
+                out = b.loc[keep, key].reset_index(drop=True)
+                out["mean"] = list(acc / float(n))
+                yield out
+
+        schema = ", ".join(f"{c} {t}" for c, t in zip(key, key_types)) + ", mean array<double>"
+        return windows.select(*key, *ctx_cols).mapInPandas(kernel, schema)
+
+    ids = windows.select(*key, F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).cast("long").alias("word_id"))
                                                     for i, c in enumerate(ctx_cols)])).alias("_c")) \
         .select(*key, "_c.slot", "_c.word_id")
-    vecs = vectors.select(F.col("word_id").cast(ids.schema["word_id"].dataType).alias("word_id"),
-                          V.to_double("vec").alias("vec"))
-    vecs = broadcast_if_fits(vecs, F.size("vec") * 8 + 8, broadcast_bytes)
     j = ids.join(vecs, "word_id")
-    summed = j.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("slot", "vec"))).alias("_vs"))
+    summed = j.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("slot", "vec"))).alias("_vs")) \
+        .where(F.size("_vs") == n)
     dim_zero = F.transform(F.col("_vs")[0]["vec"], lambda x: F.lit(0.0))
     total = F.aggregate(F.col("_vs"), dim_zero,
                         lambda acc, s: F.zip_with(acc, s["vec"], lambda a, b: a + b))

@@ -24,9 +24,23 @@ def lines_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                      F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
 
 
+def balance(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when it yields fewer splits than there are cores.
+
+    A large input already has many splits and is returned unchanged (no shuffle); a
+    table stored as a few large row groups would otherwise run all per-row text work
+    (line splitting, tokenising) in a handful of tasks.
+    """
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def read_documents(spark: SparkSession, sf_dir: str, lang: str | None = None) -> DataFrame:
     """The ``documents`` table, pruned to id and text (and filtered by language if asked)."""
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     if lang is not None:
         df = df.where(F.col("lang") == lang)
-    return df.select("doc_id", "text")
+    return balance(df.select("doc_id", "text"))
