@@ -128,16 +128,24 @@ def similarity_scan(vectors: DataFrame, queries: DataFrame, metric: str = "cosin
     higher = metric == "cosine"
 
     def kernel(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from ..functions.arrow import to_matrix
         plan = bc.value
-        for pdf in batches:
-            outs = []
-            for model, g in pdf.groupby("model", sort=False):
+        for b in batches:
+            models = b.column("model")
+            for model in pc.unique(models).to_pylist():
                 p = plan.get(model)
-                if p is None or len(g) == 0:
+                if p is None:
+                    continue
+                sel = pc.equal(models, model)
+                g = b.filter(sel)
+                X, valid = to_matrix(g.column("vec"))
+                ids = g.column("word_id").to_numpy(zero_copy_only=False).astype(np.int64)
+                X, ids = X[valid], ids[valid]
+                if len(ids) == 0:
                     continue
-                X = np.stack([np.asarray(v, dtype=np.float64) for v in g["vec"]])
                 xn = np.sqrt(np.einsum("ij,ij->i", X, X))
-                ids = g["word_id"].to_numpy(np.int64)
                 for j, qid in enumerate(p["qid"]):
                     s = _scores(X, xn, p, j, metric)
                     keep = np.ones(len(ids), dtype=bool)
@@ -147,12 +155,13 @@ def similarity_scan(vectors: DataFrame, queries: DataFrame, metric: str = "cosin
                         cand = np.where(keep, s if higher else -s, -np.inf)
                         kth = np.partition(cand, len(cand) - k)[len(cand) - k]
                         keep &= cand >= kth          # top k plus any ties at the boundary
-                    outs.append(pd.DataFrame({"qid": np.int64(qid), "model": model,
-                                              "word_id": ids[keep], "score": s[keep]}))
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
+                    m = int(keep.sum())
+                    if m:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(m, qid, dtype=np.int64)), pa.array([model] * m, pa.string()),
+                             pa.array(ids[keep]), pa.array(s[keep])], names=["qid", "model", "word_id", "score"])
 
-    scored = vectors.select("model", "word_id", "vec").mapInPandas(
+    scored = vectors.select("model", "word_id", "vec").mapInArrow(
         kernel, "qid long, model string, word_id long, score double")
     if k is None:
         return scored
@@ -192,15 +201,21 @@ def rank_of(vectors: DataFrame, queries: DataFrame, target_col: str = "target")
     bc = spark.sparkContext.broadcast((plan, tdist))
 
     def kernel(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from ..functions.arrow import to_matrix
         plan, td = bc.value
-        for pdf in batches:
+        for b in batches:
             rows = []
-            for model, g in pdf.groupby("model", sort=False):
+            models = b.column("model")
+            for model in pc.unique(models).to_pylist():
                 p = plan.get(model)
                 if p is None:
                     continue
-                X = np.stack([np.asarray(v, dtype=np.float64) for v in g["vec"]])
-                ids = g["word_id"].to_numpy(np.int64)
+                g = b.filter(pc.equal(models, model))
+                X, valid = to_matrix(g.column("vec"))
+                ids = g.column("word_id").to_numpy(zero_copy_only=False).astype(np.int64)
+                X, ids = X[valid], ids[valid]
                 for j, qid in enumerate(p["qid"]):
                     t = td[(int(qid), model)]
                     tid = p["target"][j]
@@ -208,10 +223,13 @@ def rank_of(vectors: DataFrame, queries: DataFrame, target_col: str = "target")
                     closer = ((d < t) | ((d == t) & (ids < tid))) & (ids != tid)
                     rows.append((int(qid), model, int(closer.sum())))
             if rows:
-                yield pd.DataFrame(rows, columns=["qid", "model", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
+                                                  pa.array([r[1] for r in rows], pa.string()),
+                                                  pa.array([r[2] for r in rows], pa.int64())],
+                                                 names=["qid", "model", "n"])
 
     counts = (vectors.select("model", "word_id", "vec")
-              .mapInPandas(kernel, "qid long, model string, n long")
+              .mapInArrow(kernel, "qid long, model string, n long")
               .groupBy("qid", "model").agg(F.sum("n").alias("n")))
     tdf = spark.createDataFrame([(q, m, int(p["target"][list(p["qid"]).index(q)]), d)
                                  for (q, m), d in tdist.items() for p in [plan[m]]],
@@ -267,11 +285,14 @@ def formula_vectors(ids: DataFrame, id_col: str, dims: dict[str, int]) -> DataFr
     out = None
     for model, dim in dims.items():
         def gen(batches, dim=dim, model=model):
-            for pdf in batches:
-                a = pdf[id_col].to_numpy(np.int64)
+            import pyarrow as pa
+            from ..functions.arrow import from_matrix
+            for b in batches:
+                a = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 M = V.formula_matrix_np(a, dim)
-                yield pd.DataFrame({"model": model, "word_id": a, "vec": list(M)})
-        part = ids.select(F.col(id_col).cast("long").alias(id_col)).mapInPandas(
+                yield pa.RecordBatch.from_arrays([pa.array([model] * len(a), pa.string()), pa.array(a), from_matrix(M)],
+                                                 names=["model", "word_id", "vec"])
+        part = ids.select(F.col(id_col).cast("long").alias(id_col)).mapInArrow(
             gen, "model string, word_id long, vec array<double>")
         out = part if out is None else out.unionByName(part)
     return out

@@ -79,19 +79,23 @@ def apply_network(df: DataFrame, vec_col: str, layers: list[tuple], params: dict
     schema = ", ".join(schema_keep + [f"{out} array<double>"] + (["pred int"] if with_pred else []))
 
     def kernel(batches):
+        import pyarrow as pa
+        from ..functions.arrow import from_matrix, to_matrix
         lay, prm = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
+        for b in batches:
+            if b.num_rows == 0:
                 continue
-            X = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
+            X, _ = to_matrix(b.column(vec_col))
             S = nn.forward(X, lay, prm)
-            res = pdf[keep].copy()
-            res[out] = list(S.reshape(S.shape[0], -1))
+            S = S.reshape(S.shape[0], -1)
+            cols = [b.column(c) for c in keep] + [from_matrix(S)]
+            names = list(keep) + [out]
             if with_pred:
-                res["pred"] = nn.argmax_rows(S.reshape(S.shape[0], -1)).astype(np.int32)
-            yield res
+                cols.append(pa.array(nn.argmax_rows(S).astype(np.int32)))
+                names.append("pred")
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return df.select(*keep, vec_col).mapInPandas(kernel, schema)
+    return df.select(*keep, vec_col).mapInArrow(kernel, schema)
 
 
 def linear(df: DataFrame, vec_col: str, W: np.ndarray, b: np.ndarray, keep: list[str],

@@ -182,20 +182,23 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
         key_types = [windows.schema[c].dataType.simpleString() for c in key]
 
         def kernel(batches):
+            import pyarrow as pa
+            from ..functions.arrow import from_matrix
             E, ok = bc.value
             for b in batches:
-                ctx = b[ctx_cols].to_numpy(np.int64)
-                keep = ok[np.clip(ctx, 0, len(ok) - 1)].all(axis=1) & (ctx < len(ok)).all(axis=1) & (ctx >= 0).all(axis=1)
+                ctx = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in ctx_cols], axis=1).astype(np.int64)
+                inside = ((ctx >= 0) & (ctx < len(ok))).all(axis=1)
+                keep = inside & ok[np.where(inside[:, None], ctx, 0)].all(axis=1)
                 g = E[ctx[keep]]
                 acc = g[:, 0]
                 for k in range(1, n):
                     acc = acc + g[:, k]
-                out = b.loc[keep, key].reset_index(drop=True)
-                out["mean"] = list(acc / float(n))
-                yield out
+                idx = pa.array(np.nonzero(keep)[0])
+                cols = [b.column(c).take(idx) for c in key]
+                yield pa.RecordBatch.from_arrays(cols + [from_matrix(acc / float(n))], names=key + ["mean"])
 
         schema = ", ".join(f"{c} {t}" for c, t in zip(key, key_types)) + ", mean array<double>"
-        return windows.select(*key, *ctx_cols).mapInPandas(kernel, schema)
+        return windows.select(*key, *ctx_cols).mapInArrow(kernel, schema)
 
     ids = windows.select(*key, F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).cast("long").alias("word_id"))
                                                     for i, c in enumerate(ctx_cols)])).alias("_c")) \
