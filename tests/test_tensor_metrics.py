@@ -151,3 +151,22 @@ def test_embeddings_roundtrip_prunes_partitions(spark, tmp_path):
     assert [tuple(r) for r in back.collect()] == [("B", 1, [2.0])]
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "isnotnull(model" in plan or "model IN" in plan
+
+
+def test_context_mean_both_paths_agree(spark):
+    rng = np.random.default_rng(7)
+    V_, d = 30, 5
+    vecs = spark.createDataFrame([(i, rng.standard_normal(d).tolist()) for i in range(V_)], "word_id long, vec array<double>")
+    rows = [(0, 0, p, *map(int, rng.integers(0, V_, 4))) for p in range(500)] + [(0, 1, 0, 0, 0, 99, 1)]
+    win = spark.createDataFrame(rows, "doc_id long, line_no int, pos int, c1 int, c2 int, c3 int, c4 int").repartition(3)
+    E_ = {r.word_id: np.array(r.vec) for r in vecs.collect()}
+    fast = {(r.line_no, r.pos): np.array(r.mean) for r in
+            TS.context_mean(win, vecs, ["c1", "c2", "c3", "c4"], ["doc_id", "line_no", "pos"]).collect()}
+    slow = {(r.line_no, r.pos): np.array(r.mean) for r in
+            TS.context_mean(win, vecs, ["c1", "c2", "c3", "c4"], ["doc_id", "line_no", "pos"],
+                            broadcast_bytes=0).collect()}
+    assert set(fast) == set(slow) == {(0, p) for p in range(500)}    # id 99 unknown -> dropped
+    for kk, v in fast.items():
+        r = rows[kk[1]]
+        exp = (E_[r[3]] + E_[r[4]] + E_[r[5]] + E_[r[6]]) / 4
+        assert np.allclose(v, exp, atol=1e-14) and np.allclose(slow[kk], exp, atol=1e-14)

@@ -44,8 +44,11 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_id",
             .drop(_PART, _LOCAL, "_vs_off"))
 
 
-# default byte bound for broadcasting a data-derived table (override: vecspark.broadcastBytes)
+# Byte bounds for broadcasting a data-derived table. JVM hash-join broadcasts are built on
+# the driver (override: vecspark.broadcastBytes); NumPy matrices shipped to Python workers
+# as broadcast variables use a separate bound (override: vecspark.pythonBroadcastBytes).
 BROADCAST_BYTES = 64 << 20
+PYTHON_BROADCAST_BYTES = 256 << 20
 ROW_OVERHEAD = 48
 
 
@@ -54,6 +57,11 @@ def broadcast_limit(spark) -> int:
     return int(v) if v else BROADCAST_BYTES
 
 
+def python_broadcast_limit(spark) -> int:
+    v = spark.conf.get("vecspark.pythonBroadcastBytes", None)
+    return int(v) if v else PYTHON_BROADCAST_BYTES
+
+
 def estimated_bytes(df: DataFrame, row_bytes: Column) -> int:
     """Measured size of a table: one aggregate pass summing a per-row byte estimate."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
@@ -67,4 +75,6 @@ def broadcast_if_fits(df: DataFrame, row_bytes: Column, max_bytes: int | None =
     at run time from the real shuffle sizes, and splits skewed (hot-key) partitions.
     """
     limit = max_bytes if max_bytes is not None else broadcast_limit(df.sparkSession)
-    return F.broadcast(df) if estimated_bytes(df, row_bytes) <= limit else df
+    if estimated_bytes(df, row_bytes) <= limit:
+        return F.broadcast(df)
+    return df.hint("shuffle_hash")   # size not proven small: never let it be broadcast

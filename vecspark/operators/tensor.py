@@ -158,32 +158,36 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
                  broadcast_bytes: int | None = None) -> DataFrame:
     """Mean of the context words' vectors per window (padding id 0 included).
 
-    When the vector table fits the measured broadcast bound it is collected once into a
-    NumPy matrix, broadcast, and every Arrow batch of windows gathers and averages its
-    rows (no shuffle). Otherwise the context ids are exploded (2w rows per window),
-    joined to ``<word_id, vec>`` and summed per window; each group has exactly
-    ``len(ctx_cols)`` rows.
+    When the vector table fits the measured broadcast bound it is collected once (Arrow)
+    into a NumPy matrix, broadcast, and every Arrow batch of windows gathers and averages
+    its rows -- no shuffle. Otherwise each window's context ids are exploded (2w rows),
+    shuffle-joined to ``<word_id, vec>`` (AQE splits hot ids such as the padding id),
+    co-located by window key, and each window's 2w vectors are summed in Arrow batches.
+    Windows with an id missing from ``vectors`` are dropped in both paths.
     """
     import numpy as np
-    import pandas as pd
-    from .ranking import broadcast_limit, estimated_bytes
+    import pyarrow as pa
+    from ..functions.arrow import from_matrix, to_matrix
+    from .ranking import estimated_bytes, python_broadcast_limit
 
     n = len(ctx_cols)
-    limit = broadcast_bytes if broadcast_bytes is not None else broadcast_limit(windows.sparkSession)
+    spark = windows.sparkSession
+    limit = broadcast_bytes if broadcast_bytes is not None else python_broadcast_limit(spark)
     vecs = vectors.select(F.col("word_id").cast("long").alias("word_id"), V.to_double("vec").alias("vec"))
+    key_types = [windows.schema[c].dataType.simpleString() for c in key]
+    schema = ", ".join(f"{c} {t}" for c, t in zip(key, key_types)) + ", mean array<double>"
+
     if estimated_bytes(vecs, F.size("vec") * 8 + 8) <= limit:
-        pdf = vecs.toPandas()
-        ids = pdf["word_id"].to_numpy(np.int64)
-        Emat = np.zeros((int(ids.max()) + 1, len(pdf["vec"].iloc[0])))
+        tbl = vecs.toArrow()
+        ids = tbl.column("word_id").to_numpy()
+        M, _ = to_matrix(tbl.column("vec"))
+        Emat = np.zeros((int(ids.max()) + 1, M.shape[1]))
         present = np.zeros(int(ids.max()) + 1, dtype=bool)
-        Emat[ids] = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]])
+        Emat[ids] = M
         present[ids] = True
-        bc = windows.sparkSession.sparkContext.broadcast((Emat, present))
-        key_types = [windows.schema[c].dataType.simpleString() for c in key]
+        bc = spark.sparkContext.broadcast((Emat, present))
 
         def kernel(batches):
-            import pyarrow as pa
-            from ..functions.arrow import from_matrix
             E, ok = bc.value
             for b in batches:
                 ctx = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in ctx_cols], axis=1).astype(np.int64)
@@ -197,16 +201,39 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
                 cols = [b.column(c).take(idx) for c in key]
                 yield pa.RecordBatch.from_arrays(cols + [from_matrix(acc / float(n))], names=key + ["mean"])
 
-        schema = ", ".join(f"{c} {t}" for c, t in zip(key, key_types)) + ", mean array<double>"
         return windows.select(*key, *ctx_cols).mapInArrow(kernel, schema)
 
-    ids = windows.select(*key, F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).cast("long").alias("word_id"))
-                                                    for i, c in enumerate(ctx_cols)])).alias("_c")) \
+    slots = windows.select(*key, F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).cast("long").alias("word_id"))
+                                                      for i, c in enumerate(ctx_cols)])).alias("_c")) \
         .select(*key, "_c.slot", "_c.word_id")
-    j = ids.join(vecs, "word_id")
-    summed = j.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("slot", "vec"))).alias("_vs")) \
-        .where(F.size("_vs") == n)
-    dim_zero = F.transform(F.col("_vs")[0]["vec"], lambda x: F.lit(0.0))
-    total = F.aggregate(F.col("_vs"), dim_zero,
-                        lambda acc, s: F.zip_with(acc, s["vec"], lambda a, b: a + b))
-    return summed.select(*key, F.transform(total, lambda x: x / F.lit(float(n))).alias("mean"))
+    j = (slots.join(vecs.hint("shuffle_hash"), "word_id")
+         .repartition(*[F.col(c) for c in key]).sortWithinPartitions(*key, "slot"))
+
+    def group_sum(batches):
+        # rows of one window are adjacent; a window may straddle two Arrow batches
+        carry = None
+        for b in batches:
+            if carry is not None:
+                b = pa.Table.from_batches([carry, b]).combine_chunks().to_batches()[0]
+            keys = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in key], axis=1)
+            new = np.ones(len(keys), dtype=bool)
+            new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+            starts = np.nonzero(new)[0]
+            last = starts[-1]
+            carry = b.slice(last)
+            body = b.slice(0, last)
+            if body.num_rows:
+                yield from _emit_groups(body, starts[:-1], last)
+        if carry is not None and carry.num_rows:
+            yield from _emit_groups(carry, np.array([0]), carry.num_rows)
+
+    def _emit_groups(b, starts, end):
+        M, _ = to_matrix(b.column("vec"))
+        sizes = np.diff(np.append(starts, end))
+        full = sizes == n
+        sums = np.add.reduceat(M, starts, axis=0) if len(starts) else np.zeros((0, M.shape[1]))
+        first = pa.array(starts[full])
+        cols = [b.column(c).take(first) for c in key]
+        yield pa.RecordBatch.from_arrays(cols + [from_matrix(sums[full] / float(n))], names=key + ["mean"])
+
+    return j.select(*key, "slot", "vec").mapInArrow(group_sum, schema)
