@@ -118,3 +118,28 @@ def test_one_hot_roundtrip(spark):
     df = spark.createDataFrame([(0, 3), (1, 0), (2, 9)], "r long, id int")
     sp = T.one_hot(df, "id", 10, ["r"])
     assert sorted(map(tuple, T.one_hot_argmax(sp, ["r"]).collect())) == [(0, 3), (1, 0), (2, 9)]
+
+
+def test_encode_salted_fallback_matches_broadcast(spark):
+    from vecspark.plans import corpus as C
+    sf = "/root/testdata/sf0.001"
+    toks = C.tokens(spark, sf)
+    vocab = T.fit_vocab(toks)
+    a = sorted(map(tuple, T.encode(toks, vocab).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "64")     # makes several words "hot"
+    try:
+        b = sorted(map(tuple, T.encode(toks, vocab, broadcast_bytes=0).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert a == b and len(a) == toks.count()
+
+
+def test_salted_join_spreads_hot_key(spark):
+    from vecspark.operators.joins import hot_keys, salted_join
+    big = spark.range(20000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50)).alias("k"),
+                                    F.col("id"))
+    small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    hot = hot_keys(big.groupBy("k").count(), "k", "count")
+    assert [r.k for r in hot.collect()] == [7]
+    j = salted_join(big, small, "k", hot, ["id"])
+    assert j.count() == 20000 and j.where("v != k * 10").count() == 0

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vec as V
-from .ranking import broadcast_if_fits
+
 
 
 def to_long(df: DataFrame, id_col: str, vec_col: str, value: str = "v") -> DataFrame:
@@ -161,7 +161,7 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
     When the vector table fits the measured broadcast bound it is collected once (Arrow)
     into a NumPy matrix, broadcast, and every Arrow batch of windows gathers and averages
     its rows -- no shuffle. Otherwise each window's context ids are exploded (2w rows),
-    shuffle-joined to ``<word_id, vec>`` (AQE splits hot ids such as the padding id),
+    shuffle-joined to ``<word_id, vec>`` (hot ids such as the padding id are salted),
     co-located by window key, and each window's 2w vectors are summed in Arrow batches.
     Windows with an id missing from ``vectors`` are dropped in both paths.
     """
@@ -206,7 +206,9 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
     slots = windows.select(*key, F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).cast("long").alias("word_id"))
                                                       for i, c in enumerate(ctx_cols)])).alias("_c")) \
         .select(*key, "_c.slot", "_c.word_id")
-    j = (slots.join(vecs.hint("shuffle_hash"), "word_id")
+    from .joins import hot_keys, salted_join
+    hot = hot_keys(slots.groupBy("word_id").agg(F.count(F.lit(1)).alias("n")), "word_id", "n")
+    j = (salted_join(slots, vecs, "word_id", hot, key + ["slot"])
          .repartition(*[F.col(c) for c in key]).sortWithinPartitions(*key, "slot"))
 
     def group_sum(batches):

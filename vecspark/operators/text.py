@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_FILTERS, count_char, word_array
-from .ranking import broadcast_if_fits, global_row_number
+from .ranking import fits_broadcast, global_row_number
 
 
 def filter_sentences(lines: DataFrame, min_spaces: int = 2, col: str = "line") -> DataFrame:
@@ -46,12 +46,21 @@ def encode(tokens: DataFrame, vocab: DataFrame, broadcast_bytes: int | None = No
 
     The vocabulary is broadcast only when its measured size is within the byte bound
     (``broadcast_bytes`` or the session default); otherwise it is a shuffle join on
-    ``word`` where AQE splits hot words (skew join).
+    ``word`` with hot words (one word may be a large share of all tokens) salted over
+    several partitions.
     With ``renumber=True`` positions are made dense again after dropping words (needed
     when the vocabulary was capped), using a chunked per-line running count.
     """
-    v = broadcast_if_fits(vocab.select("word", "word_id"), F.length("word") + 8, broadcast_bytes)
-    enc = tokens.join(v, "word").select("doc_id", "line_no", "pos", "word_id")
+    v = vocab.select("word", "word_id")
+    if fits_broadcast(v, F.length("word") + 8, broadcast_bytes):
+        enc = tokens.join(F.broadcast(v), "word")
+    else:
+        from .joins import hot_keys, salted_join
+        counts = vocab.select("word", "n") if "n" in vocab.columns else \
+            tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        enc = salted_join(tokens, vocab.select("word", "word_id"), "word", hot_keys(counts, "word", "n"),
+                          ["doc_id", "line_no", "pos"])
+    enc = enc.select("doc_id", "line_no", "pos", "word_id")
     if renumber:
         enc = dense_positions(enc)
     return enc
@@ -87,17 +96,6 @@ def pad(seqs: DataFrame, w: int = 2, value: int = 0, col: str = "ids") -> DataFr
     return seqs.withColumn(col, F.concat(p, F.col(col), p))
 
 
-def sequences(encoded: DataFrame) -> DataFrame:
-    """Array form of a token sequence per line (ids ordered by position).
-
-    Builds one array per line: use only where a line is known to be bounded; the window
-    operators work on the long form and do not need it.
-    """
-    return (encoded.groupBy("doc_id", "line_no")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "word_id"))).alias("_s"))
-            .select("doc_id", "line_no", F.col("_s.word_id").alias("ids")))
-
-
 def one_hot(df: DataFrame, col: str, size: int, row_cols: list[str]) -> DataFrame:
     """Sparse one-hot: one ``<row..., index, value=1>`` row per input row (never N x V)."""
     return df.select(*row_cols, F.col(col).cast("int").alias("index"), F.lit(1).alias("value")) \
