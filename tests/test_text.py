@@ -143,3 +143,13 @@ def test_salted_join_spreads_hot_key(spark):
     assert [r.k for r in hot.collect()] == [7]
     j = salted_join(big, small, "k", hot, ["id"])
     assert j.count() == 20000 and j.where("v != k * 10").count() == 0
+
+
+def test_read_lines_from_text_files(spark, tmp_path):
+    from vecspark.sources.corpus import read_lines
+    (tmp_path / "a.txt").write_text("first line here\nsecond one\n")
+    (tmp_path / "b.txt").write_text("only line of b")
+    lines = read_lines(spark, str(tmp_path))
+    got = sorted((r.line_no, r.line) for r in lines.collect() if r.line)
+    assert got == [(0, "first line here"), (0, "only line of b"), (1, "second one")]
+    assert lines.select("doc_id").distinct().count() == 2

@@ -1,0 +1,11 @@
+"""Running the batch operators over streams.
+
+The reference has no streams, event time or state; nothing here adds new semantics.
+Row-local operators (tokenise, encode against a fixed vocabulary, scoring) are plain
+projections/joins and run unchanged on a streaming DataFrame. Operators that need a
+window over whole lines (CBOW windows, skip-gram pairs) run per micro-batch through
+``foreachBatch``; documents arrive whole, so each micro-batch's lines are complete and
+the result equals the batch result.
+"""
+
+from .micro_batch import encode_stream, score_stream, windows_per_batch  # noqa: F401

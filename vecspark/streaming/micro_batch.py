@@ -1,0 +1,35 @@
+"""Streaming adapters for the text and scoring operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import text as T
+from ..operators import windows as W
+from ..operators.layers import apply_network
+from ..sources.corpus import lines_of
+
+
+def encode_stream(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Streaming documents -> encoded tokens against a fixed (static) vocabulary.
+
+    A stream-static join; the vocabulary is broadcast when its measured size allows."""
+    toks = T.tokenize(T.filter_sentences(lines_of(docs, id_col, text_col)))
+    return T.encode(toks, vocab)
+
+
+def score_stream(rows: DataFrame, vec_col: str, layers, params, keep: list[str]) -> DataFrame:
+    """Streaming labelled vectors -> scores and predictions (Arrow batches, parameters broadcast)."""
+    return apply_network(rows, vec_col, layers, params, keep)
+
+
+def windows_per_batch(vocab: DataFrame, sink_path: str, w: int = 2, id_col: str = "doc_id",
+                      text_col: str = "text"):
+    """A ``foreachBatch`` function writing the CBOW windows of each micro-batch of documents
+    to ``sink_path`` (Parquet, append), tagged with the batch id for idempotent replays."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        enc = T.encode(T.tokenize(T.filter_sentences(lines_of(batch, id_col, text_col))), vocab)
+        (W.cbow_windows(enc, w).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("append").partitionBy("batch_id").parquet(sink_path))
+    return run
