@@ -13,7 +13,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     Files are read whole (``wholetext``) so line numbers are exact; each file is one row,
     so this suits corpora of many files. A single huge file should be pre-split.
     """
-    docs = (spark.read.option("wholetext", "true").text(path)
+    docs = (spark.read.text(path, wholetext=True)
             .select(F.xxhash64(F.input_file_name()).alias("doc_id"), F.col("value").alias("text")))
     return lines_of(docs, "doc_id", "text")
 
