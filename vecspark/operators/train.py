@@ -27,6 +27,7 @@ from ..functions import grads as G
 from ..session import ensure_checkpoint_dir
 
 CHUNK = 1 << 18   # doubles per gradient chunk
+DIRECT_SUM_BYTES = 64 << 20   # partial gradients up to this total are summed on the driver
 
 
 class Adam:
@@ -47,9 +48,14 @@ class Adam:
             params[k] = params[k] - self.lr * mh / (np.sqrt(vh) + self.eps)
 
 
-def _prepare(table: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(table.sparkSession)
-    return table.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+def _prepare(table: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash-spread the training rows over at least one partition per core, write them to
+    the shared checkpoint folder (lineage cut) and cache them for the steps."""
+    spark = table.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = table.repartition(n, *[F.col(k) for k in keys])
+    return spread.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def distributed_gradient(rows: DataFrame, kernel, params: dict, names: list[str], extra: int = 0):
@@ -85,8 +91,16 @@ def distributed_gradient(rows: DataFrame, kernel, params: dict, names: list[str]
         s = np.sum([np.frombuffer(b, dtype=np.float64) for b in pdf["v"]], axis=0)
         return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "v": [s.tobytes()]})
 
-    parts = (rows.mapInPandas(task, "chunk int, v binary")
-             .groupBy("chunk").applyInPandas(reduce_chunk, "chunk int, v binary").collect())
+    partials = rows.mapInPandas(task, "chunk int, v binary")
+    if (total + 3 + extra) * 8 * rows.rdd.getNumPartitions() <= DIRECT_SUM_BYTES:
+        # small model: the per-task partial gradients are summed on the driver directly
+        acc: dict[int, np.ndarray] = {}
+        for r in partials.collect():
+            v = np.frombuffer(r["v"], dtype=np.float64)
+            acc[r["chunk"]] = acc[r["chunk"]] + v if r["chunk"] in acc else v.copy()
+        parts = [{"chunk": c, "v": v.tobytes()} for c, v in acc.items()]
+    else:
+        parts = partials.groupBy("chunk").applyInPandas(reduce_chunk, "chunk int, v binary").collect()
     bc.unpersist()
     if not parts:
         return 0.0, 0, 0, {k: np.zeros(s) for k, s in shapes}, np.zeros(extra)
@@ -107,7 +121,7 @@ def _step_of(keys: list[str], seed: int, epoch: int | Column, steps: int) -> Col
 def _loop(table: DataFrame, keys: list[str], kernel, params: dict, epochs: int, steps: int, lr: float,
           seed: int, shuffle: bool = True, step_col: str | None = None, post_step=None, extra: int = 0):
     spark = table.sparkSession
-    data = _prepare(table)
+    data = _prepare(table, keys)
     names = [k for k in params if not k.endswith(("running_mean", "running_var"))]
     opt = Adam({k: params[k] for k in names}, lr)
     log = []

@@ -29,6 +29,10 @@ def build_session(master: str | None = None, partitions: int | None = None,
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
+          # one task per core: NumPy/BLAS inside a task must not start its own thread pool
+          .config("spark.executorEnv.OMP_NUM_THREADS", "1")
+          .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
+          .config("spark.executorEnv.MKL_NUM_THREADS", "1")
           .config("spark.ui.showConsoleProgress", "false"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
