@@ -107,3 +107,20 @@ def test_mlp_and_cnn_fit_reduce_loss(spark):
     assert e[2] < e[0]
     _, steps2, layers = TR.fit_cnn(df, "embedding", "label", "vec_id", epochs=2, steps_per_epoch=3)
     assert steps2.count() == 6 and layers[0] == ("reshape", (1, 8, 8))
+
+
+def test_mlp_groups_stay_whole_across_partitions_and_batches(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    res = []
+    for parts, batch_rows in ((1, 10000), (5, 37)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+        TR.MIN_ROWS_PER_PARTITION = 2000 if parts == 1 else 60     # 1 vs 8 training partitions
+        try:
+            p, steps = TR.fit_mlp(df.repartition(parts), "embedding", "label", "vec_id", layers=(64, 16, 10),
+                                  epochs=1, steps_per_epoch=2, batch=50)
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+            TR.MIN_ROWS_PER_PARTITION = 2000
+        res.append(p)
+    for k in res[0]:
+        assert np.max(np.abs(res[0][k] - res[1][k])) < 1e-9, k

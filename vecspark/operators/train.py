@@ -48,21 +48,50 @@ class Adam:
             params[k] = params[k] - self.lr * mh / (np.sqrt(vh) + self.eps)
 
 
-def _prepare(table: DataFrame, keys: list[str]) -> DataFrame:
-    """Hash-spread the training rows over at least one partition per core, write them to
-    the shared checkpoint folder (lineage cut) and cache them for the steps."""
-    spark = table.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spread = table.repartition(n, *[F.col(k) for k in keys])
-    return spread.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+MIN_ROWS_PER_PARTITION = 2000
 
 
-def distributed_gradient(rows: DataFrame, kernel, params: dict, names: list[str], extra: int = 0):
+def _prepare(table: DataFrame, keys: list[str], group_col: str | None = None) -> DataFrame:
+    """Write the training rows to the shared checkpoint folder (lineage cut), then spread them
+    over up to one partition per core by a hash of ``keys`` -- or of ``group_col``, sorted
+    within partitions, so that every group sits whole and contiguous in one task -- and cache."""
+    spark = table.sparkSession
+    ensure_checkpoint_dir(spark)
+    cp = table.checkpoint(eager=True)
+    rows = cp.count()
+    cap = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, min(cap, rows // MIN_ROWS_PER_PARTITION))
+    if group_col:
+        out = cp.repartition(n, F.col(group_col)).sortWithinPartitions(group_col)
+    else:
+        out = cp.repartition(n, *[F.col(k) for k in keys])
+    return out.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _whole_groups(batches, group_col: str):
+    """Re-cut a stream of pandas batches sorted by ``group_col`` so no group is split."""
+    carry = None
+    for pdf in batches:
+        if carry is not None:
+            pdf = pd.concat([carry, pdf], ignore_index=True)
+        if len(pdf) == 0:
+            continue
+        g = pdf[group_col].to_numpy()
+        last = int(np.nonzero(g != g[-1])[0][-1]) + 1 if (g != g[-1]).any() else 0
+        carry = pdf.iloc[last:]
+        if last:
+            yield pdf.iloc[:last]
+    if carry is not None and len(carry):
+        yield carry
+
+
+def distributed_gradient(rows: DataFrame, kernel, params: dict, names: list[str], extra: int = 0,
+                         group_col: str | None = None):
     """Run ``kernel(params, pdf) -> (loss, n, correct, grads[, stats_vec])`` over ``rows``.
 
     Returns ``(loss_sum, n, correct, grads, stats_sum)`` summed over all tasks. ``extra``
-    is the length of an optional statistics vector returned by the kernel.
+    is the length of an optional statistics vector returned by the kernel. With
+    ``group_col`` (rows sorted by it within partitions) every kernel call sees whole groups.
     """
     spark = rows.sparkSession
     bc = spark.sparkContext.broadcast(params)
@@ -73,7 +102,7 @@ def distributed_gradient(rows: DataFrame, kernel, params: dict, names: list[str]
         P = bc.value
         acc = np.zeros(total + 3 + extra)
         seen = False
-        for pdf in batches:
+        for pdf in (_whole_groups(batches, group_col) if group_col else batches):
             if len(pdf) == 0:
                 continue
             seen = True
@@ -119,9 +148,10 @@ def _step_of(keys: list[str], seed: int, epoch: int | Column, steps: int) -> Col
 
 
 def _loop(table: DataFrame, keys: list[str], kernel, params: dict, epochs: int, steps: int, lr: float,
-          seed: int, shuffle: bool = True, step_col: str | None = None, post_step=None, extra: int = 0):
+          seed: int, shuffle: bool = True, step_col: str | None = None, post_step=None, extra: int = 0,
+          group_col: str | None = None):
     spark = table.sparkSession
-    data = _prepare(table, keys)
+    data = _prepare(table, keys, group_col)
     names = [k for k in params if not k.endswith(("running_mean", "running_var"))]
     opt = Adam({k: params[k] for k in names}, lr)
     log = []
@@ -130,7 +160,8 @@ def _loop(table: DataFrame, keys: list[str], kernel, params: dict, epochs: int,
             for s in range(steps):
                 cond = (F.col(step_col) == s) if step_col else (_step_of(keys, seed, epoch if shuffle else 0, steps) == s)
                 loss, n, correct, grads, stats = distributed_gradient(
-                    data.where(cond), lambda P, pdf, e=epoch, s=s: kernel(P, pdf, e, s), params, names, extra)
+                    data.where(cond), lambda P, pdf, e=epoch, s=s: kernel(P, pdf, e, s), params, names, extra,
+                    group_col)
                 if n == 0:
                     continue
                 upd = {k: params[k] for k in names}
@@ -254,7 +285,7 @@ def fit_mlp(df: DataFrame, vec_col: str, label_col: str, id_col: str, layers=(64
             P[f"bn{i}.running_var"] = (1 - momentum) * P[f"bn{i}.running_var"] + momentum * var / k
 
     return _loop(table, [id_col], kernel, params, epochs, steps_per_epoch, lr, seed, shuffle=False,
-                 step_col="step", post_step=post, extra=extra)
+                 step_col="step", post_step=post, extra=extra, group_col="grp")
 
 
 def mlp_layers(n_hidden: int) -> list[tuple]:
