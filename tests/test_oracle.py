@@ -7,6 +7,7 @@ import __spark_entry__ as E
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 SQL = E.oracle_sql()
 
 
@@ -31,5 +32,7 @@ def test_matches_duckdb(spark, con, name):
     rel = con.sql(SQL[name])
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
+    duck = {c: TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert {f.name: f.dataType.simpleString() for f in sdf.schema.fields} == duck
     assert len(rows) == len(drows)
     assert digest(sdf.columns, rows)[0] == digest(rel.columns, drows)[0]

@@ -173,7 +173,7 @@ def analogy_correct_only(spark, sf):
 
 
 @register("embedding_lookup", _word_with("""
-SELECT qid, role, word, word_id, model, len(vec) AS dim, round(list_sum(vec), 6) AS vsum,
+SELECT qid, role, word, word_id, model, CAST(len(vec) AS INTEGER) AS dim, round(list_sum(vec), 6) AS vsum,
        round(sqrt(list_dot_product(vec, vec)), 6) AS norm
 FROM looked"""))
 def embedding_lookup(spark, sf):

@@ -89,7 +89,7 @@ CONV_SQL_HEAD = "WITH " + N.CNN_SQL + "\n"
 
 
 @register("conv2d", CONV_SQL_HEAD + """
-SELECT c1.vec_id AS id, c1.ch, CAST(c1.y AS INTEGER) AS y, CAST(c1.x AS INTEGER) AS x, round(c1.s + bb1.b, 6) AS v
+SELECT c1.vec_id AS id, CAST(c1.ch AS INTEGER) AS ch, CAST(c1.y AS INTEGER) AS y, CAST(c1.x AS INTEGER) AS x, round(c1.s + bb1.b, 6) AS v
 FROM c1 JOIN bb1 ON bb1.o = c1.ch""")
 def conv2d(spark, sf):
     k, b = _conv1_kernel(spark)
@@ -98,7 +98,7 @@ def conv2d(spark, sf):
 
 
 @register("max_pool", CONV_SQL_HEAD + """
-SELECT vec_id AS id, ch, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, round(v, 6) AS v FROM p1""")
+SELECT vec_id AS id, CAST(ch AS INTEGER) AS ch, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, round(v, 6) AS v FROM p1""")
 def max_pool(spark, sf):
     k, b = _conv1_kernel(spark)
     c = L.conv2d_long(_images_long(spark, sf), k, b, 8, 8, 3).withColumn("v", F.greatest("v", F.lit(0.0)))

@@ -36,12 +36,12 @@ def stack_truth_pred(spark, sf):
     return TS.stack_columns(truth, p.select("vec_id", "pred"), "vec_id")
 
 
-@register("num_correct", PRED + "SELECT sum(CAST(pred = label AS BIGINT)) AS num_correct FROM preds")
+@register("num_correct", PRED + "SELECT CAST(sum(CAST(pred = label AS BIGINT)) AS BIGINT) AS num_correct FROM preds")
 def num_correct(spark, sf):
     return M.num_correct(mlp_preds(spark, sf))
 
 
-@register("accuracy", PRED + "SELECT sum(CAST(pred = label AS BIGINT)) AS num_correct, count(*) AS n, "
+@register("accuracy", PRED + "SELECT CAST(sum(CAST(pred = label AS BIGINT)) AS BIGINT) AS num_correct, count(*) AS n, "
           "round(avg(CAST(pred = label AS DOUBLE)), 6) AS accuracy FROM preds")
 def accuracy(spark, sf):
     return M.accuracy(mlp_preds(spark, sf)).withColumn("accuracy", F.round("accuracy", 6))
@@ -60,7 +60,7 @@ def confusion_long(spark, sf):
 
 
 @register("confusion_wide", CONF_SQL + "SELECT truth, " + ", ".join(
-    f"sum(n) FILTER (WHERE pred = {i}) AS p{i}" for i in range(10)) + " FROM cm GROUP BY truth")
+    f"CAST(sum(n) FILTER (WHERE pred = {i}) AS BIGINT) AS p{i}" for i in range(10)) + " FROM cm GROUP BY truth")
 def confusion_wide(spark, sf):
     return M.confusion_matrix(mlp_preds(spark, sf), 10, wide=True)
 
@@ -83,8 +83,8 @@ def cross_entropy(spark, sf):
   SELECT 0 AS epoch, CAST(c.vec_id // 100 AS INTEGER) AS step, count(*) AS rows, avg(c.loss) AS loss,
          sum(CAST(p.pred = p.label AS BIGINT)) AS correct
   FROM ce c JOIN (""" + N.preds_sql("mlp") + """) p USING (vec_id) GROUP BY c.vec_id // 100)
-SELECT epoch, round(sum(loss), 6) AS loss_sum, round(avg(loss), 6) AS loss_mean, sum(rows) AS rows,
-       sum(correct) AS correct, count(*) AS passes FROM steps GROUP BY epoch""")
+SELECT epoch, round(sum(loss), 6) AS loss_sum, round(avg(loss), 6) AS loss_mean, CAST(sum(rows) AS BIGINT) AS rows,
+       CAST(sum(correct) AS BIGINT) AS correct, count(*) AS passes FROM steps GROUP BY epoch""")
 def training_log(spark, sf):
     p = W.assign_batches(mlp_preds(spark, sf), size=100, id_col="vec_id")
     loss = M.log_softmax_loss(F.col("scores"), F.col("label"))

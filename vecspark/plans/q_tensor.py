@@ -46,7 +46,7 @@ def reshape(spark, sf):
 
 
 @register("shape_facts", "SELECT count(*) AS n_rows, max(len(embedding)) AS n_cols, 2 AS rank, "
-          "sum(len(embedding)) AS numel, min(len(embedding)) = max(len(embedding)) AS uniform FROM embeddings")
+          "CAST(sum(len(embedding)) AS BIGINT) AS numel, min(len(embedding)) = max(len(embedding)) AS uniform FROM embeddings")
 def shape_facts(spark, sf):
     return TS.shape_of(emb(spark, sf), "embedding").select(
         F.col("n_rows").cast("long"), F.col("n_cols").cast("long"), F.col("rank").cast("int"),

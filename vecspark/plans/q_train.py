@@ -62,7 +62,7 @@ def train_cnn(spark, sf):
 
 @register("linear_regression", "SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, "
           "round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept, "
-          "round(regr_r2(l_extendedprice, l_quantity), 12) AS r2, regr_count(l_extendedprice, l_quantity) AS n "
+          "round(regr_r2(l_extendedprice, l_quantity), 12) AS r2, CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n "
           "FROM lineitem")
 def linear_regression(spark, sf):
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
