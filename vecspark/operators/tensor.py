@@ -14,10 +14,13 @@ from __future__ import annotations
 from functools import reduce
 from math import prod
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vec as V
+from ..functions.arrow import from_matrix, to_matrix
 
 
 
@@ -165,9 +168,6 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
     co-located by window key, and each window's 2w vectors are summed in Arrow batches.
     Windows with an id missing from ``vectors`` are dropped in both paths.
     """
-    import numpy as np
-    import pyarrow as pa
-    from ..functions.arrow import from_matrix, to_matrix
     from .ranking import estimated_bytes, python_broadcast_limit
 
     n = len(ctx_cols)

@@ -40,14 +40,42 @@ def build_session(master: str | None = None, partitions: int | None = None,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on every executor (the ``--py-files`` mechanism).
+
+    Arrow/pandas kernels are pickled by value, but shipping the package as well keeps any
+    import they perform working wherever the driver was started from. Done once per context.
+    """
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="vecspark-py-"), "vecspark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared checkpoint folder named by the cluster (and ship the package).
 
     The session's ``spark.checkpoint.dir`` (or a directory already set on the
     context) wins. Only when neither is set -- local runs and tests -- a fresh
     scratch folder is created.
     """
     sc = spark.sparkContext
+    ship_package(spark)
     d = sc.getCheckpointDir()
     if d:
         return d
