@@ -170,3 +170,22 @@ def test_context_mean_both_paths_agree(spark):
         r = rows[kk[1]]
         exp = (E_[r[3]] + E_[r[4]] + E_[r[5]] + E_[r[6]]) / 4
         assert np.allclose(v, exp, atol=1e-14) and np.allclose(slow[kk], exp, atol=1e-14)
+
+
+def test_shuffled_batches_partition_independent_and_stack_rows(spark):
+    from vecspark.operators import windows as W
+    df = spark.range(1000).select(F.col("id").alias("k"))
+    a = {r.k: r.batch_id for r in W.assign_batches(df.repartition(1), shuffle=True, seed=3, n_batches=7, id_col="k").collect()}
+    b = {r.k: r.batch_id for r in W.assign_batches(df.repartition(6), shuffle=True, seed=3, n_batches=7, id_col="k").collect()}
+    assert a == b and set(a.values()) == set(range(7))
+    seq = {r.k: r.batch_id for r in W.assign_batches(df, size=32, id_col="k").collect()}
+    assert seq[31] == 0 and seq[32] == 1 and max(seq.values()) == W.n_passes(1000, 32) - 1
+    t = [tensor_table(spark, [[i, i], [i, i]]) for i in (1, 2, 3)]
+    st = TS.stack_rows(t).collect()
+    assert len(st) == 6 and {(r.k, r.vec[0]) for r in st} == {(0, 1), (1, 2), (2, 3)}
+
+
+def test_peek_is_first_rows_in_order(spark):
+    from vecspark.operators import text as T
+    df = spark.range(100).select((99 - F.col("id")).alias("x"))
+    assert [r.x for r in T.peek(df, 3, ["x"]).collect()] == [0, 1, 2]

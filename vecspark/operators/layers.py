@@ -20,7 +20,7 @@ from ..functions import nn
 from ..functions import vec as V
 from ..functions.arrow import from_matrix, to_matrix
 
-MAX_PARAM_ROWS = 5_000_000   # parameter rows collected to the driver and broadcast
+MAX_PARAM_BYTES = 1 << 30    # parameters collected to the driver and broadcast
 
 
 # ------------------------------------------------------------------ parameter table
@@ -47,9 +47,10 @@ def param_shapes(params: DataFrame) -> DataFrame:
 def collect_params(params: DataFrame) -> dict[str, np.ndarray]:
     """Parameters -> dict of NumPy arrays (biases and BN vectors flattened to 1-D).
     The table is bounded by the model size, checked before collecting."""
-    n = params.count()
-    if n > MAX_PARAM_ROWS:
-        raise ValueError(f"parameter table has {n} rows, above {MAX_PARAM_ROWS}")
+    from .ranking import estimated_bytes
+    n = estimated_bytes(params, F.size("vec") * 8)
+    if n > MAX_PARAM_BYTES:
+        raise ValueError(f"parameter table takes {n} bytes, above {MAX_PARAM_BYTES}")
     pdf = params.select("name", "row", "vec").toPandas().sort_values(["name", "row"])
     out = {}
     for name, g in pdf.groupby("name", sort=False):
