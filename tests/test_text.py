@@ -95,6 +95,9 @@ def test_pad_long_and_dense_positions(spark):
     enc = spark.createDataFrame(rows, "doc_id long, line_no int, pos int, word_id int")
     got = sorted((r.pos, r.word_id) for r in W.pad_long(enc, 2).collect())
     assert got == [(0, 0), (1, 0), (2, 1), (3, 2), (4, 3), (5, 0), (6, 0)]
+    lines = spark.createDataFrame([(0, 0), (0, 1)], "doc_id long, line_no int")   # line 1 has no tokens
+    empty = sorted((r.pos, r.word_id) for r in W.pad_long(enc, 2, lines=lines).collect() if r.line_no == 1)
+    assert empty == [(0, 0), (1, 0), (2, 0), (3, 0)]
     sparse = spark.createDataFrame([(0, 0, p, p) for p in (3, 9, 10, 40)], "doc_id long, line_no int, pos int, word_id int")
     assert sorted((r.pos, r.word_id) for r in T.dense_positions(sparse, chunk=4).collect()) == \
         [(0, 3), (1, 9), (2, 10), (3, 40)]

@@ -54,10 +54,12 @@ SELECT doc_id, line_no, CAST(pos + 2 AS INTEGER) AS pos, word_id FROM encoded
 UNION ALL
 SELECT doc_id, line_no, CAST(p AS INTEGER) AS pos, 0 AS word_id
 FROM (SELECT doc_id, line_no, unnest([0, 1, n + 2, n + 3]) AS p
-      FROM (SELECT doc_id, line_no, count(*) AS n FROM encoded GROUP BY doc_id, line_no))
+      FROM (SELECT s.doc_id, s.line_no, count(e.pos) AS n
+            FROM sentences s LEFT JOIN encoded e ON e.doc_id = s.doc_id AND e.line_no = s.line_no
+            GROUP BY s.doc_id, s.line_no))
 """))
 def padded_sequences(spark, sf):
-    return W.pad_long(C.vocab_and_encoded(spark, sf)[1], w=2)
+    return W.pad_long(C.vocab_and_encoded(spark, sf)[1], w=2, lines=C.sentences(spark, sf))
 
 
 @register("cbow_windows", with_corpus("""
