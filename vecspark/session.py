@@ -29,6 +29,8 @@ def build_session(master: str | None = None, partitions: int | None = None,
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
+          # remove checkpoint files of intermediates once they are garbage collected
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           # one task per core: NumPy/BLAS inside a task must not start its own thread pool
           .config("spark.executorEnv.OMP_NUM_THREADS", "1")
           .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
