@@ -19,7 +19,7 @@ def _softmax_xent(logits: np.ndarray, target: np.ndarray):
     s = e.sum(axis=1, keepdims=True)
     p = e / s
     idx = np.arange(len(target))
-    loss = (np.log(s[:, 0]) + m[:, 0] - logits[idx, target]).sum()
+    loss = float((np.log(s[:, 0]).astype(np.float64) + m[:, 0] - logits[idx, target]).sum())
     d = p
     d[idx, target] -= 1.0
     correct = int((np.argmax(logits, axis=1) == target).sum())
@@ -29,12 +29,12 @@ def _softmax_xent(logits: np.ndarray, target: np.ndarray):
 def cbow_grad(params: dict, ctx: np.ndarray, target: np.ndarray):
     """CBOW: mean of context embeddings (padding row 0 included) -> linear -> softmax."""
     E, W, b = params["embedding.weight"], params["output.weight"], params["output.bias"]
-    h = E[ctx].mean(axis=1)
+    h = E[ctx].sum(axis=1) / E.dtype.type(ctx.shape[1])
     logits = h @ W.T + b
     loss, d, correct = _softmax_xent(logits, target)
     gW = d.T @ h
     gb = d.sum(axis=0)
-    dh = (d @ W) / ctx.shape[1]
+    dh = (d @ W) / E.dtype.type(ctx.shape[1])
     gE = np.zeros_like(E)
     for k in range(ctx.shape[1]):
         np.add.at(gE, ctx[:, k], dh)

@@ -45,7 +45,7 @@ class Adam:
             self.v[k] = self.b2 * self.v[k] + (1 - self.b2) * g * g
             mh = self.m[k] / (1 - self.b1 ** self.t)
             vh = self.v[k] / (1 - self.b2 ** self.t)
-            params[k] = params[k] - self.lr * mh / (np.sqrt(vh) + self.eps)
+            params[k] = (params[k] - self.lr * mh / (np.sqrt(vh) + self.eps)).astype(params[k].dtype, copy=False)
 
 
 MIN_ROWS_PER_PARTITION = 2000
@@ -165,7 +165,7 @@ def _loop(table: DataFrame, keys: list[str], kernel, params: dict, epochs: int,
                 if n == 0:
                     continue
                 upd = {k: params[k] for k in names}
-                opt.step(upd, {k: g / n for k, g in grads.items()})
+                opt.step(upd, {k: (g / n).astype(params[k].dtype, copy=False) for k, g in grads.items()})
                 params.update(upd)
                 if post_step is not None:
                     post_step(params, stats)
@@ -183,15 +183,22 @@ def _uniform(rng, shape, fan_in):
 
 # ------------------------------------------------------------------ word embeddings
 
+def _embedding_params(seed: int, vocab_size: int, dim: int, dtype: str) -> dict:
+    rng = np.random.default_rng(seed)
+    p = {"embedding.weight": rng.standard_normal((vocab_size, dim)),
+         "output.weight": _uniform(rng, (vocab_size, dim), dim),
+         "output.bias": _uniform(rng, (vocab_size,), dim)}
+    return {k: v.astype(dtype) for k, v in p.items()}
+
+
 def fit_cbow(windows: DataFrame, vocab_size: int, dim: int = 50, epochs: int = 10, lr: float = 0.001,
              steps_per_epoch: int = 8, seed: int = 0, ctx_cols=("c1", "c2", "c3", "c4"),
-             target_col: str = "target", key_cols=("doc_id", "line_no", "pos")):
+             target_col: str = "target", key_cols=("doc_id", "line_no", "pos"), dtype: str = "float64"):
     """CBOW (embedding -> mean -> linear -> softmax), Adam. ``vocab_size`` = V (ids 0..V-1,
-    0 = padding, trainable and averaged into the mean). Returns (params, steps)."""
-    rng = np.random.default_rng(seed)
-    params = {"embedding.weight": rng.standard_normal((vocab_size, dim)),
-              "output.weight": _uniform(rng, (vocab_size, dim), dim),
-              "output.bias": _uniform(rng, (vocab_size,), dim)}
+    0 = padding, trainable and averaged into the mean). ``dtype`` is the arithmetic of the
+    per-task kernels (``float32`` as the reference trains; gradients are summed across tasks in
+    float64). Returns (params, steps)."""
+    params = _embedding_params(seed, vocab_size, dim, dtype)
     ctx_cols = list(ctx_cols)
     table = windows.select(*key_cols, *ctx_cols, target_col)
     slice_rows = max(1, (1 << 21) // vocab_size)
@@ -210,12 +217,10 @@ def fit_cbow(windows: DataFrame, vocab_size: int, dim: int = 50, epochs: int = 1
 
 
 def fit_skipgram(pairs: DataFrame, vocab_size: int, dim: int = 50, epochs: int = 10, lr: float = 0.025,
-                 steps_per_epoch: int = 8, seed: int = 0, key_cols=("doc_id", "line_no", "pos", "offset")):
+                 steps_per_epoch: int = 8, seed: int = 0, key_cols=("doc_id", "line_no", "pos", "offset"),
+                 dtype: str = "float64"):
     """Skip-gram (embedding of centre -> linear -> softmax over context), Adam."""
-    rng = np.random.default_rng(seed)
-    params = {"embedding.weight": rng.standard_normal((vocab_size, dim)),
-              "output.weight": _uniform(rng, (vocab_size, dim), dim),
-              "output.bias": _uniform(rng, (vocab_size,), dim)}
+    params = _embedding_params(seed, vocab_size, dim, dtype)
     table = pairs.select(*key_cols, "center", "context")
     slice_rows = max(1, (1 << 21) // vocab_size)
 

@@ -33,7 +33,7 @@ def train_cbow(spark, sf):
     win = W.cbow_windows(enc, w=2)
     logs = []
     for dim in CBOW_DIMS:
-        _, steps = TR.fit_cbow(win, TRAIN_VOCAB + 1, dim=dim, epochs=CBOW_EPOCHS)
+        _, steps = TR.fit_cbow(win, TRAIN_VOCAB + 1, dim=dim, epochs=CBOW_EPOCHS, dtype="float32")
         logs.append(_log(steps, {"dim": dim}))
     return W.concat(logs)
 
@@ -42,7 +42,7 @@ def train_cbow(spark, sf):
 def train_skipgram(spark, sf):
     vocab, enc = C.vocab_and_encoded(spark, sf, max_vocab=TRAIN_VOCAB)
     pairs = W.skipgram_pairs(enc, w=2)
-    _, steps = TR.fit_skipgram(pairs, TRAIN_VOCAB + 1, dim=50, epochs=SKIPGRAM_EPOCHS, lr=0.025)
+    _, steps = TR.fit_skipgram(pairs, TRAIN_VOCAB + 1, dim=50, epochs=SKIPGRAM_EPOCHS, lr=0.025, dtype="float32")
     return _log(steps, {"dim": 50})
 
 
