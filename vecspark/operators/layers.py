@@ -11,7 +11,6 @@ parameters broadcast -- no shuffle at all -- and is the bulk path.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

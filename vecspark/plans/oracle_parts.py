@@ -28,7 +28,7 @@ TOKENS = f"""tokens AS (
 
 VOCAB = """vocab AS (
   SELECT word, CAST(row_number() OVER (ORDER BY n DESC, fd, fl, fp) AS INTEGER) AS word_id, n
-  FROM (SELECT word, count(*) AS n, min(doc_id) AS fd0,
+  FROM (SELECT word, count(*) AS n,
                arg_min(doc_id, struct_pack(d := doc_id, l := line_no, p := pos)) AS fd,
                arg_min(line_no, struct_pack(d := doc_id, l := line_no, p := pos)) AS fl,
                arg_min(pos, struct_pack(d := doc_id, l := line_no, p := pos)) AS fp

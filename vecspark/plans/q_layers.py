@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import vec as V
 from ..operators import layers as L
 from ..operators import tensor as TS
 from . import nets as N

@@ -10,7 +10,6 @@ from ..functions.vec import formula_sql
 from ..operators import embed as E
 from ..operators import metrics as M
 from ..operators import tensor as TS
-from ..operators import text as T
 from ..operators import windows as W
 from . import corpus as C
 from .oracle_parts import CORPUS
