@@ -24,6 +24,18 @@ def tokenize(lines: DataFrame, filters: str = DEFAULT_FILTERS, col: str = "line"
                         F.posexplode(word_array(F.col(col), filters)).alias("pos", "word"))
 
 
+def first_key() -> Column:
+    """(doc_id, line_no, pos) as one order-preserving exact number.
+
+    ``doc_id * 2^62 + line_no * 2^31 + pos`` in decimal(38,0) keeps the lexicographic order
+    for any bigint doc_id and int positions, and -- unlike ``min`` over a struct, which plans
+    as a sort-based aggregate -- keeps the per-word aggregate a hash aggregate.
+    """
+    d = "decimal(38,0)"
+    return (F.col("doc_id").cast(d) * F.lit(2 ** 62).cast(d)
+            + F.col("line_no").cast(d) * F.lit(2 ** 31).cast(d) + F.col("pos").cast(d))
+
+
 def fit_vocab(tokens: DataFrame, max_vocab: int | None = None) -> DataFrame:
     """Vocabulary ``<word, word_id, n>``: ids from 1 by count descending, ties by first appearance.
 
@@ -31,9 +43,8 @@ def fit_vocab(tokens: DataFrame, max_vocab: int | None = None) -> DataFrame:
     row number, so no task ever holds the whole vocabulary. ``max_vocab`` keeps the
     ``max_vocab`` most frequent words (ids 1..max_vocab).
     """
-    first = F.min(F.struct("doc_id", "line_no", "pos"))
-    counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"), first.alias("_first"))
-    order = [F.col("n").desc(), F.col("_first.doc_id"), F.col("_first.line_no"), F.col("_first.pos")]
+    counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.min(first_key()).alias("_first"))
+    order = [F.col("n").desc(), F.col("_first")]
     vocab = global_row_number(counts, order, name="word_id")
     if max_vocab is not None:
         vocab = vocab.where(F.col("word_id") <= max_vocab)
