@@ -124,3 +124,16 @@ def test_mlp_groups_stay_whole_across_partitions_and_batches(spark):
         res.append(p)
     for k in res[0]:
         assert np.max(np.abs(res[0][k] - res[1][k])) < 1e-9, k
+
+
+def test_trained_mlp_scores_through_inference_path(spark):
+    from vecspark.operators import layers as L
+    from vecspark.operators import metrics as M
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    params, steps = TR.fit_mlp(df, "embedding", "label", "vec_id", layers=(64, 64, 32, 10), epochs=8,
+                               steps_per_epoch=5, lr=0.01)
+    assert params["bn1.running_var"].shape == (64,) and not np.allclose(params["bn1.running_mean"], 0)
+    scored = L.apply_network(df, "embedding", TR.mlp_layers(2), params, ["vec_id", "label"])
+    acc = M.accuracy(scored).first().accuracy
+    assert acc > 0.3            # chance is 0.1; training accuracy of the fitted model
+    assert scored.count() == df.count()
