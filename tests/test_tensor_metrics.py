@@ -189,3 +189,9 @@ def test_peek_is_first_rows_in_order(spark):
     from vecspark.operators import text as T
     df = spark.range(100).select((99 - F.col("id")).alias("x"))
     assert [r.x for r in T.peek(df, 3, ["x"]).collect()] == [0, 1, 2]
+
+
+def test_argmax_overall_ties_lowest_flat_index(spark):
+    df = spark.createDataFrame([(0, [1.0, 5.0, 2.0]), (1, [5.0, 0.0, 5.0])], "id long, vec array<double>")
+    r = TS.argmax_all(df, "id", "vec", 3).first()
+    assert (r.idx, r.max) == (1, 5.0)

@@ -131,6 +131,15 @@ def argmax_long(long_df: DataFrame, group: list[str], index: str, value: str = "
         F.max_by(index, F.struct(F.col(value), -F.col(index))).alias("idx"), F.max(value).alias("max"))
 
 
+def argmax_all(df: DataFrame, id_col: str, vec_col: str, n_cols: int) -> DataFrame:
+    """O24 over the whole tensor: flat row-major index ``id * n_cols + pos`` of the largest
+    element (ties -> lowest flat index) and its value. ``id`` is the dense 0-based row index.
+    One partially aggregated row -- no task sees more than its own split."""
+    lg = df.select(F.col(id_col).cast("long").alias("_id"), F.posexplode(vec_col).alias("pos", "v"))
+    flat = F.col("_id") * F.lit(n_cols) + F.col("pos")
+    return lg.agg(F.max_by(flat, F.struct(F.col("v"), -flat)).alias("idx"), F.max("v").cast("double").alias("max"))
+
+
 def reduce_all(long_df: DataFrame, value: str = "v") -> DataFrame:
     """Whole-tensor sum, mean, sample standard deviation and element count (double sums)."""
     v = F.col(value).cast("double")

@@ -76,6 +76,13 @@ def row_argmax(spark, sf):
     return e.select("vec_id", "idx", F.round(F.array_max("embedding").cast("double"), 6).alias("max"))
 
 
+@register("overall_argmax", LONG + "SELECT arg_max(vec_id * 64 + pos, {'v': v, 'i': -(vec_id * 64 + pos)}) AS idx, "
+          "round(CAST(max(v) AS DOUBLE), 6) AS max FROM lg")
+def overall_argmax(spark, sf):
+    r = TS.argmax_all(emb(spark, sf), "vec_id", "embedding", 64)
+    return r.select("idx", F.round("max", 6).alias("max"))
+
+
 @register("reduce_all", LONG + "SELECT round(sum(CAST(v AS DOUBLE)), 6) AS sum, round(avg(CAST(v AS DOUBLE)), 6) AS mean, "
           "round(stddev_samp(CAST(v AS DOUBLE)), 6) AS std, count(v) AS numel FROM lg")
 def reduce_all(spark, sf):
