@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import text as T
 from ..operators import windows as W
@@ -90,6 +89,7 @@ def skipgram_pairs(spark, sf):
 @register("one_hot", with_corpus(
     "SELECT doc_id, line_no, pos, word_id AS id FROM encoded"))
 def one_hot(spark, sf):
-    enc = C.vocab_and_encoded(spark, sf)[1]
-    sparse = T.one_hot(enc, "word_id", size=2**31 - 1, row_cols=["doc_id", "line_no", "pos"])
-    return T.one_hot_argmax(sparse, ["doc_id", "line_no", "pos"]).withColumn("id", F.col("id"))
+    vocab, enc = C.vocab_and_encoded(spark, sf)
+    size = vocab.count() + 1                     # V: ids 0..V-1, 0 = padding
+    sparse = T.one_hot(enc, "word_id", size=size, row_cols=["doc_id", "line_no", "pos"])
+    return T.one_hot_argmax(sparse, ["doc_id", "line_no", "pos"])
