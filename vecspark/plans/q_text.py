@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from ..operators import text as T
 from ..operators import windows as W
 from . import corpus as C
