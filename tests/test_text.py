@@ -156,3 +156,24 @@ def test_read_lines_from_text_files(spark, tmp_path):
     got = sorted((r.line_no, r.line) for r in lines.collect() if r.line)
     assert got == [(0, "first line here"), (0, "only line of b"), (1, "second one")]
     assert lines.select("doc_id").distinct().count() == 2
+
+
+def test_one_huge_line_is_split_into_bounded_groups(spark):
+    # one line holds more than a third of all tokens
+    big = spark.range(60000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(0).alias("line_no"),
+                                    F.col("id").cast("int").alias("pos"),
+                                    (F.col("id") % 97 + 1).cast("int").alias("word_id"))
+    small = spark.range(40000).select((F.col("id") % 4000 + 100).alias("doc_id"), F.lit(0).alias("line_no"),
+                                      (F.col("id") / 4000).cast("int").alias("pos"),
+                                      (F.col("id") % 89 + 1).cast("int").alias("word_id"))
+    enc = big.unionByName(small)
+    chunk, w = 1000, 2
+    staged = W._with_halo(enc, w, chunk)
+    biggest = staged.groupBy("doc_id", "line_no", "_chunk").count().agg(F.max("count")).first()[0]
+    assert biggest <= chunk + 2 * w
+    win = W.cbow_windows(enc, w, chunk=chunk).where("doc_id = 7")
+    assert win.count() == 60000
+    row = win.where("pos = 5000").first()           # a chunk boundary: neighbours come from the halo
+    assert (row.c1, row.c2, row.target, row.c3, row.c4) == tuple(p % 97 + 1 for p in range(4998, 5003))
+    edge = win.where("pos = 59999").first()
+    assert (edge.c3, edge.c4) == (0, 0)
