@@ -26,31 +26,41 @@ def _softmax_xent(logits: np.ndarray, target: np.ndarray):
     return loss, d, correct
 
 
-def cbow_grad(params: dict, ctx: np.ndarray, target: np.ndarray):
-    """CBOW: mean of context embeddings (padding row 0 included) -> linear -> softmax."""
+def _embedding_acc(params: dict, acc: dict | None) -> dict:
+    if acc is None:
+        acc = {k: np.zeros_like(params[k]) for k in ("embedding.weight", "output.weight", "output.bias")}
+    return acc
+
+
+def cbow_grad(params: dict, ctx: np.ndarray, target: np.ndarray, acc: dict | None = None):
+    """CBOW: mean of context embeddings (padding row 0 included) -> linear -> softmax.
+
+    Gradients are added in place into ``acc`` (created when None), so a task can sweep many
+    row slices with one V x dim accumulator instead of one per slice."""
     E, W, b = params["embedding.weight"], params["output.weight"], params["output.bias"]
+    acc = _embedding_acc(params, acc)
     h = E[ctx].sum(axis=1) / E.dtype.type(ctx.shape[1])
     logits = h @ W.T + b
     loss, d, correct = _softmax_xent(logits, target)
-    gW = d.T @ h
-    gb = d.sum(axis=0)
+    acc["output.weight"] += d.T @ h
+    acc["output.bias"] += d.sum(axis=0)
     dh = (d @ W) / E.dtype.type(ctx.shape[1])
-    gE = np.zeros_like(E)
     for k in range(ctx.shape[1]):
-        np.add.at(gE, ctx[:, k], dh)
-    return loss, len(target), correct, {"embedding.weight": gE, "output.weight": gW, "output.bias": gb}
+        np.add.at(acc["embedding.weight"], ctx[:, k], dh)
+    return loss, len(target), correct, acc
 
 
-def skipgram_grad(params: dict, center: np.ndarray, context: np.ndarray):
+def skipgram_grad(params: dict, center: np.ndarray, context: np.ndarray, acc: dict | None = None):
     """Skip-gram: embedding of the centre word -> linear -> softmax over the context word."""
     E, W, b = params["embedding.weight"], params["output.weight"], params["output.bias"]
+    acc = _embedding_acc(params, acc)
     h = E[center]
     logits = h @ W.T + b
     loss, d, correct = _softmax_xent(logits, context)
-    gE = np.zeros_like(E)
-    np.add.at(gE, center, d @ W)
-    return loss, len(center), correct, {"embedding.weight": gE, "output.weight": d.T @ h,
-                                        "output.bias": d.sum(axis=0)}
+    np.add.at(acc["embedding.weight"], center, d @ W)
+    acc["output.weight"] += d.T @ h
+    acc["output.bias"] += d.sum(axis=0)
+    return loss, len(center), correct, acc
 
 
 def dropout_mask(seed: int, step: int, ids: np.ndarray, units: int, p: float, layer: int) -> np.ndarray:

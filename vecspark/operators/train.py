@@ -28,6 +28,7 @@ from ..session import ensure_checkpoint_dir
 
 CHUNK = 1 << 18   # doubles per gradient chunk
 DIRECT_SUM_BYTES = 64 << 20   # partial gradients up to this total are summed on the driver
+SLICE_LOGITS = 1 << 22        # rows x V logits held at once inside a task
 
 
 class Adam:
@@ -201,17 +202,16 @@ def fit_cbow(windows: DataFrame, vocab_size: int, dim: int = 50, epochs: int = 1
     params = _embedding_params(seed, vocab_size, dim, dtype)
     ctx_cols = list(ctx_cols)
     table = windows.select(*key_cols, *ctx_cols, target_col)
-    slice_rows = max(1, (1 << 21) // vocab_size)
+    slice_rows = max(1, SLICE_LOGITS // vocab_size)
 
     def kernel(P, pdf, epoch, step):
         ctx = pdf[ctx_cols].to_numpy(np.int64)
         tgt = pdf[target_col].to_numpy(np.int64)
-        tot = [0.0, 0, 0, None]
+        loss, n, correct, acc = 0.0, 0, 0, None
         for i in range(0, len(tgt), slice_rows):
-            l, n, c, g = G.cbow_grad(P, ctx[i:i + slice_rows], tgt[i:i + slice_rows])
-            tot[0] += l; tot[1] += n; tot[2] += c
-            tot[3] = g if tot[3] is None else {k: tot[3][k] + g[k] for k in g}
-        return tot[0], tot[1], tot[2], tot[3]
+            l, m, c, acc = G.cbow_grad(P, ctx[i:i + slice_rows], tgt[i:i + slice_rows], acc)
+            loss, n, correct = loss + l, n + m, correct + c
+        return loss, n, correct, acc
 
     return _loop(table, list(key_cols), kernel, params, epochs, steps_per_epoch, lr, seed)
 
@@ -222,17 +222,16 @@ def fit_skipgram(pairs: DataFrame, vocab_size: int, dim: int = 50, epochs: int =
     """Skip-gram (embedding of centre -> linear -> softmax over context), Adam."""
     params = _embedding_params(seed, vocab_size, dim, dtype)
     table = pairs.select(*key_cols, "center", "context")
-    slice_rows = max(1, (1 << 21) // vocab_size)
+    slice_rows = max(1, SLICE_LOGITS // vocab_size)
 
     def kernel(P, pdf, epoch, step):
         c = pdf["center"].to_numpy(np.int64)
         t = pdf["context"].to_numpy(np.int64)
-        tot = [0.0, 0, 0, None]
+        loss, n, correct, acc = 0.0, 0, 0, None
         for i in range(0, len(t), slice_rows):
-            l, n, k, g = G.skipgram_grad(P, c[i:i + slice_rows], t[i:i + slice_rows])
-            tot[0] += l; tot[1] += n; tot[2] += k
-            tot[3] = g if tot[3] is None else {q: tot[3][q] + g[q] for q in g}
-        return tot[0], tot[1], tot[2], tot[3]
+            l, m, k, acc = G.skipgram_grad(P, c[i:i + slice_rows], t[i:i + slice_rows], acc)
+            loss, n, correct = loss + l, n + m, correct + k
+        return loss, n, correct, acc
 
     return _loop(table, list(key_cols), kernel, params, epochs, steps_per_epoch, lr, seed)
 
