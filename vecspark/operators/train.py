@@ -11,8 +11,9 @@ over the same rows.
 Steps are large batches (``steps_per_epoch`` per epoch, rows assigned by a hash of
 (seed, epoch, key) -- independent of partitioning) rather than thousands of 32-row jobs.
 The training table is checkpointed to the shared folder first (lineage cut) and cached.
-The model must fit in driver memory; the vocabulary cap (``max_vocab``) bounds the
-full-softmax models, like a tokenizer's ``num_words``.
+The model must fit in driver and task memory (each task needs the whole output layer for a
+full softmax). Within a task, row slices share one in-place gradient accumulator, so memory
+is one model-sized buffer plus one slice of logits.
 """
 
 from __future__ import annotations
