@@ -195,3 +195,14 @@ def test_argmax_overall_ties_lowest_flat_index(spark):
     df = spark.createDataFrame([(0, [1.0, 5.0, 2.0]), (1, [5.0, 0.0, 5.0])], "id long, vec array<double>")
     r = TS.argmax_all(df, "id", "vec", 3).first()
     assert (r.idx, r.max) == (1, 5.0)
+
+
+def test_read_labelled_scales_and_prunes(spark):
+    from vecspark.sources.vectors import read_labelled
+    df = read_labelled(spark, "/root/testdata/sf0.001/embeddings.parquet", "vec_id", "embedding", "label", scale=255.0)
+    raw = {r.vec_id: r.embedding for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()}
+    r = df.orderBy("id").first()
+    assert df.columns == ["id", "features", "label"]
+    assert np.allclose(np.array(r.features) * 255.0, np.array(raw[r.id], dtype=np.float64), atol=1e-12)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>,label:int>" in plan
