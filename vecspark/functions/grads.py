@@ -32,34 +32,64 @@ def _embedding_acc(params: dict, acc: dict | None) -> dict:
     return acc
 
 
-def cbow_grad(params: dict, ctx: np.ndarray, target: np.ndarray, acc: dict | None = None):
+def _buffers(ws: dict | None, rows: int, W: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Reusable (rows x V) logits and (V x dim) product buffers: fresh large temporaries per
+    row slice cost more in page faults than the arithmetic itself."""
+    if ws is None:
+        ws = {}
+    key = (rows, W.shape, W.dtype.str)
+    if ws.get("key") != key:
+        ws["key"] = key
+        ws["L"] = np.empty((rows, W.shape[0]), dtype=W.dtype)
+        ws["G"] = np.empty(W.shape, dtype=W.dtype)
+    return ws["L"], ws["G"]
+
+
+def _output_layer(h, W, b, target, acc, ws):
+    """Full-softmax output layer in place: returns (loss, correct, dh) and adds dW, db to ``acc``."""
+    L, Gw = _buffers(ws, len(target), W)
+    np.matmul(h, W.T, out=L)
+    L += b
+    idx = np.arange(len(target))
+    correct = int((np.argmax(L, axis=1) == target).sum())
+    m = L.max(axis=1, keepdims=True)
+    lt = L[idx, target] - m[:, 0]
+    L -= m
+    np.exp(L, out=L)
+    s = L.sum(axis=1, keepdims=True)
+    loss = float((np.log(s[:, 0]).astype(np.float64) - lt).sum())
+    L /= s                                   # softmax probabilities
+    L[idx, target] -= 1.0                    # d(loss)/d(logits)
+    np.matmul(L.T, h, out=Gw)
+    acc["output.weight"] += Gw
+    acc["output.bias"] += L.sum(axis=0)
+    return loss, correct, L @ W
+
+
+def cbow_grad(params: dict, ctx: np.ndarray, target: np.ndarray, acc: dict | None = None,
+              ws: dict | None = None):
     """CBOW: mean of context embeddings (padding row 0 included) -> linear -> softmax.
 
     Gradients are added in place into ``acc`` (created when None), so a task can sweep many
-    row slices with one V x dim accumulator instead of one per slice."""
+    row slices with one V x dim accumulator; ``ws`` holds reusable work buffers."""
     E, W, b = params["embedding.weight"], params["output.weight"], params["output.bias"]
     acc = _embedding_acc(params, acc)
     h = E[ctx].sum(axis=1) / E.dtype.type(ctx.shape[1])
-    logits = h @ W.T + b
-    loss, d, correct = _softmax_xent(logits, target)
-    acc["output.weight"] += d.T @ h
-    acc["output.bias"] += d.sum(axis=0)
-    dh = (d @ W) / E.dtype.type(ctx.shape[1])
+    loss, correct, dh = _output_layer(h, W, b, target, acc, ws)
+    dh /= E.dtype.type(ctx.shape[1])
     for k in range(ctx.shape[1]):
         np.add.at(acc["embedding.weight"], ctx[:, k], dh)
     return loss, len(target), correct, acc
 
 
-def skipgram_grad(params: dict, center: np.ndarray, context: np.ndarray, acc: dict | None = None):
+def skipgram_grad(params: dict, center: np.ndarray, context: np.ndarray, acc: dict | None = None,
+                  ws: dict | None = None):
     """Skip-gram: embedding of the centre word -> linear -> softmax over the context word."""
     E, W, b = params["embedding.weight"], params["output.weight"], params["output.bias"]
     acc = _embedding_acc(params, acc)
     h = E[center]
-    logits = h @ W.T + b
-    loss, d, correct = _softmax_xent(logits, context)
-    np.add.at(acc["embedding.weight"], center, d @ W)
-    acc["output.weight"] += d.T @ h
-    acc["output.bias"] += d.sum(axis=0)
+    loss, correct, dh = _output_layer(h, W, b, context, acc, ws)
+    np.add.at(acc["embedding.weight"], center, dh)
     return loss, len(center), correct, acc
 
 

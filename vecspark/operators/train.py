@@ -208,9 +208,9 @@ def fit_cbow(windows: DataFrame, vocab_size: int, dim: int = 50, epochs: int = 1
     def kernel(P, pdf, epoch, step):
         ctx = pdf[ctx_cols].to_numpy(np.int64)
         tgt = pdf[target_col].to_numpy(np.int64)
-        loss, n, correct, acc = 0.0, 0, 0, None
+        loss, n, correct, acc, ws = 0.0, 0, 0, None, {}
         for i in range(0, len(tgt), slice_rows):
-            l, m, c, acc = G.cbow_grad(P, ctx[i:i + slice_rows], tgt[i:i + slice_rows], acc)
+            l, m, c, acc = G.cbow_grad(P, ctx[i:i + slice_rows], tgt[i:i + slice_rows], acc, ws)
             loss, n, correct = loss + l, n + m, correct + c
         return loss, n, correct, acc
 
@@ -228,9 +228,9 @@ def fit_skipgram(pairs: DataFrame, vocab_size: int, dim: int = 50, epochs: int =
     def kernel(P, pdf, epoch, step):
         c = pdf["center"].to_numpy(np.int64)
         t = pdf["context"].to_numpy(np.int64)
-        loss, n, correct, acc = 0.0, 0, 0, None
+        loss, n, correct, acc, ws = 0.0, 0, 0, None, {}
         for i in range(0, len(t), slice_rows):
-            l, m, k, acc = G.skipgram_grad(P, c[i:i + slice_rows], t[i:i + slice_rows], acc)
+            l, m, k, acc = G.skipgram_grad(P, c[i:i + slice_rows], t[i:i + slice_rows], acc, ws)
             loss, n, correct = loss + l, n + m, correct + k
         return loss, n, correct, acc
 
