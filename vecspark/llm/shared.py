@@ -4,9 +4,11 @@ A document is a sequence of units (bytes, words), a window a fixed number of con
 Documents are dealt into *parts* by id hash. Names of sampled places go from parts to *buckets*,
 ranges of names, as sorted arrays: one record per part and bucket, each name once per part, so
 a passage held by a third of all documents is one entry per part. A bucket sorts its names and
-tells each part which of them other documents have too. With these, a part knows which of its
-windows can be repeats at all; names of those windows travel the same way, with the smallest
-document of the part, and the bucket tells of names that start in an earlier document elsewhere.
+tells each part which of them other documents have too. Windows in a row that share their sample
+are a *chunk*; chunk names travel beside the samples with the part's smallest document, and
+all windows of a chunk that an earlier document has are settled at once. Only windows with a shared
+sample that are still open - first occurrences and the ends of repeats - are named one by one
+and travel the same way; the bucket tells of names that start in an earlier document elsewhere.
 
 Everything is one lineage over one exchange of the texts (Spark reuses it); nothing is collected,
 no pairs are made, and neither parts nor buckets grow with the corpus (their number does).
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import GOLD, MIX1, mix64, shuffle_partitions
 
 #: Order of a document without id: after all others.
 LAST = np.iinfo(np.int64).max
@@ -32,7 +34,7 @@ BLOCK = 1 << 18
 BROADCAST_COPIES = 1_000_000
 MESSAGE = "bucket int, part int, names binary, extra binary"
 _MESSAGE = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("names", pa.binary()), ("extra", pa.binary())])
-REPLY, NOTE = -1, -2
+REPLY, NOTE, CHUNK = -1, -2, -3
 
 
 @dataclass(frozen=True)
@@ -130,13 +132,13 @@ def unpack(b: bytes) -> np.ndarray:
     return np.cumsum(unplain(b), dtype=np.uint64)
 
 
-def send(names: np.ndarray, extra: np.ndarray, part: int, buckets: int) -> pa.Table:
+def send(names: np.ndarray, extra: np.ndarray, part: int, buckets: int, first_bucket: int = 0) -> pa.Table:
     """Sorted names with a number each, as one message per bucket; buckets are ranges of names."""
     place = ((names >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else np.zeros(0, int)
     ends = np.r_[cuts[1:], len(place)] if len(cuts) else cuts
     return pa.Table.from_arrays([
-        pa.array(place[cuts], pa.int32()), pa.array(np.full(len(cuts), part), pa.int32()),
+        pa.array(place[cuts] + first_bucket, pa.int32()), pa.array(np.full(len(cuts), part), pa.int32()),
         pa.array([pack(names[a:z]) for a, z in zip(cuts, ends)], pa.binary()),
         pa.array([plain(extra[a:z]) for a, z in zip(cuts, ends)], pa.binary())], schema=_MESSAGE)
 
@@ -150,7 +152,8 @@ def received(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.concatenate(extra) if extra else np.zeros(0, np.uint64), row)
 
 
-def replies(t: pa.Table, names: np.ndarray, extra: np.ndarray, row: np.ndarray, yes: np.ndarray) -> pa.Table:
+def replies(t: pa.Table, names: np.ndarray, extra: np.ndarray, row: np.ndarray, yes: np.ndarray,
+            kind: int = REPLY) -> pa.Table:
     """To each part, those of its names that ``yes`` marks, sorted."""
     part = np.asarray(t.column("part"))
     out = []
@@ -159,7 +162,7 @@ def replies(t: pa.Table, names: np.ndarray, extra: np.ndarray, row: np.ndarray,
     at, ns, ex = at[order], ns[order], ex[order]
     cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
     for a, z in zip(cuts, np.r_[cuts[1:], len(at)] if len(cuts) else cuts):
-        out.append({"bucket": REPLY, "part": int(part[at[a]]), "names": pack(ns[a:z]), "extra": plain(ex[a:z])})
+        out.append({"bucket": kind, "part": int(part[at[a]]), "names": pack(ns[a:z]), "extra": plain(ex[a:z])})
     return pa.Table.from_pylist(out, schema=_MESSAGE)
 
 
@@ -171,9 +174,9 @@ def _groups(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, first, np.diff(np.r_[first, len(s)])
 
 
-def shared_names(key, t):
-    """Bucket of sampled names, extra 1 if one part alone has the name in several documents: to every
-    part the names that are not of one document alone."""
+def _shared(t: pa.Table) -> pa.Table:
+    """Sampled names, extra 1 if one part alone has the name in several documents: to every part the
+    names that are not of one document alone."""
     names, many, row = received(t)
     order, first, size = _groups(names)
     yes = np.zeros(len(names), bool)
@@ -181,16 +184,27 @@ def shared_names(key, t):
     return replies(t, names, many, row, yes)
 
 
-def earlier_names(key, t):
-    """Bucket of window names, extra the smallest document of the part: to every part the names that a
-    smaller document of another part has, with the smallest of all. Notes go on to their part."""
-    if key[0].as_py() < 0:
-        return t.set_column(0, "bucket", pa.array(np.full(t.num_rows, NOTE), pa.int32()))
+def _earlier(t: pa.Table, kind: int) -> pa.Table:
+    """Names, extra the smallest document of the part: to every part the names that a smaller document
+    of another part has, with the smallest of all."""
     names, least, row = received(t)
     order, first, size = _groups(names)
     low = np.empty_like(least)
     low[order] = np.repeat(np.minimum.reduceat(least[order], first), size)
-    return replies(t, names, low, row, low < least)
+    return replies(t, names, low, row, low < least, kind)
+
+
+def _answer_samples(buckets: int):
+    def run(key, t):
+        return _shared(t) if key[0].as_py() < buckets else _earlier(t, CHUNK)
+    return run
+
+
+def _answer_windows(key, t):
+    """Notes of a part to itself just go on."""
+    if key[0].as_py() < 0:
+        return t.set_column(0, "bucket", pa.array(np.full(t.num_rows, NOTE), pa.int32()))
+    return _earlier(t, REPLY)
 
 
 def copies_of(docs: DataFrame) -> DataFrame:
@@ -211,6 +225,8 @@ def _rows(t: pa.Table) -> tuple[np.ndarray, list[bytes]]:
 def _least(names: list[np.ndarray], docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct names sorted, smallest document, largest document of each)."""
     n, d = np.concatenate(names), np.concatenate(docs)
+    if not len(n):
+        return n, d, d
     order, first, _ = _groups(n)
     return n[order][first], np.minimum.reduceat(d[order], first), np.maximum.reduceat(d[order], first)
 
@@ -223,55 +239,118 @@ def _find(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i, table[i] == x
 
 
-def _sampled(m: Method, b: Block):
-    """(state, window starts, number of each window's sample or -1, places of the samples)."""
-    state = m.state(b.units)
-    at = b.windows(m.window)
-    anchor = m.anchors(state)[at]
-    used = np.zeros(len(b.units), bool)
-    used[anchor[anchor >= 0]] = True
-    number = np.cumsum(used) - 1
-    return state, at, np.where(anchor >= 0, number[anchor], -1), np.flatnonzero(used)
+class Sampled:
+    """A block's windows ``at`` with the number of each one's sample (or -1), the places of the samples,
+    and chunks: windows ``at[first[i]:first[i] + size[i]]`` share a sample, ``named[i]`` if they have one."""
+
+    def __init__(self, m: Method, b: Block):
+        self.m, self.b, self.state, self.at = m, b, m.state(b.units), b.windows(m.window)
+        anchor = m.anchors(self.state)[self.at]
+        used = np.zeros(len(b.units), bool)
+        used[anchor[anchor >= 0]] = True
+        self.number = np.where(anchor >= 0, (np.cumsum(used) - 1)[anchor], -1)
+        self.places = np.flatnonzero(used)
+        self.first = np.flatnonzero(np.r_[True, (np.diff(self.at) != 1) | (np.diff(anchor) != 0)])
+        self.size = np.diff(np.r_[self.first, len(self.at)])
+        self.named = anchor[self.first] >= 0
+
+    def sample_names(self) -> np.ndarray:
+        return self.m.sample_names(self.state, self.places)
+
+    def chunk_names(self) -> np.ndarray:
+        """Of the named chunks. Their windows overlap, so first and last name all of their content."""
+        f, n = self.first[self.named], self.size[self.named]
+        a, z = (self.m.window_names(self.state, self.at[i]) for i in (f, f + n - 1))
+        return mix64(a * GOLD + z + n.astype(np.uint64) * MIX1)
+
+    def owner(self, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        return doc[self.b.row[self.b.piece(at)]]
+
+
+def _runs(k: int, at: np.ndarray, kind: int) -> np.ndarray:
+    """Runs of consecutive windows of block ``k`` as numbers (kind, block, first, length)."""
+    first = np.flatnonzero(np.r_[True, np.diff(at) != 1]) if len(at) else np.zeros(0, int)
+    return np.stack([np.full(len(first), kind), np.full(len(first), k), at[first], np.diff(np.r_[first, len(at)])], axis=1).ravel()
+
+
+def _windows(runs: np.ndarray) -> np.ndarray:
+    first, n = runs[:, 2], runs[:, 3]
+    return np.repeat(first - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
 
 
 def _ask_samples(m: Method, buckets: int):
     def run(key, t):
         doc, texts = _rows(t)
-        names, whose = [], []
+        names, whose, chunks, owner = [], [], [], []
         for b in blocks(m.units(texts), m.window):
-            state, _, _, places = _sampled(m, b)
-            names.append(m.sample_names(state, places))
-            whose.append(doc[b.row[b.piece(places)]])
+            s = Sampled(m, b)
+            names.append(s.sample_names())
+            whose.append(s.owner(s.places, doc))
+            chunks.append(s.chunk_names())
+            owner.append(s.owner(s.at[s.first[s.named]], doc))
         if not names or not sum(map(len, names)):
             return _MESSAGE.empty_table()
+        part = key[0].as_py()
         n, low, high = _least(names, whose)
-        return send(n, (low != high).astype(np.uint64), key[0].as_py(), buckets)
+        c, least, _ = _least(chunks, owner)
+        return pa.concat_tables([send(n, (low != high).astype(np.uint64), part, buckets), send(c, least, part, buckets, buckets)])
     return run
 
 
+def _kind(t: pa.Table, kind: int) -> pa.Table:
+    return t.filter(pa.array(np.asarray(t.column("bucket")) == kind, pa.bool_()))
+
+
+def _told(t: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted names, numbers) of the messages of one kind."""
+    names, extra, _ = received(_kind(t, kind))
+    order = np.argsort(names)
+    return names[order], extra[order]
+
+
 def _ask_windows(m: Method, buckets: int):
-    """Names of all windows that may be repeats, with the part's smallest document each, and a note to
-    the part itself of where these windows are, as runs (block, first, length)."""
+    """Names of all open windows that may be repeats, with the part's smallest document each, and a note
+    to the part itself: runs of settled (1) and of open windows (0)."""
     def run(key, t, answers):
         part = key[0].as_py()
-        shared = np.sort(received(answers)[0])
+        shared, _ = _told(answers, REPLY)
+        chunk, chunk_low = _told(answers, CHUNK)
         doc, texts = _rows(t)
+        cut = list(blocks(m.units(texts), m.window))
+        mine = []  # chunk names of candidates with their documents: what the part knows by itself
+        for b in cut:
+            s = Sampled(m, b)
+            hit = np.r_[_find(shared, s.sample_names())[1], True][s.number] if len(s.at) else np.zeros(0, bool)
+            c = hit[s.first] & s.named
+            mine.append((hit, c, s.chunk_names()[c[s.named]], s.owner(s.at[s.first[c]], doc)))
+        if not mine:
+            return _MESSAGE.empty_table()
+        n, least, _ = _least([x[2] for x in mine], [x[3] for x in mine])
+        i, yes = _find(chunk, n)
+        if len(chunk):
+            least[yes] = np.minimum(least[yes], chunk_low[i[yes]])
         names, whose, notes = [], [], []
-        for k, b in enumerate(blocks(m.units(texts), m.window)):
-            state, at, number, places = _sampled(m, b)
-            hit = np.r_[_find(shared, m.sample_names(state, places))[1], True][number]
-            at = at[hit]
+        for k, (b, (hit, c, cn, d)) in enumerate(zip(cut, mine)):
+            if not hit.any():
+                continue
+            s = Sampled(m, b)
+            settled = np.zeros(len(s.first), bool)
+            settled[c] = least[_find(n, cn)[0]] < d if len(cn) else False
+            done = np.repeat(settled, s.size)
+            notes.append(_runs(k, s.at[done], 1))
+            at = s.at[hit & ~done]
             if len(at):
-                names.append(m.window_names(state, at))
-                whose.append(doc[b.row[b.piece(at)]])
-                first = np.flatnonzero(np.r_[True, np.diff(at) != 1])
-                notes.append(np.stack([np.full(len(first), k), at[first], np.diff(np.r_[first, len(at)])], axis=1).ravel())
-        if not names:
+                notes.append(_runs(k, at, 0))
+                names.append(m.window_names(s.state, at))
+                whose.append(s.owner(at, doc))
+        if not notes:
             return _MESSAGE.empty_table()
-        n, low, _ = _least(names, whose)
         note = pa.Table.from_pylist([{"bucket": -1 - part, "part": part, "names": plain(np.concatenate(notes).astype(np.uint64)),
-                                      "extra": b""}], schema=_MESSAGE)
-        return pa.concat_tables([send(n, low, part, buckets), note])
+                                      "extra": plain(np.zeros(0, np.uint64))}], schema=_MESSAGE)
+        if not names:
+            return note
+        w, low, _ = _least(names, whose)
+        return pa.concat_tables([send(w, low, part, buckets), note])
     return run
 
 
@@ -280,34 +359,36 @@ def _remove(m: Method):
         doc, texts = _rows(t)
         units = m.units(texts)
         covered: dict[int, np.ndarray] = {}
-        kind = np.asarray(answers.column("bucket"))
-        note = answers.filter(pa.array(kind == NOTE))
+
+        def cover(b: Block, at: np.ndarray):
+            j = b.piece(at)
+            cuts = np.flatnonzero(np.r_[True, j[1:] != j[:-1]]) if len(j) else []
+            for a, z in zip(cuts, [*cuts[1:], len(j)]):
+                p = j[a]
+                r = int(b.row[p])
+                if r not in covered:
+                    covered[r] = np.zeros(len(units[r]) + 1, np.int32)
+                w = at[a:z] - b.start[p] + b.offset[p]
+                covered[r][w] += 1
+                covered[r][w + m.window] -= 1
+
+        note = _kind(answers, NOTE)
         if note.num_rows:
-            told, low, _ = received(answers.filter(pa.array(kind == REPLY)))
-            order = np.argsort(told)
-            told, low = told[order], low[order]
-            runs = unplain(note.column("names")[0].as_py()).astype(np.int64).reshape(-1, 3)
-            found = []  # (block, windows, names, documents)
+            told, low = _told(answers, REPLY)
+            runs = unplain(note.column("names")[0].as_py()).astype(np.int64).reshape(-1, 4)
+            found = []  # (block, windows, names, documents) of open windows
             for k, b in enumerate(blocks(units, m.window)):
-                r = runs[runs[:, 0] == k]
-                if len(r):
-                    at = np.repeat(r[:, 1] - np.r_[0, np.cumsum(r[:, 2])[:-1]], r[:, 2]) + np.arange(r[:, 2].sum())
+                here = runs[runs[:, 1] == k]
+                cover(b, _windows(here[here[:, 0] == 1]))
+                at = _windows(here[here[:, 0] == 0])
+                if len(at):
                     found.append((b, at, m.window_names(m.state(b.units), at), doc[b.row[b.piece(at)]]))
-            n, own, _ = _least([f[2] for f in found], [f[3] for f in found])
-            i, yes = _find(told, n)
-            own[yes] = low[i[yes]]
-            for b, at, name, d in found:
-                at = at[own[_find(n, name)[0]] < d]
-                j = b.piece(at)
-                cuts = np.flatnonzero(np.r_[True, j[1:] != j[:-1]]) if len(j) else []
-                for a, z in zip(cuts, [*cuts[1:], len(j)]):
-                    p = j[a]
-                    r = int(b.row[p])
-                    if r not in covered:
-                        covered[r] = np.zeros(len(units[r]) + 1, np.int32)
-                    w = at[a:z] - b.start[p] + b.offset[p]
-                    covered[r][w] += 1
-                    covered[r][w + m.window] -= 1
+            if found:
+                n, own, _ = _least([f[2] for f in found], [f[3] for f in found])
+                i, yes = _find(told, n)
+                own[yes] = low[i[yes]]
+                for b, at, name, d in found:
+                    cover(b, at[own[_find(n, name)[0]] < d])
         out = [m.finish(x, u, np.cumsum(covered[r][:-1]) > 0 if r in covered else None)
                for r, (x, u) in enumerate(zip(texts, units))]
         ids = (doc ^ np.uint64(1 << 63)).view(np.int64)
@@ -331,7 +412,7 @@ def remove_repeats(docs: DataFrame, method: Method, id_col: str, text_col: str)
     """One row per row of ``docs``: ``id_col`` and the method's columns."""
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
-    parts, buckets = 4 * n, 2 * n
+    parts, buckets = 2 * n, n
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST))).alias("doc"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.select("doc", "text", F.xxhash64("text").alias("h1"))
@@ -345,9 +426,9 @@ def remove_repeats(docs: DataFrame, method: Method, id_col: str, text_col: str)
 
     dealt = firsts.groupBy("part")
     samples = dealt.applyInArrow(_ask_samples(method, buckets), MESSAGE)
-    shared = samples.groupBy("bucket").applyInArrow(shared_names, MESSAGE)
+    shared = samples.groupBy("bucket").applyInArrow(_answer_samples(buckets), MESSAGE)
     windows = dealt.cogroup(shared.groupBy("part")).applyInArrow(_ask_windows(method, buckets), MESSAGE)
-    earlier = windows.groupBy("bucket").applyInArrow(earlier_names, MESSAGE)
+    earlier = windows.groupBy("bucket").applyInArrow(_answer_windows, MESSAGE)
     ddl = "doc long, " + ", ".join(f"{c[0]} {c[1]}" for c in method.columns)
     out = dealt.cogroup(earlier.groupBy("part")).applyInArrow(_remove(method), ddl)
     out = out.unionByName(again.mapInArrow(_whole(method), ddl))
