@@ -130,3 +130,9 @@ def decontamination(spark, sf_dir):
 def suffixes_query(spark, sf_dir):
     from . import suffixes
     return suffixes.dedup(table(spark, sf_dir, "documents", "doc_id", "text")).drop("kept")
+
+
+@query("op9_setsketch")
+def setsketch(spark, sf_dir):
+    from . import setsketch
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4)
