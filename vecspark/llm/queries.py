@@ -136,3 +136,9 @@ def suffixes_query(spark, sf_dir):
 def setsketch(spark, sf_dir):
     from . import setsketch
     return setsketch.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4)
+
+
+@query("op2_itq")
+def itq_query(spark, sf_dir):
+    from . import itq
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
