@@ -142,3 +142,16 @@ def setsketch(spark, sf_dir):
 def itq_query(spark, sf_dir):
     from . import itq
     return itq.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@query("op6_pii")
+def pii_query(spark, sf_dir):
+    from . import pii
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii.find(docs, pii.train(docs), keep=("doc_id",))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
