@@ -149,7 +149,9 @@ LABELERS = 7
 
 def estimate(counts: dict[tuple, int], rounds: int = 100) -> tuple[dict[tuple, float], np.ndarray, float]:
     """Expectation-maximisation for labelers independent given the truth: (probability of each vote
-    pattern being personal, chance of each vote by labeler and truth, share of personal)."""
+    pattern being personal, chance of each vote by labeler and truth, share of personal). Spans of the
+    strict pattern are known to be personal, whatever the others say of them; as no candidate has
+    that vote, it tells nothing about candidates itself."""
     pats = sorted(counts)
     v = np.array(pats, dtype=int).reshape(len(pats), LABELERS) + 1
     n = np.array([counts[p] for p in pats], dtype=float)
@@ -157,8 +159,8 @@ def estimate(counts: dict[tuple, int], rounds: int = 100) -> tuple[dict[tuple, f
     chance = np.tile(np.array([[0.3, 0.5, 0.2], [0.1, 0.4, 0.5]]), (LABELERS, 1, 1))
     share, post = 0.5, np.zeros(len(pats))
     for _ in range(rounds):
-        like = np.stack([np.log(chance[np.arange(LABELERS), t, v]).sum(axis=1) for t in (0, 1)]) + np.log([[1 - share], [share]])
-        post = 1 / (1 + np.exp(np.clip(like[0] - like[1], -500, 500)))
+        like = np.stack([np.log(chance[np.arange(1, LABELERS), t, v[:, 1:]]).sum(axis=1) for t in (0, 1)]) + np.log([[1 - share], [share]])
+        post = np.where(v[:, 0] == 2, 1.0, 1 / (1 + np.exp(np.clip(like[0] - like[1], -500, 500))))
         for t, w in ((0, n * (1 - post)), (1, n * post)):
             for x in range(3):
                 chance[:, t, x] = ((v == x) * w[:, None]).sum(axis=0) + 1.0

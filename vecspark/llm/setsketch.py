@@ -14,13 +14,14 @@ compared. So no link between components that share a band stays unseen, however
 likelihood of its registers, given both set sizes, and dropped if the estimate lies five standard
 errors below the threshold; then by the intersection of the full sets.
 
-At similarity 0.8 a pair shares no band with probability (1 - 0.8^4)^32 < 1e-7.
+At similarity 0.8 a pair shares no band with probability (1 - 0.8^6)^36 < 2e-5, at 0.85 < 1e-7; at 0.3 it
+shares one with probability 0.03.
 
 Defined results: a document without words (or null text) has an empty set, is linked with nothing and is
 its own component. Documents with fewer words than a shingle have one shingle, the whole
-sequence. Rows with equal id and equal sets are one class; equal rows give equal rows. Documents
-without id can link others but come last as component names. Extra columns are ignored. Very
-long texts take their set of 8-byte names in memory, one document at a time.
+sequence. Rows with one id are one document, which any of their sets may link; equal rows give equal
+rows. Rows without id link with nothing, have no component and are not kept. Extra columns are
+ignored. Very long texts take their set of 8-byte names in memory, one document at a time.
 """
 
 from __future__ import annotations
@@ -37,14 +38,15 @@ from vecspark.session import ensure_checkpoint_dir
 
 from .common import GOLD, mix64, small_batches
 from .components import components
-from .shared import LAST
 from .words import sequence_names, word_names
 
-M, ROWS = 128, 4
+M, ROWS = 216, 6
 B, A, Q = 1.001, 20.0, (1 << 16) - 2
 #: Odd multipliers, one per register.
 FACTORS = mix64(np.arange(1, M + 1, dtype=np.uint64) * GOLD) | np.uint64(1)
 HUBS = 4
+#: Ids broadcast to find the candidates' texts, at most; beyond that the texts are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Pairs left are all compared once there are at most so many per band row.
 REST = 4
 
@@ -104,13 +106,13 @@ def _sketch(shingle, lower):
                 b.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_fingerprint(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary())],
-                names=["doc", "n", "node", "regs"])
+                names=["doc", "n", "print", "regs"])
     return run
 
 
 def _bands(batches):
     for b in batches:
-        node = b.column(0).to_pylist()
+        node = b.column(0)
         regs = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, M).astype(np.uint64)
         if not len(regs):
             continue
@@ -118,7 +120,7 @@ def _bands(batches):
         h = np.broadcast_to(np.arange(1, M // ROWS + 1, dtype=np.uint64) * GOLD, k.shape[:2]).copy()
         for i in range(ROWS):
             h = mix64(h + k[:, :, i])
-        yield pa.RecordBatch.from_arrays([pa.array([x for x in node for _ in range(M // ROWS)], pa.binary()),
+        yield pa.RecordBatch.from_arrays([node.take(pa.array(np.repeat(np.arange(len(regs)), M // ROWS))),
                                           pa.array(h.ravel().view(np.int64))], names=["node", "band"])
 
 
@@ -128,10 +130,10 @@ def _likely(threshold: float):
     def run(batches):
         for b in batches:
             if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, M) for i in (2, 4))
-                est = likely_jaccard(x, y, *(b.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (3, 5)))
+                x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, M) for i in (4, 6))
+                est = likely_jaccard(x, y, *(b.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (5, 7)))
                 b = b.filter(pa.array(est >= floor))
-            yield b.select([0, 1])
+            yield b.select([0, 1, 2, 3])
     return run
 
 
@@ -153,33 +155,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``100 * intersection >= percent * union``) and kept (id = component_id)."""
     spark = docs.sparkSession
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sketches-{uuid.uuid4().hex}"
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST))).alias("doc"),
-                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    rows.mapInArrow(_sketch(shingle, lower), "doc long, n long, node binary, regs binary").write.parquet(base)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rows.mapInArrow(_sketch(shingle, lower), "doc long, n long, print binary, regs binary").write.parquet(base)
     sketches = spark.read.parquet(base)
-    classes = sketches.where("node is not null").groupBy("node").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("regs").alias("regs"))
-    bands = classes.select("node", "regs").mapInArrow(_bands, "node binary, band long")
+    # a class is known by the smallest id that has its set
+    able = sketches.where("print is not null and doc is not null")
+    classes = able.groupBy("print").agg(F.min("doc").alias("node"))
+    first = able.withColumnRenamed("doc", "node").join(classes, ["node", "print"]).dropDuplicates(["node", "print"])
+    bands = first.select("node", "regs").mapInArrow(_bands, "node long, band long").distinct()
     crowded = bands.groupBy("band").agg(F.count("*").alias("k")).where("k > 1").select("band")
     bands = bands.join(crowded, "band").checkpoint()
     total = bands.count()
-    near = classes.join(bands.select("node").distinct(), "node").checkpoint()
-    # full sets of the classes that have a candidate at all, from one document each
-    one = rows.join(near.select("doc", "node"), "doc")
+    near = first.join(bands.select("node").distinct(), "node").select("node", "print", "n", "regs").checkpoint()
+    # full sets of the classes that have a candidate at all
+    wanted = near.select(F.col("node").alias("doc")).distinct()
+    one = rows.join(F.broadcast(wanted) if near.count() <= BROADCAST_IDS else wanted, "doc")
 
     def full(batches):
         for b, sets in _sets(batches, shingle, lower):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_fingerprint(s) if len(s) else None for s in sets], pa.binary()),
-                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "own", "set"])
-    sets = one.select("node", "text").mapInArrow(full, "node binary, own binary, set binary")
-    # rows of one id may have other sets than the class
-    sets = sets.where("node = own").select("node", "set").dropDuplicates(["node"]).checkpoint()
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "print", "set"])
+    sets = one.select("doc", "text").mapInArrow(full, "node long, print binary, set binary")
+    sets = sets.join(near.select("node", "print"), ["node", "print"]).dropDuplicates(["node", "print"]).checkpoint()
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        x = near.select(F.col("node").alias("a"), F.col("regs").alias("ra"), F.col("n").alias("na"))
-        y = near.select(F.col("node").alias("b"), F.col("regs").alias("rb"), F.col("n").alias("nb"))
-        likely = pairs.join(x, "a").join(y, "b").select("a", "b", "ra", "na", "rb", "nb").mapInArrow(_likely(percent / 100), "a binary, b binary")
-        x, y = sets.toDF("a", "sa"), sets.toDF("b", "sb")
-        return likely.join(x, "a").join(y, "b").select("a", "b", "sa", "sb").mapInArrow(_verify(percent), "a binary, b binary")
+        x, y = (near.select(*[F.col(c).alias(c + e) for c in ("node", "print", "regs", "n")]) for e in "ab")
+        likely = pairs.join(x, pairs.a == x.nodea).join(y, pairs.b == y.nodeb)
+        likely = likely.select("a", "b", "printa", "printb", "regsa", "na", "regsb", "nb").mapInArrow(
+            _likely(percent / 100), "a long, b long, printa binary, printb binary")
+        x, y = (sets.select(F.col("node").alias(e), F.col("print").alias("print" + e), F.col("set").alias("set" + e)) for e in "ab")
+        likely = likely.join(x, ["a", "printa"]).join(y, ["b", "printb"]).select("a", "b", "seta", "setb")
+        return likely.mapInArrow(_verify(percent), "a long, b long").distinct()
 
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     links, root, rounds, before = None, None, 0, None
@@ -209,14 +215,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rounds += 1
         left = bands.join(root, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
 
-    ids = classes.select("node", "doc")
+    ids = classes.withColumn("component", F.col("node"))
     if root is not None:
-        ids = ids.join(root, "node", "left").select("node", "doc", F.coalesce("root", "node").alias("root"))
-        least = ids.groupBy("root").agg(F.min("doc").alias("component"))
-        ids = ids.join(least, "root").select("node", "component")
-    else:
-        ids = ids.select("node", F.col("doc").alias("component"))
-    out = sketches.select("doc", "n", "node").join(ids, "node", "left").withColumn("component", F.coalesce("component", "doc"))
-    back = lambda c: F.when(F.col(c) != int(LAST), F.col(c))
-    return out.select(back("doc").alias(id_col), F.col("n").alias("n_shingles"), back("component").alias("component_id"),
-                      (F.col("doc") == F.col("component")).alias("kept"))
+        ids = classes.join(root, "node", "left").select("print", F.coalesce("root", "node").alias("component"))
+    out = sketches.select("doc", "n", "print").join(ids.select("print", "component"), "print", "left")
+    own = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
+    return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"),
+                      F.coalesce(F.col("doc") == own, F.lit(False)).alias("kept"))
