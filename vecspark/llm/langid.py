@@ -59,9 +59,9 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", docs_per_lang
     """
     t = rows.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("l is not null and length(t) > 0")
     t = t.withColumn("h", F.xxhash64("t")).select("l", "h", F.substring("t", 1, chars_per_doc).alias("t"))
-    # copies have equal hashes, hence equal ranks: dense ranks keep distinct texts apart from copies
+    # some more than wanted, as copies go; up to 1000 ranks Spark limits every task's rows before the shuffle
     w = Window.partitionBy("l").orderBy("h", "t")
-    top = t.withColumn("k", F.row_number().over(w)).where(F.col("k") <= 4 * docs_per_lang)
+    top = t.withColumn("k", F.row_number().over(w)).where(F.col("k") <= 3 * docs_per_lang)
     top = top.groupBy("l", "h").agg(F.min("t").alias("t"))
     top = top.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h"))).where(F.col("k") <= docs_per_lang)
     sample: dict[str, list[tuple[int, bytes]]] = {}

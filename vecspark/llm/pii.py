@@ -147,25 +147,31 @@ def votes(text: str, span: Span, base: bool) -> tuple[int, ...]:
 LABELERS = 7
 
 
+#: Labelers are taken to be right in this share of their votes, with the weight of this share of them.
+RIGHT, TRUST = 0.8, 0.5
+
+
 def estimate(counts: dict[tuple, int], rounds: int = 100) -> tuple[dict[tuple, float], np.ndarray, float]:
     """Expectation-maximisation for labelers independent given the truth: (probability of each vote
-    pattern being personal, chance of each vote by labeler and truth, share of personal). Spans of the
-    strict pattern are known to be personal, whatever the others say of them; as no candidate has
-    that vote, it tells nothing about candidates itself."""
+    pattern being personal, chance of a vote for "personal" by labeler and truth when it votes, share of
+    personal). No opinion tells nothing. A prior (RIGHT, TRUST) keeps labelers that only ever vote one
+    way informative. Spans of the strict pattern are known to be personal."""
     pats = sorted(counts)
-    v = np.array(pats, dtype=int).reshape(len(pats), LABELERS) + 1
+    v = np.array(pats, dtype=int).reshape(len(pats), LABELERS)
     n = np.array([counts[p] for p in pats], dtype=float)
-    # start: labelers are somewhat right
-    chance = np.tile(np.array([[0.3, 0.5, 0.2], [0.1, 0.4, 0.5]]), (LABELERS, 1, 1))
-    share, post = 0.5, np.zeros(len(pats))
+    voted, known = v != 0, v[:, 0] == 1
+    trust = TRUST * (n[:, None] * voted).sum(axis=0) + 1.0
+    chance = np.tile(np.array([1 - RIGHT, RIGHT]), (LABELERS, 1))  # of a 1, by truth
+    share, post = 0.5, known.astype(float)
     for _ in range(rounds):
-        like = np.stack([np.log(chance[np.arange(1, LABELERS), t, v[:, 1:]]).sum(axis=1) for t in (0, 1)]) + np.log([[1 - share], [share]])
-        post = np.where(v[:, 0] == 2, 1.0, 1 / (1 + np.exp(np.clip(like[0] - like[1], -500, 500))))
+        odds = np.where(v == 1, np.log(chance[:, 1] / chance[:, 0]), np.log((1 - chance[:, 1]) / (1 - chance[:, 0])))
+        logit = (odds * voted)[:, 1:].sum(axis=1) + np.log(share / (1 - share))
+        post = np.where(known, 1.0, 1 / (1 + np.exp(-np.clip(logit, -500, 500))))
         for t, w in ((0, n * (1 - post)), (1, n * post)):
-            for x in range(3):
-                chance[:, t, x] = ((v == x) * w[:, None]).sum(axis=0) + 1.0
-            chance[:, t] /= chance[:, t].sum(axis=1, keepdims=True)
-        share = float(np.clip((n * post).sum() / max(n.sum(), 1), 0.01, 0.99))
+            prior = RIGHT if t else 1 - RIGHT
+            chance[:, t] = (((v == 1) * w[:, None]).sum(axis=0) + trust * prior) / ((voted * w[:, None]).sum(axis=0) + trust)
+        open_ = n * ~known
+        share = float(np.clip((open_ * post).sum() / max(open_.sum(), 1), 0.05, 0.95)) if open_.sum() else 0.5
     return dict(zip(pats, post.tolist())), chance, share
 
 
@@ -186,7 +192,7 @@ def features(text: str, span: Span) -> list[int]:
 @dataclass(frozen=True)
 class Model:
     """``weights`` of the span classifier (last one constant); ``reliability``: estimated chance of each
-    labeler's votes -1, 0, 1 if a span is not / is personal."""
+    labeler's vote for a span that is not / is personal."""
     weights: np.ndarray = field(default_factory=lambda: np.r_[np.zeros(FEATURES), -10.0])
     reliability: np.ndarray | None = None
     share: float = 0.0

@@ -6,9 +6,9 @@ smallest exponential variate that hash i gives to the document's shingles:
 merge, and two registers agree with about the probability of the Jaccard similarity. Bands of
 ROWS registers are looked up; documents that share a band value are candidates.
 
-Documents with equal shingle sets are one class. Within a band value every class is compared with a
-few *hubs* (the classes of smallest hash), not with all others; what that links is one
-component. Later rounds compare only classes of different components, with new hubs, as long as
+Documents with equal shingle sets are one class. In a round every band value has one *hub*, the class of
+smallest hash, and a class is compared with the few smallest hubs of its bands, not with all
+others; what that links is one component. Later rounds compare only classes of different components, with new hubs, as long as
 that halves the pairs left; then, or once these are few against the table, all of them are
 compared. So no link between components that share a band stays unseen, however large the group. A pair is compared first by the joint
 likelihood of its registers, given both set sizes, and dropped if the estimate lies five standard
@@ -32,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from vecspark.session import ensure_checkpoint_dir
 
@@ -44,11 +43,11 @@ M, ROWS = 216, 6
 B, A, Q = 1.001, 20.0, (1 << 16) - 2
 #: Odd multipliers, one per register.
 FACTORS = mix64(np.arange(1, M + 1, dtype=np.uint64) * GOLD) | np.uint64(1)
-HUBS = 4
+HUBS = 3
 #: Ids broadcast to find the candidates' texts, at most; beyond that the texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Pairs left are all compared once there are at most so many per band row.
-REST = 4
+REST = 0.5
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -202,11 +201,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         before = pairs_left
         if last:
             other = left.select("band", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+            pairs = left.join(other, "band").where("root != hub_root").select(*ordered("node", "hub")).distinct()
         else:
-            order = Window.partitionBy("band").orderBy(F.xxhash64(F.lit(rounds), "node"), "node")
-            other = left.withColumn("k", F.row_number().over(order)).where(F.col("k") <= HUBS).select(
-                "band", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        pairs = left.join(other, "band").where("root != hub_root").select(*ordered("node", "hub")).distinct()
+            order = F.xxhash64(F.lit(rounds), "node")
+            best = left.groupBy("band").agg(F.min(F.struct(order.alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root"))).alias("b"))
+            # of the hubs of all its bands a class meets the few of smallest hash, so groups meet at the same ones
+            met = left.join(best, "band").where("root != b.hub_root").groupBy("node").agg(
+                F.slice(F.array_sort(F.collect_set(F.struct("b.h", "b.hub"))), 1, HUBS).alias("hubs"))
+            pairs = met.select("node", F.explode("hubs.hub").alias("hub")).select(*ordered("node", "hub")).distinct()
         found = confirm(pairs).checkpoint()
         links = found if links is None else links.unionByName(found)
         root = components(links, "a", "b").checkpoint()
