@@ -6,9 +6,9 @@ smallest exponential variate that hash i gives to the document's shingles:
 merge, and two registers agree with about the probability of the Jaccard similarity. Bands of
 ROWS registers are looked up; documents that share a band value are candidates.
 
-Documents with equal shingle sets are one class. In a round every band value has one *hub*, the class of
-smallest hash, and a class is compared with the few smallest hubs of its bands, not with all
-others; what that links is one component. Later rounds compare only classes of different components, with new hubs, as long as
+Documents with equal shingle sets are one class. In a round every band value has one *hub*, the class with
+most company in its bands (every other round: of smallest hash), and a class is compared with the
+few foremost hubs of its bands, not with all others; what that links is one component. Later rounds compare only classes of different components, with new hubs, as long as
 that halves the pairs left; then, or once these are few against the table, all of them are
 compared. So no link between components that share a band stays unseen, however large the group. A pair is compared first by the joint
 likelihood of its registers, given both set sizes, and dropped if the estimate lies five standard
@@ -110,17 +110,18 @@ def _sketch(shingle, lower):
 
 
 def _bands(batches):
+    """The columns before the registers, repeated for each band value."""
     for b in batches:
-        node = b.column(0)
-        regs = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, M).astype(np.uint64)
-        if not len(regs):
+        if not b.num_rows:
             continue
+        regs = np.frombuffer(b"".join(b.column(b.num_columns - 1).to_pylist()), np.uint16).reshape(-1, M).astype(np.uint64)
         k = regs.reshape(len(regs), M // ROWS, ROWS)
         h = np.broadcast_to(np.arange(1, M // ROWS + 1, dtype=np.uint64) * GOLD, k.shape[:2]).copy()
         for i in range(ROWS):
             h = mix64(h + k[:, :, i])
-        yield pa.RecordBatch.from_arrays([node.take(pa.array(np.repeat(np.arange(len(regs)), M // ROWS))),
-                                          pa.array(h.ravel().view(np.int64))], names=["node", "band"])
+        each = pa.array(np.repeat(np.arange(len(regs)), M // ROWS))
+        yield pa.RecordBatch.from_arrays([*[b.column(i).take(each) for i in range(b.num_columns - 1)], pa.array(h.ravel().view(np.int64))],
+                                         names=[*b.schema.names[:-1], "band"])
 
 
 def _likely(threshold: float):
@@ -162,10 +163,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = able.groupBy("print").agg(F.min("doc").alias("node"))
     first = able.withColumnRenamed("doc", "node").join(classes, ["node", "print"]).dropDuplicates(["node", "print"])
     bands = first.select("node", "regs").mapInArrow(_bands, "node long, band long").distinct()
-    crowded = bands.groupBy("band").agg(F.count("*").alias("k")).where("k > 1").select("band")
-    bands = bands.join(crowded, "band").checkpoint()
-    total = bands.count()
-    near = first.join(bands.select("node").distinct(), "node").select("node", "print", "n", "regs").checkpoint()
+    crowded = bands.groupBy("band").agg(F.count("*").alias("k")).where("k > 1")
+    # how many share its bands: the text the others were made from has most
+    weight = bands.join(crowded, "band").groupBy("node").agg(F.sum("k").alias("weight"))
+    near = first.join(weight, "node").select("node", "print", "n", "weight", "regs").checkpoint()
+    total = (M // ROWS) * near.count()
     # full sets of the classes that have a candidate at all
     wanted = near.select(F.col("node").alias("doc")).distinct()
     one = rows.join(F.broadcast(wanted) if near.count() <= BROADCAST_IDS else wanted, "doc")
@@ -188,8 +190,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     links, root, rounds, before = None, None, 0, None
-    left = bands.withColumn("root", F.col("node"))
+    root_of = near.withColumn("root", F.col("node"))
     while True:
+        left = root_of.select("node", "root", "weight", "regs").mapInArrow(_bands, "node long, root long, weight long, band long")
         # classes still apart from others of their band, and how many pairs that leaves
         sizes = left.groupBy("band", "root").agg(F.count("*").alias("s"))
         mixed = sizes.groupBy("band").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("q"), F.count("*").alias("c")).where("c > 1")
@@ -203,7 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             other = left.select("band", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
             pairs = left.join(other, "band").where("root != hub_root").select(*ordered("node", "hub")).distinct()
         else:
-            order = F.xxhash64(F.lit(rounds), "node")
+            order = F.struct((-F.col("weight") if rounds % 2 == 0 else F.lit(0)).alias("w"), F.xxhash64(F.lit(rounds), "node").alias("h"))
             best = left.groupBy("band").agg(F.min(F.struct(order.alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root"))).alias("b"))
             # of the hubs of all its bands a class meets the few of smallest hash, so groups meet at the same ones
             met = left.join(best, "band").where("root != b.hub_root").groupBy("node").agg(
@@ -215,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if last:
             break
         rounds += 1
-        left = bands.join(root, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+        root_of = near.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     ids = classes.withColumn("component", F.col("node"))
     if root is not None:
