@@ -26,17 +26,16 @@ def to_matrix(col) -> tuple[np.ndarray, np.ndarray]:
     flat = col.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     if (~valid).any():
         M = np.zeros((n, d))
-        idx = np.nonzero(valid)[0]
-        for i in idx:                       # rare: rows with null vectors
-            M[i] = flat[offs[i]:offs[i] + d]
+        M[valid] = flat[offs[:-1][valid][:, None] + np.arange(d)]
         return M, valid
     start = offs[0]
     return flat[start:start + n * d].reshape(n, d), valid
 
 
-def from_matrix(M: np.ndarray) -> pa.Array:
-    """matrix n x d -> list<double> column."""
+def from_matrix(M: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
+    """matrix n x d -> list<double> column; rows that are not ``valid`` become null."""
     M = np.ascontiguousarray(M, dtype=np.float64)
     n, d = M.shape
     offs = pa.array(np.arange(0, (n + 1) * d, d, dtype=np.int32))
-    return pa.ListArray.from_arrays(offs, pa.array(M.ravel()))
+    mask = None if valid is None or valid.all() else pa.array(~valid)
+    return pa.ListArray.from_arrays(offs, pa.array(M.ravel()), mask=mask)

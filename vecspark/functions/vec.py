@@ -41,11 +41,6 @@ def cosine(a, b) -> Column:
     return F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(dot(a, b) / (na * nb))
 
 
-def euclidean(a, b) -> Column:
-    d = F.zip_with(to_double(a), to_double(b), lambda x, y: x - y)
-    return F.sqrt(F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x * x))
-
-
 def combine(cols: list, weights: list[float]) -> Column:
     """Weighted sum of vectors, e.g. ``b - a + c`` = ``combine([b, a, c], [1, -1, 1])``."""
     def axpy(w: float):
@@ -62,14 +57,6 @@ def argmax(v) -> Column:
     return (F.array_position(_col(v), F.array_max(_col(v))) - 1).cast("int")
 
 
-def scale(v, k: float) -> Column:
-    return F.transform(_col(v), lambda x: x * F.lit(k))
-
-
-def add_scalar(v, k: float) -> Column:
-    return F.transform(_col(v), lambda x: x + F.lit(k))
-
-
 def relu(v) -> Column:
     return F.transform(_col(v), lambda x: F.greatest(x, F.lit(0.0)))
 

@@ -6,7 +6,7 @@ O38 cosine, O39 nearest, O40 rank_by_distance / rank_of.
 Look-ups broadcast the (small) set of requested keys and stream the big table through
 an inner join, then left-join back, so unknown words stay visible as nulls and the
 vocabulary / vector tables are never shuffled. One-against-all scans run as
-``mapInPandas`` over the vector table with the bounded query set broadcast; each Arrow
+``mapInArrow`` over the vector table with the bounded query set broadcast; each Arrow
 batch emits only its best ``k`` rows per query (ties kept), and a final ranking over
 those partial results gives the exact answer.
 """
@@ -109,7 +109,8 @@ def _collect_queries(queries: DataFrame, exclude_col: str | None, target_col: st
 def _scores(X: np.ndarray, xn: np.ndarray, p: dict, j: int, metric: str) -> np.ndarray:
     q = p["Q"][j]
     if metric == "cosine":
-        s = X @ q
+        # row by row: a matrix product's last bits depend on the row's place, which breaks ties
+        s = np.einsum("ij,j->i", X, q)
         den = xn * p["qn"][j]
         return np.where(den == 0, 0.0, s / np.where(den == 0, 1.0, den))
     d = X - q

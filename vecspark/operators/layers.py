@@ -58,22 +58,14 @@ def collect_params(params: DataFrame) -> dict[str, np.ndarray]:
     return out
 
 
-def params_table(spark: SparkSession, params: dict[str, np.ndarray]) -> DataFrame:
-    """Dict of arrays -> ``<name, row, vec>`` (inverse of :func:`collect_params`)."""
-    rows = []
-    for name, a in params.items():
-        M = np.atleast_2d(a) if a.ndim <= 2 else a.reshape(a.shape[0], -1)
-        rows += [(name, i, [float(x) for x in M[i]]) for i in range(M.shape[0])]
-    return spark.createDataFrame(rows, "name string, row int, vec array<double>")
-
-
 # ------------------------------------------------------------------ packed (bulk) path
 
 def apply_network(df: DataFrame, vec_col: str, layers: list[tuple], params: dict[str, np.ndarray],
                   keep: list[str], out: str = "scores", with_pred: bool = True) -> DataFrame:
     """Run a network over every row: ``keep`` columns + ``out`` (array<double>) [+ ``pred``].
 
-    Parameters are broadcast once; each Arrow batch is one NumPy forward pass.
+    Parameters are broadcast once; each Arrow batch is one NumPy forward pass. A null vector gets null
+    scores and a null class, which metrics count as not correct.
     """
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast((layers, params))
@@ -85,13 +77,17 @@ def apply_network(df: DataFrame, vec_col: str, layers: list[tuple], params: dict
         for b in batches:
             if b.num_rows == 0:
                 continue
-            X, _ = to_matrix(b.column(vec_col))
-            S = nn.forward(X, lay, prm)
-            S = S.reshape(S.shape[0], -1)
-            cols = [b.column(c) for c in keep] + [from_matrix(S)]
+            X, valid = to_matrix(b.column(vec_col))
+            S = None
+            if valid.any():
+                S = nn.forward(X, lay, prm)
+                S = S.reshape(S.shape[0], -1)
+            cols = [b.column(c) for c in keep]
+            cols.append(pa.nulls(b.num_rows, pa.list_(pa.float64())) if S is None else from_matrix(S, valid))
             names = list(keep) + [out]
             if with_pred:
-                cols.append(pa.array(nn.argmax_rows(S).astype(np.int32)))
+                cols.append(pa.nulls(b.num_rows, pa.int32()) if S is None
+                            else pa.array(nn.argmax_rows(S).astype(np.int32), mask=~valid))
                 names.append("pred")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
@@ -112,17 +108,6 @@ def relu(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 # ------------------------------------------------------------------ relational path
 
-def linear_long(x_long: DataFrame, w_long: DataFrame, bias: DataFrame, id_col: str) -> DataFrame:
-    """O46 (relational): ``x<id, pos, v>`` x ``W<row, pos, w>`` -> ``<id, row, y>``.
-
-    W is broadcast (bounded by the model); partial aggregation per (id, row) happens before
-    the shuffle, since one input row's positions all sit in one task.
-    """
-    j = x_long.join(F.broadcast(w_long), "pos")
-    y = j.groupBy(id_col, "row").agg(F.sum(F.col("v").cast("double") * F.col("w")).alias("y"))
-    return y.join(F.broadcast(bias), "row").select(id_col, "row", (F.col("y") + F.col("b")).alias("y"))
-
-
 def conv2d_long(images: DataFrame, kernels: DataFrame, bias: DataFrame, h: int, w: int, k: int,
                 id_col: str = "id") -> DataFrame:
     """O48 (relational): valid conv, stride 1, many channels.

@@ -72,14 +72,3 @@ def fits_broadcast(df: DataFrame, row_bytes: Column, max_bytes: int | None = Non
     """True when the table's measured size is within the (JVM) broadcast byte bound."""
     limit = max_bytes if max_bytes is not None else broadcast_limit(df.sparkSession)
     return estimated_bytes(df, row_bytes) <= limit
-
-
-def broadcast_if_fits(df: DataFrame, row_bytes: Column, max_bytes: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its measured size is within the byte bound, else ``df`` unchanged.
-
-    Beyond the bound the join stays a shuffle join; AQE may still turn it into a broadcast
-    at run time from the real shuffle sizes, and splits skewed (hot-key) partitions.
-    """
-    if fits_broadcast(df, row_bytes, max_bytes):
-        return F.broadcast(df)
-    return df.hint("shuffle_hash")   # size not proven small: never let it be broadcast

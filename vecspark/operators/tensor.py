@@ -125,12 +125,6 @@ def argmax(df: DataFrame, vec_col: str, out: str = "idx") -> DataFrame:
     return df.withColumn(out, V.argmax(vec_col))
 
 
-def argmax_long(long_df: DataFrame, group: list[str], index: str, value: str = "v") -> DataFrame:
-    """O24 on the long form: per group, the index of the largest value (ties -> lowest index)."""
-    return long_df.groupBy(*group).agg(
-        F.max_by(index, F.struct(F.col(value), -F.col(index))).alias("idx"), F.max(value).alias("max"))
-
-
 def argmax_all(df: DataFrame, id_col: str, vec_col: str, n_cols: int) -> DataFrame:
     """O24 over the whole tensor: flat row-major index ``id * n_cols + pos`` of the largest
     element (ties -> lowest flat index) and its value. ``id`` is the dense 0-based row index.
@@ -190,19 +184,16 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
         tbl = vecs.toArrow()
         ids = tbl.column("word_id").to_numpy()
         M, _ = to_matrix(tbl.column("vec"))
-        Emat = np.zeros((int(ids.max()) + 1, M.shape[1]))
-        present = np.zeros(int(ids.max()) + 1, dtype=bool)
-        Emat[ids] = M
-        present[ids] = True
-        bc = spark.sparkContext.broadcast((Emat, present))
+        order = np.argsort(ids, kind="stable")
+        bc = spark.sparkContext.broadcast((M[order], ids[order]))  # addressed by search, whatever the largest id
 
         def kernel(batches):
-            E, ok = bc.value
+            E, known = bc.value
             for b in batches:
                 ctx = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in ctx_cols], axis=1).astype(np.int64)
-                inside = ((ctx >= 0) & (ctx < len(ok))).all(axis=1)
-                keep = inside & ok[np.where(inside[:, None], ctx, 0)].all(axis=1)
-                g = E[ctx[keep]]
+                at = np.minimum(np.searchsorted(known, ctx), max(len(known) - 1, 0))
+                keep = (known[at] == ctx).all(axis=1) if len(known) else np.zeros(len(ctx), bool)
+                g = E[at[keep]]
                 acc = g[:, 0]
                 for k in range(1, n):
                     acc = acc + g[:, k]

@@ -36,18 +36,15 @@ def first_key() -> Column:
             + F.col("line_no").cast(d) * F.lit(2 ** 31).cast(d) + F.col("pos").cast(d))
 
 
-def fit_vocab(tokens: DataFrame, max_vocab: int | None = None) -> DataFrame:
+def fit_vocab(tokens: DataFrame) -> DataFrame:
     """Vocabulary ``<word, word_id, n>``: ids from 1 by count descending, ties by first appearance.
 
     Aggregation is partial (map-side) per word; the numbering is a distributed global
-    row number, so no task ever holds the whole vocabulary. ``max_vocab`` keeps the
-    ``max_vocab`` most frequent words (ids 1..max_vocab).
+    row number, so no task ever holds the whole vocabulary.
     """
     counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.min(first_key()).alias("_first"))
     order = [F.col("n").desc(), F.col("_first")]
     vocab = global_row_number(counts, order, name="word_id")
-    if max_vocab is not None:
-        vocab = vocab.where(F.col("word_id") <= max_vocab)
     return vocab.select("word", F.col("word_id").cast("int").alias("word_id"), "n")
 
 
@@ -59,8 +56,8 @@ def encode(tokens: DataFrame, vocab: DataFrame, broadcast_bytes: int | None = No
     (``broadcast_bytes`` or the session default); otherwise it is a shuffle join on
     ``word`` with hot words (one word may be a large share of all tokens) salted over
     several partitions.
-    With ``renumber=True`` positions are made dense again after dropping words (needed
-    when the vocabulary was capped), using a chunked per-line running count.
+    With ``renumber=True`` positions are made dense again after dropping words unknown to a
+    vocabulary fitted elsewhere, using a chunked per-line running count.
     """
     v = vocab.select("word", "word_id")
     if fits_broadcast(v, F.length("word") + 8, broadcast_bytes):

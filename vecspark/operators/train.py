@@ -1,347 +1,13 @@
-"""Training jobs: synchronous data-parallel gradient steps (O53-O56) and least squares.
+"""Least squares as distributed aggregates.
 
-One Spark job per step. The parameters are broadcast; every task computes the gradient
-of the summed loss over its rows of the step (``mapInPandas``, NumPy inside) and emits
-it in fixed-size chunks; chunks are summed by a ``groupBy(chunk)`` on the executors, so
-each chunk is reduced by one task over at most one row per input task, and the driver
-receives one model-sized gradient. The driver divides by the step's row count and
-applies one Adam update. Each step therefore equals a single-process mini-batch step
-over the same rows.
-
-Steps are large batches (``steps_per_epoch`` per epoch, rows assigned by a hash of
-(seed, epoch, key) -- independent of partitioning) rather than thousands of 32-row jobs.
-The training table is checkpointed to the shared folder first (lineage cut) and cached.
-The model must fit in driver and task memory (each task needs the whole output layer for a
-full softmax). Within a task, row slices share one in-place gradient accumulator, so memory
-is one model-sized buffer plus one slice of logits.
-"""
+The gradient trainers of the reference (O53-O56) are not rebuilt: see README, "Not built"."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import grads as G
-from ..session import ensure_checkpoint_dir
-
-CHUNK = 1 << 18   # doubles per gradient chunk
-DIRECT_SUM_BYTES = 64 << 20   # partial gradients up to this total are summed on the driver
-SLICE_LOGITS = 1 << 22        # rows x V logits held at once inside a task
-
-
-class Adam:
-    """Adam with bias correction (beta1 0.9, beta2 0.999, eps 1e-8)."""
-
-    def __init__(self, params: dict, lr: float, betas=(0.9, 0.999), eps: float = 1e-8):
-        self.lr, self.b1, self.b2, self.eps, self.t = lr, betas[0], betas[1], eps, 0
-        self.m = {k: np.zeros_like(v) for k, v in params.items()}
-        self.v = {k: np.zeros_like(v) for k, v in params.items()}
-
-    def step(self, params: dict, grads: dict) -> None:
-        self.t += 1
-        for k, g in grads.items():
-            self.m[k] = self.b1 * self.m[k] + (1 - self.b1) * g
-            self.v[k] = self.b2 * self.v[k] + (1 - self.b2) * g * g
-            mh = self.m[k] / (1 - self.b1 ** self.t)
-            vh = self.v[k] / (1 - self.b2 ** self.t)
-            params[k] = (params[k] - self.lr * mh / (np.sqrt(vh) + self.eps)).astype(params[k].dtype, copy=False)
-
-
-MIN_ROWS_PER_PARTITION = 2000
-
-
-def _prepare(table: DataFrame, keys: list[str], group_col: str | None = None) -> DataFrame:
-    """Write the training rows to the shared checkpoint folder (lineage cut), then spread them
-    over up to one partition per core by a hash of ``keys`` -- or of ``group_col``, sorted
-    within partitions, so that every group sits whole and contiguous in one task -- and cache."""
-    spark = table.sparkSession
-    ensure_checkpoint_dir(spark)
-    cp = table.checkpoint(eager=True)
-    rows = cp.count()
-    cap = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    n = max(1, min(cap, rows // MIN_ROWS_PER_PARTITION))
-    if group_col:
-        out = cp.repartition(n, F.col(group_col)).sortWithinPartitions(group_col)
-    else:
-        out = cp.repartition(n, *[F.col(k) for k in keys])
-    return out.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _whole_groups(batches, group_col: str):
-    """Re-cut a stream of pandas batches sorted by ``group_col`` so no group is split."""
-    carry = None
-    for pdf in batches:
-        if carry is not None:
-            pdf = pd.concat([carry, pdf], ignore_index=True)
-        if len(pdf) == 0:
-            continue
-        g = pdf[group_col].to_numpy()
-        last = int(np.nonzero(g != g[-1])[0][-1]) + 1 if (g != g[-1]).any() else 0
-        carry = pdf.iloc[last:]
-        if last:
-            yield pdf.iloc[:last]
-    if carry is not None and len(carry):
-        yield carry
-
-
-def distributed_gradient(rows: DataFrame, kernel, params: dict, names: list[str], extra: int = 0,
-                         group_col: str | None = None):
-    """Run ``kernel(params, pdf) -> (loss, n, correct, grads[, stats_vec])`` over ``rows``.
-
-    Returns ``(loss_sum, n, correct, grads, stats_sum)`` summed over all tasks. ``extra``
-    is the length of an optional statistics vector returned by the kernel. With
-    ``group_col`` (rows sorted by it within partitions) every kernel call sees whole groups.
-    """
-    spark = rows.sparkSession
-    bc = spark.sparkContext.broadcast(params)
-    shapes = [(k, params[k].shape) for k in names]
-    total = sum(int(np.prod(s)) for _, s in shapes)
-
-    def task(batches):
-        P = bc.value
-        acc = np.zeros(total + 3 + extra)
-        seen = False
-        for pdf in (_whole_groups(batches, group_col) if group_col else batches):
-            if len(pdf) == 0:
-                continue
-            seen = True
-            out = kernel(P, pdf)
-            loss, n, correct, g = out[:4]
-            acc[:total] += np.concatenate([g[k].ravel() for k in names])
-            acc[total:total + 3] += (loss, n, correct)
-            if extra:
-                acc[total + 3:] += out[4]
-        if seen:
-            yield pd.DataFrame({"chunk": np.arange(0, len(acc), CHUNK, dtype=np.int32) // CHUNK,
-                                "v": [acc[i:i + CHUNK].tobytes() for i in range(0, len(acc), CHUNK)]})
-
-    def reduce_chunk(pdf):
-        s = np.sum([np.frombuffer(b, dtype=np.float64) for b in pdf["v"]], axis=0)
-        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "v": [s.tobytes()]})
-
-    partials = rows.mapInPandas(task, "chunk int, v binary")
-    if (total + 3 + extra) * 8 * rows.rdd.getNumPartitions() <= DIRECT_SUM_BYTES:
-        # small model: the per-task partial gradients are summed on the driver directly
-        acc: dict[int, np.ndarray] = {}
-        for r in partials.collect():
-            v = np.frombuffer(r["v"], dtype=np.float64)
-            acc[r["chunk"]] = acc[r["chunk"]] + v if r["chunk"] in acc else v.copy()
-        parts = [{"chunk": c, "v": v.tobytes()} for c, v in acc.items()]
-    else:
-        parts = partials.groupBy("chunk").applyInPandas(reduce_chunk, "chunk int, v binary").collect()
-    bc.unpersist()
-    if not parts:
-        return 0.0, 0, 0, {k: np.zeros(s) for k, s in shapes}, np.zeros(extra)
-    flat = np.concatenate([np.frombuffer(r["v"], dtype=np.float64) for r in sorted(parts, key=lambda r: r["chunk"])])
-    grads, off = {}, 0
-    for k, s in shapes:
-        size = int(np.prod(s))
-        grads[k] = flat[off:off + size].reshape(s)
-        off += size
-    loss, n, correct = flat[total:total + 3]
-    return float(loss), int(n), int(correct), grads, flat[total + 3:]
-
-
-def _step_of(keys: list[str], seed: int, epoch: int | Column, steps: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), *[F.col(k) for k in keys]), F.lit(steps))
-
-
-def _loop(table: DataFrame, keys: list[str], kernel, params: dict, epochs: int, steps: int, lr: float,
-          seed: int, shuffle: bool = True, step_col: str | None = None, post_step=None, extra: int = 0,
-          group_col: str | None = None):
-    spark = table.sparkSession
-    data = _prepare(table, keys, group_col)
-    names = [k for k in params if not k.endswith(("running_mean", "running_var"))]
-    opt = Adam({k: params[k] for k in names}, lr)
-    log = []
-    try:
-        for epoch in range(epochs):
-            for s in range(steps):
-                cond = (F.col(step_col) == s) if step_col else (_step_of(keys, seed, epoch if shuffle else 0, steps) == s)
-                loss, n, correct, grads, stats = distributed_gradient(
-                    data.where(cond), lambda P, pdf, e=epoch, s=s: kernel(P, pdf, e, s), params, names, extra,
-                    group_col)
-                if n == 0:
-                    continue
-                upd = {k: params[k] for k in names}
-                opt.step(upd, {k: (g / n).astype(params[k].dtype, copy=False) for k, g in grads.items()})
-                params.update(upd)
-                if post_step is not None:
-                    post_step(params, stats)
-                log.append((epoch, s, n, loss / n, correct))
-    finally:
-        data.unpersist()
-    steps_df = spark.createDataFrame(log, "epoch int, step int, rows long, loss double, correct long")
-    return params, steps_df
-
-
-def _uniform(rng, shape, fan_in):
-    bound = 1.0 / np.sqrt(fan_in)
-    return rng.uniform(-bound, bound, size=shape)
-
-
-# ------------------------------------------------------------------ word embeddings
-
-def _embedding_params(seed: int, vocab_size: int, dim: int, dtype: str) -> dict:
-    rng = np.random.default_rng(seed)
-    p = {"embedding.weight": rng.standard_normal((vocab_size, dim)),
-         "output.weight": _uniform(rng, (vocab_size, dim), dim),
-         "output.bias": _uniform(rng, (vocab_size,), dim)}
-    return {k: v.astype(dtype) for k, v in p.items()}
-
-
-def fit_cbow(windows: DataFrame, vocab_size: int, dim: int = 50, epochs: int = 10, lr: float = 0.001,
-             steps_per_epoch: int = 8, seed: int = 0, ctx_cols=("c1", "c2", "c3", "c4"),
-             target_col: str = "target", key_cols=("doc_id", "line_no", "pos"), dtype: str = "float64"):
-    """CBOW (embedding -> mean -> linear -> softmax), Adam. ``vocab_size`` = V (ids 0..V-1,
-    0 = padding, trainable and averaged into the mean). ``dtype`` is the arithmetic of the
-    per-task kernels (``float32`` as the reference trains; gradients are summed across tasks in
-    float64). Returns (params, steps)."""
-    params = _embedding_params(seed, vocab_size, dim, dtype)
-    ctx_cols = list(ctx_cols)
-    table = windows.select(*key_cols, *ctx_cols, target_col)
-    slice_rows = max(1, SLICE_LOGITS // vocab_size)
-
-    def kernel(P, pdf, epoch, step):
-        ctx = pdf[ctx_cols].to_numpy(np.int64)
-        tgt = pdf[target_col].to_numpy(np.int64)
-        loss, n, correct, acc, ws = 0.0, 0, 0, None, {}
-        for i in range(0, len(tgt), slice_rows):
-            l, m, c, acc = G.cbow_grad(P, ctx[i:i + slice_rows], tgt[i:i + slice_rows], acc, ws)
-            loss, n, correct = loss + l, n + m, correct + c
-        return loss, n, correct, acc
-
-    return _loop(table, list(key_cols), kernel, params, epochs, steps_per_epoch, lr, seed)
-
-
-def fit_skipgram(pairs: DataFrame, vocab_size: int, dim: int = 50, epochs: int = 10, lr: float = 0.025,
-                 steps_per_epoch: int = 8, seed: int = 0, key_cols=("doc_id", "line_no", "pos", "offset"),
-                 dtype: str = "float64"):
-    """Skip-gram (embedding of centre -> linear -> softmax over context), Adam."""
-    params = _embedding_params(seed, vocab_size, dim, dtype)
-    table = pairs.select(*key_cols, "center", "context")
-    slice_rows = max(1, SLICE_LOGITS // vocab_size)
-
-    def kernel(P, pdf, epoch, step):
-        c = pdf["center"].to_numpy(np.int64)
-        t = pdf["context"].to_numpy(np.int64)
-        loss, n, correct, acc, ws = 0.0, 0, 0, None, {}
-        for i in range(0, len(t), slice_rows):
-            l, m, k, acc = G.skipgram_grad(P, c[i:i + slice_rows], t[i:i + slice_rows], acc, ws)
-            loss, n, correct = loss + l, n + m, correct + k
-        return loss, n, correct, acc
-
-    return _loop(table, list(key_cols), kernel, params, epochs, steps_per_epoch, lr, seed)
-
-
-# ------------------------------------------------------------------ image classifiers
-
-def _groups(df: DataFrame, id_col: str, batch: int, steps: int) -> DataFrame:
-    """Fixed sequential groups of ``batch`` rows by id (a loader without shuffling) and the step
-    each group belongs to (contiguous runs of groups)."""
-    from .windows import assign_batches
-    g = assign_batches(df, size=batch, order=[id_col]).withColumnRenamed("batch_id", "grp")
-    n_groups = g.agg(F.max("grp")).first()[0] + 1
-    return g.withColumn("step", (F.col("grp") * steps / F.lit(n_groups)).cast("int")), n_groups
-
-
-def fit_mlp(df: DataFrame, vec_col: str, label_col: str, id_col: str, layers=(64, 256, 128, 10),
-            dropout: float = 0.2, epochs: int = 5, lr: float = 0.01, batch: int = 100,
-            steps_per_epoch: int = 8, seed: int = 0, momentum: float = 0.1):
-    """MLP with [linear -> ReLU -> batch norm -> dropout] hidden blocks, Adam.
-
-    Batch norm normalises each group of ``batch`` rows by that group's statistics (groups
-    are fixed sequential runs of ids), running statistics are updated once per step with
-    the mean over groups. Dropout masks come from a hash of (seed, step, id, unit)."""
-    rng = np.random.default_rng(seed)
-    params, nh = {}, len(layers) - 2
-    for i in range(1, len(layers)):
-        params[f"fc{i}.weight"] = _uniform(rng, (layers[i], layers[i - 1]), layers[i - 1])
-        params[f"fc{i}.bias"] = _uniform(rng, (layers[i],), layers[i - 1])
-    for i in range(1, nh + 1):
-        params[f"bn{i}.weight"] = np.ones(layers[i])
-        params[f"bn{i}.bias"] = np.zeros(layers[i])
-        params[f"bn{i}.running_mean"] = np.zeros(layers[i])
-        params[f"bn{i}.running_var"] = np.ones(layers[i])
-    table, _ = _groups(df.select(id_col, vec_col, label_col), id_col, batch, steps_per_epoch)
-    widths = [layers[i] for i in range(1, nh + 1)]
-    extra = 2 * sum(widths) + nh
-
-    def kernel(P, pdf, epoch, step):
-        X = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-        y = pdf[label_col].to_numpy(np.int64)
-        loss, n, c, g, st = G.mlp_grad(P, X, y, pdf["grp"].to_numpy(), pdf[id_col].to_numpy(np.int64),
-                                       nh, dropout, seed, epoch * steps_per_epoch + step)
-        vec = np.concatenate([np.concatenate([st[f"bn{i}"][0], st[f"bn{i}"][1]]) for i in range(1, nh + 1)]
-                             + [np.array([st[f"bn{i}"][2] for i in range(1, nh + 1)], dtype=float)])
-        return loss, n, c, g, vec
-
-    def post(P, stats):
-        off = 0
-        counts = stats[-nh:]
-        for i, w in enumerate(widths, start=1):
-            mu, var = stats[off:off + w], stats[off + w:off + 2 * w]
-            off += 2 * w
-            k = max(counts[i - 1], 1)
-            P[f"bn{i}.running_mean"] = (1 - momentum) * P[f"bn{i}.running_mean"] + momentum * mu / k
-            P[f"bn{i}.running_var"] = (1 - momentum) * P[f"bn{i}.running_var"] + momentum * var / k
-
-    return _loop(table, [id_col], kernel, params, epochs, steps_per_epoch, lr, seed, shuffle=False,
-                 step_col="step", post_step=post, extra=extra, group_col="grp")
-
-
-def mlp_layers(n_hidden: int) -> list[tuple]:
-    """Inference layer list for :func:`fit_mlp` parameters (dropout = identity)."""
-    out = []
-    for i in range(1, n_hidden + 1):
-        out += [("linear", f"fc{i}"), ("relu",), ("bn", f"bn{i}"), ("dropout", 0.2)]
-    return out + [("linear", f"fc{n_hidden + 1}")]
-
-
-def fit_cnn(df: DataFrame, vec_col: str, label_col: str, id_col: str, shape=(1, 8, 8),
-            convs=((6, 3), (12, 2)), fcs=(120, 60, 10), epochs: int = 5, lr: float = 0.01,
-            batch: int = 100, steps_per_epoch: int = 8, seed: int = 0):
-    """CNN [conv -> ReLU -> 2x2 max pool] per conv layer -> flatten -> linear/ReLU ... -> linear."""
-    rng = np.random.default_rng(seed)
-    params, c_in, h, w = {}, shape[0], shape[1], shape[2]
-    conv_names = []
-    for i, (c_out, k) in enumerate(convs, start=1):
-        fan = c_in * k * k
-        params[f"conv{i}.weight"] = _uniform(rng, (c_out, fan), fan)
-        params[f"conv{i}.bias"] = _uniform(rng, (c_out,), fan)
-        conv_names.append((f"conv{i}", k))
-        c_in, h, w = c_out, (h - k + 1) // 2, (w - k + 1) // 2
-    fan = c_in * h * w
-    fc_names = []
-    for i, width in enumerate(fcs, start=1):
-        params[f"fc{i}.weight"] = _uniform(rng, (width, fan), fan)
-        params[f"fc{i}.bias"] = _uniform(rng, (width,), fan)
-        fc_names.append(f"fc{i}")
-        fan = width
-    table, _ = _groups(df.select(id_col, vec_col, label_col), id_col, batch, steps_per_epoch)
-
-    def kernel(P, pdf, epoch, step):
-        X = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-        y = pdf[label_col].to_numpy(np.int64)
-        return G.cnn_grad(P, X, y, conv_names, fc_names, tuple(shape))
-
-    params, steps = _loop(table, [id_col], kernel, params, epochs, steps_per_epoch, lr, seed,
-                          shuffle=False, step_col="step")
-    layers = [("reshape", tuple(shape))]
-    for name, k in conv_names:
-        layers += [("conv", name, k), ("relu",), ("pool", 2)]
-    layers.append(("flatten",))
-    for i, name in enumerate(fc_names):
-        layers.append(("linear", name))
-        if i < len(fc_names) - 1:
-            layers.append(("relu",))
-    return params, steps, layers
-
-
-# ------------------------------------------------------------------ least squares
 
 def fit_ols(df: DataFrame, x_cols: list[str], y_col: str) -> DataFrame:
     """Ordinary least squares with intercept.

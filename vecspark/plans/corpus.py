@@ -20,7 +20,7 @@ def tokens(spark: SparkSession, sf: str) -> DataFrame:
     return T.tokenize(sentences(spark, sf))
 
 
-def vocab_and_encoded(spark: SparkSession, sf: str, max_vocab: int | None = None):
+def vocab_and_encoded(spark: SparkSession, sf: str):
     toks = tokens(spark, sf)
-    vocab = T.fit_vocab(toks, max_vocab=max_vocab)
-    return vocab, T.encode(toks, vocab, renumber=max_vocab is not None)
+    vocab = T.fit_vocab(toks)
+    return vocab, T.encode(toks, vocab)

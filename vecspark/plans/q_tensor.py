@@ -118,19 +118,17 @@ def label_bincount(spark, sf):
     return M.bincount(emb(spark, sf), "label")
 
 
+_F50 = "((({c} * {c} * 31 + {c} * (b + 1) * 7919 + b * b * 17) % 1000003 - 500001) / CAST(1000003 AS DOUBLE))"
+
+
 @register("context_mean", "WITH " + CORPUS + """,
-vecs AS (SELECT word_id, """ + formula_sql("word_id", 50) + """ AS vec
-         FROM (SELECT word_id FROM vocab UNION ALL SELECT 0)),
 win AS (SELECT doc_id, line_no, pos,
-          coalesce(lag(word_id, 2) OVER w, 0) AS c1, coalesce(lag(word_id, 1) OVER w, 0) AS c2,
-          coalesce(lead(word_id, 1) OVER w, 0) AS c3, coalesce(lead(word_id, 2) OVER w, 0) AS c4
+          CAST(coalesce(lag(word_id, 2) OVER w, 0) AS BIGINT) AS c1, CAST(coalesce(lag(word_id, 1) OVER w, 0) AS BIGINT) AS c2,
+          CAST(coalesce(lead(word_id, 1) OVER w, 0) AS BIGINT) AS c3, CAST(coalesce(lead(word_id, 2) OVER w, 0) AS BIGINT) AS c4
         FROM encoded WINDOW w AS (PARTITION BY doc_id, line_no ORDER BY pos)),
-m AS (SELECT win.doc_id, win.line_no, win.pos,
-        list_transform(list_zip(v1.vec, v2.vec, v3.vec, v4.vec), lambda t: (((t[1] + t[2]) + t[3]) + t[4]) / 4.0) AS mean
-      FROM win JOIN vecs v1 ON v1.word_id = win.c1 JOIN vecs v2 ON v2.word_id = win.c2
-               JOIN vecs v3 ON v3.word_id = win.c3 JOIN vecs v4 ON v4.word_id = win.c4)
+m AS (SELECT doc_id, line_no, pos, list_transform(range(50), lambda b: (((F1 + F2) + F3) + F4) / 4.0) AS mean FROM win)
 SELECT doc_id, line_no, pos, round(list_sum(mean), 6) AS msum, round(sqrt(list_dot_product(mean, mean)), 6) AS mnorm
-FROM m""")
+FROM m""".replace("F1", _F50.format(c="c1")).replace("F2", _F50.format(c="c2")).replace("F3", _F50.format(c="c3")).replace("F4", _F50.format(c="c4")))
 def context_mean(spark, sf):
     vocab, enc = C.vocab_and_encoded(spark, sf)
     win = W.cbow_windows(enc, w=2)

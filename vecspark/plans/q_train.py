@@ -1,67 +1,12 @@
-"""Registered training queries (O53-O57). Learned weights have no SQL oracle (rows-only),
-except ordinary least squares, which is exact."""
+"""Registered query of the least-squares operator."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import metrics as M
 from ..operators import train as TR
-from ..operators import windows as W
-from . import corpus as C
 from .registry import register
 
-# Training settings of the registered queries. They train on the full vocabulary and every
-# row (no cap, nothing dropped); full softmax costs rows x V x dim per epoch, so the word
-# models run one epoch here (fit_cbow / fit_skipgram default to the reference's 10) and
-# CBOW uses dim 50 of the reference's 50/150/300.
-CBOW_DIMS = (50,)
-CBOW_EPOCHS = 1
-SKIPGRAM_EPOCHS = 1
-IMAGE_EPOCHS = 5
-
-
-def _log(steps, extra=None):
-    out = M.training_log(steps)
-    if extra:
-        out = out.select(*[F.lit(v).alias(k) for k, v in extra.items()], "*")
-    return out
-
-
-@register("train_cbow")
-def train_cbow(spark, sf):
-    vocab, enc = C.vocab_and_encoded(spark, sf)
-    V = vocab.count() + 1                        # ids 0..V-1, 0 = padding
-    win = W.cbow_windows(enc, w=2)
-    logs = []
-    for dim in CBOW_DIMS:
-        _, steps = TR.fit_cbow(win, V, dim=dim, epochs=CBOW_EPOCHS, dtype="float32")
-        logs.append(_log(steps, {"dim": dim}))
-    return W.concat(logs)
-
-
-@register("train_skipgram")
-def train_skipgram(spark, sf):
-    vocab, enc = C.vocab_and_encoded(spark, sf)
-    V = vocab.count() + 1
-    pairs = W.skipgram_pairs(enc, w=2)
-    _, steps = TR.fit_skipgram(pairs, V, dim=50, epochs=SKIPGRAM_EPOCHS, lr=0.025, dtype="float32")
-    return _log(steps, {"dim": 50})
-
-
-@register("train_mlp")
-def train_mlp(spark, sf):
-    df = spark.read.parquet(f"{sf}/embeddings.parquet")
-    _, steps = TR.fit_mlp(df, "embedding", "label", "vec_id", layers=(64, 256, 128, 10), epochs=IMAGE_EPOCHS)
-    return _log(steps)
-
-
-@register("train_cnn")
-def train_cnn(spark, sf):
-    df = spark.read.parquet(f"{sf}/embeddings.parquet")
-    _, steps, _ = TR.fit_cnn(df, "embedding", "label", "vec_id", epochs=IMAGE_EPOCHS)
-    return _log(steps)
-
 
 @register("linear_regression", "SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, "
           "round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept, "
