@@ -12,7 +12,8 @@ Words: A-Z lower-cased, maximal runs of ASCII letters, digits and characters fro
 Defined results: a null or wordless text has no words and no hits; a test item without words has
 no window, one with fewer words than the window is one window. Rows with equal id and text are
 equal results; rows with equal id but other text are told apart by a text hash. Extra columns
-are ignored. A very long text is one array in one row; its postings are spread.
+are ignored. Rows without id have words but no hits. A very long text is one array in one row; its
+postings are spread.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
 
 def _small(df: DataFrame, key: str) -> DataFrame:
     """``df``, to be broadcast if its measured bytes allow."""
-    n = df.agg(F.count("*").alias("n"), F.sum(F.length(key)).alias("b")).first()
+    n = df.agg(F.count("*").alias("n"), F.sum(F.length(F.col(key).cast('string'))).alias("b")).first()
     return F.broadcast(df) if 64 * n["n"] + (n["b"] or 0) <= BROADCAST_BYTES else df
 
 
@@ -86,6 +87,12 @@ def _anchors(staged: DataFrame, windows: DataFrame) -> DataFrame:
     return _postings(staged, rare).join(_small(rare, "win"), "word").select("doc", "th", "win", "pos", "off")
 
 
+def _candidates(staged: DataFrame, places: DataFrame) -> DataFrame:
+    """Word arrays of the documents that have a place, one row each; others are not shuffled."""
+    keys = places.select("doc", "th").distinct().checkpoint()
+    return staged.select("doc", "th", "words").join(_small(keys, "th"), ["doc", "th"], "left_semi").dropDuplicates(["doc", "th"])
+
+
 def phrase_matches(staged: DataFrame, windows: DataFrame) -> DataFrame:
     """Exact occurrences of windows: (doc, th, win, start, len).
 
@@ -94,8 +101,7 @@ def phrase_matches(staged: DataFrame, windows: DataFrame) -> DataFrame:
     found = _anchors(staged, windows).select("doc", "th", "win", (F.col("pos") - F.col("off")).alias("start"))
     found = found.where("start >= 0").join(_small(windows.select("win", "words"), "win"), "win")
     places = found.groupBy("doc", "th").agg(F.collect_set(F.struct("start", "win", F.col("words").alias("ws"))).alias("at"))
-    docs = staged.select("doc", "th", "words").dropDuplicates(["doc", "th"])
-    same = docs.join(places, ["doc", "th"]).where(docs["doc"].isNotNull())
+    same = _candidates(staged, found).join(places, ["doc", "th"])
     hit = F.filter("at", lambda a: F.slice("words", a["start"] + 1, F.size(a["ws"])) == a["ws"])
     return same.select("doc", "th", F.explode(hit).alias("h")).select(
         "doc", "th", "h.win", "h.start", F.size("h.ws").alias("len"))
@@ -106,7 +112,7 @@ def proximity_matches(staged: DataFrame, windows: DataFrame, slack: int = 5) ->
     occurrence of its rarest word: (doc, th, win, start, len), one row per such occurrence."""
     near = _anchors(staged, windows).join(_small(windows.select("win", "words"), "win"), "win")
     places = near.groupBy("doc", "th").agg(F.collect_set(F.struct("pos", "win", F.col("words").alias("ws"))).alias("at"))
-    docs = staged.select("doc", "th", "words").dropDuplicates(["doc", "th"])
+    docs = _candidates(staged, near)
     span = lambda a: F.size(a["ws"]) + F.lit(slack)
     first = lambda a: F.greatest(F.lit(0), a["pos"] - span(a) + 1)
     hit = F.filter("at", lambda a: F.size(F.array_except(
