@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 
 def bincount(df: DataFrame, col: str) -> DataFrame:
-    """Count of each value 0..max(col), zero-filled (non-negative integer column)."""
-    counts = df.groupBy(F.col(col).cast("int").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    """Count of each value 0..max(col), zero-filled. A null or negative value fails the job."""
+    v = F.col(col).cast("int")
+    v = F.when(v >= 0, v).otherwise(F.raise_error(F.lit("bincount takes integers from 0 only")))
+    counts = df.groupBy(v.alias("value")).agg(F.count(F.lit(1)).alias("n"))
     grid = df.agg(F.max(col).cast("int").alias("_m")).select(F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("value"))
     return grid.join(counts, "value", "left").select("value", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 

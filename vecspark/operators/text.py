@@ -105,9 +105,11 @@ def pad(seqs: DataFrame, w: int = 2, value: int = 0, col: str = "ids") -> DataFr
 
 
 def one_hot(df: DataFrame, col: str, size: int, row_cols: list[str]) -> DataFrame:
-    """Sparse one-hot: one ``<row..., index, value=1>`` row per input row (never N x V)."""
-    return df.select(*row_cols, F.col(col).cast("int").alias("index"), F.lit(1).alias("value")) \
-             .where((F.col("index") >= 0) & (F.col("index") < size))
+    """Sparse one-hot: one ``<row..., index, value=1>`` row per input row (never N x V). An id that is
+    null or outside ``0..size-1`` fails the job."""
+    i = F.col(col).cast("int")
+    bad = F.raise_error(F.concat(F.lit(f"one-hot id outside 0..{size - 1}: "), F.coalesce(i.cast("string"), F.lit("null"))))
+    return df.select(*row_cols, F.when((i >= 0) & (i < size), i).otherwise(bad).alias("index"), F.lit(1).alias("value"))
 
 
 def one_hot_argmax(sparse: DataFrame, row_cols: list[str]) -> DataFrame:

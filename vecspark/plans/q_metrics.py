@@ -31,9 +31,14 @@ def labelled_vectors(spark, sf):
 
 @register("stack_truth_pred", PRED + "SELECT vec_id, label AS truth, pred FROM preds")
 def stack_truth_pred(spark, sf):
+    return mlp_preds(spark, sf).select("vec_id", F.col("label").alias("truth"), "pred")
+
+
+@register("stack_rows", PRED + "SELECT CAST(0 AS INTEGER) AS k, vec_id, CAST(label AS INTEGER) AS v FROM preds "
+          "UNION ALL SELECT 1, vec_id, pred FROM preds")
+def stack_rows(spark, sf):
     p = mlp_preds(spark, sf)
-    truth = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.col("label").alias("truth"))
-    return TS.stack_columns(truth, p.select("vec_id", "pred"), "vec_id")
+    return TS.stack_rows([p.select("vec_id", F.col(c).cast("int").alias("v")) for c in ("label", "pred")])
 
 
 @register("num_correct", PRED + "SELECT CAST(sum(CAST(pred = label AS BIGINT)) AS BIGINT) AS num_correct FROM preds")
@@ -54,7 +59,7 @@ cm AS (SELECT g.truth, g.pred, CAST(count(pr.vec_id) AS BIGINT) AS n
 """
 
 
-@register("confusion_long", CONF_SQL.replace(PRED, PRED, 1) + "SELECT truth, pred, n FROM cm")
+@register("confusion_long", CONF_SQL + "SELECT truth, pred, n FROM cm")
 def confusion_long(spark, sf):
     return M.confusion_matrix(mlp_preds(spark, sf), 10)
 
@@ -65,6 +70,12 @@ def confusion_wide(spark, sf):
     return M.confusion_matrix(mlp_preds(spark, sf), 10, wide=True)
 
 
+@register("confusion_named", CONF_SQL + "SELECT truth, pred, n, 'class ' || truth AS truth_name, "
+          "'class ' || pred AS pred_name FROM cm")
+def confusion_named(spark, sf):
+    return M.confusion_matrix(mlp_preds(spark, sf), 10, names=[f"class {i}" for i in range(10)])
+
+
 CE_SQL = SCORES + """lse AS (SELECT vec_id, max(score) + ln(sum(exp(score - m))) AS lse
         FROM (SELECT vec_id, score, max(score) OVER (PARTITION BY vec_id) AS m FROM mlp) GROUP BY vec_id),
 ce AS (SELECT l.vec_id, l.lse - s.score AS loss FROM lse l JOIN embeddings e USING (vec_id)
@@ -102,6 +113,13 @@ def batch_assignment(spark, sf):
     return W.assign_batches(e, size=32, order=["vec_id"])
 
 
+@register("shuffled_batches", "SELECT vec_id, CAST(CAST('0x' || substr(md5('7:' || vec_id), 1, 8) AS BIGINT) % 16 AS INTEGER) "
+          "AS batch_id FROM embeddings")
+def shuffled_batches(spark, sf):
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id")
+    return W.assign_batches(e, shuffle=True, seed=7, order=["vec_id"], n_batches=16)
+
+
 @register("concat_batches", "WITH " + N.MLP_SQL + ",\n" + N.CNN_SQL + """
 SELECT 'mlp' AS model, vec_id, label, pred FROM (""" + N.preds_sql("mlp") + """)
 UNION ALL SELECT 'cnn', vec_id, label, pred FROM (""" + N.preds_sql("cnn") + ")")

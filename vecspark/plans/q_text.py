@@ -86,9 +86,8 @@ def skipgram_pairs(spark, sf):
 
 
 @register("one_hot", with_corpus(
-    "SELECT doc_id, line_no, pos, word_id AS id FROM encoded"))
+    "SELECT doc_id, line_no, pos, word_id AS \"index\", CAST(1 AS INTEGER) AS value FROM encoded"))
 def one_hot(spark, sf):
     vocab, enc = C.vocab_and_encoded(spark, sf)
     size = vocab.count() + 1                     # V: ids 0..V-1, 0 = padding
-    sparse = T.one_hot(enc, "word_id", size=size, row_cols=["doc_id", "line_no", "pos"])
-    return T.one_hot_argmax(sparse, ["doc_id", "line_no", "pos"])
+    return T.one_hot(enc, "word_id", size=size, row_cols=["doc_id", "line_no", "pos"])
