@@ -9,13 +9,18 @@ ROWS registers are looked up; documents that share a band value are candidates.
 Documents with equal shingle sets are one class. In a round every band value has one *hub*, the class with
 most company in its bands (every other round: of smallest hash), and a class is compared with the
 few foremost hubs of its bands, not with all others; what that links is one component. Later rounds compare only classes of different components, with new hubs, as long as
-that halves the pairs left; then, or once these are few against the table, all of them are
-compared. So no link between components that share a band stays unseen, however large the group. A pair is compared first by the joint
+that halves the pairs left, or until these are few against the table. Then all pairs left in bands of at most
+CROWD classes are compared. Classes left in fuller bands (many texts about half alike) get a second, longer
+sketch, whose bands of FINE_ROWS registers part them; all pairs left in its bands are compared, however
+many, first by one bit of each of SIGNS registers, inside the join. Many texts that are all just less alike than
+the threshold are so compared pair by pair, the one case whose work grows with the square. A pair is compared only if its set sizes allow the similarity: first by the joint
 likelihood of its registers, given both set sizes, and dropped if the estimate lies five standard
 errors below the threshold; then by the intersection of the full sets.
 
 At similarity 0.8 a pair shares no band with probability (1 - 0.8^6)^36 < 2e-5, at 0.85 < 1e-7; at 0.3 it
-shares one with probability 0.03.
+shares one with probability 0.03. Of the second sketch's bands it shares none with probability
+(1 - 0.8^12)^160 < 2e-5 at 0.8, and at 0.5 it shares one with probability 0.04 (0.43 in the first). The
+bits drop a pair of similarity 0.8 with probability 4e-5 (four standard errors), one of 0.68 with 0.97, one of 0.75 hardly ever.
 
 Defined results: a document without words (or null text) has an empty set, is linked with nothing and is
 its own component. Documents with fewer words than a shingle have one shingle, the whole
@@ -44,6 +49,12 @@ B, A, Q = 1.001, 20.0, (1 << 16) - 2
 #: Odd multipliers, one per register.
 FACTORS = mix64(np.arange(1, M + 1, dtype=np.uint64) * GOLD) | np.uint64(1)
 HUBS = 3
+#: Bands of up to so many classes have all their pairs compared; in fuller ones the second sketch says which.
+CROWD = 8
+FINE_ROWS, FINE_BANDS = 12, 160
+SIGNS = 1024
+SIGN_COLS = [f"sign{i}" for i in range(SIGNS // 64)]
+FINE_FACTORS = mix64(np.arange(M + 1, M + 1 + FINE_ROWS * FINE_BANDS, dtype=np.uint64) * GOLD) | np.uint64(1)
 #: Ids broadcast to find the candidates' texts, at most; beyond that the texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Pairs left are all compared once there are at most so many per band row.
@@ -58,11 +69,12 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(mix64(sequence_names(words, n) + np.uint64(n)))
 
 
-def registers(s: np.ndarray) -> np.ndarray:
-    """SetSketch registers of a set of uniform 64-bit names."""
-    low = np.full(M, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(s), 2048):
-        np.minimum(low, (s[i:i + 2048, None] * FACTORS).min(axis=0), out=low)
+def registers(s: np.ndarray, factors: np.ndarray = FACTORS) -> np.ndarray:
+    """SetSketch registers of a set of uniform 64-bit names, one for each factor."""
+    low = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
+    step = (1 << 19) // len(factors)
+    for i in range(0, len(s), step):
+        np.minimum(low, (s[i:i + step, None] * factors).min(axis=0), out=low)
     x = -np.log1p(-(low.astype(np.float64) + 0.5) / 2.0 ** 64) / A
     return np.clip(np.floor(1 - np.log(x) / np.log(B)), 0, Q + 1).astype(np.uint16)
 
@@ -109,19 +121,35 @@ def _sketch(shingle, lower):
     return run
 
 
+def _banded(b: pa.RecordBatch, regs: np.ndarray, rows: int) -> pa.RecordBatch:
+    """The columns of ``b`` but the last, repeated for each band value of ``rows`` registers."""
+    k = regs.astype(np.uint64).reshape(len(regs), -1, rows)
+    h = np.broadcast_to(np.arange(1, k.shape[1] + 1, dtype=np.uint64) * GOLD, k.shape[:2]).copy()
+    for i in range(rows):
+        h = mix64(h + k[:, :, i])
+    each = pa.array(np.repeat(np.arange(len(regs)), k.shape[1]))
+    return pa.RecordBatch.from_arrays([*[b.column(i).take(each) for i in range(b.num_columns - 1)], pa.array(h.ravel().view(np.int64))],
+                                      names=[*b.schema.names[:-1], "band"])
+
+
 def _bands(batches):
     """The columns before the registers, repeated for each band value."""
     for b in batches:
-        if not b.num_rows:
-            continue
-        regs = np.frombuffer(b"".join(b.column(b.num_columns - 1).to_pylist()), np.uint16).reshape(-1, M).astype(np.uint64)
-        k = regs.reshape(len(regs), M // ROWS, ROWS)
-        h = np.broadcast_to(np.arange(1, M // ROWS + 1, dtype=np.uint64) * GOLD, k.shape[:2]).copy()
-        for i in range(ROWS):
-            h = mix64(h + k[:, :, i])
-        each = pa.array(np.repeat(np.arange(len(regs)), M // ROWS))
-        yield pa.RecordBatch.from_arrays([*[b.column(i).take(each) for i in range(b.num_columns - 1)], pa.array(h.ravel().view(np.int64))],
-                                         names=[*b.schema.names[:-1], "band"])
+        if b.num_rows:
+            yield _banded(b, np.frombuffer(b"".join(b.column(b.num_columns - 1).to_pylist()), np.uint16).reshape(-1, M), ROWS)
+
+
+def _fine_bands(batches):
+    """The columns before the full set and the signs of the set's second sketch, repeated for each of its
+    band values. Equal registers have equal signs, others in half of the cases."""
+    for b in small_batches(batches, 128):
+        if b.num_rows:
+            regs = np.stack([registers(np.frombuffer(s, np.uint64), FINE_FACTORS) for s in b.column(b.num_columns - 1).to_pylist()])
+            bits = mix64(regs[:, :SIGNS] + FINE_FACTORS[:SIGNS]) & np.uint64(1)
+            signs = np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
+            cols = [*b.columns[:-1], *[pa.array(c) for c in signs.T.copy()], b.columns[-1]]
+            b = pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-1], *SIGN_COLS, b.schema.names[-1]])
+            yield _banded(b, regs, FINE_ROWS)
 
 
 def _likely(threshold: float):
@@ -162,7 +190,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     able = sketches.where("print is not null and doc is not null")
     classes = able.groupBy("print").agg(F.min("doc").alias("node"))
     first = able.withColumnRenamed("doc", "node").join(classes, ["node", "print"]).dropDuplicates(["node", "print"])
-    bands = first.select("node", "regs").mapInArrow(_bands, "node long, band long").distinct()
+    bands = first.select("node", "regs").mapInArrow(_bands, "node long, band long")
     crowded = bands.groupBy("band").agg(F.count("*").alias("k")).where("k > 1")
     # how many share its bands: the text the others were made from has most
     weight = bands.join(crowded, "band").groupBy("node").agg(F.sum("k").alias("weight"))
@@ -189,23 +217,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return likely.mapInArrow(_verify(percent), "a long, b long").distinct()
 
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+    unlike = SIGNS * (1 - percent / 100) / 2
+    unlike += 4 * np.sqrt(unlike * (1 + percent / 100) / 2)
+
+    def within(bands: DataFrame, signs: list[str]) -> DataFrame:
+        """Pairs of one band, of different components, whose sizes and signs allow a link."""
+        x, y = (bands.select("band", *[F.col(c).alias(c + e) for c in ("node", "root", "n", *signs)]) for e in "ab")
+        able = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+        if signs:
+            able &= sum(F.bit_count(F.col(c + "a").bitwiseXOR(F.col(c + "b"))) for c in signs) <= float(unlike)
+        met = x.join(y, (x.band == y.band) & (x.nodea < y.nodeb) & (x.roota != y.rootb) & able)
+        return met.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
+
     links, root, rounds, before = None, None, 0, None
     root_of = near.withColumn("root", F.col("node"))
     while True:
-        left = root_of.select("node", "root", "weight", "regs").mapInArrow(_bands, "node long, root long, weight long, band long")
+        left = root_of.select("node", "root", "n", "weight", "regs").mapInArrow(
+            _bands, "node long, root long, n long, weight long, band long")
         # classes still apart from others of their band, and how many pairs that leaves
         sizes = left.groupBy("band", "root").agg(F.count("*").alias("s"))
         mixed = sizes.groupBy("band").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("q"), F.count("*").alias("c")).where("c > 1")
         pairs_left = mixed.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
         if not pairs_left:
             break
-        left = left.join(mixed.select("band"), "band")
         last = pairs_left <= REST * total or before is not None and 2 * pairs_left > before
         before = pairs_left
         if last:
-            other = left.select("band", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-            pairs = left.join(other, "band").where("root != hub_root").select(*ordered("node", "hub")).distinct()
+            few = left.join(mixed.where(F.col("s") <= CROWD).select("band"), "band")
+            full_bands = left.join(mixed.where(F.col("s") > CROWD).select("band"), "band")
+            fine = full_bands.select("node", "root", "n").distinct().join(sets.select("node", "set"), "node")
+            fine = fine.mapInArrow(_fine_bands, f"node long, root long, n long, {' long, '.join(SIGN_COLS)} long, band long")
+            pairs = within(few, []).unionByName(within(fine, SIGN_COLS)).distinct()
         else:
+            left = left.join(mixed.select("band"), "band")
             order = F.struct((-F.col("weight") if rounds % 2 == 0 else F.lit(0)).alias("w"), F.xxhash64(F.lit(rounds), "node").alias("h"))
             best = left.groupBy("band").agg(F.min(F.struct(order.alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root"))).alias("b"))
             # of the hubs of all its bands a class meets the few of smallest hash, so groups meet at the same ones
@@ -213,12 +258,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 F.slice(F.array_sort(F.collect_set(F.struct("b.h", "b.hub"))), 1, HUBS).alias("hubs"))
             pairs = met.select("node", F.explode("hubs.hub").alias("hub")).select(*ordered("node", "hub")).distinct()
         found = confirm(pairs).checkpoint()
-        links = found if links is None else links.unionByName(found)
-        root = components(links, "a", "b").checkpoint()
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            root = components(links, "a", "b").checkpoint()
         if last:
             break
         rounds += 1
-        root_of = near.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        root_of = near.withColumn("root", F.col("node")) if root is None else near.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     ids = classes.withColumn("component", F.col("node"))
     if root is not None:
