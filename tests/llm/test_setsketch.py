@@ -69,3 +69,17 @@ def test_no_documents(spark):
     assert S.near_duplicates(df).collect() == []
     one = spark.createDataFrame([(None, "a b c d e f"), (None, None)], "doc_id long, text string")
     assert sorted(r.n_shingles for r in S.near_duplicates(one).collect()) == [0, 2]
+
+
+def test_second_sketch_against_brute_force(spark, monkeypatch):
+    r = random.Random(9)
+    # a crowd of texts about as alike as the threshold, some pairs above it and some below
+    base = [f"b{i}" for i in range(150)]
+    texts = [edited(r, base, r.choice((1, 2, 3, 4))) for _ in range(60)]
+    docs = [(d, " ".join(t)) for d, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(S, "CROWD", 0)      # every band left goes through the second sketch
+    monkeypatch.setattr(S, "REST", 1000.0)  # and no round of hubs goes before it
+    got = sorted(map(tuple, S.near_duplicates(df, shingle=4).collect()))
+    assert got == brute(docs)
+    assert 1 < sum(kept for *_, kept in got) < len(docs)
