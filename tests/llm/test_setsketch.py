@@ -71,15 +71,34 @@ def test_no_documents(spark):
     assert sorted(r.n_shingles for r in S.near_duplicates(one).collect()) == [0, 2]
 
 
-def test_second_sketch_against_brute_force(spark, monkeypatch):
+def test_blocks_against_brute_force(spark, monkeypatch):
     r = random.Random(9)
     # a crowd of texts about as alike as the threshold, some pairs above it and some below
     base = [f"b{i}" for i in range(150)]
     texts = [edited(r, base, r.choice((1, 2, 3, 4))) for _ in range(60)]
     docs = [(d, " ".join(t)) for d, t in enumerate(texts)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    monkeypatch.setattr(S, "CROWD", 0)      # every band left goes through the second sketch
+    monkeypatch.setattr(S, "CROWD", 0)      # every band left is compared in blocks
     monkeypatch.setattr(S, "REST", 1000.0)  # and no round of hubs goes before it
-    got = sorted(map(tuple, S.near_duplicates(df, shingle=4).collect()))
-    assert got == brute(docs)
-    assert 1 < sum(kept for *_, kept in got) < len(docs)
+    want = brute(docs)
+    assert sorted(map(tuple, S.near_duplicates(df, shingle=4).collect())) == want
+    monkeypatch.setattr(S, "BLOCK_CLASSES", 7)  # many blocks a band
+    assert sorted(map(tuple, S.near_duplicates(df, shingle=4).collect())) == want
+    assert 1 < sum(kept for *_, kept in want) < len(docs)
+
+
+def test_likely_and_common_agree_with_the_plain_forms():
+    r = np.random.default_rng(1)
+    pool = r.integers(0, 1 << 63, 400).astype(np.uint64) * np.uint64(2)
+    sets = [np.unique(r.choice(pool, r.integers(250, 400), replace=False)) for _ in range(40)]
+    n = np.array([len(s) for s in sets], float)
+    regs = np.stack([S.registers(s) for s in sets])
+    both = np.array([[len(np.intersect1d(a, b)) for b in sets[15:]] for a in sets[:15]])
+    for width in (1, 64, 4096):
+        assert (S.common(sets[:15], sets[15:], width) == both).all()
+    est = np.array([S.likely_jaccard(np.repeat(x[None], 25, 0), regs[15:], np.full(25, m), n[15:]) for x, m in zip(regs[:15], n[:15])])
+    for floor in (0.6, 0.65, 0.7):
+        clear = np.abs(est - floor) > 0.006  # the plain form has a grid
+        fits = np.minimum(n[:15, None], n[15:]) > floor * np.maximum(n[:15, None], n[15:])
+        got = S.likely_at_least(regs[:15], regs[15:], n[:15], n[15:], floor)
+        assert ((est >= floor) == got)[clear & fits].all() and 0 < got.sum() < got.size

@@ -10,17 +10,15 @@ Documents with equal shingle sets are one class. In a round every band value has
 most company in its bands (every other round: of smallest hash), and a class is compared with the
 few foremost hubs of its bands, not with all others; what that links is one component. Later rounds compare only classes of different components, with new hubs, as long as
 that halves the pairs left, or until these are few against the table. Then all pairs left in bands of at most
-CROWD classes are compared. Classes left in fuller bands (many texts about half alike) get a second, longer
-sketch, whose bands of FINE_ROWS registers part them; all pairs left in its bands are compared, however
-many, first by one bit of each of SIGNS registers, inside the join. Many texts that are all just less alike than
-the threshold are so compared pair by pair, the one case whose work grows with the square. A pair is compared only if its set sizes allow the similarity: first by the joint
-likelihood of its registers, given both set sizes, and dropped if the estimate lies five standard
-errors below the threshold; then by the intersection of the full sets.
+CROWD classes are compared. The classes left in fuller bands (many texts just less alike than the threshold, or
+about half alike) are dealt to blocks of bounded size; every two blocks of a band meet in one group, which
+compares its classes in memory and returns one link for each two components it joins, never its pairs. That
+is the one case whose work grows with the square of a group, at some microseconds a pair. A pair is compared
+only if its set sizes allow the similarity: first by the joint likelihood of its registers, given both set
+sizes, and dropped if the estimate lies five standard errors below the threshold; then by the intersection of the full sets.
 
 At similarity 0.8 a pair shares no band with probability (1 - 0.8^6)^36 < 2e-5, at 0.85 < 1e-7; at 0.3 it
-shares one with probability 0.03. Of the second sketch's bands it shares none with probability
-(1 - 0.8^12)^160 < 2e-5 at 0.8, and at 0.5 it shares one with probability 0.04 (0.43 in the first). The
-bits drop a pair of similarity 0.8 with probability 4e-5 (four standard errors), one of 0.68 with 0.97, one of 0.75 hardly ever.
+shares one with probability 0.03.
 
 Defined results: a document without words (or null text) has an empty set, is linked with nothing and is
 its own component. Documents with fewer words than a shingle have one shingle, the whole
@@ -49,12 +47,10 @@ B, A, Q = 1.001, 20.0, (1 << 16) - 2
 #: Odd multipliers, one per register.
 FACTORS = mix64(np.arange(1, M + 1, dtype=np.uint64) * GOLD) | np.uint64(1)
 HUBS = 3
-#: Bands of up to so many classes have all their pairs compared; in fuller ones the second sketch says which.
+#: Bands of up to so many classes have their pairs compared as rows; fuller ones in blocks.
 CROWD = 8
-FINE_ROWS, FINE_BANDS = 12, 160
-SIGNS = 1024
-SIGN_COLS = [f"sign{i}" for i in range(SIGNS // 64)]
-FINE_FACTORS = mix64(np.arange(M + 1, M + 1 + FINE_ROWS * FINE_BANDS, dtype=np.uint64) * GOLD) | np.uint64(1)
+#: A block of a fuller band holds about so many names, and classes, at most.
+BLOCK_NAMES, BLOCK_CLASSES = 1 << 16, 512
 #: Ids broadcast to find the candidates' texts, at most; beyond that the texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Pairs left are all compared once there are at most so many per band row.
@@ -121,35 +117,17 @@ def _sketch(shingle, lower):
     return run
 
 
-def _banded(b: pa.RecordBatch, regs: np.ndarray, rows: int) -> pa.RecordBatch:
-    """The columns of ``b`` but the last, repeated for each band value of ``rows`` registers."""
-    k = regs.astype(np.uint64).reshape(len(regs), -1, rows)
-    h = np.broadcast_to(np.arange(1, k.shape[1] + 1, dtype=np.uint64) * GOLD, k.shape[:2]).copy()
-    for i in range(rows):
-        h = mix64(h + k[:, :, i])
-    each = pa.array(np.repeat(np.arange(len(regs)), k.shape[1]))
-    return pa.RecordBatch.from_arrays([*[b.column(i).take(each) for i in range(b.num_columns - 1)], pa.array(h.ravel().view(np.int64))],
-                                      names=[*b.schema.names[:-1], "band"])
-
-
 def _bands(batches):
     """The columns before the registers, repeated for each band value."""
     for b in batches:
         if b.num_rows:
-            yield _banded(b, np.frombuffer(b"".join(b.column(b.num_columns - 1).to_pylist()), np.uint16).reshape(-1, M), ROWS)
-
-
-def _fine_bands(batches):
-    """The columns before the full set and the signs of the set's second sketch, repeated for each of its
-    band values. Equal registers have equal signs, others in half of the cases."""
-    for b in small_batches(batches, 128):
-        if b.num_rows:
-            regs = np.stack([registers(np.frombuffer(s, np.uint64), FINE_FACTORS) for s in b.column(b.num_columns - 1).to_pylist()])
-            bits = mix64(regs[:, :SIGNS] + FINE_FACTORS[:SIGNS]) & np.uint64(1)
-            signs = np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
-            cols = [*b.columns[:-1], *[pa.array(c) for c in signs.T.copy()], b.columns[-1]]
-            b = pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-1], *SIGN_COLS, b.schema.names[-1]])
-            yield _banded(b, regs, FINE_ROWS)
+            k = np.frombuffer(b"".join(b.column(b.num_columns - 1).to_pylist()), np.uint16).reshape(-1, M // ROWS, ROWS).astype(np.uint64)
+            h = np.broadcast_to(np.arange(1, k.shape[1] + 1, dtype=np.uint64) * GOLD, k.shape[:2]).copy()
+            for i in range(ROWS):
+                h = mix64(h + k[:, :, i])
+            each = pa.array(np.repeat(np.arange(len(k)), k.shape[1]))
+            yield pa.RecordBatch.from_arrays([*[b.column(i).take(each) for i in range(b.num_columns - 1)], pa.array(h.ravel().view(np.int64))],
+                                             names=[*b.schema.names[:-1], "band"])
 
 
 def _likely(threshold: float):
@@ -177,6 +155,85 @@ def _verify(percent: int):
     return run
 
 
+def likely_at_least(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, floor: float) -> np.ndarray:
+    """Whether the most likely similarity of each row of ``x`` with each of ``y`` is ``floor`` or more, for sizes
+    whose ratio is above it: whether the joint likelihood, which has one peak, still rises there."""
+    more, less = np.empty((len(x), len(y))), np.empty((len(x), len(y)))
+    step = max(1, (1 << 21) // (M * len(y)))
+    for i in range(0, len(x), step):
+        more[i:i + step] = np.count_nonzero(x[i:i + step, None] > y[None], axis=2)
+        less[i:i + step] = np.count_nonzero(x[i:i + step, None] < y[None], axis=2)
+    u = nx[:, None] / (nx[:, None] + ny)
+    v, c = 1 - u, (B - 1) / B
+    p = lambda t: -np.log1p(-c * t) / np.log(B)
+    slope = lambda t: c / (1 - c * t) / np.log(B)
+    a, b = np.maximum(u - v * floor, 1e-9), np.maximum(v - u * floor, 1e-9)
+    da, db = -v * slope(a), -u * slope(b)
+    return more * da / p(a) + less * db / p(b) - (M - more - less) * (da + db) / (1 - p(a) - p(b)) >= 0
+
+
+def common(xs: list[np.ndarray], ys: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of each set of ``xs`` with each of ``ys``, by products of 0-1 matrices
+    over ``width`` of the names that occur on both sides."""
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    shared = np.intersect1d(x, y)
+    both = np.zeros((len(xs), len(ys)), np.int64)
+    if not len(shared):
+        return both
+    sides = []
+    for names, sets in ((x, xs), (y, ys)):
+        col = np.minimum(np.searchsorted(shared, names), len(shared) - 1)
+        of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        has = shared[col] == names
+        col, of = col[has], of[has]
+        order = np.argsort(col, kind="stable")
+        sides.append((col[order], of[order], len(sets)))
+    for at in range(0, len(shared), width):
+        ones = []
+        for col, of, size in sides:
+            i, j = np.searchsorted(col, (at, at + width))
+            m = np.zeros((size, min(width, len(shared) - at)), np.float32)
+            m[of[i:j], col[i:j] - at] = 1
+            ones.append(m)
+        both += (ones[0] @ ones[1].T).astype(np.int64)
+    return both
+
+
+def _joined(percent: int):
+    """Links between the two blocks of a group (or within its one block), one for each two components they join."""
+    floor = percent / 100 - 5 * np.sqrt(percent / 100 * (1 - percent / 100) / M)
+
+    def run(t: pa.Table) -> pa.Table:
+        node, root, block, n = (t[c].to_numpy() for c in ("node", "root", "block", "n"))
+        regs = np.frombuffer(b"".join(t["regs"].to_pylist()), np.uint16).reshape(-1, M)
+        x, y = np.flatnonzero(block == t["lo"][0].as_py()), np.flatnonzero(block == t["hi"][0].as_py())
+        links = []
+        if len(x) and len(y):
+            able = root[x][:, None] != root[y]
+            able &= 100 * np.minimum(n[x][:, None], n[y]) >= percent * np.maximum(n[x][:, None], n[y])
+            able &= likely_at_least(regs[x], regs[y], n[x].astype(float), n[y].astype(float), floor)
+            rows, cols = able.any(axis=1), able.any(axis=0)
+            if rows.any():
+                x, y, able = x[rows], y[cols], able[np.ix_(rows, cols)]
+                sets = t["set"]
+                both = common(*([np.frombuffer(sets[int(i)].as_py(), np.uint64) for i in side] for side in (x, y)))
+                able &= 100 * both >= percent * (n[x][:, None] + n[y] - both)
+                top: dict[int, int] = {}
+
+                def of(r):
+                    while r in top:
+                        r = top[r]
+                    return r
+                for i, j in zip(*np.nonzero(able)):
+                    a, b = of(root[x[i]]), of(root[y[j]])
+                    if a != b:
+                        top[max(a, b)] = min(a, b)
+                        links.append(sorted((node[x[i]], node[y[j]])))
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, lower: bool = True) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable by links of
@@ -218,26 +275,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
-    unlike = SIGNS * (1 - percent / 100) / 2
-    unlike += 4 * np.sqrt(unlike * (1 + percent / 100) / 2)
-
-    def within(bands: DataFrame, signs: list[str]) -> DataFrame:
-        """Pairs of one band, of different components, whose sizes and signs allow a link."""
-        x, y = (bands.select("band", *[F.col(c).alias(c + e) for c in ("node", "root", "n", *signs)]) for e in "ab")
+    def within(bands: DataFrame) -> DataFrame:
+        """Pairs of one band, of different components, whose sizes allow a link."""
+        x, y = (bands.select("band", *[F.col(c).alias(c + e) for c in ("node", "root", "n")]) for e in "ab")
         able = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        if signs:
-            able &= sum(F.bit_count(F.col(c + "a").bitwiseXOR(F.col(c + "b"))) for c in signs) <= float(unlike)
         met = x.join(y, (x.band == y.band) & (x.nodea < y.nodeb) & (x.roota != y.rootb) & able)
         return met.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
 
+    def between_blocks(bands: DataFrame) -> DataFrame:
+        """Links of the classes of each band, which has its number of ``blocks``: every two blocks meet in a group."""
+        dealt = bands.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+        dealt = dealt.select("band", "node", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        dealt = dealt.select("band", "node", "root", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+        load = near.select("node", "print", "n", "regs").join(sets, ["node", "print"]).drop("print")
+        return dealt.join(load, "node").groupBy("band", "lo", "hi").applyInArrow(_joined(percent), "a long, b long").distinct()
+
     links, root, rounds, before = None, None, 0, None
     root_of = near.withColumn("root", F.col("node"))
     while True:
         left = root_of.select("node", "root", "n", "weight", "regs").mapInArrow(
             _bands, "node long, root long, n long, weight long, band long")
         # classes still apart from others of their band, and how many pairs that leaves
-        sizes = left.groupBy("band", "root").agg(F.count("*").alias("s"))
-        mixed = sizes.groupBy("band").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("q"), F.count("*").alias("c")).where("c > 1")
+        sizes = left.groupBy("band", "root").agg(F.count("*").alias("s"), F.sum("n").alias("names"))
+        mixed = sizes.groupBy("band").agg(F.sum("s").alias("s"), F.sum("names").alias("names"), F.sum(F.col("s") * F.col("s")).alias("q"), F.count("*").alias("c")).where("c > 1")
         pairs_left = mixed.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
         if not pairs_left:
             break
@@ -245,10 +305,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         before = pairs_left
         if last:
             few = left.join(mixed.where(F.col("s") <= CROWD).select("band"), "band")
-            full_bands = left.join(mixed.where(F.col("s") > CROWD).select("band"), "band")
-            fine = full_bands.select("node", "root", "n").distinct().join(sets.select("node", "set"), "node")
-            fine = fine.mapInArrow(_fine_bands, f"node long, root long, n long, {' long, '.join(SIGN_COLS)} long, band long")
-            pairs = within(few, []).unionByName(within(fine, SIGN_COLS)).distinct()
+            blocks = F.ceil(F.greatest(F.col("names") / BLOCK_NAMES, F.col("s") / BLOCK_CLASSES))
+            fuller = left.join(mixed.where(F.col("s") > CROWD).select("band", blocks.alias("blocks")), "band")
+            found = confirm(within(few)).unionByName(between_blocks(fuller)).distinct().checkpoint()
         else:
             left = left.join(mixed.select("band"), "band")
             order = F.struct((-F.col("weight") if rounds % 2 == 0 else F.lit(0)).alias("w"), F.xxhash64(F.lit(rounds), "node").alias("h"))
@@ -257,7 +316,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             met = left.join(best, "band").where("root != b.hub_root").groupBy("node").agg(
                 F.slice(F.array_sort(F.collect_set(F.struct("b.h", "b.hub"))), 1, HUBS).alias("hubs"))
             pairs = met.select("node", F.explode("hubs.hub").alias("hub")).select(*ordered("node", "hub")).distinct()
-        found = confirm(pairs).checkpoint()
+            found = confirm(pairs).checkpoint()
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             root = components(links, "a", "b").checkpoint()
