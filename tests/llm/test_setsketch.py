@@ -51,7 +51,7 @@ def test_against_brute_force(spark, monkeypatch):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     want = brute(docs)
     assert sorted(map(tuple, S.near_duplicates(df, shingle=4).collect())) == want
-    monkeypatch.setattr(S, "REST", 0.01)  # more rounds of hubs before the rest is compared
+    monkeypatch.setattr(S, "REST", (0.01, 0.01))  # more rounds of hubs before the rest is compared
     assert sorted(map(tuple, S.near_duplicates(df, shingle=4).collect())) == want
 
 
@@ -79,7 +79,7 @@ def test_blocks_against_brute_force(spark, monkeypatch):
     docs = [(d, " ".join(t)) for d, t in enumerate(texts)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     monkeypatch.setattr(S, "CROWD", 0)      # every band left is compared in blocks
-    monkeypatch.setattr(S, "REST", 1000.0)  # and no round of hubs goes before it
+    monkeypatch.setattr(S, "REST", (1000, 1000))  # and no round of hubs goes before it
     want = brute(docs)
     assert sorted(map(tuple, S.near_duplicates(df, shingle=4).collect())) == want
     monkeypatch.setattr(S, "BLOCK_CLASSES", 7)  # many blocks a band

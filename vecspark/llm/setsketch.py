@@ -50,11 +50,12 @@ HUBS = 3
 #: Bands of up to so many classes have their pairs compared as rows; fuller ones in blocks.
 CROWD = 8
 #: A block of a fuller band holds about so many names, and classes, at most.
-BLOCK_NAMES, BLOCK_CLASSES = 1 << 16, 512
+BLOCK_NAMES, BLOCK_CLASSES = 1 << 17, 1024
 #: Ids broadcast to find the candidates' texts, at most; beyond that the texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Pairs left are all compared once there are at most so many per band row.
-REST = 0.5
+#: Pairs left are all compared once there are at most so many per band row: before any round of hubs, which finds
+#: large groups, and after one. A round costs a shuffle of the band rows, a block some microseconds a pair.
+REST = (0.5, 12)
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -290,40 +291,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         load = near.select("node", "print", "n", "regs").join(sets, ["node", "print"]).drop("print")
         return dealt.join(load, "node").groupBy("band", "lo", "hi").applyInArrow(_joined(percent), "a long, b long").distinct()
 
-    links, root, rounds, before = None, None, 0, None
+    def with_hubs(left: DataFrame, mixed: DataFrame, rounds: int) -> DataFrame:
+        """Pairs of a class and the foremost hubs of its bands."""
+        left = left.join(mixed.select("band"), "band")
+        order = F.struct((-F.col("weight") if rounds % 2 == 0 else F.lit(0)).alias("w"), F.xxhash64(F.lit(rounds), "node").alias("h"))
+        best = left.groupBy("band").agg(F.min(F.struct(order.alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root"))).alias("b"))
+        # of the hubs of all its bands a class meets the few of smallest hash, so groups meet at the same ones
+        met = left.join(best, "band").where("root != b.hub_root").groupBy("node").agg(
+            F.slice(F.array_sort(F.collect_set(F.struct("b.h", "b.hub"))), 1, HUBS).alias("hubs"))
+        return met.select("node", F.explode("hubs.hub").alias("hub")).select(*ordered("node", "hub")).distinct()
+
+    def rest(left: DataFrame, mixed: DataFrame) -> DataFrame:
+        """Links of all that is still apart."""
+        blocks = F.ceil(F.greatest(F.col("names") / BLOCK_NAMES, F.col("s") / BLOCK_CLASSES))
+        left = left.join(mixed.select("band", "s", blocks.alias("blocks")), "band")
+        few = confirm(within(left.where(F.col("s") <= CROWD)))
+        return few.unionByName(between_blocks(left.where(F.col("s") > CROWD))).distinct()
+
+    links, root, rounds, before, last = None, None, 0, None, False
     root_of = near.withColumn("root", F.col("node"))
-    while True:
+    while not last:
         left = root_of.select("node", "root", "n", "weight", "regs").mapInArrow(
             _bands, "node long, root long, n long, weight long, band long")
         # classes still apart from others of their band, and how many pairs that leaves
         sizes = left.groupBy("band", "root").agg(F.count("*").alias("s"), F.sum("n").alias("names"))
-        mixed = sizes.groupBy("band").agg(F.sum("s").alias("s"), F.sum("names").alias("names"), F.sum(F.col("s") * F.col("s")).alias("q"), F.count("*").alias("c")).where("c > 1")
+        mixed = sizes.groupBy("band").agg(F.sum("s").alias("s"), F.sum("names").alias("names"),
+                                          F.sum(F.col("s") * F.col("s")).alias("q"), F.count("*").alias("c")).where("c > 1").checkpoint()
         pairs_left = mixed.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
         if not pairs_left:
             break
-        last = pairs_left <= REST * total or before is not None and 2 * pairs_left > before
+        last = pairs_left <= REST[min(rounds, 1)] * total or before is not None and 2 * pairs_left > before
         before = pairs_left
-        if last:
-            few = left.join(mixed.where(F.col("s") <= CROWD).select("band"), "band")
-            blocks = F.ceil(F.greatest(F.col("names") / BLOCK_NAMES, F.col("s") / BLOCK_CLASSES))
-            fuller = left.join(mixed.where(F.col("s") > CROWD).select("band", blocks.alias("blocks")), "band")
-            found = confirm(within(few)).unionByName(between_blocks(fuller)).distinct().checkpoint()
-        else:
-            left = left.join(mixed.select("band"), "band")
-            order = F.struct((-F.col("weight") if rounds % 2 == 0 else F.lit(0)).alias("w"), F.xxhash64(F.lit(rounds), "node").alias("h"))
-            best = left.groupBy("band").agg(F.min(F.struct(order.alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root"))).alias("b"))
-            # of the hubs of all its bands a class meets the few of smallest hash, so groups meet at the same ones
-            met = left.join(best, "band").where("root != b.hub_root").groupBy("node").agg(
-                F.slice(F.array_sort(F.collect_set(F.struct("b.h", "b.hub"))), 1, HUBS).alias("hubs"))
-            pairs = met.select("node", F.explode("hubs.hub").alias("hub")).select(*ordered("node", "hub")).distinct()
-            found = confirm(pairs).checkpoint()
+        found = None if last else confirm(with_hubs(left, mixed, rounds)).checkpoint()
+        if last or found.isEmpty():  # another round would leave as many pairs
+            last, found = True, rest(left, mixed).checkpoint()
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             root = components(links, "a", "b").checkpoint()
-        if last:
-            break
         rounds += 1
-        root_of = near.withColumn("root", F.col("node")) if root is None else near.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        if not last:
+            root_of = near.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")).checkpoint()
 
     ids = classes.withColumn("component", F.col("node"))
     if root is not None:
