@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Links of a partition, about: a table of fewer than its partitions would hold lies in fewer of them.
+PART = 100_000
+
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) of every node of the links ``a`` - ``b``, ``root`` the smallest node reachable.
@@ -20,11 +23,13 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if now == mark:
             break
         mark = now
+        parts = 1 + now[0] // PART
+        e = e.coalesce(parts)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(parts)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = small.unionByName(low.withColumnRenamed("m", "v")).distinct().checkpoint()
+        e = small.unionByName(low.withColumnRenamed("m", "v")).distinct().coalesce(parts).checkpoint()
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

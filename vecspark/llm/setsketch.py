@@ -51,6 +51,8 @@ HUBS = 3
 CROWD = 8
 #: A block of a fuller band holds about so many names, and classes, at most.
 BLOCK_NAMES, BLOCK_CLASSES = 1 << 17, 1024
+#: Classes of a partition, about: a table of fewer than its partitions would hold lies in fewer of them.
+PART = 2000
 #: Ids broadcast to find the candidates' texts, at most; beyond that the texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Pairs left are all compared once there are at most so many per band row: before any round of hubs, which finds
@@ -253,17 +255,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # how many share its bands: the text the others were made from has most
     weight = bands.join(crowded, "band").groupBy("node").agg(F.sum("k").alias("weight"))
     near = first.join(weight, "node").select("node", "print", "n", "weight", "regs").checkpoint()
-    total = (M // ROWS) * near.count()
+    count = near.count()
+    total, parts = (M // ROWS) * count, 1 + count // PART
+    near = near.coalesce(parts)
     # full sets of the classes that have a candidate at all
     wanted = near.select(F.col("node").alias("doc")).distinct()
-    one = rows.join(F.broadcast(wanted) if near.count() <= BROADCAST_IDS else wanted, "doc")
+    one = rows.join(F.broadcast(wanted) if count <= BROADCAST_IDS else wanted, "doc")
 
     def full(batches):
         for b, sets in _sets(batches, shingle, lower):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_fingerprint(s) if len(s) else None for s in sets], pa.binary()),
                                               pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "print", "set"])
     sets = one.select("doc", "text").mapInArrow(full, "node long, print binary, set binary")
-    sets = sets.join(near.select("node", "print"), ["node", "print"]).dropDuplicates(["node", "print"]).checkpoint()
+    sets = sets.join(near.select("node", "print"), ["node", "print"]).dropDuplicates(["node", "print"]).coalesce(parts).checkpoint()
 
     def confirm(pairs: DataFrame) -> DataFrame:
         x, y = (near.select(*[F.col(c).alias(c + e) for c in ("node", "print", "regs", "n")]) for e in "ab")
@@ -316,21 +320,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # classes still apart from others of their band, and how many pairs that leaves
         sizes = left.groupBy("band", "root").agg(F.count("*").alias("s"), F.sum("n").alias("names"))
         mixed = sizes.groupBy("band").agg(F.sum("s").alias("s"), F.sum("names").alias("names"),
-                                          F.sum(F.col("s") * F.col("s")).alias("q"), F.count("*").alias("c")).where("c > 1").checkpoint()
+                                          F.sum(F.col("s") * F.col("s")).alias("q"), F.count("*").alias("c")).where("c > 1").coalesce(parts).checkpoint()
         pairs_left = mixed.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
         if not pairs_left:
             break
         last = pairs_left <= REST[min(rounds, 1)] * total or before is not None and 2 * pairs_left > before
         before = pairs_left
-        found = None if last else confirm(with_hubs(left, mixed, rounds)).checkpoint()
+        found = None if last else confirm(with_hubs(left, mixed, rounds)).coalesce(parts).checkpoint()
         if last or found.isEmpty():  # another round would leave as many pairs
-            last, found = True, rest(left, mixed).checkpoint()
+            last, found = True, rest(left, mixed).coalesce(parts).checkpoint()
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             root = components(links, "a", "b").checkpoint()
         rounds += 1
         if not last:
-            root_of = near.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")).checkpoint()
+            root_of = near.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")).coalesce(parts).checkpoint()
 
     ids = classes.withColumn("component", F.col("node"))
     if root is not None:
