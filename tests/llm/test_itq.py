@@ -50,6 +50,19 @@ def test_recall_at_the_threshold():
     assert abs((code >> 0 & 1).mean() - 0.5) < 0.05  # balanced bits
 
 
+def test_recall_of_vectors_that_share_a_mean():
+    r = np.random.default_rng(6)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    z = unit(r.standard_normal((20_000, 63)))
+    u = r.standard_normal(z.shape)
+    u = unit(u - (u * z).sum(axis=1, keepdims=True) * z)
+    # mean of squared norm 0.8; the pairs' own parts are at 0.75, the whole at 0.95
+    x, y = (np.c_[np.full(len(z), np.sqrt(0.8)), np.sqrt(0.2) * v] for v in (z, 0.75 * z + np.sqrt(1 - 0.75 ** 2) * u))
+    assert np.allclose((x * y).sum(axis=1), 0.95)
+    t = itq.fit(x, len(x))
+    assert (t.keys(x[:4000]) == t.keys(y[:4000])).any(axis=1).mean() > 0.99
+
+
 def test_edge_tables(spark):
     assert itq.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, node int")).collect() == []
     one = spark.createDataFrame([(5, [1.0, 2.0]), (4, [1.0, 2.0]), (None, [1.0, 2.0])], "vec_id long, embedding array<float>")

@@ -1,8 +1,9 @@
 """Near-duplicate vectors by iterative quantisation and multi-index Hamming tables.
 
 A rotation is learned on a bounded sample (centred, principal axes, then alternating sign codes and
-orthogonal Procrustes), so that the signs of the rotated coordinates are balanced and lose
-little. Codes of several learned rotations are cut into substrings, one hash table each: a pair
+orthogonal Procrustes), so that the signs of the rotated coordinates lose little. The code itself is
+cut from the vectors as they are, not centred: the angle that sizes the tables is then the pair's
+own, wherever the mean of the corpus lies. A common mean makes buckets fuller. Codes of several learned rotations are cut into substrings, one hash table each: a pair
 whose codes differ in fewer bits than there are tables agrees in one of them for certain, any
 other pair with the probability the number of tables is chosen by (``misses``). Every vector is
 in every table. Rows that share a bucket are reranked with their original vectors in double
@@ -51,15 +52,14 @@ def learn(x: np.ndarray, seed: int, rounds: int = 50) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Tables:
-    """``bits`` of each of ``count`` tables; ``mean`` and ``planes`` make the code."""
-    mean: np.ndarray
+    """``bits`` of each of ``count`` tables; ``planes``, through the origin, make the code."""
     planes: np.ndarray
     bits: int
     count: int
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         """(rows, tables) substrings of the codes of unit vectors."""
-        code = ((x - self.mean) @ self.planes >= 0)[:, :self.bits * self.count]
+        code = (x @ self.planes >= 0)[:, :self.bits * self.count]
         return code.reshape(len(x), self.count, self.bits) @ (1 << np.arange(self.bits, dtype=np.int64))
 
 
@@ -76,7 +76,7 @@ def fit(sample: np.ndarray, n: int, cosine: float = 0.95, misses: float = 0.005,
     bits, count = layout(n, cosine, misses)
     mean = sample.mean(axis=0)
     turns = -(-bits * count // sample.shape[1])
-    return Tables(mean, np.concatenate([learn(sample - mean, seed + i) for i in range(turns)], axis=1), bits, count)
+    return Tables(np.concatenate([learn(sample - mean, seed + i) for i in range(turns)], axis=1), bits, count)
 
 
 def _parse(col: pa.Array, dim: int) -> list[np.ndarray | None]:
