@@ -23,6 +23,15 @@ def test_language_id(spark):
     assert {r.lang_pred for r in none} == {"und"}
 
 
+def test_language_sample_merges_copies_first(spark):
+    texts = [f"text number {i}" for i in range(40)]
+    hashes = {r.t: r.h for r in spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "xxhash64(t) h").collect()}
+    texts.sort(key=hashes.get)
+    rows = [(texts[0], "en")] * 1000 + [(t, "en") for t in texts[1:]]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string").repartition(3), docs_per_lang=30)
+    assert model.dictionaries["en"] == b"\n".join(langid.letters(t) for t in texts[:30])
+
+
 def test_url_rules(spark):
     rules = [urlfilter.host_rule(r, v) for r, v in (("net/", "block"), ("example.net/en/", "allow"), ("org/fr/", "allow"))]
     urls = ["http://A.Example.NET/en/x?q", "https://x.net", "https://x.net/", "http://internet/", "http://a.org/fr", "http://a.org/fr/1#t",

@@ -54,16 +54,15 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", docs_per_lang
     """Fill one dictionary per language from a bounded sample of the labelled rows.
 
     The sample is the ``docs_per_lang`` distinct texts of each language with the smallest text
-    hash, ``chars_per_doc`` characters of each: the bound holds at every input size. Spark keeps
-    ``docs_per_lang`` rows per language and task before the shuffle.
+    hash, ``chars_per_doc`` characters of each: the bound holds at every input size. Copies are merged
+    by their hash before the ranking; Spark keeps ``docs_per_lang`` hashes per language and task before
+    the ranking's shuffle, and only the chosen texts are read again.
     """
     t = rows.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("l is not null and length(t) > 0")
     t = t.withColumn("h", F.xxhash64("t")).select("l", "h", F.substring("t", 1, chars_per_doc).alias("t"))
-    # some more than wanted, as copies go; up to 1000 ranks Spark limits every task's rows before the shuffle
-    w = Window.partitionBy("l").orderBy("h", "t")
-    top = t.withColumn("k", F.row_number().over(w)).where(F.col("k") <= 3 * docs_per_lang)
-    top = top.groupBy("l", "h").agg(F.min("t").alias("t"))
-    top = top.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h"))).where(F.col("k") <= docs_per_lang)
+    w = Window.partitionBy("l").orderBy("h")
+    top = t.select("l", "h").distinct().withColumn("k", F.row_number().over(w)).where(F.col("k") <= docs_per_lang)
+    top = t.join(F.broadcast(top.select("l", "h")), ["l", "h"]).groupBy("l", "h").agg(F.min("t").alias("t"))
     sample: dict[str, list[tuple[int, bytes]]] = {}
     for r in top.collect():
         sample.setdefault(r["l"], []).append((r["h"], letters(r["t"])))
