@@ -106,6 +106,21 @@ def test_decontamination(spark):
     assert decontam.contamination(df.where("doc_id < 0"), items).collect() == []
 
 
+def test_decontamination_of_rows_without_id(spark, tmp_path):
+    import corpus_pipeline as P
+    passage = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"x {passage} y"), (None, f"x {passage} y"), (None, "clean"), (None, None), (1, passage), (2, "clean")]
+    df = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in decontam.contamination(df, items).collect()), key=repr)
+    assert got == sorted([(None, 12, 10, ["1"])] * 2 + [(None, 1, 0, []), (None, 0, 0, []), (1, 10, 10, ["1"]), (2, 1, 0, [])], key=repr)
+    near = decontam.proximity_matches(decontam.stage_words(df), decontam.windows_of(items)).collect()
+    assert {r.doc for r in near} == {None, 1}
+    kept = P.decontamination(spark, df, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(None, "clean"), (None, None), (2, "clean")], key=repr)
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
 def test_pipeline(spark, sf):
     import corpus_pipeline as P

@@ -12,7 +12,7 @@ Words: A-Z lower-cased, maximal runs of ASCII letters, digits and characters fro
 Defined results: a null or wordless text has no words and no hits; a test item without words has
 no window, one with fewer words than the window is one window. Rows with equal id and text are
 equal results; rows with equal id but other text are told apart by a text hash. Extra columns
-are ignored. Rows without id have words but no hits. A very long text is one array in one row; its
+are ignored. A null id is a value like any other: rows without id are told apart by their text hash. A very long text is one array in one row; its
 postings are spread.
 """
 
@@ -60,6 +60,12 @@ def _small(df: DataFrame, key: str) -> DataFrame:
     return F.broadcast(df) if 64 * n["n"] + (n["b"] or 0) <= BROADCAST_BYTES else df
 
 
+def join_documents(left: DataFrame, right: DataFrame, how: str = "inner", id_col: str = "doc") -> DataFrame:
+    """``left`` and ``right`` joined on (``id_col``, th); a null id equals a null id."""
+    right = right.withColumnsRenamed({id_col: "__id", "th": "__th"})
+    return left.join(right, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), how).drop("__id", "__th")
+
+
 def _terms(staged: DataFrame, windows: DataFrame) -> DataFrame:
     """Test words with the number of their occurrences over all documents: (word, n)."""
     wanted = windows.select(F.explode("words").alias("word")).distinct()
@@ -90,7 +96,7 @@ def _anchors(staged: DataFrame, windows: DataFrame) -> DataFrame:
 def _candidates(staged: DataFrame, places: DataFrame) -> DataFrame:
     """Word arrays of the documents that have a place, one row each; others are not shuffled."""
     keys = places.select("doc", "th").distinct().checkpoint()
-    return staged.select("doc", "th", "words").join(_small(keys, "th"), ["doc", "th"], "left_semi").dropDuplicates(["doc", "th"])
+    return join_documents(staged.select("doc", "th", "words"), _small(keys, "th"), "left_semi").dropDuplicates(["doc", "th"])
 
 
 def phrase_matches(staged: DataFrame, windows: DataFrame) -> DataFrame:
@@ -101,7 +107,7 @@ def phrase_matches(staged: DataFrame, windows: DataFrame) -> DataFrame:
     found = _anchors(staged, windows).select("doc", "th", "win", (F.col("pos") - F.col("off")).alias("start"))
     found = found.where("start >= 0").join(_small(windows.select("win", "words"), "win"), "win")
     places = found.groupBy("doc", "th").agg(F.collect_set(F.struct("start", "win", F.col("words").alias("ws"))).alias("at"))
-    same = _candidates(staged, found).join(places, ["doc", "th"])
+    same = join_documents(_candidates(staged, found), places)
     hit = F.filter("at", lambda a: F.slice("words", a["start"] + 1, F.size(a["ws"])) == a["ws"])
     return same.select("doc", "th", F.explode(hit).alias("h")).select(
         "doc", "th", "h.win", "h.start", F.size("h.ws").alias("len"))
@@ -117,7 +123,7 @@ def proximity_matches(staged: DataFrame, windows: DataFrame, slack: int = 5) ->
     first = lambda a: F.greatest(F.lit(0), a["pos"] - span(a) + 1)
     hit = F.filter("at", lambda a: F.size(F.array_except(
         a["ws"], F.slice("words", first(a) + 1, 2 * span(a) - 1))) == 0)
-    got = docs.join(places, ["doc", "th"]).select("doc", "th", F.explode(hit).alias("h"))
+    got = join_documents(docs, places).select("doc", "th", F.explode(hit).alias("h"))
     return got.select("doc", "th", "h.win", F.col("h.pos").alias("start"), F.size("h.ws").alias("len")).distinct()
 
 
@@ -137,7 +143,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     hits = (found.select("doc", "th", "items", added.cast("long").alias("added")).groupBy("doc", "th")
             .agg(F.sum("added").alias("n_hit"), F.flatten(F.collect_set("items")).alias("items")))
     every = staged.select("doc", "th", F.size("words").cast("long").alias("n_words"))
-    out = every.join(hits, ["doc", "th"], "left")
+    out = join_documents(every, hits, "left")
     ids = F.array_sort(F.array_distinct(F.transform("items", lambda i: i.cast("string"))))
     return out.select(F.col("doc").alias(id_col), "th", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                       F.coalesce(ids, F.array().cast("array<string>")).alias("items"))
