@@ -28,11 +28,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id. Shingles of
-    five words, similarity 0.8."""
+    """One row of each group of near-duplicates stays, that of the smallest id (no id comes last). Shingles of
+    five words, similarity 0.8. A document is an id and a text, told by their 64-bit hash, and a null id is a value like any
+    other: of repeated rows, also wordless ones, one stays; texts that only share an id are apart."""
     ensure_checkpoint_dir(spark)
-    gone = setsketch.near_duplicates(docs, shingle=5, percent=80).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
+    names = keyed.groupBy("key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+    found = setsketch.near_duplicates(keyed, "key", shingle=5, percent=80).select("key", "component_id").distinct()
+    found = found.join(names, "key").checkpoint()
+    least = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "key")).alias("least")
+    stays = found.groupBy("component_id").agg(least).select("least.key", F.lit(True).alias("stays"))
+    # documents that go, or of which one row of many stays
+    marked = found.join(stays, "key", "left").where("stays is null or n > 1").select("key", "stays").checkpoint()
+    marked = F.broadcast(marked) if marked.count() <= setsketch.BROADCAST_IDS else marked
+    once = keyed.join(marked, "key", "left_anti").select(*COLUMNS)
+    repeated = keyed.join(marked.where("stays"), "key", "left_semi").groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return once.unionByName(repeated.select("row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,6 +121,20 @@ def test_decontamination_of_rows_without_id(spark, tmp_path):
     assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(None, "clean"), (None, None), (2, "clean")], key=repr)
 
 
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as P
+    text = lambda name, end="": " ".join(f"{name}{i}" for i in range(80)) + end
+    rows = [(5, text("a")), (5, text("a")), (3, text("a", " x")), (None, text("a", " y")),     # id 3 stays
+            (7, text("b")), (7, text("c")), (6, text("c", " x")),                              # 7 of b and 6 stay
+            (None, text("d")), (None, text("d", " x")), (None, text("d")),                     # one of the three
+            (9, text("e")), (9, text("e")), (None, text("f")), (8, ""), (10, None)]
+    df = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.near_dedup(spark, df.repartition(3), "")
+    assert got.columns == list(P.COLUMNS)
+    got = sorted(((r.doc_id, (r.text or "-")[:1]) for r in got.collect()), key=repr)
+    assert got == sorted([(3, "a"), (7, "b"), (6, "c"), (None, "d"), (9, "e"), (None, "f"), (8, "-"), (10, "-")], key=repr)
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
 def test_pipeline(spark, sf):
     import corpus_pipeline as P
