@@ -66,6 +66,12 @@ def join_documents(left: DataFrame, right: DataFrame, how: str = "inner", id_col
     return left.join(right, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), how).drop("__id", "__th")
 
 
+def _keyed(staged: DataFrame) -> DataFrame:
+    """``staged`` with the id inside a struct: it is never null, equal where the ids are or both are null, and groups
+    and joins of documents share one partitioning."""
+    return staged.withColumn("doc", F.struct("doc"))
+
+
 def _terms(staged: DataFrame, windows: DataFrame) -> DataFrame:
     """Test words with the number of their occurrences over all documents: (word, n)."""
     wanted = windows.select(F.explode("words").alias("word")).distinct()
@@ -96,7 +102,7 @@ def _anchors(staged: DataFrame, windows: DataFrame) -> DataFrame:
 def _candidates(staged: DataFrame, places: DataFrame) -> DataFrame:
     """Word arrays of the documents that have a place, one row each; others are not shuffled."""
     keys = places.select("doc", "th").distinct().checkpoint()
-    return join_documents(staged.select("doc", "th", "words"), _small(keys, "th"), "left_semi").dropDuplicates(["doc", "th"])
+    return staged.select("doc", "th", "words").join(_small(keys, "th"), ["doc", "th"], "left_semi").dropDuplicates(["doc", "th"])
 
 
 def phrase_matches(staged: DataFrame, windows: DataFrame) -> DataFrame:
@@ -104,18 +110,20 @@ def phrase_matches(staged: DataFrame, windows: DataFrame) -> DataFrame:
 
     The rarest word's postings give the possible starts; the document's positional list at these
     starts is compared with the whole window."""
+    staged = _keyed(staged)
     found = _anchors(staged, windows).select("doc", "th", "win", (F.col("pos") - F.col("off")).alias("start"))
     found = found.where("start >= 0").join(_small(windows.select("win", "words"), "win"), "win")
     places = found.groupBy("doc", "th").agg(F.collect_set(F.struct("start", "win", F.col("words").alias("ws"))).alias("at"))
-    same = join_documents(_candidates(staged, found), places)
+    same = _candidates(staged, found).join(places, ["doc", "th"])
     hit = F.filter("at", lambda a: F.slice("words", a["start"] + 1, F.size(a["ws"])) == a["ws"])
     return same.select("doc", "th", F.explode(hit).alias("h")).select(
-        "doc", "th", "h.win", "h.start", F.size("h.ws").alias("len"))
+        "doc.doc", "th", "h.win", "h.start", F.size("h.ws").alias("len"))
 
 
 def proximity_matches(staged: DataFrame, windows: DataFrame, slack: int = 5) -> DataFrame:
     """Places where all words of a window, in any order, lie within ``len + slack`` words around an
     occurrence of its rarest word: (doc, th, win, start, len), one row per such occurrence."""
+    staged = _keyed(staged)
     near = _anchors(staged, windows).join(_small(windows.select("win", "words"), "win"), "win")
     places = near.groupBy("doc", "th").agg(F.collect_set(F.struct("pos", "win", F.col("words").alias("ws"))).alias("at"))
     docs = _candidates(staged, near)
@@ -123,8 +131,8 @@ def proximity_matches(staged: DataFrame, windows: DataFrame, slack: int = 5) ->
     first = lambda a: F.greatest(F.lit(0), a["pos"] - span(a) + 1)
     hit = F.filter("at", lambda a: F.size(F.array_except(
         a["ws"], F.slice("words", first(a) + 1, 2 * span(a) - 1))) == 0)
-    got = join_documents(docs, places).select("doc", "th", F.explode(hit).alias("h"))
-    return got.select("doc", "th", "h.win", F.col("h.pos").alias("start"), F.size("h.ws").alias("len")).distinct()
+    got = docs.join(places, ["doc", "th"]).select("doc", "th", F.explode(hit).alias("h"))
+    return got.select("doc.doc", "th", "h.win", F.col("h.pos").alias("start"), F.size("h.ws").alias("len")).distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
