@@ -151,6 +151,41 @@ def pii_query(spark, sf_dir):
     return pii.find(docs, pii.train(docs), keep=("doc_id",))
 
 
+@query("op11_cover_tree", """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.id AS a_id, b.id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM e a JOIN e b ON a.id % 100 = 0 AND a.r <> b.r),
+p AS (SELECT r, a_id, id AS p_id, score AS p_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, id) AS p FROM s WHERE same QUALIFY p <= 5)
+SELECT p.a_id AS anchor_id, p_id AS positive_id, row_number() OVER (PARTITION BY p.r, p ORDER BY score DESC, id)::INTEGER AS rank,
+    id AS negative_id, p_score AS positive_score, score AS negative_score
+FROM p JOIN s ON s.r = p.r AND NOT same AND 30 * p_score <= 100 * score AND 100 * score <= 90 * p_score QUALIFY rank <= 10""")
+def cover_tree(spark, sf_dir):
+    from . import covertree
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return covertree.hard_negatives(rows.withColumn("label", moved))
+
+
+@query("op12_k2_treap", r"""
+WITH dt AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+d AS (SELECT r, doc_id, len(ws) AS n, ws FROM dt WHERE len(ws) > 0),
+f AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS l FROM d),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, f GROUP BY term),
+b AS (SELECT row_number() OVER () AS i, item_id, list_distinct(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS ws FROM benchmark),
+q AS (SELECT i, item_id, unnest(ws) AS term FROM b),
+m AS (SELECT r, doc_id, 100 - 50 + ((50 * n * big_n) // l) AS m FROM d, f),
+s AS (SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+    FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0 QUALIFY rank <= 50""")
+def k2_treap(spark, sf_dir):
+    from . import k2treap
+    return k2treap.rank(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
