@@ -186,6 +186,14 @@ def k2_treap(spark, sf_dir):
     return k2treap.rank(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+@query("op13_quality")
+def quality(spark, sf_dir):
+    from . import mil
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", held_out())
+    net = mil.train(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return mil.score(docs, net, keep=("doc_id", "held_out"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
