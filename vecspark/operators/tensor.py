@@ -4,9 +4,8 @@ O3 tensor_table (see sources.literals), O15 elementwise, O16 cast_vec, O17 resha
 O18 shape_of, O19 image_layout, O20 stack_columns / stack_rows, O24 argmax,
 O27 reduce_all, O28 reduce_columns, O29 column_argmax, O30 reduce_rows / context_mean.
 
-Axis 0 is the table's row axis. Reductions over axis 0 explode to the long form and
-aggregate per position (partial aggregation, one small shuffle of per-task partials);
-reductions over axis 1 stay inside the row (no shuffle).
+Axis 0 is the table's row axis. Reductions over axis 0 fold each task's rows into one row of
+partial vectors and merge these in a tree; reductions over axis 1 stay inside the row (no shuffle).
 """
 
 from __future__ import annotations
@@ -141,18 +140,103 @@ def reduce_all(long_df: DataFrame, value: str = "v") -> DataFrame:
                        F.stddev_samp(v).alias("std"), F.count(v).alias("numel"))
 
 
+def _columns(vec: pa.Array):
+    """(rows, matrix) of the vectors of each length in a batch; null vectors left out, null elements NaN in ``matrix``
+    and False in ``there``: (rows, matrix, there)."""
+    if isinstance(vec, pa.ChunkedArray):
+        vec = vec.combine_chunks()
+    offs = vec.offsets.to_numpy()
+    lens, valid = np.diff(offs), ~vec.is_null().to_numpy(zero_copy_only=False)
+    there = ~vec.values.is_null().to_numpy(zero_copy_only=False)
+    flat = vec.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    for d in np.unique(lens[valid]):
+        rows = np.flatnonzero(valid & (lens == d))
+        at = offs[rows][:, None] + np.arange(d)
+        yield rows, flat[at], there[at]
+
+
+def _widen(state: dict, d: int) -> dict:
+    """The state of the first ``d`` columns or more; columns not seen yet count no value."""
+    grow = d - len(state["n"])
+    if grow <= 0:
+        return state
+    fill = {"n": 0, "sum": 0.0, "m2": 0.0, "max": -np.inf, "row": _NO_ROW}
+    return {k: np.concatenate([v, np.full(grow, fill[k], dtype=v.dtype)]) for k, v in state.items()}
+
+
+#: Stands for no row; larger than any id.
+_NO_ROW = np.iinfo(np.int64).max
+
+
+def _merge_moments(a: dict, b: dict) -> dict:
+    a, b = _widen(a, len(b["n"])), _widen(b, len(a["n"]))
+    n = a["n"] + b["n"]
+    safe = np.maximum(n, 1)
+    gap = np.where((a["n"] > 0) & (b["n"] > 0), b["sum"] / np.maximum(b["n"], 1) - a["sum"] / np.maximum(a["n"], 1), 0.0)
+    return {"n": n, "sum": a["sum"] + b["sum"], "m2": a["m2"] + b["m2"] + gap ** 2 * a["n"] * b["n"] / safe,
+            "max": np.where(b["n"] == 0, a["max"], np.where(a["n"] == 0, b["max"], np.maximum(a["max"], b["max"])))}
+
+
+def _moments(state, b):
+    for _, x, there in _columns(b.column(0)):
+        n = there.sum(axis=0)
+        zero = np.where(there, x, 0.0)
+        total = zero.sum(axis=0)
+        off = np.where(there, x - total / np.maximum(n, 1), 0.0)
+        one = {"n": n, "sum": total, "m2": (off ** 2).sum(axis=0), "max": np.where(there, x, -np.inf).max(axis=0)}
+        state = one if state is None else _merge_moments(state, one)
+    return state
+
+
 def reduce_columns(df: DataFrame, vec_col: str) -> DataFrame:
-    """Reduce over axis 0 -- sum, max, mean, sample std per position."""
-    lg = df.select(F.posexplode(vec_col).alias("pos", "v")).withColumn("v", F.col("v").cast("double"))
-    return lg.groupBy("pos").agg(F.sum("v").alias("sum"), F.max("v").alias("max"),
-                                 F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
+    """Reduce over axis 0 -- sum, max, mean, sample std per position (null elements and vectors are left out).
+
+    Each task folds its batches into vectors of counts, sums, maxima and squared deviations; one row
+    a task is shuffled and merged in a tree. Vectors may differ in length."""
+    from .partials import merged_state, rows_of_state
+
+    def rows(s):
+        n = s["n"]
+        some = n > 0
+        mean = np.divide(s["sum"], n, out=np.zeros(len(n)), where=some)
+        std = np.sqrt(np.divide(s["m2"], n - 1, out=np.zeros(len(n)), where=n > 1))
+        cols = [pa.array(np.arange(len(n), dtype=np.int32)), *(pa.array(c, mask=~some) for c in (s["sum"], s["max"], mean)), pa.array(std, mask=n < 2)]
+        return pa.RecordBatch.from_arrays(cols, names=["pos", "sum", "max", "mean", "std"])
+    states = merged_state(df.select(vec_col), _moments, _merge_moments)
+    return rows_of_state(states, rows, "pos int, sum double, max double, mean double, std double")
+
+
+def _merge_arg(a: dict, b: dict) -> dict:
+    a, b = _widen(a, len(b["n"])), _widen(b, len(a["n"]))
+    # NaN counts as the largest value, as in Spark
+    same = (a["max"] == b["max"]) | (np.isnan(a["max"]) & np.isnan(b["max"]))
+    later = (b["max"] > a["max"]) | (np.isnan(b["max"]) & ~np.isnan(a["max"]))
+    return {"n": a["n"] + b["n"], "max": np.where(later, b["max"], a["max"]),
+            "row": np.where(same, np.minimum(a["row"], b["row"]), np.where(later, b["row"], a["row"]))}
+
+
+def _arg(state, b):
+    ids = b.column(0).to_numpy(zero_copy_only=False)
+    for rows, x, there in _columns(b.column(1)):
+        x = np.where(there, x, -np.inf)
+        top = x.max(axis=0)
+        hit = there & ((x == top) | (np.isnan(x) & np.isnan(top)))
+        one = {"n": there.sum(axis=0), "max": top, "row": np.where(hit, ids[rows][:, None], _NO_ROW).min(axis=0)}
+        state = one if state is None else _merge_arg(state, one)
+    return state
 
 
 def column_argmax(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """Per position, the largest value over the rows and the row id holding it (ties -> lowest id)."""
-    lg = df.select(id_col, F.posexplode(vec_col).alias("pos", "v"))
-    return lg.groupBy("pos").agg(F.max("v").cast("double").alias("max"),
-                                 F.max_by(id_col, F.struct(F.col("v"), -F.col(id_col))).alias("row"))
+    """Per position, the largest value over the rows and the row id holding it (ties -> lowest id), by the
+    same tree of per-task vectors as :func:`reduce_columns`. Ids are integers; rows without id are left out."""
+    from .partials import merged_state, rows_of_state
+
+    def rows(s):
+        none = s["n"] == 0
+        cols = [pa.array(np.arange(len(none), dtype=np.int32)), pa.array(s["max"], mask=none), pa.array(s["row"], mask=none)]
+        return pa.RecordBatch.from_arrays(cols, names=["pos", "max", "row"])
+    ids = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), vec_col)
+    return rows_of_state(merged_state(ids, _arg, _merge_arg), rows, "pos int, max double, row long")
 
 
 def reduce_rows(df: DataFrame, vec_col: str, out: str = "sum") -> DataFrame:
