@@ -154,12 +154,32 @@ def test_salted_join_spreads_hot_key(spark):
 
 def test_read_lines_from_text_files(spark, tmp_path):
     from vecspark.sources.corpus import read_lines
-    (tmp_path / "a.txt").write_text("first line here\nsecond one\n")
+    (tmp_path / "a.txt").write_text("first line here\nsecond one\n\n")
     (tmp_path / "b.txt").write_text("only line of b")
-    lines = read_lines(spark, str(tmp_path))
-    got = sorted((r.line_no, r.line) for r in lines.collect() if r.line)
-    assert got == [(0, "first line here"), (0, "only line of b"), (1, "second one")]
-    assert lines.select("doc_id").distinct().count() == 2
+    (tmp_path / "c.txt").write_text("")
+    lines = read_lines(spark, str(tmp_path), numbered=True)
+    got = sorted(map(tuple, lines.collect()))
+    assert got == [(0, 0, "first line here", 0), (0, 1, "second one", 1), (0, 2, "", 2), (1, 0, "only line of b", 3)]
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path):
+    from vecspark.sources.corpus import read_lines
+    text = [f"line {i} " + "x" * (i % 90) + ("\r" if i % 7 == 0 else "") for i in range(20_000)]
+    for name, part in (("a", text[:15_000]), ("b", text[15_000:])):
+        (tmp_path / f"{name}.txt").write_bytes("\n".join(part).encode() + b"\n")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("64k", "900k"):  # many splits a file; several splits in one task
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+            raw = spark.read.option("lineSep", "\n").text(str(tmp_path / "a.txt"))
+            assert size == "900k" or raw.rdd.getNumPartitions() > 8
+            got = sorted(map(tuple, read_lines(spark, str(tmp_path), numbered=True).collect()), key=lambda r: r[3])
+            assert [r[2] for r in got] == text and [r[3] for r in got] == list(range(20_000))
+            assert [r[:2] for r in got] == [(0, i) for i in range(15_000)] + [(1, i) for i in range(5000)]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
 
 
 def test_one_huge_line_is_split_into_bounded_groups(spark):

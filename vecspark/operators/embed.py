@@ -5,10 +5,10 @@ O38 cosine, O39 nearest, O40 rank_by_distance / rank_of.
 
 Look-ups broadcast the (small) set of requested keys and stream the big table through
 an inner join, then left-join back, so unknown words stay visible as nulls and the
-vocabulary / vector tables are never shuffled. One-against-all scans run as
-``mapInArrow`` over the vector table with the bounded query set broadcast; each Arrow
-batch emits only its best ``k`` rows per query (ties kept), and a final ranking over
-those partial results gives the exact answer.
+vocabulary / vector tables are never shuffled. A few queries against all vectors run as
+``mapInArrow`` over the vector table with the query set broadcast (its size checked); each Arrow
+batch emits only its best ``k`` rows per query, and a final ranking over those partial results
+gives the exact answer. Many queries are joined by pivots (:mod:`.knn`).
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from ..functions import vec as V
 from ..functions.arrow import from_matrix, to_matrix
+from . import knn
 
-MAX_QUERY_BYTES = 256 << 20    # query vectors collected and broadcast to a scan
+MAX_QUERY_BYTES = 16 << 20    # query vectors broadcast to a scan; more are joined by pivots
 LOOKUP_BROADCAST_KEYS = 1_000_000
 
 # --- fixed values: the analogy task sentence of the report ---------------------
@@ -84,88 +85,59 @@ def filter_correct(report: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- scans
 
-def _collect_queries(queries: DataFrame, exclude_col: str | None, target_col: str | None):
+def _collect_queries(queries: DataFrame, target_col: str | None = None) -> dict[str, dict] | None:
+    """The queries by model, or None where they take more than ``MAX_QUERY_BYTES``."""
     from .ranking import estimated_bytes
-    nbytes = estimated_bytes(queries, F.coalesce(F.size("qvec"), F.lit(0)) * 8)
-    if nbytes > MAX_QUERY_BYTES:
-        raise ValueError(f"query vectors take {nbytes} bytes, above the broadcast bound; split the queries")
-    cols = ["qid", "model", "qvec"] + ([exclude_col] if exclude_col else []) + \
-        ([target_col] if target_col else [])
-    pdf = queries.select(*cols).where(F.col("qvec").isNotNull()).toPandas()
+    excl = F.coalesce(F.size("exclude"), F.lit(0))
+    if estimated_bytes(queries, (F.coalesce(F.size("qvec"), F.lit(0)) + excl) * 8) > MAX_QUERY_BYTES:
+        return None
+    pdf = queries.toPandas()
     plan: dict[str, dict] = {}
     for model, g in pdf.groupby("model", sort=False):
-        Q = np.stack([np.asarray(v, dtype=np.float64) for v in g["qvec"]])
-        plan[model] = {
-            "qid": g["qid"].to_numpy(np.int64),
-            "Q": Q,
-            "qn": np.sqrt(np.einsum("ij,ij->i", Q, Q)),
-            "excl": [set(x) if x is not None else set() for x in g[exclude_col]] if exclude_col
-            else [set()] * len(g),
-            "target": g[target_col].to_numpy(np.int64) if target_col else None,
-        }
+        plan[model] = {"qid": g["qid"].to_numpy(np.int64), "Q": np.stack([np.asarray(v, dtype=np.float64) for v in g["qvec"]]), "exclude": list(g["exclude"])}
+        if target_col:
+            plan[model] |= {"target": g[target_col].to_numpy(np.int64), "dist": g["dist"].to_numpy(np.float64)}
     return plan
 
 
-def _scores(X: np.ndarray, xn: np.ndarray, p: dict, j: int, metric: str) -> np.ndarray:
-    q = p["Q"][j]
-    if metric == "cosine":
-        # row by row: a matrix product's last bits depend on the row's place, which breaks ties
-        s = np.einsum("ij,j->i", X, q)
-        den = xn * p["qn"][j]
-        return np.where(den == 0, 0.0, s / np.where(den == 0, 1.0, den))
-    d = X - q
-    return np.sqrt(np.einsum("ij,ij->i", d, d))
-
-
-def similarity_scan(vectors: DataFrame, queries: DataFrame, metric: str = "cosine",
-                    k: int | None = 1, exclude_col: str | None = None) -> DataFrame:
-    """Score every vector against every query of the same model.
-
-    vectors: ``<model, word_id, vec>``; queries: ``<qid, model, qvec[, exclude]>`` (bounded).
-    ``metric``: ``cosine`` (higher is better) or ``euclidean`` (lower is better).
-    ``k=None`` returns every score; otherwise the exact top ``k`` per (qid, model) with a
-    ``rank`` column, ties broken by the lower ``word_id``.
-    """
-    spark = vectors.sparkSession
-    bc = spark.sparkContext.broadcast(_collect_queries(queries, exclude_col, None))
-    higher = metric == "cosine"
+def _scanned(vectors: DataFrame, plan: dict, rows, schema: str) -> DataFrame:
+    """``rows(ids, matrix, the model's queries)`` over the batches of ``vectors``, with the bounded queries broadcast."""
+    bc = vectors.sparkSession.sparkContext.broadcast(plan)
 
     def kernel(batches):
-        plan = bc.value
         for b in batches:
             models = b.column("model")
             for model in pc.unique(models).to_pylist():
-                p = plan.get(model)
+                p = bc.value.get(model)
                 if p is None:
                     continue
-                sel = pc.equal(models, model)
-                g = b.filter(sel)
+                g = b.filter(pc.equal(models, model))
                 X, valid = to_matrix(g.column("vec"))
                 ids = g.column("word_id").to_numpy(zero_copy_only=False).astype(np.int64)
-                X, ids = X[valid], ids[valid]
-                if len(ids) == 0:
-                    continue
-                xn = np.sqrt(np.einsum("ij,ij->i", X, X))
-                for j, qid in enumerate(p["qid"]):
-                    s = _scores(X, xn, p, j, metric)
-                    keep = np.ones(len(ids), dtype=bool)
-                    if p["excl"][j]:
-                        keep &= ~np.isin(ids, np.fromiter(p["excl"][j], dtype=np.int64))
-                    if k is not None and keep.sum() > k:
-                        cand = np.where(keep, s if higher else -s, -np.inf)
-                        kth = np.partition(cand, len(cand) - k)[len(cand) - k]
-                        keep &= cand >= kth          # top k plus any ties at the boundary
-                    m = int(keep.sum())
-                    if m:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(m, qid, dtype=np.int64)), pa.array([model] * m, pa.string()),
-                             pa.array(ids[keep]), pa.array(s[keep])], names=["qid", "model", "word_id", "score"])
-
-    scored = vectors.select("model", "word_id", "vec").mapInArrow(
-        kernel, "qid long, model string, word_id long, score double")
-    if k is None:
-        return scored
-    order = F.col("score").desc() if higher else F.col("score").asc()
+                who, *cols = rows(ids[valid], X[valid], p)
+                if len(who):
+                    yield pa.RecordBatch.from_arrays([pa.array(p["qid"][who]), pa.array([model] * len(who), pa.string()), *map(pa.array, cols)],
+                                                     names=[c.split()[0] for c in schema.split(", ")])
+    return vectors.select("model", "word_id", "vec").mapInArrow(kernel, schema)
+
+
+def similarity_scan(vectors: DataFrame, queries: DataFrame, metric: str = "cosine", k: int = 1, exclude_col: str | None = None) -> DataFrame:
+    """The exact top ``k`` vectors of each query among those of the same model, with a ``rank`` column, ties
+    broken by the lower ``word_id``.
+
+    vectors: ``<model, word_id, vec>``; queries: ``<qid, model, qvec[, exclude]>``.
+    ``metric``: ``cosine`` (higher is better) or ``euclidean`` (lower is better). Queries of up to
+    ``MAX_QUERY_BYTES`` are broadcast to one scan of the vectors; more are joined by pivots (:mod:`.knn`).
+    """
+    plain = knn._plain(queries, exclude_col)
+    plan = _collect_queries(plain)
+    if plan is None:
+        return knn.knn_join(vectors, plain, k, metric, "exclude")
+
+    def rows(ids, X, p):
+        return knn.block_top(ids, X, p["Q"], k, metric, p["exclude"])
+    scored = _scanned(vectors, plan, rows, "qid long, model string, word_id long, score double")
+    order = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
     # groups hold at most (#batches x k) partial winners, never a whole table
     w = Window.partitionBy("qid", "model").orderBy(order, F.col("word_id").asc())
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -184,55 +156,39 @@ def rank_by_distance(vectors: DataFrame, queries: DataFrame, k: int = 100) -> Da
 
 def rank_of(vectors: DataFrame, queries: DataFrame, target_col: str = "target") -> DataFrame:
     """Rank of a target word by Euclidean distance = 1 + number of strictly closer rows
-    (equal distance and lower id counts as closer). Each batch emits one count per query."""
-    spark = vectors.sparkSession
-    tv = lookup_small(queries.select("qid", "model", "qvec", F.col(target_col).alias("word_id")),
-                      vectors.select("model", "word_id", F.col("vec").alias("tvec")), ["model", "word_id"])
-    plan = _collect_queries(tv.withColumnRenamed("word_id", target_col).where(F.col("tvec").isNotNull()),
-                            None, target_col)
-    tpdf = tv.where(F.col("tvec").isNotNull()).select("qid", "model", "tvec").toPandas()
-    tvecs = {(int(r.qid), r.model): np.asarray(r.tvec, dtype=np.float64) for r in tpdf.itertuples()}
-    # the target's own distance, computed by the same kernel as every candidate's
-    tdist = {}
-    for model, p in plan.items():
-        for j, qid in enumerate(p["qid"]):
-            tdist[(int(qid), model)] = float(_scores(tvecs[(int(qid), model)][None, :], None, p, j,
-                                                     "euclidean")[0])
-    bc = spark.sparkContext.broadcast((plan, tdist))
-
-    def kernel(batches):
-        plan, td = bc.value
+    (equal distance and lower id counts as closer). Each batch emits one count per query; queries beyond
+    ``MAX_QUERY_BYTES`` are joined by pivots."""
+    plain = queries.where("qvec is not null").select(F.col("qid").cast("long").alias("qid"), "model", F.col("qvec").cast("array<double>").alias("qvec"),
+                                                     F.col(target_col).cast("long").alias(target_col))
+    tv = lookup_small(plain.withColumnRenamed(target_col, "word_id"), vectors.select("model", F.col("word_id").cast("long").alias("word_id"), F.col("vec").alias("tvec")),
+                      ["model", "word_id"]).where(F.col("tvec").isNotNull())
+
+    def distance(batches):
         for b in batches:
-            rows = []
-            models = b.column("model")
-            for model in pc.unique(models).to_pylist():
-                p = plan.get(model)
-                if p is None:
-                    continue
-                g = b.filter(pc.equal(models, model))
-                X, valid = to_matrix(g.column("vec"))
-                ids = g.column("word_id").to_numpy(zero_copy_only=False).astype(np.int64)
-                X, ids = X[valid], ids[valid]
-                for j, qid in enumerate(p["qid"]):
-                    t = td[(int(qid), model)]
-                    tid = p["target"][j]
-                    d = _scores(X, None, p, j, "euclidean")
-                    closer = ((d < t) | ((d == t) & (ids < tid))) & (ids != tid)
-                    rows.append((int(qid), model, int(closer.sum())))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
-                                                  pa.array([r[1] for r in rows], pa.string()),
-                                                  pa.array([r[2] for r in rows], pa.int64())],
-                                                 names=["qid", "model", "n"])
-
-    counts = (vectors.select("model", "word_id", "vec")
-              .mapInArrow(kernel, "qid long, model string, n long")
-              .groupBy("qid", "model").agg(F.sum("n").alias("n")))
-    tdf = spark.createDataFrame([(q, m, int(p["target"][list(p["qid"]).index(q)]), d)
-                                 for (q, m), d in tdist.items() for p in [plan[m]]],
-                                f"qid long, model string, {target_col} long, dist double")
-    return (tdf.join(counts, ["qid", "model"], "left")
-            .select("qid", "model", target_col, "dist", (F.coalesce(F.col("n"), F.lit(0)) + 1).alias("rank")))
+            d = [float(knn.scores(np.array([t], dtype=np.float64), np.array(q), "euclidean")[0]) for t, q in zip(b.column("tvec").to_pylist(), b.column("qvec").to_pylist())]
+            keep = b.select(["qid", "model", "qvec", target_col])
+            yield pa.RecordBatch.from_arrays([*keep.columns, pa.array(d, pa.float64())], names=[*keep.schema.names, "dist"])
+    fields = f"qid long, model string, qvec array<double>, {target_col} long, dist double"
+    known = materialize_small(tv.withColumnRenamed("word_id", target_col).mapInArrow(distance, fields))
+    plan = _collect_queries(known.withColumn("exclude", F.lit(None).cast("array<long>")), target_col)
+    if plan is None:
+        return knn.rank_join(vectors, known, target_col)
+
+    def rows(ids, X, p):
+        n = []
+        for j in range(len(p["qid"])):
+            d, t = knn.scores(X, p["Q"][j], "euclidean"), p["dist"][j]
+            n.append(int((((d < t) | ((d == t) & (ids < p["target"][j]))) & (ids != p["target"][j])).sum()))
+        return np.arange(len(n)), np.array(n, np.int64)
+    counts = _scanned(vectors, plan, rows, "qid long, model string, n long").groupBy("qid", "model").agg(F.sum("n").alias("n"))
+    return known.join(counts, ["qid", "model"], "left").select("qid", "model", target_col, "dist", (F.coalesce(F.col("n"), F.lit(0)) + 1).alias("rank"))
+
+
+def cosine_pairs(pairs: DataFrame, vectors: DataFrame, left: str = "qvec") -> DataFrame:
+    """O38 for named pairs: each row of ``pairs`` (model, word_id and a vector column ``left``) with ``sim``, its cosine to
+    that word's vector; null where the word has none."""
+    met = lookup_small(pairs, vectors.select("model", "word_id", "vec"), ["model", "word_id"])
+    return met.withColumn("sim", V.cosine(left, "vec")).drop("vec")
 
 
 # ---------------------------------------------------------------- analogies

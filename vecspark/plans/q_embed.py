@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import vec as V
 from ..functions.vec import formula_sql
 from ..operators import embed as E
+from ..operators import knn as K
 from ..operators import text as T
 from ..session import scratch_path
 from ..sources import embeddings_io as IO
@@ -196,11 +197,58 @@ def vector_arithmetic(spark, sf):
         .select("qid", "model", "pos", F.round("v", 6).alias("v"))
 
 
-@register("cosine_pairs", _emb_with("SELECT qid, model, word_id, round(sim, 6) AS sim FROM scored"))
+@register("cosine_pairs", _emb_with("""
+SELECT p.qid, p.model, r.role, s.word_id, round(CASE WHEN p.p IS NULL THEN NULL
+           WHEN list_dot_product(s.vec, s.vec) = 0 OR list_dot_product(p.p, p.p) = 0 THEN 0.0
+           ELSE list_dot_product(s.vec, p.p) / (sqrt(list_dot_product(s.vec, s.vec)) * sqrt(list_dot_product(p.p, p.p))) END, 6) AS sim
+FROM pred2 p, unnest([{'role': 'a', 'id': id_a}, {'role': 'b', 'id': id_b}, {'role': 'c', 'id': id_c}, {'role': 'd', 'id': id_d}]) AS u(r)
+JOIN sets s ON s.model = p.model AND s.word_id = r.id""").replace("r.role, s.word_id", "u.r.role AS role, s.word_id").replace("s.word_id = r.id", "s.word_id = u.r.id"))
 def cosine_pairs(spark, sf):
+    """The prediction against the question's own words."""
     sets, preds = _fixture_preds(spark, sf)
-    s = E.similarity_scan(sets, preds, "cosine", k=None)
-    return s.select(F.col("qid").cast("int").alias("qid"), "model", "word_id", F.round("score", 6).alias("sim"))
+    pairs = preds.select("qid", "model", "qvec", F.explode(F.array(*[
+        F.struct(F.lit(r).alias("role"), F.col(f"id_{r}").alias("word_id")) for r in "abcd"])).alias("_r")) \
+        .select("qid", "model", "qvec", "_r.role", "_r.word_id")
+    return E.cosine_pairs(pairs, sets).select("qid", "model", "role", "word_id", F.round("sim", 6).alias("sim"))
+
+
+def _self_join_sql(score: str, order: str, k: int) -> str:
+    return "WITH " + EMB_SQL + f"""
+SELECT qid, model, word_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT a.word_id AS qid, a.model, b.word_id, {score} AS score,
+         row_number() OVER (PARTITION BY a.model, a.word_id ORDER BY {score} {order}, b.word_id) AS rank
+  FROM sets a JOIN sets b ON a.model = b.model AND a.word_id <> b.word_id) WHERE rank <= {k}"""
+
+
+def _self_join(spark, sf, k, metric):
+    """Every vector of every set against all others of its set."""
+    sets = E.materialize_small(emb_sets(spark, sf))
+    queries = sets.select(F.col("word_id").alias("qid"), "model", F.col("vec").alias("qvec"), F.array("word_id").alias("own"))
+    got = K.knn_join(sets, queries, k, metric, exclude_col="own")
+    return got.select("qid", "model", "word_id", F.round("score", 6).alias("score"), F.col("rank").cast("int").alias("rank"))
+
+
+@register("knn_join", _self_join_sql("list_distance(a.vec, b.vec)", "", 10))
+def knn_join(spark, sf):
+    return _self_join(spark, sf, 10, "euclidean")
+
+
+@register("knn_join_cosine", _self_join_sql("list_dot_product(a.vec, b.vec) / (sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec)))", "DESC", 5))
+def knn_join_cosine(spark, sf):
+    return _self_join(spark, sf, 5, "cosine")
+
+
+@register("rank_join", "WITH " + EMB_SQL + """
+, d AS (SELECT a.word_id AS qid, a.model, b.word_id, list_distance(a.vec, b.vec) AS dist FROM sets a JOIN sets b ON a.model = b.model),
+n AS (SELECT count(*) AS n FROM embeddings),
+r AS (SELECT *, row_number() OVER (PARTITION BY model, qid ORDER BY dist, word_id) AS rank FROM d)
+SELECT qid, model, word_id AS target, round(dist, 6) AS dist, rank FROM r, n WHERE word_id = (qid + 17) % n.n""")
+def rank_join(spark, sf):
+    """For every vector, the rank of the vector seventeen ids on."""
+    sets = E.materialize_small(emb_sets(spark, sf))
+    n = emb_table(spark, sf).count()
+    queries = sets.select(F.col("word_id").alias("qid"), "model", F.col("vec").alias("qvec"), ((F.col("word_id") + 17) % n).alias("target"))
+    return K.rank_join(sets, queries).select("qid", "model", "target", F.round("dist", 6).alias("dist"), "rank")
 
 
 @register("nearest_excluding", _emb_with("SELECT qid, model, word_id, round(sim, 6) AS sim FROM near"))

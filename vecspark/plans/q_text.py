@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from ..operators import text as T
 from ..operators import windows as W
+from ..session import scratch_path
+from ..sources.corpus import read_lines, write_text_files
 from . import corpus as C
 from .oracle_parts import with_corpus
 from .registry import register
@@ -14,6 +16,17 @@ def corpus_lines(spark, sf):
     return C.lines(spark, sf)
 
 
+@register("text_file_lines", """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id, text) AS r, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL),
+l AS (SELECT r, generate_subscripts(s, 1) AS i, unnest(s) AS line FROM d)
+SELECT row_number() OVER (ORDER BY r, i) - 1 AS line_id, line FROM l""")
+def text_file_lines(spark, sf):
+    path = scratch_path(spark, "text-files")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    write_text_files(docs, path)
+    return read_lines(spark, path, numbered=True).select("line_id", "line")
+
+
 @register("sentence_filter", with_corpus("SELECT doc_id, line_no, line FROM sentences"))
 def sentence_filter(spark, sf):
     return C.sentences(spark, sf)
