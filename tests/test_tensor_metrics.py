@@ -95,6 +95,30 @@ def test_bincount_and_confusion_missing_class(spark):
     assert wide == {0: (1, 0, 1), 1: (0, 0, 0), 2: (0, 0, 2)}
 
 
+def test_nulls_and_values_outside_the_classes_are_counted(spark):
+    rows = [(0, 0), (0, None), (1, 1), (None, 1), (7, 1), (1, -3), (None, None)]
+    df = spark.createDataFrame(rows, "label int, pred int")
+    acc = M.accuracy(df).first()
+    assert (acc.num_correct, acc.n, acc.accuracy) == (2, 7, 2 / 7) and M.num_correct(df).first()[0] == 2
+    long = {(r.truth, r.pred): r.n for r in M.confusion_matrix(df, 2, names=["a", "b"]).collect() if r.n}
+    assert long == {(0, 0): 1, (0, -1): 1, (1, 1): 1, (-1, 1): 2, (1, -1): 1, (-1, -1): 1}
+    names = {(r.truth_name, r.pred_name) for r in M.confusion_matrix(df, 2, names=["a", "b"]).collect()}
+    assert ("other", "b") in names and len(names) == 8
+    wide = {r.truth: tuple(r)[1:] for r in M.confusion_matrix(df, 2, wide=True).collect()}
+    assert wide == {0: (1, 0, 1), 1: (0, 1, 1), -1: (0, 2, 1)}
+    assert M.confusion_matrix(df.where("label = pred"), 2, wide=True).columns == ["truth", "p0", "p1"]
+    empty = df.limit(0)
+    assert tuple(M.accuracy(empty).first()) == (0, 0, None) and sum(r.n for r in M.confusion_matrix(empty, 2).collect()) == 0
+
+
+def test_bincount_of_a_huge_label_is_distributed(spark):
+    df = spark.createDataFrame([(100_000_000,), (3,), (3,)], "label int")
+    got = M.bincount(df, "label")
+    assert got.count() == 100_000_001
+    assert sorted(map(tuple, got.where("n > 0").collect())) == [(3, 2), (100_000_000, 1)]
+    assert M.bincount(df.limit(0), "label").collect() == []
+
+
 def test_cross_entropy_matches_numpy(spark):
     S = np.array([[1.0, 2.0, 0.5], [0.1, 0.1, 3.0]])
     y = np.array([1, 0])
@@ -165,7 +189,12 @@ def test_context_mean_both_paths_agree(spark):
     slow = {(r.line_no, r.pos): np.array(r.mean) for r in
             TS.context_mean(win, vecs, ["c1", "c2", "c3", "c4"], ["doc_id", "line_no", "pos"],
                             broadcast_bytes=0).collect()}
-    assert set(fast) == set(slow) == {(0, p) for p in range(500)}    # id 99 unknown -> dropped
+    assert set(fast) == set(slow) == {(0, p) for p in range(500)} | {(1, 0)}
+    assert fast.pop((1, 0)).item() is None and slow[(1, 0)].item() is None    # id 99 has no vector
+    short = {(r.line_no, r.pos): (r.msum, r.mnorm) for r in
+             TS.context_mean(win, vecs, ["c1", "c2", "c3", "c4"], ["doc_id", "line_no", "pos"], digest=True).collect()}
+    assert short.pop((1, 0)) == (None, None)
+    assert all(np.allclose(short[k], (v.sum(), np.linalg.norm(v))) for k, v in fast.items())
     for kk, v in fast.items():
         r = rows[kk[1]]
         exp = (E_[r[3]] + E_[r[4]] + E_[r[5]] + E_[r[6]]) / 4
@@ -175,9 +204,13 @@ def test_context_mean_both_paths_agree(spark):
 def test_shuffled_batches_partition_independent_and_stack_rows(spark):
     from vecspark.operators import windows as W
     df = spark.range(1000).select(F.col("id").alias("k"))
-    a = {r.k: r.batch_id for r in W.assign_batches(df.repartition(1), shuffle=True, seed=3, n_batches=7, id_col="k").collect()}
-    b = {r.k: r.batch_id for r in W.assign_batches(df.repartition(6), shuffle=True, seed=3, n_batches=7, id_col="k").collect()}
-    assert a == b and set(a.values()) == set(range(7))
+    a = {r.k: r.batch_id for r in W.assign_batches(df.repartition(1), size=32, shuffle=True, seed=3, id_col="k").collect()}
+    b = {r.k: r.batch_id for r in W.assign_batches(df.repartition(6), size=32, shuffle=True, seed=3, id_col="k").collect()}
+    sizes = sorted(list(a.values()).count(i) for i in set(a.values()))
+    assert a == b and sizes == [1000 % 32] + [32] * (1000 // 32)
+    assert len({i // 32 for i in a if a[i] == 0}) > 8   # a permutation, not runs of ids
+    c = {r.k: r.batch_id for r in W.assign_batches(df, size=32, shuffle=True, seed=4, id_col="k").collect()}
+    assert c != a
     seq = {r.k: r.batch_id for r in W.assign_batches(df, size=32, id_col="k").collect()}
     assert seq[31] == 0 and seq[32] == 1 and max(seq.values()) == W.n_passes(1000, 32) - 1
     t = [tensor_table(spark, [[i, i], [i, i]]) for i in (1, 2, 3)]

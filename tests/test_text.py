@@ -43,6 +43,19 @@ def test_vocab_order_ties_by_first_appearance(spark):
     assert v == {"b": (1, 2), "a": (2, 2), "c": (3, 2), "d": (4, 2), "e": (5, 1)}
 
 
+def test_vocab_keys_of_any_width_agree(spark):
+    """A long key where the measured ranges fit, a decimal one for ids of full width; both order by first appearance."""
+    texts = ["b a c a b d", "d c e f g", "g h i j"]
+    for ids in ([0, 1, 2], [-5, 10, 11], [-(1 << 62), 5, 1 << 62]):
+        docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(3)
+        words = T.stage_words(T.word_lines(T.filter_sentences(lines_of(docs))))
+        toks = T.tokens_of(words)
+        staged, plain = (sorted(map(tuple, v.collect())) for v in (T.fit_vocab(toks, words), T.fit_vocab(toks)))
+        assert staged == plain and [r[0] for r in sorted(staged, key=lambda r: r[1])][:5] == ["b", "a", "c", "d", "g"]
+    empty = words.limit(0)
+    assert T.fit_vocab(T.tokens_of(empty), empty).collect() == []
+
+
 def test_global_row_number_matches_single_task(spark):
     random.seed(3)
     rows = [(random.randint(0, 50), i) for i in range(3000)]
@@ -59,6 +72,8 @@ def test_unknown_words_dropped_and_renumbered(spark):
     enc = T.encode(toks, vocab, renumber=True).orderBy("doc_id", "pos").collect()
     assert [(r.doc_id, r.pos, r.word_id) for r in enc] == [(0, 0, 1), (0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 1, 2)]
     dec = T.decode(T.encode(toks, vocab), vocab).select("doc_id", "line_no", "pos", "word")
+    salted = T.decode(T.encode(toks, vocab), vocab, broadcast_bytes=0).select("doc_id", "line_no", "pos", "word")
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, dec.collect()))
     assert sorted(map(tuple, dec.collect())) == sorted(
         tuple(r) for r in toks.where(F.col("word").isin("a", "c")).collect())
 
@@ -93,7 +108,7 @@ def test_pad_long_and_dense_positions(spark):
     enc = spark.createDataFrame(rows, "doc_id long, line_no int, pos int, word_id int")
     got = sorted((r.pos, r.word_id) for r in W.pad_long(enc, 2).collect())
     assert got == [(0, 0), (1, 0), (2, 1), (3, 2), (4, 3), (5, 0), (6, 0)]
-    lines = spark.createDataFrame([(0, 0), (0, 1)], "doc_id long, line_no int")   # line 1 has no tokens
+    lines = spark.createDataFrame([(0, 0, 3), (0, 1, 0)], "doc_id long, line_no int, n int")   # line 1 has no tokens
     empty = sorted((r.pos, r.word_id) for r in W.pad_long(enc, 2, lines=lines).collect() if r.line_no == 1)
     assert empty == [(0, 0), (1, 0), (2, 0), (3, 0)]
     sparse = spark.createDataFrame([(0, 0, p, p) for p in (3, 9, 10, 40)], "doc_id long, line_no int, pos int, word_id int")

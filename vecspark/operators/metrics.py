@@ -1,9 +1,8 @@
 """Metrics: bincount, correct count, accuracy, confusion matrix, training log, cross-entropy.
 
 O26 bincount, O31 num_correct, O32 accuracy, O33 confusion_matrix, O34 training_log,
-O51 cross_entropy. All are aggregates with partial (map-side) aggregation; zero-filled
-grids are generated from a one-row aggregate with ``sequence`` + ``explode`` (no joins
-that multiply rows).
+O51 cross_entropy (over a whole vocabulary: :mod:`.softmax`). All are aggregates with partial
+(map-side) aggregation; zero-filled grids are distributed ranges.
 """
 
 from __future__ import annotations
@@ -13,52 +12,64 @@ from pyspark.sql import functions as F
 
 
 def bincount(df: DataFrame, col: str) -> DataFrame:
-    """Count of each value 0..max(col), zero-filled. A null or negative value fails the job."""
-    v = F.col(col).cast("int")
+    """Count of each value 0..max(col), zero-filled. A null or negative value fails the job. The grid is a
+    distributed range joined to the counts, so a label of any size makes no array; no rows for an empty table."""
+    v = F.col(col).cast("long")
     v = F.when(v >= 0, v).otherwise(F.raise_error(F.lit("bincount takes integers from 0 only")))
     counts = df.groupBy(v.alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    grid = df.agg(F.max(col).cast("int").alias("_m")).select(F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("value"))
-    return grid.join(counts, "value", "left").select("value", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    top = counts.agg(F.max("value")).first()[0]
+    grid = df.sparkSession.range(0 if top is None else top + 1).select(F.col("id").alias("value"))
+    return grid.join(counts, "value", "left").select(F.col("value").cast(df.schema[col].dataType).alias("value"),
+                                                     F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+def is_correct(pred: str, label: str) -> Column:
+    """Whether prediction and label are equal; a null on either side counts as not correct."""
+    return F.coalesce(F.col(pred) == F.col(label), F.lit(False))
 
 
 def num_correct(df: DataFrame, pred: str = "pred", label: str = "label") -> DataFrame:
     """Number of rows whose prediction equals the label."""
-    return df.agg(F.sum((F.col(pred) == F.col(label)).cast("long")).alias("num_correct"))
+    return df.agg(F.coalesce(F.sum(is_correct(pred, label).cast("long")), F.lit(0)).alias("num_correct"))
 
 
 def accuracy(df: DataFrame, pred: str = "pred", label: str = "label") -> DataFrame:
-    """Fraction of correct predictions, with the counts it came from."""
-    return df.agg(F.sum((F.col(pred) == F.col(label)).cast("long")).alias("num_correct"),
-                  F.count(F.lit(1)).alias("n"),
-                  F.avg((F.col(pred) == F.col(label)).cast("double")).alias("accuracy"))
+    """Fraction of correct predictions among all rows, with the counts it came from."""
+    right = is_correct(pred, label)
+    return df.agg(F.coalesce(F.sum(right.cast("long")), F.lit(0)).alias("num_correct"),
+                  F.count(F.lit(1)).alias("n"), F.avg(right.cast("double")).alias("accuracy"))
+
+
+#: Stands for all values that are no class (null among them) in a confusion matrix.
+OTHER = -1
 
 
 def confusion_matrix(df: DataFrame, classes: int, truth: str = "label", pred: str = "pred",
                      names: list[str] | None = None, wide: bool = False) -> DataFrame:
-    """Zero-filled confusion matrix, rows = truth, columns = prediction.
+    """Zero-filled confusion matrix, rows = truth, columns = prediction, classes 0..``classes``-1.
 
     Long form ``<truth, pred, n>`` (classes x classes rows); ``wide=True`` pivots the
     prediction into columns ``p0..p{K-1}`` (or ``names``). ``names`` also adds
-    ``truth_name``/``pred_name`` columns in the long form.
+    ``truth_name``/``pred_name`` columns in the long form. Rows whose truth or prediction is no class, or null, are
+    counted under class ``OTHER`` ("other"): further rows, and in the wide form a last column ``other``, that are
+    there only if there are such rows. The counts add up to the rows of ``df``.
     """
-    counts = df.groupBy(F.col(truth).cast("int").alias("truth"), F.col(pred).cast("int").alias("pred")) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    spark = df.sparkSession
-    grid = spark.range(classes).select(F.col("id").cast("int").alias("truth")) \
-        .select("truth", F.explode(F.sequence(F.lit(0), F.lit(classes - 1))).alias("pred"))
-    long = grid.join(counts, ["truth", "pred"], "left") \
-        .select("truth", "pred", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    known = lambda c: F.when(F.col(c).cast("long").between(0, classes - 1), F.col(c).cast("int")).otherwise(F.lit(OTHER))
+    counts = df.groupBy(known(truth).alias("truth"), known(pred).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+    grid = df.sparkSession.range(classes * classes).select(F.expr(f"cast(id div {classes} as int)").alias("truth"), F.expr(f"cast(id % {classes} as int)").alias("pred"))
+    long = grid.join(counts, ["truth", "pred"], "full").select("truth", "pred", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    shown = {i: nm for i, nm in enumerate(names or [])} | {OTHER: "other"}
+    named = F.create_map(*[x for i, nm in shown.items() for x in (F.lit(i), F.lit(nm))])
     if wide:
-        labels = names or [f"p{i}" for i in range(classes)]
-        out = long.groupBy("truth").pivot("pred", list(range(classes))).agg(F.first("n"))
-        out = out.select("truth", *[F.col(str(i)).alias(labels[i]) for i in range(classes)])
-        if names:
-            m = F.create_map(*[x for i, nm in enumerate(names) for x in (F.lit(i), F.lit(nm))])
-            out = out.withColumn("truth_name", m[F.col("truth")])
-        return out
+        columns = list(range(classes))
+        labels = list(names or [f"p{i}" for i in range(classes)])
+        if counts.where(F.col("pred") == OTHER).limit(1).count():
+            columns, labels = [*columns, OTHER], [*labels, "other"]
+        out = long.groupBy("truth").pivot("pred", columns).agg(F.first("n"))
+        out = out.select("truth", *[F.coalesce(F.col(str(i)), F.lit(0)).alias(nm) for i, nm in zip(columns, labels)])
+        return out.withColumn("truth_name", named[F.col("truth")]) if names else out
     if names:
-        m = F.create_map(*[x for i, nm in enumerate(names) for x in (F.lit(i), F.lit(nm))])
-        long = long.withColumn("truth_name", m[F.col("truth")]).withColumn("pred_name", m[F.col("pred")])
+        long = long.withColumn("truth_name", named[F.col("truth")]).withColumn("pred_name", named[F.col("pred")])
     return long
 
 

@@ -245,15 +245,16 @@ def reduce_rows(df: DataFrame, vec_col: str, out: str = "sum") -> DataFrame:
 
 
 def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], key: list[str],
-                 broadcast_bytes: int | None = None) -> DataFrame:
-    """Mean of the context words' vectors per window (padding id 0 included).
+                 broadcast_bytes: int | None = None, digest: bool = False) -> DataFrame:
+    """Mean of the context words' vectors per window (padding id 0 included), one row per window; null where a
+    context id has no vector.
 
     When the vector table fits the measured broadcast bound it is collected once (Arrow)
     into a NumPy matrix, broadcast, and every Arrow batch of windows gathers and averages
     its rows -- no shuffle. Otherwise each window's context ids are exploded (2w rows),
-    shuffle-joined to ``<word_id, vec>`` (hot ids such as the padding id are salted),
-    co-located by window key, and each window's 2w vectors are summed in Arrow batches.
-    Windows with an id missing from ``vectors`` are dropped in both paths.
+    shuffle-joined to ``<word_id, vec>`` (hot ids such as the padding id are salted), and each window's
+    vectors are summed by a grouped Arrow reduction. With ``digest`` only the mean's sum and norm (``msum``, ``mnorm``)
+    leave the kernel, 16 bytes a window instead of the vector.
     """
     from .ranking import estimated_bytes, python_broadcast_limit
 
@@ -261,8 +262,16 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
     spark = windows.sparkSession
     limit = broadcast_bytes if broadcast_bytes is not None else python_broadcast_limit(spark)
     vecs = vectors.select(F.col("word_id").cast("long").alias("word_id"), V.to_double("vec").alias("vec"))
-    key_types = [windows.schema[c].dataType.simpleString() for c in key]
-    schema = ", ".join(f"{c} {t}" for c, t in zip(key, key_types)) + ", mean array<double>"
+    kept = ", ".join(f"{c} {windows.schema[c].dataType.simpleString()}" for c in key)
+    schema = kept + (", msum double, mnorm double" if digest else ", mean array<double>")
+    names = key + (["msum", "mnorm"] if digest else ["mean"])
+
+    def emit(cols, mean, there):
+        if digest:
+            made = [pa.array(c, mask=~there) for c in (mean.sum(axis=1), np.sqrt(np.einsum("ij,ij->i", mean, mean)))]
+        else:
+            made = [from_matrix(mean, there)]
+        return pa.RecordBatch.from_arrays(cols + made, names=names)
 
     if estimated_bytes(vecs, F.size("vec") * 8 + 8) <= limit:
         tbl = vecs.toArrow()
@@ -274,52 +283,41 @@ def context_mean(windows: DataFrame, vectors: DataFrame, ctx_cols: list[str], ke
         def kernel(batches):
             E, known = bc.value
             for b in batches:
-                ctx = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in ctx_cols], axis=1).astype(np.int64)
+                ctx = np.stack([b.column(c).fill_null(_NO_ROW).to_numpy(zero_copy_only=False) for c in ctx_cols], axis=1).astype(np.int64)
                 at = np.minimum(np.searchsorted(known, ctx), max(len(known) - 1, 0))
-                keep = (known[at] == ctx).all(axis=1) if len(known) else np.zeros(len(ctx), bool)
-                g = E[at[keep]]
-                acc = g[:, 0]
-                for k in range(1, n):
-                    acc = acc + g[:, k]
-                idx = pa.array(np.nonzero(keep)[0])
-                cols = [b.column(c).take(idx) for c in key]
-                yield pa.RecordBatch.from_arrays(cols + [from_matrix(acc / float(n))], names=key + ["mean"])
+                there = (known[at] == ctx).all(axis=1) if len(known) else np.zeros(len(ctx), bool)
+                at = np.where(there[:, None], at, 0)
+                acc = E[at[:, 0]] if len(known) else np.zeros((len(ctx), 0))
+                for k in range(1, n if len(known) else 1):
+                    acc = acc + E[at[:, k]]
+                yield emit([b.column(c) for c in key], acc / float(n), there)
 
-        return windows.select(*key, *ctx_cols).mapInArrow(kernel, schema)
+        wide = windows.select(*key, *[F.col(c).cast("long").alias(c) for c in ctx_cols if c not in key])
+        return wide.mapInArrow(kernel, schema)
 
     slots = windows.select(*key, F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).cast("long").alias("word_id"))
                                                       for i, c in enumerate(ctx_cols)])).alias("_c")) \
         .select(*key, "_c.slot", "_c.word_id")
     from .joins import hot_keys, salted_join
     hot = hot_keys(slots.groupBy("word_id").agg(F.count(F.lit(1)).alias("n")), "word_id", "n")
-    j = (salted_join(slots, vecs, "word_id", hot, key + ["slot"])
+    j = (salted_join(slots, vecs, "word_id", hot, key + ["slot"], "left")
          .repartition(*[F.col(c) for c in key]).sortWithinPartitions(*key, "slot"))
 
     def group_sum(batches):
-        # rows of one window are adjacent; a window may straddle two Arrow batches
+        # a window's slots are adjacent, n rows each; a window may straddle two Arrow batches
         carry = None
         for b in batches:
-            if carry is not None:
+            if carry is not None and carry.num_rows:
                 b = pa.Table.from_batches([carry, b]).combine_chunks().to_batches()[0]
-            keys = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in key], axis=1)
-            new = np.ones(len(keys), dtype=bool)
-            new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
-            starts = np.nonzero(new)[0]
-            last = starts[-1]
-            carry = b.slice(last)
-            body = b.slice(0, last)
-            if body.num_rows:
-                yield from _emit_groups(body, starts[:-1], last)
-        if carry is not None and carry.num_rows:
-            yield from _emit_groups(carry, np.array([0]), carry.num_rows)
-
-    def _emit_groups(b, starts, end):
-        M, _ = to_matrix(b.column("vec"))
-        sizes = np.diff(np.append(starts, end))
-        full = sizes == n
-        sums = np.add.reduceat(M, starts, axis=0) if len(starts) else np.zeros((0, M.shape[1]))
-        first = pa.array(starts[full])
-        cols = [b.column(c).take(first) for c in key]
-        yield pa.RecordBatch.from_arrays(cols + [from_matrix(sums[full] / float(n))], names=key + ["mean"])
+            whole = b.num_rows // n * n
+            carry = b.slice(whole)
+            if whole:
+                b = b.slice(0, whole)
+                X, valid = to_matrix(b.column("vec"))
+                first = pa.array(np.arange(0, whole, n))
+                acc = X[0::n]
+                for k in range(1, n):
+                    acc = acc + X[k::n]
+                yield emit([b.column(c).take(first) for c in key], acc / float(n), valid.reshape(-1, n).all(axis=1))
 
     return j.select(*key, "slot", "vec").mapInArrow(group_sum, schema)

@@ -15,7 +15,6 @@ from ..functions import vec as V
 from ..functions.vec import formula_sql
 from ..operators import embed as E
 from ..operators import knn as K
-from ..operators import text as T
 from ..session import scratch_path
 from ..sources import embeddings_io as IO
 from . import corpus as C
@@ -69,8 +68,7 @@ def word_questions(spark):
 
 
 def word_sets(spark, sf):
-    toks = C.tokens(spark, sf)
-    vocab = T.fit_vocab(toks)
+    vocab = C.staged_vocab(spark, sf)[2]
     return vocab, E.formula_vectors(vocab.select("word_id"), "word_id", WORD_SETS)
 
 

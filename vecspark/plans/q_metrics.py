@@ -113,11 +113,11 @@ def batch_assignment(spark, sf):
     return W.assign_batches(e, size=32, order=["vec_id"])
 
 
-@register("shuffled_batches", "SELECT vec_id, CAST(CAST('0x' || substr(md5('7:' || vec_id), 1, 8) AS BIGINT) % 16 AS INTEGER) "
+@register("shuffled_batches", "SELECT vec_id, CAST((row_number() OVER (ORDER BY md5('7:' || vec_id), vec_id) - 1) // 32 AS INTEGER) "
           "AS batch_id FROM embeddings")
 def shuffled_batches(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id")
-    return W.assign_batches(e, shuffle=True, seed=7, order=["vec_id"], n_batches=16)
+    return W.assign_batches(e, size=32, shuffle=True, seed=7, order=["vec_id"])
 
 
 @register("concat_batches", "WITH " + N.MLP_SQL + ",\n" + N.CNN_SQL + """

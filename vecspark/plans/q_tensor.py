@@ -9,6 +9,7 @@ from ..functions import vec as V
 from ..functions.vec import formula_sql
 from ..operators import embed as E
 from ..operators import metrics as M
+from ..operators import softmax as SM
 from ..operators import tensor as TS
 from ..operators import windows as W
 from . import corpus as C
@@ -134,6 +135,36 @@ def context_mean(spark, sf):
     win = W.cbow_windows(enc, w=2)
     ids = vocab.select("word_id").unionByName(spark.range(1).select(F.lit(0).cast("int").alias("word_id")))
     vecs = E.formula_vectors(ids, "word_id", {"F_50": 50})
-    m = TS.context_mean(win, vecs, ["c1", "c2", "c3", "c4"], ["doc_id", "line_no", "pos"])
-    return m.select("doc_id", "line_no", "pos", F.round(V.vsum("mean"), 6).alias("msum"),
-                    F.round(V.norm("mean"), 6).alias("mnorm"))
+    m = TS.context_mean(win, vecs, ["c1", "c2", "c3", "c4"], ["doc_id", "line_no", "pos"], digest=True)
+    return m.select("doc_id", "line_no", "pos", F.round("msum", 6).alias("msum"), F.round("mnorm", 6).alias("mnorm"))
+
+
+_CLASSES, _DIM = 61, 16
+
+
+@register("cbow_loss", "WITH " + CORPUS + f""",
+win AS (SELECT word_id AS target,
+          CAST(coalesce(lag(word_id, 2) OVER w, 0) AS BIGINT) AS c1, CAST(coalesce(lag(word_id, 1) OVER w, 0) AS BIGINT) AS c2,
+          CAST(coalesce(lead(word_id, 1) OVER w, 0) AS BIGINT) AS c3, CAST(coalesce(lead(word_id, 2) OVER w, 0) AS BIGINT) AS c4
+        FROM encoded WINDOW w AS (PARTITION BY doc_id, line_no ORDER BY pos)),
+h AS (SELECT row_number() OVER () AS r, target, list_transform(range({_DIM}), lambda b: (((F1 + F2) + F3) + F4) / 4.0) AS h FROM win),
+cls AS (SELECT id % {_CLASSES} AS c, count(*) AS n FROM (SELECT word_id AS id FROM vocab UNION ALL SELECT 0) GROUP BY ALL),
+w AS (SELECT c, n, {formula_sql('c + 200', _DIM)} AS w, ({formula_sql('c + 300', 1)})[1] AS b FROM cls),
+s AS (SELECT r, c, n, target, list_dot_product(h, w) + b AS s FROM h CROSS JOIN w),
+l AS (SELECT r, max(s) AS m, any_value(target) AS target FROM s GROUP BY r),
+e AS (SELECT s.r, any_value(l.m) + ln(sum(s.n * exp(s.s - l.m))) - any_value(s.s) FILTER (WHERE s.c = l.target % {_CLASSES}) AS loss
+      FROM s JOIN l USING (r) GROUP BY s.r)
+SELECT round(avg(loss), 6) AS loss, round(sum(loss), 3) AS loss_sum, count(*) AS n FROM e""".replace(
+    "F1", _F50.format(c="c1")).replace("F2", _F50.format(c="c2")).replace("F3", _F50.format(c="c3")).replace("F4", _F50.format(c="c4")))
+def cbow_loss(spark, sf):
+    """Mean cross-entropy of every CBOW window over the whole vocabulary. The output weights of a word follow from its
+    id modulo 61, which only the SQL makes use of."""
+    vocab, enc = C.vocab_and_encoded(spark, sf)
+    win = W.cbow_windows(enc, w=2)
+    ids = vocab.select("word_id").unionByName(spark.range(1).select(F.lit(0).cast("int").alias("word_id")))
+    vecs = E.formula_vectors(ids, "word_id", {"F_16": _DIM})
+    hidden = TS.context_mean(win, vecs, ["c1", "c2", "c3", "c4"], ["target"])
+    c = F.col("word_id") % _CLASSES
+    weights = ids.select("word_id", V.formula_vec(c + 200, _DIM).alias("vec"), V.formula_vec(c + 300, 1)[0].alias("bias"))
+    losses = SM.softmax_loss(hidden, weights, keep=["target"], vec="mean")
+    return losses.agg(F.round(F.avg("loss"), 6).alias("loss"), F.round(F.sum("loss"), 3).alias("loss_sum"), F.count("loss").alias("n"))

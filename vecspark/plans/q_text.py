@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import text as T
 from ..operators import windows as W
 from ..session import scratch_path
@@ -39,7 +41,7 @@ def tokens(spark, sf):
 
 @register("vocabulary", with_corpus("SELECT word, word_id, n FROM vocab"))
 def vocabulary(spark, sf):
-    return T.fit_vocab(C.tokens(spark, sf))
+    return C.staged_vocab(spark, sf)[2]
 
 
 @register("encoded_tokens", with_corpus("SELECT doc_id, line_no, pos, word_id FROM encoded"))
@@ -47,11 +49,17 @@ def encoded_tokens(spark, sf):
     return C.vocab_and_encoded(spark, sf)[1]
 
 
+@register("decoded_tokens", with_corpus("SELECT doc_id, line_no, pos, word FROM tokens"))
+def decoded_tokens(spark, sf):
+    vocab, enc = C.vocab_and_encoded(spark, sf)
+    return T.decode(enc, vocab).select("doc_id", "line_no", "pos", "word")
+
+
 @register("corpus_stats", with_corpus(
     "SELECT (SELECT count(*) FROM tokens) AS n_samples, (SELECT count(*) + 1 FROM vocab) AS V"))
 def corpus_stats(spark, sf):
-    toks = C.tokens(spark, sf)
-    return T.corpus_stats(toks, T.fit_vocab(toks))
+    _, toks, vocab = C.staged_vocab(spark, sf)
+    return T.corpus_stats(toks, vocab)
 
 
 @register("peek_rows", with_corpus(
@@ -70,7 +78,9 @@ FROM (SELECT doc_id, line_no, unnest([0, 1, n + 2, n + 3]) AS p
             GROUP BY s.doc_id, s.line_no))
 """))
 def padded_sequences(spark, sf):
-    return W.pad_long(C.vocab_and_encoded(spark, sf)[1], w=2, lines=C.sentences(spark, sf))
+    words, toks, vocab = C.staged_vocab(spark, sf)
+    lengths = words.select("doc_id", "line_no", F.size("words").alias("n"))
+    return W.pad_long(T.encode(toks, vocab), w=2, lines=lengths)
 
 
 @register("cbow_windows", with_corpus("""
