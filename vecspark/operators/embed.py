@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from ..functions import vec as V
 from ..functions.arrow import from_matrix, to_matrix
 from . import knn
+from .ranking import estimated_bytes, fits_broadcast
 
 MAX_QUERY_BYTES = 16 << 20    # query vectors broadcast to a scan; more are joined by pivots
-LOOKUP_BROADCAST_KEYS = 1_000_000
 
 # --- fixed values: the analogy task sentence of the report ---------------------
 TASK_FORMAT = " '%s' is to '%s' as '%s' is to ?"
@@ -34,11 +34,12 @@ TASK_FORMAT = " '%s' is to '%s' as '%s' is to ?"
 def lookup_small(keys: DataFrame, big: DataFrame, on: list[str]) -> DataFrame:
     """Left join a small key table to a big table without shuffling the big one.
 
-    The distinct keys are broadcast (their count is checked) into an inner join that
+    The distinct keys are broadcast (their bytes are measured) into an inner join that
     streams ``big``; the few matching rows are then left-joined back onto ``keys``.
     """
     k = keys.select(*on).distinct()
-    if k.count() > LOOKUP_BROADCAST_KEYS:
+    width = [F.coalesce(F.length(c), F.lit(0)) if t == "string" else F.lit(8) for c, t in k.dtypes]
+    if not fits_broadcast(k, sum(width[1:], width[0])):
         return keys.join(big, on, "left")
     hits = big.join(F.broadcast(k), on, "inner")
     return keys.join(hits, on, "left")
@@ -52,12 +53,13 @@ def materialize_small(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def embed(words: DataFrame, vocab: DataFrame, emb: DataFrame, models: list[str]) -> DataFrame:
+def embed(words: DataFrame, vocab: DataFrame | None, emb: DataFrame, models: list[str]) -> DataFrame:
     """``words`` (with a ``word`` column) -> + ``word_id``, ``model``, ``vec``.
 
-    One output row per input row and model; unknown words keep ``word_id``/``vec`` null.
+    One output row per input row and model; unknown words keep ``word_id``/``vec`` null. Without ``vocab`` the ids are
+    there already.
     """
-    w = lookup_small(words, vocab.select("word", "word_id"), ["word"])
+    w = words if vocab is None else lookup_small(words, vocab.select("word", "word_id"), ["word"])
     w = w.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
     return lookup_small(w, emb.select("model", F.col("word_id").cast(w.schema["word_id"].dataType)
                                       .alias("word_id"), "vec"), ["model", "word_id"])
@@ -87,7 +89,6 @@ def filter_correct(report: DataFrame) -> DataFrame:
 
 def _collect_queries(queries: DataFrame, target_col: str | None = None) -> dict[str, dict] | None:
     """The queries by model, or None where they take more than ``MAX_QUERY_BYTES``."""
-    from .ranking import estimated_bytes
     excl = F.coalesce(F.size("exclude"), F.lit(0))
     if estimated_bytes(queries, (F.coalesce(F.size("qvec"), F.lit(0)) + excl) * 8) > MAX_QUERY_BYTES:
         return None

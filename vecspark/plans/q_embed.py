@@ -176,11 +176,14 @@ SELECT qid, role, word, word_id, model, CAST(len(vec) AS INTEGER) AS dim, round(
        round(sqrt(list_dot_product(vec, vec)), 6) AS norm
 FROM looked"""))
 def embedding_lookup(spark, sf):
-    vocab, sets = word_sets(spark, sf)
+    """Ids are looked up first; vectors are made for the found ids alone."""
+    vocab = C.staged_vocab(spark, sf)[2]
     roles = word_questions(spark).select("qid", F.explode(F.array(*[
         F.struct(F.lit(r).alias("role"), F.col(r).alias("word")) for r in "abcd"])).alias("_r")) \
         .select("qid", "_r.role", "_r.word")
-    out = E.embed(roles, vocab, sets, list(WORD_SETS))
+    known = E.materialize_small(E.lookup_small(roles, vocab.select("word", "word_id"), ["word"]))
+    sets = E.formula_vectors(known.where("word_id is not null").select("word_id").distinct(), "word_id", WORD_SETS)
+    out = E.embed(known, None, sets, list(WORD_SETS))
     return out.select("qid", "role", "word", "word_id", "model", F.size("vec").alias("dim"),
                       F.round(V.vsum("vec"), 6).alias("vsum"), F.round(V.norm("vec"), 6).alias("norm")) \
         .withColumn("dim", F.when(F.col("dim") >= 0, F.col("dim")))  # size(null) is -1
@@ -307,6 +310,27 @@ def embeddings_by_model(spark, sf):
     return _set_summary(IO.load_embeddings(spark, _saved_sets(spark, sf), ["EMB_64", "F_300"]))
 
 
+_BUCKET = 64
+
+
+@register("saved_lookup", "WITH " + EMB_SQL + """
+, k AS (SELECT DISTINCT q.qid, r.role, r.word FROM questions q, unnest([{'role': 'a', 'word': a}, {'role': 'b', 'word': b}, {'role': 'c', 'word': c}, {'role': 'd', 'word': d}]) AS u(r)
+        UNION ALL SELECT 99, 'x', '-5')
+SELECT k.qid, k.role, CAST(k.word AS BIGINT) AS word_id, s.model, CAST(len(s.vec) AS INTEGER) AS dim, round(list_sum(s.vec), 6) AS vsum
+FROM (SELECT * FROM k CROSS JOIN (SELECT unnest(['EMB_64', 'F_300']) AS m)) k
+LEFT JOIN sets s ON s.word_id = CAST(k.word AS BIGINT) AND s.model = k.m""".replace("r.role, r.word", "u.r.role, u.r.word").replace("s.model, CAST(len", "k.m AS model, CAST(len"))
+def saved_lookup(spark, sf):
+    """The questions' vectors from a saved set, of which only the buckets that hold them are read."""
+    path = scratch_path(spark, "embedding-buckets")
+    IO.save_embeddings(emb_sets(spark, sf), path, bucket=_BUCKET)
+    roles = fixture_questions(spark).select("qid", F.explode(F.array(*[
+        F.struct(F.lit(r).alias("role"), F.col(r).cast("long").alias("word_id")) for r in "abcd"])).alias("_r")).select("qid", "_r.role", "_r.word_id")
+    roles = roles.unionByName(spark.createDataFrame([(99, "x", -5)], "qid int, role string, word_id long"))
+    keys = roles.withColumn("model", F.explode(F.array(F.lit("EMB_64"), F.lit("F_300"))))
+    out = IO.lookup_embeddings(spark, path, keys, bucket=_BUCKET)
+    return out.select("qid", "role", "word_id", "model", F.when(F.col("vec").isNotNull(), F.size("vec")).alias("dim"), F.round(V.vsum("vec"), 6).alias("vsum"))
+
+
 @register("ranking_report", _emb_with(DIST_SQL + """
 SELECT qid, model, word_id, round(dist, 6) AS dist, CAST(rk AS INTEGER) AS rank FROM ranked WHERE rk <= 100"""))
 def ranking_report(spark, sf):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import layers as L
 from ..operators import tensor as TS
+from ..operators import tiles as TI
 from . import nets as N
 from .q_embed import EMB_SQL, emb_sets
 from .registry import register
@@ -69,19 +70,13 @@ def relu(spark, sf):
     return y.select("vec_id", F.posexplode("y").alias("row", "y")).withColumn("y", F.round("y", 6))
 
 
-def _images_long(spark, sf):
-    lg = TS.to_long(emb(spark, sf), "vec_id", "embedding")
-    return lg.select(F.col("vec_id").alias("id"), F.lit(0).alias("ch"), F.expr("cast(pos div 8 as int)").alias("y"),
-                     F.expr("cast(pos % 8 as int)").alias("x"), F.col("v").cast("double").alias("v"))
-
-
-def _conv1_kernel(spark):
-    p = L.formula_params(spark, {"w": N.CNN_SPEC["conv1.weight"]})
-    k = p.select(F.col("row").alias("out_ch"), F.posexplode("vec").alias("j", "w")) \
-        .select("out_ch", F.lit(0).alias("ch"), F.expr("j div 3").alias("ky"), F.expr("j % 3").alias("kx"), "w")
-    b = L.formula_params(spark, {"b": N.CNN_SPEC["conv1.bias"]}) \
-        .select(F.posexplode("vec").alias("out_ch", "b"))
-    return k, b
+def _conv1(spark, sf, *layers):
+    """First convolution of the small images and what follows, inside the row; ``side`` is the output's edge."""
+    out = L.apply_network(emb(spark, sf), "embedding", [("reshape", (1, 8, 8)), ("conv", "conv1", 3), *layers], cnn_params(spark), ["vec_id"], with_pred=False)
+    side = 3 if layers else 6
+    return out.select(F.col("vec_id").alias("id"), F.posexplode("scores").alias("p", "v")).select(
+        "id", F.expr(f"cast(p div {side * side} as int)").alias("ch"), F.expr(f"cast((p div {side}) % {side} as int)").alias("y"),
+        F.expr(f"cast(p % {side} as int)").alias("x"), F.round("v", 6).alias("v"))
 
 
 CONV_SQL_HEAD = "WITH " + N.CNN_SQL + "\n"
@@ -91,17 +86,47 @@ CONV_SQL_HEAD = "WITH " + N.CNN_SQL + "\n"
 SELECT c1.vec_id AS id, CAST(c1.ch AS INTEGER) AS ch, CAST(c1.y AS INTEGER) AS y, CAST(c1.x AS INTEGER) AS x, round(c1.s + bb1.b, 6) AS v
 FROM c1 JOIN bb1 ON bb1.o = c1.ch""")
 def conv2d(spark, sf):
-    k, b = _conv1_kernel(spark)
-    out = L.conv2d_long(_images_long(spark, sf), k, b, 8, 8, 3)
-    return out.withColumn("v", F.round("v", 6))
+    return _conv1(spark, sf)
 
 
 @register("max_pool", CONV_SQL_HEAD + """
 SELECT vec_id AS id, CAST(ch AS INTEGER) AS ch, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, round(v, 6) AS v FROM p1""")
 def max_pool(spark, sf):
-    k, b = _conv1_kernel(spark)
-    c = L.conv2d_long(_images_long(spark, sf), k, b, 8, 8, 3).withColumn("v", F.greatest("v", F.lit(0.0)))
-    return L.max_pool_long(c, 6, 6, 2).withColumn("v", F.round("v", 6))
+    return _conv1(spark, sf, ("relu",), ("pool", 2))
+
+
+#: The whole table as one image, a pixel row a vector: taller than any row of a table.
+TALL_SQL = f"""WITH px AS (SELECT vec_id AS y, generate_subscripts(embedding, 1) - 1 AS x, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+k1 AS (SELECT o, j // 3 AS ky, j % 3 AS kx, w FROM (
+         SELECT r AS o, unnest(range(9)) AS j, unnest({N.f('1 + r', 9)}) AS w FROM range(3) t(r))),
+bb AS (SELECT generate_subscripts(b, 1) - 1 AS o, unnest(b) AS b FROM (SELECT {N.f('5', 3)} AS b)),
+size AS (SELECT max(y) + 1 AS h FROM px),
+c AS (SELECT k.o AS ch, p.y - k.ky AS y, p.x - k.kx AS x, sum(p.v * k.w) + any_value(bb.b) AS v
+      FROM px p CROSS JOIN k1 k JOIN bb ON bb.o = k.o CROSS JOIN size WHERE p.y - k.ky BETWEEN 0 AND h - 3 AND p.x - k.kx BETWEEN 0 AND 61
+      GROUP BY ALL)
+"""
+TALL_SPEC = {"w.weight": (3, 9, 1), "w.bias": (1, 3, 5)}
+
+
+def _tall(spark, sf):
+    return emb(spark, sf).select(F.lit(0).cast("long").alias("id"), F.lit(0).alias("ch"), F.col("vec_id").cast("int").alias("y"), F.lit(0).alias("x0"),
+                                 F.col("embedding").cast("array<double>").alias("vec"))
+
+
+def _tall_conv(spark, sf, **more):
+    p = L.collect_params(L.formula_params(spark, TALL_SPEC))
+    return TI.conv2d_tiles(_tall(spark, sf), p["w.weight"].reshape(3, 1, 3, 3), p["w.bias"], tile=32, **more)
+
+
+@register("conv2d_tiled", TALL_SQL + "SELECT CAST(ch AS INTEGER) AS ch, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, round(v, 6) AS v FROM c")
+def conv2d_tiled(spark, sf):
+    return TI.pixels(_tall_conv(spark, sf)).select("ch", "y", "x", F.round("v", 6).alias("v"))
+
+
+@register("max_pool_tiled", TALL_SQL + """SELECT CAST(ch AS INTEGER) AS ch, CAST(y // 2 AS INTEGER) AS y, CAST(x // 2 AS INTEGER) AS x, round(max(greatest(v, 0.0)), 6) AS v
+FROM c CROSS JOIN size WHERE y < (h - 2) // 2 * 2 GROUP BY ch, y // 2, x // 2""")
+def max_pool_tiled(spark, sf):
+    return TI.pixels(_tall_conv(spark, sf, relu=True, pool=2)).select("ch", "y", "x", F.round("v", 6).alias("v"))
 
 
 @register("batch_norm", """

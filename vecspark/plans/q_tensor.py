@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vec as V
 from ..functions.vec import formula_sql
+from ..operators import blocks as B
 from ..operators import embed as E
 from ..operators import metrics as M
 from ..operators import softmax as SM
@@ -45,6 +46,20 @@ def reshape(spark, sf):
     return r.select("vec_id", "i0", "i1", F.round(F.col("v").cast("double"), 6).alias("v"))
 
 
+@register("reshape_rows", LONG + """, n AS (SELECT count(*) AS n FROM embeddings)
+SELECT (vec_id * 64 + pos) // (2 * n) AS row, (vec_id * 64 + pos) % (2 * n) AS col, round(CAST(v AS DOUBLE), 6) AS v FROM lg, n""")
+def reshape_rows(spark, sf):
+    """N x 64 as 32 rows of 2 N: rows that grow with the table, in blocks."""
+    e = emb(spark, sf)
+    blocks = B.reshape_rows(e, "vec_id", "embedding", 64, e.count(), new_rows=32, size=256)
+    return B.cells(blocks, 256).select("row", "col", F.round("v", 6).alias("v"))
+
+
+@register("transpose_rows", LONG + "SELECT CAST(pos AS BIGINT) AS row, vec_id AS col, round(CAST(v AS DOUBLE), 6) AS v FROM lg")
+def transpose_rows(spark, sf):
+    return B.cells(B.transpose_rows(emb(spark, sf), "vec_id", "embedding", 64, size=128), 128).select("row", "col", F.round("v", 6).alias("v"))
+
+
 @register("shape_facts", "SELECT count(*) AS n_rows, max(len(embedding)) AS n_cols, 2 AS rank, "
           "CAST(sum(len(embedding)) AS BIGINT) AS numel, min(len(embedding)) = max(len(embedding)) AS uniform FROM embeddings")
 def shape_facts(spark, sf):
