@@ -23,3 +23,10 @@ def test_analogy_and_regression_facts(spark, registry):
     assert rep[" '6' is to '7' as '8' is to ?"] == ("442", 0.381953)
     ols = Q["linear_regression"](spark, SF).first()
     assert (ols.slope, ols.intercept) == (7.161722, 52872.347339) and abs(ols.r2 - 1.18e-5) < 1e-7
+
+
+def test_some_analogies_hold_and_some_do_not(spark, registry):
+    Q = registry.QUERIES
+    rep = Q["analogy_report_pairs"](spark, SF).collect()
+    assert {r.embedding for r in rep if r.correct} == {"PAIRS_50"} and sum(r.correct for r in rep) == 9 and len(rep) == 18
+    assert Q["analogy_correct_only"](spark, SF).count() == 9

@@ -233,15 +233,18 @@ def evaluate_analogies(questions: DataFrame, vocab: DataFrame, emb: DataFrame,
         F.coalesce(F.col("predicted_word") == F.col("d"), F.lit(False)).alias("correct"))
 
 
-def formula_vectors(ids: DataFrame, id_col: str, dims: dict[str, int]) -> DataFrame:
+def formula_vectors(ids: DataFrame, id_col: str, dims: dict[str, int], pairs: int | None = None) -> DataFrame:
     """Formula-made vector sets ``<model, word_id, vec>``, one set per ``{model: dim}``,
-    generated per Arrow batch with NumPy (identical doubles to the SQL formula)."""
+    generated per Arrow batch with NumPy (identical doubles to the SQL formula). With ``pairs`` the ids 2i and 2i + 1 get the formula's
+    vector of i, the odd one shifted by that of ``pairs``: analogies between pairs hold."""
     out = None
     for model, dim in dims.items():
         def gen(batches, dim=dim, model=model):
             for b in batches:
                 a = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                M = V.formula_matrix_np(a, dim)
+                M = V.formula_matrix_np(a if pairs is None else a // 2, dim)
+                if pairs is not None:
+                    M = M + (a % 2)[:, None] * V.formula_matrix_np(np.array([pairs]), dim)
                 yield pa.RecordBatch.from_arrays([pa.array([model] * len(a), pa.string()), pa.array(a), from_matrix(M)],
                                                  names=["model", "word_id", "vec"])
         part = ids.select(F.col(id_col).cast("long").alias(id_col)).mapInArrow(

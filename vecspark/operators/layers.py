@@ -20,6 +20,7 @@ from ..functions import vec as V
 from ..functions.arrow import from_matrix, to_matrix
 
 MAX_PARAM_BYTES = 1 << 30    # parameters collected to the driver and broadcast
+ROWS = 256    # rows that go through a network at a time
 
 
 # ------------------------------------------------------------------ parameter table
@@ -74,9 +75,7 @@ def apply_network(df: DataFrame, vec_col: str, layers: list[tuple], params: dict
 
     def kernel(batches):
         lay, prm = bc.value
-        for b in batches:
-            if b.num_rows == 0:
-                continue
+        for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             X, valid = to_matrix(b.column(vec_col))
             S = None
             if valid.any():

@@ -166,9 +166,42 @@ def analogy_report_words(spark, sf):
     return E.evaluate_analogies(word_questions(spark), vocab, sets, list(WORD_SETS))
 
 
-@register("analogy_correct_only", _word_with("SELECT * FROM report WHERE correct"))
+#: Questions on the most frequent words: the pair (2i, 2i + 1) of ids to the pair (2i + 18, 2i + 19), i from 1 to 9.
+PAIR_SETS = {"PAIRS_50": 50, "F_50": 50}
+_SHIFT = 77
+
+
+PAIR_SQL = ",\n".join([
+    CORPUS,
+    f"""sets AS (SELECT 'PAIRS_50' AS model, word_id, list_transform(list_zip({formula_sql('word_id // 2', 50)}, {formula_sql(str(_SHIFT), 50)}),
+                         lambda t: t[1] + (word_id % 2) * t[2]) AS vec FROM vocab
+        UNION ALL SELECT 'F_50', word_id, {formula_sql('word_id', 50)} FROM vocab)""",
+    "wv AS (SELECT word, word_id FROM vocab)",
+    """questions AS (SELECT CAST(i AS INTEGER) AS qid, 'pair ' || i AS relationship, a.word AS a, b.word AS b, c.word AS c, d.word AS d
+        FROM range(1, 10) t(i) JOIN vocab a ON a.word_id = 2 * i JOIN vocab b ON b.word_id = 2 * i + 1
+        JOIN vocab c ON c.word_id = 2 * i + 18 JOIN vocab d ON d.word_id = 2 * i + 19)""",
+])
+
+
+def pair_report(spark, sf):
+    vocab = C.staged_vocab(spark, sf)[2]
+    word = {r["word_id"]: r["word"] for r in vocab.where("word_id < 40").collect()}
+    rows = [(i, f"pair {i}", *(word[2 * i + k] for k in (0, 1, 18, 19))) for i in range(1, 10)]
+    questions = spark.createDataFrame(rows, "qid int, relationship string, a string, b string, c string, d string")
+    sets = E.formula_vectors(vocab.select("word_id"), "word_id", {"PAIRS_50": 50}, pairs=_SHIFT).unionByName(
+        E.formula_vectors(vocab.select("word_id"), "word_id", {"F_50": 50}))
+    return E.evaluate_analogies(questions, vocab, sets, list(PAIR_SETS))
+
+
+@register("analogy_report_pairs", "WITH " + PAIR_SQL + ANALOGY_CORE + "SELECT * FROM report")
+def analogy_report_pairs(spark, sf):
+    """Analogies that hold in one set of vectors and not in the other."""
+    return pair_report(spark, sf)
+
+
+@register("analogy_correct_only", "WITH " + PAIR_SQL + ANALOGY_CORE + "SELECT * FROM report WHERE correct")
 def analogy_correct_only(spark, sf):
-    return E.filter_correct(analogy_report_words(spark, sf))
+    return E.filter_correct(pair_report(spark, sf))
 
 
 @register("embedding_lookup", _word_with("""

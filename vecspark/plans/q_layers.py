@@ -17,17 +17,15 @@ def emb(spark, sf):
     return spark.read.parquet(f"{sf}/embeddings.parquet")
 
 
-def mlp_params(spark):
-    return L.collect_params(L.formula_params(spark, N.MLP_SPEC))
-
-
-def cnn_params(spark):
-    return L.collect_params(L.formula_params(spark, N.CNN_SPEC))
+def params(spark, spec):
+    p = L.collect_params(L.formula_params(spark, spec))
+    return {k: v + N.VARIANCE if k.endswith("running_var") else v for k, v in p.items()}
 
 
 def score(spark, sf, net: str):
-    layers, params = (N.MLP_LAYERS, mlp_params(spark)) if net == "mlp" else (N.CNN_LAYERS, cnn_params(spark))
-    return L.apply_network(emb(spark, sf), "embedding", layers, params, ["vec_id", "label"])
+    layers, spec = (N.MLP_LAYERS, N.MLP_SPEC) if net == "mlp" else (N.CNN_LAYERS, N.CNN_SPEC)
+    images = emb(spark, sf).select("vec_id", "label", N.image("embedding").alias("image"))
+    return L.apply_network(images, "image", layers, params(spark, spec), ["vec_id", "label"])
 
 
 def _scores_long(df):
@@ -45,6 +43,9 @@ def score_cnn(spark, sf):
     return _scores_long(score(spark, sf, "cnn"))
 
 
+LINEAR_SPEC = {"fc1.weight": (16, 64, 1), "fc1.bias": (1, 16, 17)}
+
+
 @register("linear_layer", f"""
 WITH x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
 w1 AS (SELECT r, {N.f('1 + r', 64)} AS w FROM range(16) t(r)),
@@ -52,7 +53,7 @@ b1 AS (SELECT {N.f('17', 16)} AS b)
 SELECT x.vec_id, CAST(w1.r AS INTEGER) AS row, round(list_dot_product(x.x, w1.w) + b1.b[w1.r + 1], 6) AS y
 FROM x CROSS JOIN w1 CROSS JOIN b1""")
 def linear_layer(spark, sf):
-    p = mlp_params(spark)
+    p = params(spark, LINEAR_SPEC)
     y = L.linear(emb(spark, sf), "embedding", p["fc1.weight"], p["fc1.bias"], ["vec_id"])
     return y.select("vec_id", F.posexplode("y").alias("row", "y")).withColumn("y", F.round("y", 6))
 
@@ -64,7 +65,7 @@ b1 AS (SELECT {N.f('17', 16)} AS b)
 SELECT x.vec_id, CAST(w1.r AS INTEGER) AS row, round(greatest(list_dot_product(x.x, w1.w) + b1.b[w1.r + 1], 0.0), 6) AS y
 FROM x CROSS JOIN w1 CROSS JOIN b1""")
 def relu(spark, sf):
-    p = mlp_params(spark)
+    p = params(spark, LINEAR_SPEC)
     y = L.linear(emb(spark, sf), "embedding", p["fc1.weight"], p["fc1.bias"], ["vec_id"])
     y = L.relu(y, "y")
     return y.select("vec_id", F.posexplode("y").alias("row", "y")).withColumn("y", F.round("y", 6))
@@ -72,14 +73,14 @@ def relu(spark, sf):
 
 def _conv1(spark, sf, *layers):
     """First convolution of the small images and what follows, inside the row; ``side`` is the output's edge."""
-    out = L.apply_network(emb(spark, sf), "embedding", [("reshape", (1, 8, 8)), ("conv", "conv1", 3), *layers], cnn_params(spark), ["vec_id"], with_pred=False)
+    out = L.apply_network(emb(spark, sf), "embedding", [("reshape", (1, 8, 8)), ("conv", "conv1", 3), *layers], params(spark, N.CONV_SPEC), ["vec_id"], with_pred=False)
     side = 3 if layers else 6
     return out.select(F.col("vec_id").alias("id"), F.posexplode("scores").alias("p", "v")).select(
         "id", F.expr(f"cast(p div {side * side} as int)").alias("ch"), F.expr(f"cast((p div {side}) % {side} as int)").alias("y"),
         F.expr(f"cast(p % {side} as int)").alias("x"), F.round("v", 6).alias("v"))
 
 
-CONV_SQL_HEAD = "WITH " + N.CNN_SQL + "\n"
+CONV_SQL_HEAD = "WITH " + N.CONV_SQL + "\n"
 
 
 @register("conv2d", CONV_SQL_HEAD + """
