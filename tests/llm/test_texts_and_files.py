@@ -97,7 +97,8 @@ def test_decontamination(spark):
                                   "item_id long, text string")
     docs = [(1, "x ONE two, three four five six seven eight nine ten y"), (2, "a short item"), (3, None), (4, "short, other item"), (5, "item short"),
             (6, "two three four five six seven eight nine ten eleven"), (2, "a short item")]
-    df = spark.createDataFrame(docs, "doc_id long, text string, words string".replace(", words string", ""))
+    df = spark.createDataFrame([(*d, "one two", 9, 9, "t") for d in docs], "doc_id long, text string, words string, uid long, term int, th string")
+    items = items.selectExpr("*", "1 AS win", "'x' AS words", "2 AS item")
     got = sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in decontam.contamination(df, items).collect())
     assert got == [(1, 12, 10, ["1"]), (2, 3, 2, ["2"]), (2, 3, 2, ["2"]), (3, 0, 0, []), (4, 3, 0, []), (5, 2, 0, []), (6, 10, 10, ["1"])]
     staged, win = decontam.stage_words(df), decontam.windows_of(items)
@@ -106,6 +107,63 @@ def test_decontamination(spark):
     assert decontam.contamination(df.where("doc_id < 0"), items).collect() == []
 
 
+def brute_contamination(docs, items, size=10):
+    import re
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else c for c in t or ""))
+    wins = {}
+    for item, t in items:
+        w = words(t)
+        for i in range(max(1, len(w) - size + 1) if w else 0):
+            wins.setdefault(tuple(w[i:i + size]), set()).add(item)
+    out = []
+    for d, t in docs:
+        w = words(t)
+        hit, found = set(), set()
+        for win, own in wins.items():
+            for i in range(len(w) - len(win) + 1):
+                if tuple(w[i:i + len(win)]) == win:
+                    hit |= set(range(i, i + len(win)))
+                    found |= own
+        out.append((d, len(w), len(hit), sorted(str(x) for x in found if x is not None)))
+    return sorted(out, key=repr)
+
+
+def test_decontamination_against_brute_force(spark, monkeypatch):
+    r = np.random.default_rng(12)
+    text = lambda n: " ".join(r.choice(["a", "b", "c", "dd", "Ee", "é", "漢"], n))
+    items = [(i, text(int(r.integers(1, 16)))) for i in range(25)] + [(3, "a b"), (None, text(12)), (90, "a a a"), (91, "same passage here"), (92, "same passage here")]
+    hot = "x same passage here y " + items[5][1]
+    docs = [(i, text(int(r.integers(0, 60)))) for i in range(60)] + [(100 + i, hot) for i in range(40)] + [(7, items[2][1]), (7, items[4][1]), (None, hot)]
+    docs += [(200, " ".join(["a"] * 4000)), (201, text(9000) + " " + items[8][1])]
+    a = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_contamination(docs, items)
+    for limit in (decontam.BROADCAST_BYTES, 0):   # broadcast, and joined by shuffle
+        monkeypatch.setattr(decontam, "BROADCAST_BYTES", limit)
+        assert sorted(((x.doc_id, x.n_words, x.n_hit, x["items"]) for x in decontam.contamination(a, b).collect()), key=repr) == want
+    assert [x["items"] for x in decontam.contamination(a.limit(3), b.limit(0)).collect()] == [[]] * 3
+
+
+def test_proximity_against_brute_force(spark):
+    r = np.random.default_rng(13)
+    docs = [(i, " ".join(r.choice(list("abcdefgh"), int(r.integers(1, 40))))) for i in range(40)]
+    items = [(i, " ".join(r.choice(list("abcdefghi"), 4))) for i in range(12)] + [(50, "a"), (51, "b b")]
+    staged = decontam.stage_words(spark.createDataFrame(docs, "doc_id long, text string"))
+    windows = decontam.windows_of(spark.createDataFrame(items, "item_id long, text string"))
+    index = decontam.Index(staged, windows)
+    got = {(x.doc, x.win, x.start) for x in decontam.proximity_matches(staged, windows, 2, index).collect()}
+    first = {x.win: x.term for x in index.terms.where("place = 0").collect()}
+    names = {x.win: x.words for x in windows.collect()}
+    rarest = {w: names[w][x] for w, x in {x.win: x.off for x in index.terms.where("place = 0").collect()}.items()}
+    want = set()
+    for d, t in docs:
+        w = t.split()
+        for win in first:
+            span = len(names[win]) + 2
+            want |= {(d, win, p) for p, x in enumerate(w) if x == rarest[win] and set(names[win]) <= set(w[max(0, p - span + 1):p + span])}
+    assert got == want and want
+
+
 def test_decontamination_of_rows_without_id(spark, tmp_path):
     import corpus_pipeline as P
     passage = "one two three four five six seven eight nine ten"

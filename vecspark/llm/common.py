@@ -30,6 +30,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Has a scratch table deleted when the application ends."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).deleteOnExit(where)
+
+
 def schema_of(df: DataFrame, *cols: str) -> str:
     """DDL of the named columns, for the output schema of an Arrow function."""
     t = dict(df.dtypes)
