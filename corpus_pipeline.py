@@ -51,7 +51,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ensure_checkpoint_dir(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     hit = decontam.contamination(docs, items).where("n_hit > 0").select("doc_id", "th").distinct()
-    return decontam.join_documents(docs.withColumn("th", F.xxhash64("text")), hit, "left_anti", "doc_id").select(*COLUMNS)
+    return decontam.join_documents(docs.withColumn("th", decontam.text_hash(F.col("text"))), hit, "left_anti", "doc_id").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
