@@ -107,6 +107,74 @@ def test_decontamination(spark):
     assert decontam.contamination(df.where("doc_id < 0"), items).collect() == []
 
 
+def test_chunk_ids_are_the_librarys(spark):
+    """Odd characters, marks next to letters, special tokens, characters that compose; slices of batches; nulls."""
+    import pyarrow as pa
+    c = tokenfile.coder(open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8").read())
+    assert c.by_chunk and c.plain
+    odd = ["a", "Z", "é", "É", "ß", "ÿ", "÷", "'s", "'", "\u0301", "H\u0331", "İ", "Σ", "漢", "1", "٣", ".", "%%", "<|endoftext|>", "<|ENDOFTEXT|>", "<", "|", ">",
+           " ", "  ", "\t", "\n", " ", " ", "\x01", "\x85", "ﬁ", "Ⅷ", "😀", "\u200d", "_", "-", "\x00", "\x1c"]
+    r = np.random.default_rng(2)
+    texts = ["".join(r.choice(odd, int(r.integers(0, 25)))) for _ in range(3000)] + ["word, and (more) words: it's... don't!"] * 3 + [None, ""]
+    held = pa.array(texts)
+    for step in (1, 7, 500):
+        for i in range(0, len(texts), step) if step > 1 else range(0, 400):
+            part = held.slice(i, step)
+            assert [np.frombuffer(x, c.kind).tolist() for x in c.encode(part)] == [c.tok.encode(t or "", add_special_tokens=False).ids for t in part.to_pylist()]
+    clean = pa.array(["Plain Text, with (marks); and words.", "Weiß, Größe: é."] * 50)
+    assert [np.frombuffer(x, c.kind).tolist() for x in c.encode(clean)] == [c.tok.encode(t, add_special_tokens=False).ids for t in clean.to_pylist()]
+
+
+def test_long_units_are_not_remembered():
+    from vecspark.llm.common import Memo
+    asked = []
+    memo = Memo(lambda ks: asked.extend(ks) or [k.encode() for k in ks], len, limit=100_000)
+    for i in range(300):
+        keys = [f"{i}-{j}" + "x" * 10_000 for j in range(10)] + ["often", f"once {i}"]
+        got = memo.of(keys)
+        assert all(got[k] == k.encode() for k in keys)
+        assert sum(map(len, memo.known)) + sum(map(len, memo.old)) < 400_000
+    assert asked.count("often") == 1
+    for i in range(3000):   # generations change; what is asked for stays
+        assert memo.of([f"k{i}", "often"])["often"] == b"often"
+    assert asked.count("often") == 1 and len(memo.known) + len(memo.old) < 1000
+
+
+def test_many_long_units_stay_within_memory():
+    import resource
+    import subprocess
+    import sys
+    code = """
+import resource, sys, random
+import pyarrow as pa
+from vecspark.llm import tokenfile, piece
+from vecspark.llm.queries import tokenizer_file
+random.seed(1)
+c = tokenfile.coder(open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8").read())
+p = piece.coder(open(tokenizer_file("piece_bpe_32k.model"), "rb").read())
+c.encode(pa.array(["warm up"])), p.encode(["warm up"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for i in range(60):
+    units = [("%x" % random.getrandbits(40_000)) for _ in range(20)]
+    c.encode(pa.array(units)), p.encode(units)
+print("GREW", (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=tokenfile.__file__.split("/vecspark/")[0])
+    assert int(out.stdout.split("GREW")[1]) < 120, out.stdout + out.stderr[-500:]
+
+
+def test_token_files_of_null_and_repeated_ids(spark):
+    spec = open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8").read()
+    rows = [(None, f"text {i}", 1, 2) for i in range(30)] + [(4, "same", 1, 2)] * 20 + [(i, f"number {i} " * 40, 1, 2) for i in range(100, 130)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, frame int, uid int").repartition(3)
+    got = tokenfile.read(spark, tokenfile.write(df, spec, end_id=1, block_bytes=300)).orderBy("start").collect()
+    assert [r.doc for r in got] == [None] * 30 + [4] * 20 + list(range(100, 130))
+    starts = np.cumsum([0, *[r.n_tokens for r in got]])
+    assert [r.start for r in got] == starts[:-1].tolist()
+    tok = tokenfile.coder(spec).tok
+    assert sorted(map(tuple, (r.ids for r in got))) == sorted((*tok.encode(t, add_special_tokens=False).ids, 1) for _, t, _, _ in rows)
+
+
 def brute_contamination(docs, items, size=10):
     import re
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else c for c in t or ""))

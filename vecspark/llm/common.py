@@ -73,15 +73,36 @@ def sha256_hex(data: bytes) -> str:
 
 
 class Memo:
-    """Values of strings by ``fill(list of strings)``, remembered for up to ``limit`` of them."""
-
-    def __init__(self, fill, limit: int = 500_000):
-        self.fill, self.limit, self.known = fill, limit, {}
-
-    def of(self, keys: set[str]) -> dict:
-        """A dictionary that has all of ``keys``."""
-        new = [k for k in keys if k not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known, new = {}, list(keys)
-        self.known.update(zip(new, self.fill(new)))
+    """Values of strings by ``fill(list of strings)``, remembered in two generations of at most ``limit`` bytes each, about:
+    a full generation becomes the old one, and what is asked for again moves back from it. Strings longer
+    than ``longest`` are not remembered beyond the call. ``size`` gives a value's bytes."""
+
+    #: Bytes that a remembered string and its value take besides their own.
+    ENTRY = 250
+
+    def __init__(self, fill, size, limit: int = 96 << 20, longest: int = 64):
+        self.fill, self.size, self.limit, self.longest = fill, size, limit, longest
+        self.known, self.old, self.bytes, self.passing = {}, {}, 0, []
+
+    def of(self, keys) -> dict:
+        """A dictionary that has all of ``keys`` (different strings), until the next call."""
+        known, old, size, entry, longest = self.known, self.old, self.size, self.ENTRY, self.longest
+        for k in self.passing:
+            del known[k]
+        keys = list(keys)
+        new = [k for k in keys if k not in known]
+        if old:
+            back = [k for k in new if k in old]
+            known.update([(k, old[k]) for k in back])
+            self.bytes += sum([entry + len(k) + size(old[k]) for k in back])
+            new = [k for k in new if k not in old]
+        made = self.fill(new) if new else []
+        known.update(zip(new, made))
+        self.bytes += sum([entry + len(k) + size(v) for k, v in zip(new, made) if len(k) <= longest])
+        self.passing = [k for k in new if len(k) > longest]
+        if self.bytes > self.limit:
+            # the keys of this call stay in both, as the caller reads them
+            self.old = {k: v for k, v in known.items() if len(k) <= longest}
+            self.known = {k: known[k] for k in keys}
+            self.bytes = sum([entry + len(k) + size(v) for k, v in self.known.items() if len(k) <= longest])
         return self.known

@@ -7,9 +7,17 @@ dictionary is a row of its own beside the blocks. Reading a document takes its b
 only its own frame.
 
 Ids are serialised as little-endian unsigned integers of two bytes when the vocabulary allows,
-else four. Tokenizing is done by the tokenizers library on blank-separated chunks, remembered per
-worker: the normaliser, the splitter and the special tokens of the vocabulary never reach
-across ASCII white space (checked by ``splits_at_spaces``), so the ids are those of the whole text.
+else four. Tokenizing is done by the tokenizers library on blank-separated chunks: the normaliser, the splitter and
+the special tokens of the vocabulary never reach across ASCII white space (checked by ``splits_at_spaces``), so
+the ids are those of the whole text. A batch of texts is split and dictionary-encoded by Arrow kernels, its
+different chunks are looked up in the worker's memory of at most some 200 MB, and the ids are gathered.
+
+Compressed documents are staged once, then range-sorted by (id, text hash), so many rows of one id, or without
+id, are as many ranges as their number asks for, and packed into blocks.
+
+The dictionary is trained on at most ``sample`` different texts of together at most ``sample_bytes``, whole texts in order
+of their hash (a text too long for what is left of the bytes is passed over). Where zstandard finds too little to
+train on, the serialised ids themselves are the dictionary (raw content); without any text it is empty.
 
 Defined results: a null or empty text has only the end id. Equal ids sort by text hash; null ids
 come first. An empty table gives an empty file set. Extra columns are ignored. A very long text
@@ -22,11 +30,13 @@ import hashlib
 import json
 import os
 import re
+import unicodedata
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,48 +66,119 @@ def splits_at_spaces(spec: dict) -> bool:
     return bool(removes and free and kinds <= known and not spec.get("post_processor"))
 
 
+#: Fixed value: the splitter whose pieces inside a chunk are known to ``splits_at_marks``.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SMALL = "a-zß-öø-ÿ"  # small letters that composing and lower-casing leave as they are
+_MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe, and "<", with which added tokens begin
+_EDGE = "([" + _SMALL + "])([" + re.escape(_MARKS) + "])"
+#: Byte-level spelling: printable characters of Latin-1 stand for their own byte, the others, in order, for U+0100 and up.
+_SPELT = {c: 256 + i for i, c in enumerate(c for c in range(256) if not (33 <= c <= 126 or 161 <= c <= 172 or 174 <= c <= 255))}
+
+
+def splits_at_marks(spec: dict) -> bool:
+    """Whether the splitter also cuts between a small letter and an ASCII mark, and takes runs of either as they are."""
+    pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    last = pre[-1]
+    same = len(pre) == 2 and (pre[0].get("pattern") or {}).get("Regex") == WORD_PATTERN
+    byte = last.get("type") == "ByteLevel" and not last.get("add_prefix_space") and not last.get("use_regex")
+    return splits_at_spaces(spec) and same and byte and all(a["content"][0] not in _MARKS for a in spec.get("added_tokens", []))
+
+
 class ChunkCoder:
-    """Serialised ids of texts, by remembered chunks (or whole texts, if chunks are not exact)."""
+    """Serialised ids of texts, by remembered chunks (or whole texts, if chunks are not exact). ``plain`` matches chunks that are
+    runs of small letters or of marks."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec)
         self.kind = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.by_chunk = splits_at_spaces(json.loads(spec))
+        parsed = json.loads(spec)
+        self.by_chunk = splits_at_spaces(parsed)
+        self.added = [a["content"].encode() for a in parsed.get("added_tokens", [])]
         #: the id of a lone control character, which ends up in no other chunk's ids
         bar = self.tok.encode(BAR, add_special_tokens=False).ids
         self.bar = bar[0] if len(bar) == 1 else None
-        self.memo = Memo(self._chunk_ids)
+        self.memo = Memo(self._chunk_ids, len)
+        self.plain = re.compile(f"[{_SMALL}]+|[{re.escape(_MARKS)}]+") if splits_at_marks(parsed) else None
+        if self.plain:
+            # such chunks need no normaliser and no splitter but at the blanks between them
+            self.plain_tok = Tokenizer.from_str(json.dumps(parsed | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.kind) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+    def _plain_ids(self, pieces: list[str]) -> list[bytes]:
+        """Many runs of letters or marks, their bytes spelt as the vocabulary spells them, go through the library as one line."""
+        out = []
+        for i in range(0, len(pieces), 64):
+            some = [p if p.isascii() else p.encode().decode("latin-1").translate(_SPELT) for p in pieces[i:i + 64]]
+            got = self.plain_tok.encode(" ".join(some), add_special_tokens=False)
+            ends = np.searchsorted(np.array(got.word_ids), np.arange(len(some)), "right").tolist()
+            data, w = np.array(got.ids, dtype=self.kind).tobytes(), self.kind.itemsize
+            out += [data[a * w:z * w] for a, z in zip([0, *ends], ends)]
+        return out
+
+    def _joined(self, chunks: list[str]) -> list[bytes]:
         """Many chunks go through the library as one line, a bar after each."""
+        out = []
+        for i in range(0, len(chunks), 512):
+            some = chunks[i:i + 512]
+            ids = np.array(self.tok.encode(f" {BAR} ".join(some) + f" {BAR}", add_special_tokens=False).ids, dtype=self.kind)
+            ends = np.flatnonzero(ids == self.bar).tolist()
+            if len(ends) != len(some):
+                raise ValueError("the bar's id occurs in another chunk")
+            out += [ids[a:z].tobytes() for a, z in zip([0, *[e + 1 for e in ends]], ends)]
+        return out
+
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         if self.bar is None:
             return [i.tobytes() for i in self._ids(chunks)]
         out: dict[str, bytes] = {}
-        plain = [c for c in chunks if BAR not in c]
-        for i in range(0, len(plain), 512):
-            some = plain[i:i + 512]
-            ids = self._ids([f" {BAR} ".join(some) + f" {BAR}"])[0]
-            ends = np.flatnonzero(ids == self.bar)
-            if len(ends) != len(some):
-                raise ValueError("the bar's id occurs in another chunk")
-            out |= {c: ids[a:z].tobytes() for c, a, z in zip(some, np.r_[0, ends[:-1] + 1], ends)}
+        if self.plain:
+            plain = [c for c in chunks if self.plain.fullmatch(c)]
+            out = dict(zip(plain, self._plain_ids(plain)))
+        left = [c for c in chunks if c not in out and BAR not in c]
+        out |= dict(zip(left, self._joined(left)))
         rest = [c for c in chunks if BAR in c]
         out |= {c: i.tobytes() for c, i in zip(rest, self._ids(rest))}
         return [out[c] for c in chunks]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Serialised ids of each text (null: none)."""
         if not self.by_chunk:
-            return [i.tobytes() for i in self._ids(texts)]
-        for blank in "\t\n\v\f\r":
-            texts = [t.replace(blank, " ") for t in texts]
-        parts = [t.split(" ") for t in texts]
-        known = self.memo.of(set().union(*parts))
-        return [b"".join([known[c] for c in p]) for p in parts]
+            return [i.tobytes() for i in self._ids([t or "" for t in texts.to_pylist()])]
+        parts = pc.split_pattern(self._spaced(pc.fill_null(texts, "")), " ")
+        chunks = parts.flatten().dictionary_encode()
+        names = chunks.dictionary.to_pylist()
+        known = self.memo.of(names)
+        ids = [known[c] for c in names]
+        size = np.array([len(i) for i in ids], np.int64) // self.kind.itemsize
+        flat, place = np.frombuffer(b"".join(ids), self.kind), chunks.indices.to_numpy()
+        n = size[place]
+        ends = np.cumsum(n)
+        first = (np.cumsum(size) - size)[place]
+        out = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - n), n)]
+        bounds = np.r_[0, ends][parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        return [out[a:z].tobytes() for a, z in zip(bounds[:-1], bounds[1:])]
+
+    def _spaced(self, texts: pa.Array) -> pa.Array:
+        """The texts with every white space a blank. Where that cannot change their ids (no added token occurs or comes about, and
+        both forms are composed already: the tokenizer composes characters before it lower-cases), A-Z are lower-cased
+        and small letters parted from marks, for fewer different chunks."""
+        texts = texts.cast(pa.string())
+        _, offsets, data = texts.buffers()
+        at = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        raw = b"" if data is None else data[int(at[0]):int(at[-1])].to_pybytes()
+        low = raw.translate(_LOWER)
+        free = not any(a in raw or a in low for a in self.added)
+        free = free and unicodedata.is_normalized("NFC", raw.decode()) and unicodedata.is_normalized("NFC", low.decode())
+        out = pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer((at - at[0]).tobytes()), pa.py_buffer(low if free else raw.translate(_BLANK))])
+        return pc.replace_substring_regex(out, pattern=_EDGE, replacement=r"\1 \2") if free and self.plain else out
+
+
+_BLANK = bytes(32 if 9 <= c <= 13 else c for c in range(256))
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else _BLANK[c] for c in range(256))
 
 
 def coder(spec: str) -> ChunkCoder:
@@ -109,35 +190,43 @@ def coder(spec: str) -> ChunkCoder:
 
 
 def _encoded(batches, spec, end_id):
-    """Record batches (doc, text) -> (doc, bytes of ids) one row at a time, in input order."""
+    """Record batches (.., text) -> (batch, bytes of each text's ids, their type), in input order."""
     c = coder(spec)
     end = np.array([end_id], dtype=c.kind).tobytes()
-    for b in small_batches(batches, 256):
-        yield b, [x + end for x in c.encode([t or "" for t in b.column(b.num_columns - 1).to_pylist()])], c.kind
+    for b in small_batches(batches, 2048):
+        if b.num_rows:
+            yield b, [x + end for x in c.encode(b.column(b.num_columns - 1))], c.kind
 
 
 def train_dictionary(docs: DataFrame, spec: str, end_id: int, text: str = "text", sample: int = 2000,
-                     chars: int = 16384, size: int = 65536) -> bytes:
-    """A dictionary for serialised id arrays, from the ``sample`` documents with the smallest text
-    hash, ``chars`` characters of each: a bounded sample at every input size. Empty if zstandard
-    finds too little to train on."""
+                     sample_bytes: int = 16 << 20, size: int = 65536) -> bytes:
+    """A dictionary for serialised id arrays (see above): a bounded sample at every input size."""
     def run(batches):
-        for _, ids, _ in _encoded(batches, spec, end_id):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
-    few = docs.select(F.xxhash64(text).alias("h"), F.substring(text, 1, chars).alias("t")).orderBy("h").limit(sample)
-    rows = [bytes(r["ids"]) for r in few.select("t").mapInArrow(run, "ids binary").collect()]
+        for b, ids, _ in _encoded(batches, spec, end_id):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["name", "ids"])
+    named = docs.where(F.col(text).isNotNull()).select(F.md5(F.col(text).cast("binary")).alias("name"), F.col(text).alias("t"))
+    few = named.groupBy("name").agg(F.max(F.octet_length("t")).alias("size")).orderBy("name").limit(sample).collect()
+    chosen, left = [], sample_bytes
+    for r in few:
+        if r["size"] <= left:
+            chosen.append((r["name"],))
+            left -= r["size"]
+    if not chosen:
+        return b""
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "name string"))
+    # copies of a text give one row: a bounded number of names, each with one text's ids
+    once = named.join(wanted, "name", "left_semi").mapInArrow(run, "name string, ids binary").dropDuplicates(["name"])
+    rows = sorted(bytes(r["ids"]) for r in once.select("ids").collect())
     try:
-        return zstandard.train_dictionary(size, sorted(rows)).as_bytes()
+        return zstandard.train_dictionary(size, rows).as_bytes()
     except zstandard.ZstdError:
-        return b""
+        return b"".join(rows)[:size]
 
 
 def write(docs: DataFrame, spec: str, end_id: int, path: str | None = None, id_col: str = "doc_id",
           text: str = "text", block_bytes: int = BLOCK_BYTES) -> str:
-    """Tokenize and write all documents in ascending id order; returns the folder.
-
-    Documents are dealt by id range: range bounds are approximate quantiles of the id column, every
-    range is sorted and packed into blocks of about ``block_bytes``."""
+    """Tokenize and write all documents in ascending id order; returns the folder. Every range of ids
+    is packed into blocks of about ``block_bytes``."""
     spark = docs.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     dictionary = train_dictionary(docs, spec, end_id, text)
@@ -145,25 +234,19 @@ def write(docs: DataFrame, spec: str, end_id: int, path: str | None = None, id_c
     width = coder(spec).kind.itemsize
     spark.createDataFrame([(sha, bytearray(dictionary), width)], "dict_sha256 string, dictionary binary, width int") \
         .coalesce(1).write.parquet(f"{path}/dictionary")
-    n = shuffle_partitions(spark)
-    doc = F.col(id_col).cast("long")
-    cuts = docs.select(F.percentile_approx(doc, [i / n for i in range(1, n)] or [0.5], 10000).alias("q")).first()["q"]
-    bounds = np.unique(np.array(cuts or [], dtype=np.int64))
 
     def tokenize(batches):
         d = zstandard.ZstdCompressionDict(dictionary)
         d.precompute_compress(level=3)
         squeeze = zstandard.ZstdCompressor(level=3, dict_data=d).compress
         for b, ids, kind in _encoded(batches, spec, end_id):
-            at = [-1 if x is None else int(np.searchsorted(bounds, x, "right")) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(at, pa.int32()),
-                 pa.array([len(i) // kind.itemsize for i in ids], pa.int64()),
-                 pa.array([squeeze(i) for i in ids], pa.binary())],
-                names=["doc", "th", "range", "n", "frame"])
+                [b.column(0), b.column(1), pa.array([len(i) // kind.itemsize for i in ids], pa.int64()),
+                 pa.array([squeeze(i) for i in ids], pa.binary())], names=["doc", "th", "n", "frame"])
 
-    rows = docs.select(doc.alias("doc"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
-    frames = rows.mapInArrow(tokenize, "doc long, th long, range int, n long, frame binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
+    frames = rows.mapInArrow(tokenize, "doc long, th long, n long, frame binary")
+    staged = frames.withColumn("uid", F.monotonically_increasing_id()).checkpoint()
 
     def pack(batches):
         held: list = []  # (doc, n, frame) of the block being filled
@@ -190,7 +273,9 @@ def write(docs: DataFrame, spec: str, end_id: int, path: str | None = None, id_c
         if held:
             yield block()
 
-    packed = frames.repartition(n, "range").sortWithinPartitions("range", "doc", "th", "n").mapInArrow(pack, BLOCK_DDL)
+    key = ("doc", "th", "n", "uid")
+    dealt = staged.repartitionByRange(shuffle_partitions(spark), *key).sortWithinPartitions(*key)
+    packed = dealt.select("doc", "th", F.spark_partition_id().alias("range"), "n", "frame").mapInArrow(pack, BLOCK_DDL)
     packed.write.option("compression", "none").parquet(f"{path}/blocks")
     return path
 
