@@ -82,27 +82,33 @@ class Memo:
 
     def __init__(self, fill, size, limit: int = 96 << 20, longest: int = 64):
         self.fill, self.size, self.limit, self.longest = fill, size, limit, longest
-        self.known, self.old, self.bytes, self.passing = {}, {}, 0, []
+        self.known, self.old, self.bytes = {}, {}, 0
+
+    def values(self, keys: list[str]) -> list:
+        """The value of each of ``keys`` (different strings)."""
+        known, size, entry, longest = self.known, self.size, self.ENTRY, self.longest
+        out = list(map(known.get, keys))
+        gaps = [i for i, v in enumerate(out) if v is None]
+        if self.old and gaps:
+            back = [(i, self.old.get(keys[i])) for i in gaps]
+            for i, v in back:
+                if v is not None:
+                    out[i] = known[keys[i]] = v
+                    self.bytes += entry + len(keys[i]) + size(v)
+            gaps = [i for i, v in back if v is None]
+        if gaps:
+            new = [keys[i] for i in gaps]
+            made = self.fill(new)
+            for i, k, v in zip(gaps, new, made):
+                out[i] = v
+                if len(k) <= longest:
+                    known[k] = v
+                    self.bytes += entry + len(k) + size(v)
+        if self.bytes > self.limit:
+            self.old, self.known, self.bytes = known, {}, 0
+        return out
 
     def of(self, keys) -> dict:
-        """A dictionary that has all of ``keys`` (different strings), until the next call."""
-        known, old, size, entry, longest = self.known, self.old, self.size, self.ENTRY, self.longest
-        for k in self.passing:
-            del known[k]
+        """A dictionary of all of ``keys`` (different strings) and their values."""
         keys = list(keys)
-        new = [k for k in keys if k not in known]
-        if old:
-            back = [k for k in new if k in old]
-            known.update([(k, old[k]) for k in back])
-            self.bytes += sum([entry + len(k) + size(old[k]) for k in back])
-            new = [k for k in new if k not in old]
-        made = self.fill(new) if new else []
-        known.update(zip(new, made))
-        self.bytes += sum([entry + len(k) + size(v) for k, v in zip(new, made) if len(k) <= longest])
-        self.passing = [k for k in new if len(k) > longest]
-        if self.bytes > self.limit:
-            # the keys of this call stay in both, as the caller reads them
-            self.old = {k: v for k, v in known.items() if len(k) <= longest}
-            self.known = {k: known[k] for k in keys}
-            self.bytes = sum([entry + len(k) + size(v) for k, v in self.known.items() if len(k) <= longest])
-        return self.known
+        return dict(zip(keys, self.values(keys)))

@@ -151,8 +151,7 @@ class ChunkCoder:
         parts = pc.split_pattern(self._spaced(pc.fill_null(texts, "")), " ")
         chunks = parts.flatten().dictionary_encode()
         names = chunks.dictionary.to_pylist()
-        known = self.memo.of(names)
-        ids = [known[c] for c in names]
+        ids = self.memo.values(names)
         size = np.array([len(i) for i in ids], np.int64) // self.kind.itemsize
         flat, place = np.frombuffer(b"".join(ids), self.kind), chunks.indices.to_numpy()
         n = size[place]
@@ -202,21 +201,20 @@ def train_dictionary(docs: DataFrame, spec: str, end_id: int, text: str = "text"
                      sample_bytes: int = 16 << 20, size: int = 65536) -> bytes:
     """A dictionary for serialised id arrays (see above): a bounded sample at every input size."""
     def run(batches):
-        for b, ids, _ in _encoded(batches, spec, end_id):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["name", "ids"])
-    named = docs.where(F.col(text).isNotNull()).select(F.md5(F.col(text).cast("binary")).alias("name"), F.col(text).alias("t"))
-    few = named.groupBy("name").agg(F.max(F.octet_length("t")).alias("size")).orderBy("name").limit(sample).collect()
+        for _, ids, _ in _encoded(batches, spec, end_id):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
+    named = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("h"), F.col(text).alias("t"))
+    few = named.groupBy("h").agg(F.max(F.octet_length("t")).alias("size")).orderBy("h").limit(sample).collect()
     chosen, left = [], sample_bytes
     for r in few:
         if r["size"] <= left:
-            chosen.append((r["name"],))
+            chosen.append((r["h"],))
             left -= r["size"]
     if not chosen:
         return b""
-    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "name string"))
-    # copies of a text give one row: a bounded number of names, each with one text's ids
-    once = named.join(wanted, "name", "left_semi").mapInArrow(run, "name string, ids binary").dropDuplicates(["name"])
-    rows = sorted(bytes(r["ids"]) for r in once.select("ids").collect())
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "h long"))
+    once = named.where(F.col("h") <= chosen[-1][0]).join(wanted, "h", "left_semi").dropDuplicates(["h"])  # copies merged
+    rows = sorted(bytes(r["ids"]) for r in once.select("t").mapInArrow(run, "ids binary").collect())
     try:
         return zstandard.train_dictionary(size, rows).as_bytes()
     except zstandard.ZstdError:
