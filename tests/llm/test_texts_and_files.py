@@ -23,6 +23,35 @@ def test_language_id(spark):
     assert {r.lang_pred for r in none} == {"und"}
 
 
+def test_language_sizes_against_brute_force(spark):
+    """Every size, score and margin recomputed block by block with zstandard itself, on whole texts."""
+    import zstandard
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.train(docs, bytes_per_lang=40_000)
+    langs = list(model.dictionaries)
+    assert all(0 < len(d) <= 41_000 for d in model.dictionaries.values())
+    make = lambda d: zstandard.ZstdCompressor(level=model.level, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                                              write_content_size=False, write_checksum=False, write_dict_id=False)
+    coders = [make(d) for d in model.dictionaries.values()]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    seen = 0
+    for r in langid.identify(docs, model, keep=("doc_id",)).collect():
+        text = texts[r.doc_id] or ""
+        if not any(c.isalpha() for c in text):
+            assert r.lang_pred == "und"
+            continue
+        data = langid.letters(text)
+        sizes = [sum(len(c.compress(data[i:i + 2048])) for i in range(0, len(data), 2048)) for c in coders]
+        best = min(sizes)
+        rest = sorted(sizes)[1]
+        assert r.lang_pred == langs[sizes.index(best)] and abs(r.margin - (rest - best) / best) < 1e-12
+        assert abs(r.score - 1 / sum(2.0 ** max(best - s, -60) for s in sizes)) < 1e-12 and r.rejected == ((rest - best) / best < 0.002)
+        seen += 1
+    assert seen > 100
+    empty = docs.limit(0)
+    assert langid.identify(empty, model, keep=("doc_id",)).collect() == [] and langid.train(empty).dictionaries == {}
+
+
 def test_language_sample_merges_copies_first(spark):
     texts = [f"text number {i}" for i in range(40)]
     hashes = {r.t: r.h for r in spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "xxhash64(t) h").collect()}

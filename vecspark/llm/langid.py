@@ -7,8 +7,9 @@ over the runner-up is narrow is rejected.
 
 Defined results: a null text, or one without any letter, is ``und``, score 0, rejected. Ties go
 to the language with more labelled rows, rejected. Without training rows
-every document is ``und``. Rows are judged one by one, so repeated rows get repeated results;
-extra columns of the input are ignored. Very long texts cost memory for one block at a time.
+every document is ``und``; a language whose texts are all too long for its bytes has an empty dictionary. Rows are judged one by
+one, so repeated rows get repeated results; extra columns of the input are ignored, an empty table gives no rows. Very long
+texts cost memory for one block at a time.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import schema_of
 
+#: Hash ranges of the sample's first ranking.
+RANGES = 64
 LETTER = regex.compile(r"\p{L}")
 SPACES = re.compile(rb"  +")
 ASCII_LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -38,35 +41,38 @@ def letters(s: str) -> bytes:
 @dataclass(frozen=True)
 class LanguageModel:
     """``dictionaries``: raw bytes by language, most frequent language first. ``block``: bytes
-    compressed at a time at ``level``; a text of up to ``short`` bytes is compressed at
-    ``short_level``, which finds shorter matches. ``min_margin``: smallest share of the best size
-    by which the runner-up must be larger."""
+    compressed at a time at ``level``. ``min_margin``: smallest share of the best size by which the runner-up must be larger."""
     dictionaries: dict[str, bytes]
     block: int = 2048
-    level: int = 3
-    short: int = 300
-    short_level: int = 19
+    level: int = 5
     min_margin: float = 0.002
 
 
 def train(rows: DataFrame, text: str = "text", lang: str = "lang", docs_per_lang: int = 256,
-          chars_per_doc: int = 1024, **options) -> LanguageModel:
+          bytes_per_lang: int = 1 << 18, **options) -> LanguageModel:
     """Fill one dictionary per language from a bounded sample of the labelled rows.
 
-    The sample is the ``docs_per_lang`` distinct texts of each language with the smallest text
-    hash, ``chars_per_doc`` characters of each: the bound holds at every input size. Copies are merged
-    by their hash before the ranking; Spark keeps ``docs_per_lang`` hashes per language and task before
-    the ranking's shuffle, and only the chosen texts are read again.
+    The sample is, of the ``docs_per_lang`` distinct texts of each language with the smallest text hash, those that together
+    take at most ``bytes_per_lang``, whole, in that order (a text too long for what is left is passed over): the bound holds at every
+    input size. Copies are merged by their hash; the smallest hashes are ranked in two steps, per language and
+    hash range, then per language, so a language that most rows have is ranked by many tasks. Only chosen texts are read again.
     """
-    t = rows.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("l is not null and length(t) > 0")
-    t = t.withColumn("h", F.xxhash64("t")).select("l", "h", F.substring("t", 1, chars_per_doc).alias("t"))
-    w = Window.partitionBy("l").orderBy("h")
-    top = t.select("l", "h").distinct().withColumn("k", F.row_number().over(w)).where(F.col("k") <= docs_per_lang)
-    top = t.join(F.broadcast(top.select("l", "h")), ["l", "h"]).groupBy("l", "h").agg(F.min("t").alias("t"))
-    sample: dict[str, list[tuple[int, bytes]]] = {}
-    for r in top.collect():
-        sample.setdefault(r["l"], []).append((r["h"], letters(r["t"])))
+    t = rows.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("l is not null and length(t) > 0").withColumn("h", F.xxhash64("t"))
+    top = t.groupBy("l", "h").agg(F.max(F.octet_length("t")).alias("size")).withColumn("part", F.pmod("h", F.lit(RANGES)))
+    for keys in (("l", "part"), ("l",)):
+        w = Window.partitionBy(*keys).orderBy("h")
+        top = top.withColumn("k", F.row_number().over(w)).where(F.col("k") <= docs_per_lang)
+    chosen, left = [], {}
+    for r in top.select("l", "h", "size").orderBy("l", "h").collect():
+        if r["size"] <= left.setdefault(r["l"], bytes_per_lang):
+            left[r["l"]] -= r["size"]
+            chosen.append((r["l"], r["h"]))
     counts = {r["l"]: r["n"] for r in t.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    sample: dict[str, list[tuple[int, bytes]]] = {k: [] for k in counts}
+    if chosen:
+        wanted = F.broadcast(rows.sparkSession.createDataFrame(chosen, top.select("l", "h").schema))
+        for r in t.join(wanted, ["l", "h"]).groupBy("l", "h").agg(F.min("t").alias("t")).collect():
+            sample[r["l"]].append((r["h"], letters(r["t"])))
     return LanguageModel({k: b"\n".join(t for _, t in sorted(sample[k]))
                           for k in sorted(sample, key=lambda k: (-counts[k], k))}, **options)
 
@@ -74,17 +80,13 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", docs_per_lang
 def _kernel(model: LanguageModel):
     langs = list(model.dictionaries)
 
-    def coders_at(level):
-        out = []
-        for name in langs:
-            d = zstandard.ZstdCompressionDict(model.dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=level)
-            out.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False,
-                                                write_checksum=False, write_dict_id=False).compress)
-        return out
+    def coder(name):
+        d = zstandard.ZstdCompressionDict(model.dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=model.level)
+        return zstandard.ZstdCompressor(level=model.level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress
 
     def run(batches):
-        usual, strong = coders_at(model.level), coders_at(model.short_level)
+        coders = [coder(name) for name in langs]
         for b in batches:
             pred, score, margin, reject = [], [], [], []
             for text in b.column(b.num_columns - 1):
@@ -93,7 +95,6 @@ def _kernel(model: LanguageModel):
                     pred.append("und"), score.append(0.0), margin.append(0.0), reject.append(True)
                     continue
                 data = letters(s)
-                coders = strong if len(data) <= model.short else usual
                 sizes = np.zeros(len(langs))
                 for i in range(0, len(data), model.block):
                     block = data[i:i + model.block]
