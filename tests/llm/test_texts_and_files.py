@@ -73,6 +73,23 @@ def test_url_rules(spark):
     assert got[7] == ("", "", None, "allow") == got[8] and got[10][2] is None
 
 
+def test_wildcard_rules_are_filed_under_their_rarest_token(spark):
+    r = urlfilter.wildcard_rule("^free^*/get/crack*b-c^", "block")
+    assert r.tokens == ("free", "get", "c")
+    rules = [urlfilter.wildcard_rule("^free^*^bonus^", "block"), urlfilter.wildcard_rule("^www^*bets", "allow", 1), *urlfilter.PATTERN_RULES]
+    urls = ["http://free.a.org/x/bonus", "http://free.a.org/x/bonuses", "http://freeway.org/bonus", "http://www.my-bets.org/free/bonus/", "http://a.org/" + "free/" * 5000 + "bonus",
+            "http://free-bets.org", "http://free-betsy.org", "http://www.org/" + "w" * 50_000, None]
+    df = spark.createDataFrame([(i, u, "h", "p", "t") for i, u in enumerate(urls)], "page_id long, url string, host string, path string, token string")
+    got = {x.page_id: (x.rule, x.verdict) for x in urlfilter.judge(df, rules, keep=("page_id",)).collect()}
+    hit = ("wild:^free^*^bonus^", "block")
+    assert got == {0: hit, 1: (None, "allow"), 2: (None, "allow"), 3: ("wild:^www^*bets", "allow"), 4: hit, 5: ("wild:^free^bets^", "block"),
+                   6: (None, "allow"), 7: (None, "allow"), 8: (None, "allow")}
+    tokens = spark.createDataFrame([("free",)] * 9 + [("bonus",)] * 2, "token string")
+    index = {x.rule: x.token for x in urlfilter._index(spark, rules, tokens).collect()}
+    assert index["wild:^free^*^bonus^"] == "bonus" and index["wild:^free^bets^"] == "bets"
+    assert urlfilter.judge(df.limit(0), rules, keep=("page_id",)).collect() == []
+
+
 def test_pieces(spark):
     model = open(tokenizer_file("piece_bpe_32k.model"), "rb").read()
     df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")

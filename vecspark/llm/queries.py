@@ -44,7 +44,8 @@ URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 
 
 def _url_sql() -> str:
-    from .urlfilter import SUBJECTS
+    from .urlfilter import PATTERN_RULES
+    matched = " OR ".join(f"regexp_matches(concat(host, path), '{r.pattern}')" for r in PATTERN_RULES)
     return f"""
 WITH r AS (SELECT page_id, coalesce(CASE WHEN position('://' IN url) > 0 THEN
                regexp_extract(substr(url, position('://' IN url) + 3), '^([^?#]*)', 1) END, '') AS hp FROM pages),
@@ -55,10 +56,9 @@ m AS (SELECT *, CASE
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
-    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
-    regexp_extract_all(concat('/', host, path, '/'), '[0-9A-Za-z]+') AS tokens FROM u)
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM u)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-    WHEN len(list_intersect(tokens, [{", ".join(f"'{w}'" for w in SUBJECTS)}])) > 0 THEN 'block' ELSE 'allow' END AS verdict FROM m"""
+    WHEN {matched} THEN 'block' ELSE 'allow' END AS verdict FROM m"""
 
 
 @query("op3_url_filter", _url_sql())

@@ -6,7 +6,7 @@ the corpus contain. A URL's distinct tokens fetch candidate rules by an equi-joi
 candidates run their expression; the matching rule of the highest priority decides.
 
 Defined results: a null URL, or one without ``://``, has empty host and path and matches only
-rules without tokens. Repeated rows get repeated results; ties between rules go to the higher
+rules without tokens; an empty table gives no rows. A very long URL's different tokens are rows of their own. Repeated rows get repeated results; ties between rules go to the higher
 priority, then the longer rule, then the smaller name. Extra columns of the input are ignored.
 """
 
@@ -44,9 +44,22 @@ def host_rule(rule: str, verdict: str) -> Rule:
                 priority=1)
 
 
-# The method's own rules: each names a subject in a host label or path segment.
+def wildcard_rule(rule: str, verdict: str, priority: int = 0) -> Rule:
+    """A rule in which ``*`` stands for any characters and ``^`` for one that is no letter or digit, or the URL's beginning or
+    end. Its tokens are the literal runs with a separator on both sides."""
+    parts = re.findall(r"[0-9A-Za-z]+|[*^]|[^0-9A-Za-z*^]", rule)
+    edge = lambda i: 0 <= i < len(parts) and parts[i] != "*" and not parts[i][0].isalnum()
+    tokens = [p for i, p in enumerate(parts) if p.isalnum() and edge(i - 1) and edge(i + 1)]
+    pattern = "".join(".*" if p == "*" else "(?:^|[^0-9A-Za-z]|$)" if p == "^" else re.escape(p) for p in parts)
+    return Rule(f"wild:{rule}", pattern, tuple(dict.fromkeys(tokens)), verdict, priority)
+
+
+# The method's own rules: a subject named in a host label or path segment, and combinations of words that are harmless alone.
 SUBJECTS = ("casino", "pills", "viagra", "porn", "xxx", "spam", "betting", "torrent", "warez", "phishing")
 PATTERN_RULES = tuple(Rule(f"subject:{w}", f"(?:^|[^0-9A-Za-z]){w}(?:$|[^0-9A-Za-z])", (w,), "block") for w in SUBJECTS)
+WILD = ("^free^bets^", "^free^*^bonus^", "^cheap^*^online^", "^win^*^prize^", "^download^*/crack*", "^adult^*^video^", "^no^deposit^*", "^earn^*^fast^",
+        "^example^*/en/*^page^*^adult^", "^loans^*^approved^")
+PATTERN_RULES += tuple(wildcard_rule(w, "block") for w in WILD)
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
