@@ -127,7 +127,7 @@ class PieceCoder:
             MARK in p.piece.lstrip(MARK) or p.type == kinds.USER_DEFINED for p in m.pieces)
         #: a line feed that no piece has stays a symbol of its own, so units may also end before it
         self.by_line = self.by_unit and not any("\n" in p.piece for p in m.pieces)
-        self.memo = Memo(self._units, lambda v: len(v[0]) + len(v[1]))
+        self.memo = Memo(self._units, lambda v: len(v[0]) + len(v[1]), limit=64 << 20)
 
     def _units(self, units: list[str]) -> list[tuple[bytes, str]]:
         """(ids as 32-bit integers, ids as text) of units. A unit is given with its first mark, or
