@@ -19,10 +19,23 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 COLUMNS_BUT_TEXT = tuple(c for c in COLUMNS if c != "text")
 
 
+#: Rows of an Arrow batch: texts are long, and a Python worker stays alive, with its memory, for a minute after its stage.
+BATCH_ROWS = 2000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> str:
+    """The shared folder; smaller Arrow batches unless the session asks for smaller ones yet."""
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return ensure_checkpoint_dir(spark)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language is not told apart (null, letterless, or by too narrow a margin).
-    Learns from the labelled documents that are not held out."""
-    ensure_checkpoint_dir(spark)
+    """Drops documents whose language is not told apart (null, letterless, or by too narrow a margin: ties among them).
+    Learns from the labelled documents that are not held out. Repeated rows are judged alike, very long texts whole; an empty
+    table, or one without labels, gives no rows."""
+    prepare(spark)
     model = langid.train(docs.where(~held_out()))
     return langid.identify(docs, model, keep=COLUMNS).where(~F.col("rejected")).select(*COLUMNS)
 
@@ -31,7 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates stays, that of the smallest id (no id comes last). Shingles of
     five words, similarity 0.8. A document is an id and a text, told by their 64-bit hash, and a null id is a value like any
     other: of repeated rows, also wordless ones, one stays; texts that only share an id are apart."""
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     names = keyed.groupBy("key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
     found = setsketch.near_duplicates(keyed, "key", shingle=5, percent=80).select("key", "component_id").distinct()
@@ -47,16 +60,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a word inside a benchmark passage of ten words go."""
-    ensure_checkpoint_dir(spark)
+    """Documents with a word inside a benchmark passage of ten words go; rows are judged one by one, wherever in a long text the
+    passage lies. Without benchmark items all stay."""
+    prepare(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     hit = decontam.contamination(docs, items).where("n_hit > 0").select("doc_id", "th").distinct()
     return decontam.join_documents(docs.withColumn("th", decontam.text_hash(F.col("text"))), hit, "left_anti", "doc_id").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is masked by its kind; all documents stay."""
-    ensure_checkpoint_dir(spark)
+    """Personal data is masked by its kind; all documents stay, repeated rows and null texts (as empty ones are masked: not at all)
+    among them."""
+    prepare(spark)
     out = pii.find(docs, pii.train(docs), keep=COLUMNS_BUT_TEXT, masked=True)
     return out.withColumn("text", F.col("masked")).withColumn(
         "n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))).select(*COLUMNS)
@@ -64,7 +79,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of the whole text, their digests, and the decoded text's."""
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
         model = f.read()
     return piece.encode(docs, model, keep=("doc_id",), outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
@@ -79,7 +94,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; each stage's rows are a table in the shared folder."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = f"{prepare(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
