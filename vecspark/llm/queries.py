@@ -126,19 +126,50 @@ def decontamination(spark, sf_dir):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-@query("op10_suffixes")
+@query("op10_suffixes", r"""
+WITH h AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS t FROM documents),
+n AS (SELECT r, doc_id, t, octet_length(t) AS n FROM h),
+s AS (SELECT r, doc_id, t, unnest(range(1, greatest(1, n - 48))) AS i FROM n),
+k AS (SELECT r, doc_id, i, md5_number(array_slice(t, i, i + 49)) AS win FROM s),
+e AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY win) AS m FROM k) WHERE m < doc_id),
+o AS (SELECT r, i, coalesce(i > lag(i) OVER w + 50, true) AS fresh FROM e WINDOW w AS (PARTITION BY r ORDER BY i)),
+q AS (SELECT r, i, sum(fresh::INT) OVER (PARTITION BY r ORDER BY i) AS run FROM o),
+g AS (SELECT r, run, min(i) AS a, max(i) + 49 AS z FROM q GROUP BY r, run),
+u AS (SELECT r, a, z, coalesce(lag(z) OVER w, 0) AS last, lead(a) OVER w IS NULL AS final FROM g WINDOW w AS (PARTITION BY r ORDER BY a)),
+f AS (SELECT u.r, sum(z - a + 1) AS n_removed, count(*) AS n_spans,
+    string_agg(hex(array_slice(t, last + 1, a - 1)) || CASE WHEN final THEN hex(array_slice(t, z + 1, n)) ELSE '' END, '' ORDER BY a) AS kept
+    FROM u JOIN n ON n.r = u.r GROUP BY u.r)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(CASE WHEN f.r IS NULL THEN t ELSE unhex(kept) END) AS kept_sha256 FROM n LEFT JOIN f USING (r)""")
 def suffixes_query(spark, sf_dir):
     from . import suffixes
     return suffixes.dedup(table(spark, sf_dir, "documents", "doc_id", "text")).drop("kept")
 
 
-@query("op9_setsketch")
+@query("op9_setsketch", r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+d AS (SELECT row_number() OVER () AS r, doc_id, ws FROM w),
+p AS (SELECT r, unnest(range(0, greatest(1, len(ws) - 3))) AS i, ws FROM d WHERE len(ws) > 0),
+s AS (SELECT DISTINCT r, array_to_string(ws[i + 1:i + 4], ' ') AS sh FROM p),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+o AS (SELECT a.r AS x, b.r AS y, count(*) AS k FROM s a JOIN s b USING (sh) WHERE a.r <> b.r GROUP BY ALL),
+l AS (SELECT x, y FROM o JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, l.y FROM reach JOIN l ON l.x = reach.b),
+c AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM d JOIN c USING (r) LEFT JOIN n USING (r)""")
 def setsketch(spark, sf_dir):
     from . import setsketch
     return setsketch.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4)
 
 
-@query("op2_itq")
+@query("op2_itq", r"""
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+ok AS MATERIALIZED (SELECT r, v FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT a.r AS x, b.r AS y FROM ok a JOIN ok b ON a.r <> b.r AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT r AS a, r AS b FROM e UNION SELECT reach.a, l.y FROM reach JOIN l ON l.x = reach.b),
+c AS (SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY a),
+n AS (SELECT x AS r, count(*) AS n_links FROM l GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM e JOIN c USING (r) LEFT JOIN n USING (r)""")
 def itq_query(spark, sf_dir):
     from . import itq
     return itq.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
