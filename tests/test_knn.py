@@ -83,3 +83,34 @@ def test_cosine_of_named_pairs(spark):
     vecs = spark.createDataFrame([("m", 1, [3.0, 4.0]), ("m", 2, [0.0, 0.0])], "model string, word_id long, vec array<double>")
     pairs = spark.createDataFrame([("m", 1, [6.0, 8.0]), ("m", 2, [1.0, 0.0]), ("m", 3, [1.0, 0.0])], "model string, word_id long, qvec array<double>")
     assert {r.word_id: r.sim for r in E.cosine_pairs(pairs, vecs).collect()} == {1: 1.0, 2: 0.0, 3: None}
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+@pytest.mark.parametrize("group", [40 * 40, 40 * 500])
+def test_join_and_ranks_over_many_groups(spark, tables, monkeypatch, metric, group):
+    """Groups of some cells, cells over several groups, several shares of the queries."""
+    vecs, q = frames(spark, tables)
+    for name, value in (("CELL", 16), ("GROUP", group), ("STREAM", 40 * 10), ("TILE", 64), ("VISITORS", 5)):
+        monkeypatch.setattr(knn, name, value)
+    got, want = sorted(map(tuple, knn.knn_join(vecs, q, 8, metric, "exclude").collect())), brute(tables, 8, metric)
+    assert [g[:3] + g[4:] for g in got] == [w[:3] + w[4:] for w in want]
+    target = q.withColumn("target", F.when(F.col("qid") == 500, F.lit(1007)).otherwise(F.col("qid") % 150).cast("long"))
+    ranks = knn.rank_join(vecs, target).collect()
+    whole = {r[:3]: r[4] for r in brute(tables, 10_000, "euclidean", use_exclude=False)}
+    assert len(ranks) == 82 and all(whole[r.qid, r.model, r.target] == r["rank"] for r in ranks)
+
+
+def test_a_query_travels_once_to_a_group(spark):
+    """What is moved grows with queries x groups, not with queries x cells: 20 cells of noise, which no distance rules out, are a few groups."""
+    r = np.random.default_rng(5)
+    vecs = spark.createDataFrame([("m", i, r.standard_normal(30).tolist()) for i in range(400)], "model string, word_id long, vec array<double>")
+    old, knn.CELL = knn.CELL, 20
+    try:
+        cells = knn.Cells(vecs, "euclidean")
+        q = vecs.select(F.col("word_id").alias("qid"), "model", F.col("vec").alias("qvec"), F.lit(None).cast("array<long>").alias("exclude"))
+        fields = "qid long, model string, qvec array<double>, exclude array<long>, cell int, near double, turn int"
+        assert q.mapInArrow(knn._visits(cells.pivots, 5), fields).count() > 10 * 400
+        groups = cells.pivots.held["m"].shape[1]
+        assert groups < 6 and q.mapInArrow(knn._visits(cells.pivots, 5, True), fields).count() == 400 * groups
+    finally:
+        knn.CELL = old

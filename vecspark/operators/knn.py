@@ -3,9 +3,12 @@
 Vectors are dealt to pivots, learned by farthest-first choice on a bounded sample of each model; a pivot's cell is
 known by its row count and covering radius. For a query at distance d of a pivot with radius u every row
 of the cell lies between d - u and d + u (triangle inequality), so a query first visits its nearest
-cell, takes the k-th best there as its limit, and then only the cells whose near side is within it. Query rows
-and cell rows meet by an equi-join on (cell, chunk, block): cells are cut into chunks of about ``CELL`` rows
-and a cell's visitors into blocks of about ``VISITORS``, so neither a crowded cell nor a popular one is one task.
+cell, takes the k-th best there as its limit, and then only the cells whose near side is within it.
+
+Cells travel in groups of neighbours of at most ``GROUP`` bytes of vectors (a larger cell is cut over several). A part is a
+group's rows followed by a share of the queries that visit it: the rows are held as one matrix and the queries stream past it in
+Arrow batches. A query is sent once to a group however many of its cells it visits, so what is moved grows with queries x groups and
+not with queries x cells; a task never holds more than one group.
 
 Cosine is searched in Euclidean space on unit vectors; a zero vector (cosine 0 to everything) is at distance
 sqrt(2) of all others through a coordinate of its own. Distances only choose candidates: the scores returned
@@ -26,8 +29,10 @@ from pyspark.sql import functions as F
 from ..functions.arrow import to_matrix
 from ..session import ensure_checkpoint_dir
 
-#: Rows of a chunk of a cell, visitors of a block, rows pivots are learned from and most pivots (a model).
+#: Rows of a cell, queries scored at a time, rows pivots are learned from and most pivots (a model).
 CELL, VISITORS, SAMPLE, PIVOTS = 4096, 1024, 2048, 256
+#: Bytes of vectors of a group, of the queries that stream past it in a task; scores made at a time.
+GROUP, STREAM, TILE = 128 << 20, 512 << 20, 1 << 21
 
 
 def scores(X: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
@@ -59,26 +64,30 @@ def _squares(A: np.ndarray, B: np.ndarray) -> tuple[np.ndarray, float]:
     return np.maximum(a[:, None] + b[None] - 2 * (A @ B.T), 0.0), slack
 
 
+def _best(ids: np.ndarray, X: np.ndarray, near: np.ndarray, slack: float, q: np.ndarray, k: int, metric: str, exclude) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, scores) of the first ``k`` of the rows, whose squared distances are ``near`` up to ``slack``, ties to the lower id."""
+    if exclude is not None and len(exclude):
+        near = np.where(np.isin(ids, np.asarray(exclude, dtype=np.int64)), np.inf, near)
+    at = np.flatnonzero(np.isfinite(near))
+    if len(at) > k:
+        at = np.flatnonzero(near <= np.partition(near, k - 1)[k - 1] + 2 * slack)
+    s = scores(X[at], q, metric)
+    put = np.lexsort((ids[at], -s if metric == "cosine" else s))[:k]
+    return ids[at][put], s[put]
+
+
 def block_top(ids: np.ndarray, X: np.ndarray, Q: np.ndarray, k: int, metric: str, exclude: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query number, id, score) of the first ``k`` of the rows for each query, ties to the lower id."""
     who, what, score = [], [], []
     mapped = space(X, metric)
-    for a in range(0, len(Q), 256):
-        near, slack = _squares(space(Q[a:a + 256], metric, 1), mapped)
+    step = int(np.clip(TILE // max(1, len(ids)), 1, 256))
+    for a in range(0, len(Q), step):
+        near, slack = _squares(space(Q[a:a + step], metric, 1), mapped)
         for j, row in enumerate(near):
-            q = a + j
-            keep = np.ones(len(ids), bool)
-            if exclude[q] is not None and len(exclude[q]):
-                keep = ~np.isin(ids, np.asarray(exclude[q], dtype=np.int64))
-            row = np.where(keep, row, np.inf)
-            if keep.sum() > k:
-                keep &= row <= np.partition(row, k - 1)[k - 1] + 2 * slack
-            at = np.flatnonzero(keep)
-            s = scores(X[at], Q[q], metric)
-            put = np.lexsort((ids[at], -s if metric == "cosine" else s))[:k]
-            who.append(np.full(len(put), q))
-            what.append(ids[at][put])
-            score.append(s[put])
+            best, s = _best(ids, X, row, slack, Q[a + j], k, metric, exclude[a + j])
+            who.append(np.full(len(best), a + j))
+            what.append(best)
+            score.append(s)
     cat = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
     return cat(who, np.int64), cat(what, np.int64), cat(score, np.float64)
 
@@ -94,11 +103,13 @@ def _farthest_first(Y: np.ndarray, most: int) -> np.ndarray:
 
 @dataclass
 class Pivots:
-    """Per model: points, covering radii and row counts of its cells (at most ``PIVOTS``)."""
+    """Per model: points, covering radii and row counts of its cells (at most ``PIVOTS``), and ``held``: (cells, groups), whether a group
+    has rows of a cell."""
     metric: str
     points: dict[str, np.ndarray]
     radius: dict[str, np.ndarray]
     count: dict[str, np.ndarray]
+    held: dict[str, np.ndarray]
 
     def sides(self, model: str, Q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Squared distances to the pivots, and the near and far sides of their cells; an empty cell is at infinity."""
@@ -108,44 +119,152 @@ class Pivots:
         return tuple(np.where(none, np.inf, x) for x in (sq, lo, hi))
 
 
+def _groups(points: np.ndarray, count: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """(first group, number of groups) of each cell: neighbouring cells share a group of at most ``most`` rows, a larger cell has several."""
+    out: list = [(0, 1)] * len(points)
+    left, at, group, room = set(np.flatnonzero(count)), 0, -1, 0
+    while left:
+        near = _squares(points[at:at + 1], points)[0][0]
+        at = min(left, key=lambda c: (near[c], c))
+        left.remove(at)
+        if count[at] > room:
+            need = -(-int(count[at]) // most)
+            out[at], group = (group + 1, need), group + need
+            room = most - int(count[at]) if need == 1 else 0
+        else:
+            out[at], room = (group, 1), room - int(count[at])
+    return out
+
+
 class Cells:
     """``vectors`` <model, word_id, vec> dealt to cells: ``rows`` is the staged table, ``pivots`` the cells."""
 
     def __init__(self, vectors: DataFrame, metric: str):
         ensure_checkpoint_dir(vectors.sparkSession)
-        staged = vectors.where("vec is not null").select("model", F.col("word_id").cast("long").alias("word_id"), F.col("vec").cast("array<double>").alias("vec"))
-        staged = staged.checkpoint()
-        sizes = {r["model"]: r["n"] for r in staged.groupBy("model").agg(F.count("*").alias("n")).collect()}
+        plain = vectors.where("vec is not null").select("model", F.col("word_id").cast("long").alias("word_id"), F.col("vec").cast("array<double>").alias("vec"))
+        sizes = {r["model"]: r["n"] for r in plain.groupBy("model").agg(F.count("*").alias("n")).collect()}
+        # about 2 * SAMPLE rows a model by a hash of their ids, of these the first SAMPLE: only the sample is sorted
+        share = F.lit(0.0)
+        for m, n in sizes.items():
+            share = F.when(F.col("model") == m, F.lit(2.0 * SAMPLE / n)).otherwise(share)
         first = Window.partitionBy("model").orderBy(F.xxhash64("word_id"), "word_id")
-        few = staged.withColumn("i", F.row_number().over(first)).where(F.col("i") <= SAMPLE).orderBy("model", "i").select("model", "vec").toPandas()
+        few = plain.where(F.pmod(F.xxhash64("word_id"), F.lit(1 << 30)) <= share * (1 << 30))
+        few = few.withColumn("i", F.row_number().over(first)).where(F.col("i") <= SAMPLE).orderBy("model", "i").select("model", "vec").toPandas()
         points = {m: _farthest_first(space(np.stack(g["vec"]), metric), int(np.clip(sizes[m] // CELL, 1, PIVOTS))) for m, g in few.groupby("model")}
 
         def deal(batches):
             for b in batches:
                 for model, rows, X in _by_model(b, "vec"):
+                    if model not in points:  # none of its ids is in the sample
+                        points[model] = space(np.zeros((1, X.shape[1])), metric)
                     near, slack = _squares(space(X, metric), points[model])
                     cell = near.argmin(axis=1)
                     away = np.sqrt(near[np.arange(len(X)), cell] + slack)
                     yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(away), *(c.take(rows) for c in b.columns)],
                                                      names=["cell", "away", *b.schema.names])
-        self.rows = staged.mapInArrow(deal, "cell int, away double, model string, word_id long, vec array<double>").checkpoint()
-        facts = self.rows.groupBy("model", "cell").agg(F.max("away").alias("radius"), F.count("*").alias("n")).collect()
-        self.pivots = Pivots(metric, points, *({m: np.zeros(len(p), kind) for m, p in points.items()} for kind in (np.float64, np.int64)))
+        self.rows = plain.mapInArrow(deal, "cell int, away double, model string, word_id long, vec array<double>").checkpoint()
+        facts = self.rows.groupBy("model", "cell").agg(F.max("away").alias("radius"), F.count("*").alias("n"), F.max(F.size("vec")).alias("d")).collect()
+        width = {r["model"]: r["d"] for r in facts}
+        for m in width.keys() - points.keys():
+            points[m] = space(np.zeros((1, width[m])), metric)
+        self.pivots = Pivots(metric, points, *({m: np.zeros(len(p), kind) for m, p in points.items()} for kind in (np.float64, np.int64)), {})
         for r in facts:
             self.pivots.radius[r["model"]][r["cell"]], self.pivots.count[r["model"]][r["cell"]] = r["radius"], r["n"]
+        self.place, self.bytes = {}, {m: 8 * max(1, width.get(m, 1)) for m in points}
+        weight = {m: int(self.pivots.count[m].sum()) * self.bytes[m] for m in points}
+        tasks = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+        for m in points:
+            # as many groups as shares of the queries, where bytes allow: rows x shares + queries x groups is least so
+            even = max(1, round(np.sqrt(tasks * weight[m] / max(1, sum(weight.values())))))
+            most = max(1, min(GROUP // self.bytes[m], -(-int(self.pivots.count[m].sum()) // even)))
+            self.place[m] = _groups(points[m], self.pivots.count[m], most)
+            self.pivots.held[m] = np.zeros((len(points[m]), max(a + n for a, n in self.place[m])), bool)
+            for c, (a, n) in enumerate(self.place[m]):
+                self.pivots.held[m][c, a:a + n] = self.pivots.count[m][c] > 0
+
+    def parts(self, asked: dict[str, int], everywhere: bool) -> list[tuple[str, int, int]]:
+        """(model, first part of its groups, shares into which a group's visitors are dealt): shares by the model's part of the work, and
+        so many that a part's visitors (all ``asked`` queries if they go ``everywhere``) are of bounded bytes."""
+        held, start, out = self.pivots.held, 0, []
+        work = {m: asked.get(m, 0) * self.bytes[m] * (int(self.pivots.count[m].sum()) if everywhere else 1) for m in held}
+        tasks = (2 if everywhere else 1) * self.rows.sparkSession.sparkContext.defaultParallelism
+        for m in sorted(held):
+            groups = held[m].shape[1]
+            stream = asked.get(m, 0) * self.bytes[m] / (1 if everywhere else groups)
+            out.append((m, start, max(1, int(np.ceil(tasks * work[m] / max(1, sum(work.values())) / groups)), int(np.ceil(stream / STREAM)))))
+            start += out[-1][2] * groups
+        return out
+
+    def meet(self, visits: DataFrame, dealt: list[tuple[str, int, int]], use, schema: str) -> DataFrame:
+        """``use(matrix rows, visitors)`` over each group and the batches of the queries that visit it: ``visits`` has a row for each query and
+        group ("cell")."""
+        spark = self.rows.sparkSession
+        deal = spark.createDataFrame(dealt, "model string, start int, salts int")
+        place = [(m, c, a, n) for m, cells in self.place.items() for c, (a, n) in enumerate(cells)]
+        place = spark.createDataFrame(place, "model string, cell int, first int, chunks int").join(deal, "model")
+        salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+        group = F.col("first") + F.pmod(F.xxhash64("word_id"), F.col("chunks"))
+        here = self.rows.join(F.broadcast(place), ["model", "cell"]).select(
+            "model", F.col("word_id").alias("id"), "vec", "cell", salt.alias("salt"), (F.col("start") + group * F.col("salts")).alias("part"), F.lit(0).alias("side"))
+        here = here.withColumn("part", (F.col("part") + F.col("salt")).cast("int")).drop("salt")
+        part = F.col("start") + F.col("cell") * F.col("salts") + F.pmod(F.xxhash64("qid"), F.col("salts"))
+        there = visits.join(F.broadcast(deal), "model").select("*", part.cast("int").alias("part"), F.lit(1).alias("side")).drop("start", "salts", "cell")
+        there = there.withColumnRenamed("qid", "id").withColumnRenamed("qvec", "vec")
+        model, start, salts = dealt[-1]
+        parts = start + salts * self.pivots.held[model].shape[1]
+        both = here.unionByName(there, allowMissingColumns=True).repartitionById(parts, "part").sortWithinPartitions("part", "side")
+        metric = self.pivots.metric
+
+        def stream(batches):
+            at, block, held = None, None, []
+            for b in batches:
+                part, side = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("part", "side"))
+                cuts = [0, *(np.flatnonzero(np.diff(2 * part + side)) + 1), b.num_rows]
+                for i, j in zip(cuts, cuts[1:]):
+                    if i == j:
+                        continue
+                    if part[i] != at:
+                        at, block, held = part[i], None, []
+                    piece = b.slice(i, j - i)
+                    if side[i] == 0:
+                        held.append((piece.column("id").to_numpy(), piece.column("cell").to_numpy(zero_copy_only=False), to_matrix(piece.column("vec"))[0]))
+                        continue
+                    for a in range(0, piece.num_rows, VISITORS):
+                        some = piece.slice(a, VISITORS)
+                        Q = to_matrix(some.column("vec"))[0]
+                        if block is None:
+                            block, held = Block.of(held, Q.shape[1], metric), []
+                        yield from use(block, some, Q)
+        return both.mapInArrow(stream, schema)
 
-    def meet(self, visits: DataFrame, fn, schema: str) -> DataFrame:
-        """``fn(cell rows, visitors)`` over all pairs of a cell's chunk and a block of its visitors."""
-        sizes = self.rows.groupBy("model", "cell").agg(F.ceil(F.count("*") / CELL).cast("int").alias("chunks"))
-        crowds = visits.groupBy("model", "cell").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("blocks"))
-        both = sizes.join(crowds, ["model", "cell"])  # at most PIVOTS rows a model
-        part = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        here = self.rows.join(F.broadcast(both), ["model", "cell"]).withColumn("chunk", part("word_id", "chunks")).withColumn("block", every("blocks"))
-        there = visits.join(F.broadcast(both), ["model", "cell"]).withColumn("block", part("qid", "blocks")).withColumn("chunk", every("chunks"))
-        key = ["model", "cell", "chunk", "block"]
-        left = here.select(*key, "word_id", "vec").groupBy(*key)
-        return left.cogroup(there.drop("chunks", "blocks").groupBy(*key)).applyInArrow(fn, schema)
+
+@dataclass
+class Block:
+    """A group's rows, a cell after the other: ids, vectors, these in the searched space, and each cell's (number, begin, end)."""
+    ids: np.ndarray
+    X: np.ndarray
+    mapped: np.ndarray
+    cells: list[tuple[int, int, int]]
+
+    @classmethod
+    def of(cls, held: list, dim: int, metric: str) -> Block:
+        ids, cell, X = (np.concatenate(p) for p in zip(*held)) if held else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, dim)))
+        held.clear()
+        put = np.argsort(cell, kind="stable")
+        ids, cell, X = ids[put], cell[put], X[put]
+        cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1), len(cell)] if len(cell) else [0]
+        return cls(ids, X, space(X, metric), [(int(cell[i]), int(i), int(j)) for i, j in zip(cuts, cuts[1:])])
+
+    def near(self, Y: np.ndarray, wanted: np.ndarray):
+        """(queries, begin, end, squared distances, slack) for the cells and some of the queries that want them; ``wanted``: (queries, cells)."""
+        for n, (_, begin, end) in enumerate(self.cells):
+            who = np.flatnonzero(wanted[:, n])
+            for a in range(begin, end, 1 << 16):
+                z = min(end, a + (1 << 16))
+                step = max(1, TILE // (z - a))
+                for i in range(0, len(who), step):
+                    some = who[i:i + step]
+                    yield (some, a, z, *_squares(Y[some], self.mapped[a:z]))
 
 
 def _by_model(b: pa.RecordBatch, vec: str):
@@ -156,8 +275,9 @@ def _by_model(b: pa.RecordBatch, vec: str):
         yield m, pa.array(rows), to_matrix(b.column(vec).take(pa.array(rows)))[0]
 
 
-def _visits(pivots: Pivots, k: int):
-    """Each query with the cells that may hold one of its first ``k``: ``turn`` 0 for the nearest, ``near`` the cell's near side."""
+def _visits(pivots: Pivots, k: int, groups: bool = False):
+    """Each query with the cells that may hold one of its first ``k``: ``turn`` 0 for the nearest, ``near`` the cell's near side.
+    With ``groups`` the groups that have such cells, "cell" being the group's number; the query's ``limit``, if known, counts too."""
     def run(batches):
         for b in batches:
             for model, rows, Q in _by_model(b, "qvec"):
@@ -169,70 +289,149 @@ def _visits(pivots: Pivots, k: int):
                 order = np.argsort(hi, axis=1)
                 filled = np.cumsum(count[order], axis=1) >= want[:, None]
                 limit = np.where(filled.any(axis=1), np.take_along_axis(hi, order, axis=1)[np.arange(len(Q)), filled.argmax(axis=1)], np.inf)
-                i, j = np.nonzero((lo <= limit[:, None]) & np.isfinite(lo) | (np.arange(sq.shape[1])[None] == nearest[:, None]))
+                if "limit" in b.schema.names:
+                    limit = np.fmin(limit, b.column("limit").take(rows).fill_null(np.inf).to_numpy(zero_copy_only=False))
+                home = np.arange(sq.shape[1])[None] == nearest[:, None]
+                going = (lo <= limit[:, None]) & np.isfinite(lo) | home
+                near = lo
+                if groups:
+                    home, going = home @ pivots.held[model], going @ pivots.held[model]
+                    near = np.zeros(going.shape)
+                i, j = np.nonzero(going)
                 for a in range(0, len(i), 4096):
                     at, cell = i[a:a + 4096], j[a:a + 4096]
                     cols = [c.take(rows.take(pa.array(at))) for c in b.columns]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(cell.astype(np.int32)), pa.array(np.maximum(lo[at, cell], 0.0)), pa.array((cell != nearest[at]).astype(np.int32))],
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(cell.astype(np.int32)), pa.array(np.maximum(near[at, cell], 0.0)), pa.array((~home[at, cell]).astype(np.int32))],
                                                      names=[*b.schema.names, "cell", "near", "turn"])
     return run
 
 
-def _top(k: int, metric: str):
-    def run(here: pa.Table, there: pa.Table) -> pa.Table:
-        who, what, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        if here.num_rows and there.num_rows:
-            X, Q = to_matrix(here.column("vec"))[0], to_matrix(there.column("qvec"))[0]
-            who, what, score = block_top(here.column("word_id").to_numpy(), X, Q, k, metric, there.column("exclude").to_pylist())
-        return pa.table({"qid": there.column("qid").combine_chunks().take(pa.array(who)), "model": there.column("model").combine_chunks().take(pa.array(who)),
-                         "word_id": pa.array(what), "score": pa.array(score)})
+def _home(pivots: Pivots):
+    """Each query with the first group of its nearest cell, as "cell"."""
+    def run(batches):
+        for b in batches:
+            for model, rows, Q in _by_model(b, "qvec"):
+                if model in pivots.points:
+                    group = pivots.held[model].argmax(axis=1)[pivots.sides(model, Q)[0].argmin(axis=1)]
+                    yield pa.RecordBatch.from_arrays([*(c.take(rows) for c in b.columns), pa.array(group.astype(np.int32))], names=[*b.schema.names, "cell"])
     return run
 
 
+def _limits(pivots: Pivots, k: int):
+    """The visitors again with ``limit``: a distance in the searched space within which their nearest cell's part here has ``k`` rows; null if it has fewer."""
+    def use(block: Block, t: pa.RecordBatch, Q: np.ndarray):
+        model = t.column("model")[0].as_py()
+        cell = pivots.sides(model, Q)[0].argmin(axis=1)
+        limit, exclude = np.full(len(Q), np.nan), t.column("exclude").to_pylist()
+        found: list[list] = [[] for _ in range(len(Q))]
+        for who, a, z, near, slack in block.near(space(Q, pivots.metric, 1), cell[:, None] == np.array([c for c, _, _ in block.cells], dtype=np.int64)[None]):
+            for q, row in zip(who, near):
+                if exclude[q]:
+                    row = row[~np.isin(block.ids[a:z], np.asarray(exclude[q], dtype=np.int64))]
+                found[q].append((np.partition(row, k - 1)[:k] if len(row) > k else row) + 2 * slack)
+        for q, parts in enumerate(found):
+            best = np.concatenate(parts) if parts else np.zeros(0)
+            if len(best) >= k:
+                limit[q] = np.sqrt(np.partition(best, k - 1)[k - 1]) * (1 + 1e-9) + 1e-6
+        yield pa.RecordBatch.from_arrays([t.column("id"), t.column("model"), t.column("vec"), t.column("exclude"), pa.array(limit, mask=np.isnan(limit))],
+                                         names=["qid", "model", "qvec", "exclude", "limit"])
+    return use
+
+
+def _top(pivots: Pivots, k: int):
+    """The first ``k`` of a group's rows within each visitor's limit."""
+    def use(block: Block, t: pa.RecordBatch, Q: np.ndarray):
+        model, metric, exclude = t.column("model")[0].as_py(), pivots.metric, t.column("exclude").to_pylist()
+        limit = t.column("limit").fill_null(np.inf).to_numpy(zero_copy_only=False)
+        lo = pivots.sides(model, Q)[1]
+        found: list[list] = [[] for _ in range(len(Q))]
+        for who, a, z, near, slack in block.near(space(Q, metric, 1), lo[:, [c for c, _, _ in block.cells]] <= limit[:, None]):
+            i, j = np.nonzero(near <= (limit[who] ** 2)[:, None] + 2 * slack)
+            cuts = np.searchsorted(i, np.arange(len(who) + 1))
+            for n, q in enumerate(who):
+                if cuts[n] < cuts[n + 1]:
+                    at = j[cuts[n]:cuts[n + 1]]
+                    if len(at) > 4 * k + len(exclude[q] or ()):
+                        row = near[n, at]
+                        least = k + len(exclude[q] or ())
+                        at = at[row <= np.partition(row, least - 1)[least - 1] + 2 * slack]
+                    found[q].append((a + at, near[n, at], slack))
+        who, what, score = [], [], []
+        for q, parts in enumerate(found):
+            if parts:
+                at, near = (np.concatenate([p[c] for p in parts]) for c in (0, 1))
+                best, s = _best(block.ids[at], block.X[at], near, max(p[2] for p in parts), Q[q], k, metric, exclude[q])
+                who.append(np.full(len(best), q))
+                what.append(best)
+                score.append(s)
+        if who:
+            at = pa.array(np.concatenate(who))
+            yield pa.RecordBatch.from_arrays([t.column("id").take(at), t.column("model").take(at), pa.array(np.concatenate(what)), pa.array(np.concatenate(score))],
+                                             names=["qid", "model", "word_id", "score"])
+    return use
+
+
 def _plain(queries: DataFrame, exclude_col: str | None) -> DataFrame:
     excl = F.col(exclude_col).cast("array<long>") if exclude_col else F.lit(None).cast("array<long>")
     return queries.where("qvec is not null").select(F.col("qid").cast("long").alias("qid"), "model", F.col("qvec").cast("array<double>").alias("qvec"), excl.alias("exclude"))
 
 
+def _asked(queries: DataFrame) -> dict[str, int]:
+    return {r["model"]: r["n"] for r in queries.groupBy("model").agg(F.count("*").alias("n")).collect()}
+
+
 def knn_join(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "euclidean", exclude_col: str | None = None) -> DataFrame:
     """``<qid, model, word_id, score, rank>``: the first ``k`` vectors of each query's model by ``metric`` (``euclidean``: least
     distance, ``cosine``: largest), without the ids in its array ``exclude_col``. vectors: ``<model, word_id, vec>``;
     queries: ``<qid, model, qvec>``, (qid, model) unique."""
     cells = Cells(vectors, metric)
-    fields = "qid long, model string, qvec array<double>, exclude array<long>, cell int, near double, turn int"
-    visits = _plain(queries, exclude_col).mapInArrow(_visits(cells.pivots, k), fields).checkpoint()
-    out = "qid long, model string, word_id long, score double"
+    pivots = cells.pivots
+    plain = _plain(queries, exclude_col)
+    fields = "qid long, model string, qvec array<double>, exclude array<long>"
+    if not pivots.points:
+        return plain.where("false").select("qid", "model", F.lit(0).cast("long").alias("word_id"), F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
+    asked = _asked(plain)
+    limited = cells.meet(plain.mapInArrow(_home(pivots), f"{fields}, cell int"), cells.parts(asked, False), _limits(pivots, k), f"{fields}, limit double")
+    visits = limited.mapInArrow(_visits(pivots, k, True), f"{fields}, limit double, cell int, near double, turn int").drop("near", "turn")
+    found = cells.meet(visits, cells.parts(asked, True), _top(pivots, k), "qid long, model string, word_id long, score double")
     order = F.col("score").desc() if metric == "cosine" else F.col("score")
     ranked = Window.partitionBy("qid", "model").orderBy(order, "word_id")
-    best = cells.meet(visits.where("turn = 0"), _top(k, metric), out)
-    best = best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).checkpoint()
-    # the k-th of the first cell, as a distance in the searched space
-    away = F.sqrt(F.greatest(2 - 2 * F.col("score"), F.lit(0.0))) if metric == "cosine" else F.col("score")
-    limit = best.where(F.col("rank") == k).select("qid", "model", (away * (1 + 1e-9) + 1e-6).alias("limit"))
-    rest = visits.where("turn > 0").join(limit, ["qid", "model"], "left").where("limit is null or near <= limit").drop("limit")
-    both = best.drop("rank").unionByName(cells.meet(rest, _top(k, metric), out))
-    return both.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
-
-
-def _count_closer(here: pa.Table, there: pa.Table) -> pa.Table:
-    ids, n = here.column("word_id").to_numpy(), []
-    if here.num_rows and there.num_rows:
-        X, Q = to_matrix(here.column("vec"))[0], to_matrix(there.column("qvec"))[0]
-        t, tid = there.column("dist").to_numpy(), there.column("target").to_numpy()
-        for j in range(len(Q)):
-            d = scores(X, Q[j], "euclidean")
-            n.append(int((((d < t[j]) | ((d == t[j]) & (ids < tid[j]))) & (ids != tid[j])).sum()))
-    got = there.select(["qid", "model"]).slice(0, len(n))
-    return pa.table({"qid": got.column("qid"), "model": got.column("model"), "n": pa.array(n, pa.int64())})
+    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+
+
+def _count_closer(pivots: Pivots):
+    """The visitors' keys with the rows of the group that are closer than the target, and those of the groups that need no visit."""
+    def use(block: Block, t: pa.RecordBatch, Q: np.ndarray):
+        model, n = t.column("model")[0].as_py(), t.column("sure").to_numpy().copy()
+        dist, target = t.column("dist").to_numpy(), t.column("target").to_numpy()
+        _, lo, hi = pivots.sides(model, Q)
+        have = [c for c, _, _ in block.cells]
+        within = hi[:, have] < dist[:, None]
+        n += (within * np.array([e - b for _, b, e in block.cells], dtype=np.int64)[None]).sum(axis=1)
+        for who, a, z, near, slack in block.near(Q, ~within & (lo[:, have] <= dist[:, None])):
+            sq = (dist[who] ** 2)[:, None]
+            n[who] += (near < sq - 2 * slack).sum(axis=1)
+            i, j = np.nonzero(np.abs(near - sq) <= 2 * slack)  # too close to tell by a matrix product
+            cuts = np.searchsorted(i, np.arange(len(who) + 1))
+            for x, q in enumerate(who):
+                at = a + j[cuts[x]:cuts[x + 1]]
+                if len(at):
+                    d, ids = scores(block.X[at], Q[q], "euclidean"), block.ids[at]
+                    n[q] += int((((d < dist[q]) | ((d == dist[q]) & (ids < target[q]))) & (ids != target[q])).sum())
+        yield pa.RecordBatch.from_arrays([t.column("id"), t.column("model"), t.column("target"), t.column("dist"), pa.array(n)], names=["qid", "model", "target", "dist", "n"])
+    return use
 
 
 def rank_join(vectors: DataFrame, queries: DataFrame, target_col: str = "target") -> DataFrame:
     """``<qid, model, target, dist, rank>``: rank of each query's target by Euclidean distance, 1 + the vectors that are closer (or
-    as close with a lower id). Cells wholly closer count by their size, cells wholly farther not at all;
-    only those that the target's distance cuts are read. Queries whose target has no vector return nothing."""
+    as close with a lower id). Groups wholly closer count by their size, groups wholly farther not at all;
+    only those that the target's distance cuts are visited. Queries whose target has no vector return nothing."""
     cells = Cells(vectors, "euclidean")
     pivots = cells.pivots
-    q = _plain(queries, None).drop("exclude").join(queries.select(F.col("qid").cast("long").alias("qid"), "model", F.col(target_col).cast("long").alias("target")), ["qid", "model"])
+    q = queries.where("qvec is not null").select(F.col("qid").cast("long").alias("qid"), "model", F.col("qvec").cast("array<double>").alias("qvec"),
+                                                 F.col(target_col).cast("long").alias("target"))
+    if not pivots.points:
+        return q.where("false").select("qid", "model", F.col("target").alias(target_col), F.lit(0.0).alias("dist"), F.lit(1).cast("long").alias("rank"))
     own = cells.rows.select("model", F.col("word_id").alias("target"), F.col("vec").alias("tvec"))
 
     def distance(batches):
@@ -247,22 +446,21 @@ def rank_join(vectors: DataFrame, queries: DataFrame, target_col: str = "target"
         for b in batches:
             for model, rows, Q in _by_model(b, "qvec"):
                 _, lo, hi = pivots.sides(model, Q)
-                t, count = b.column("dist").take(rows).to_numpy()[:, None], pivots.count[model]
-                sure = hi < t
-                cut = (lo <= t) & ~sure
-                total = (sure * count[None]).sum(axis=1)
+                t, count, held = b.column("dist").take(rows).to_numpy()[:, None], pivots.count[model], pivots.held[model]
+                there = count[None] > 0
+                sure = ~(((hi >= t) & there) @ held)  # groups of which no cell reaches to the target's distance
+                cut = (((lo <= t) & there) @ held) & ~sure
+                total = sure[:, held.argmax(axis=1)] @ count  # the groups of a cell cut over several have no other cell
                 i, j = np.nonzero(cut)
-                lead = np.r_[True, i[1:] != i[:-1]] if len(i) else np.zeros(0, bool)  # the target's own cell is always cut
+                lead = np.r_[True, i[1:] != i[:-1]] if len(i) else np.zeros(0, bool)  # the target's own group is always cut
                 for a in range(0, len(i), 4096):
                     at = i[a:a + 4096]
                     cols = [c.take(rows.take(pa.array(at))) for c in b.columns]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(j[a:a + 4096].astype(np.int32)), pa.array(np.where(lead[a:a + 4096], total[at], 0))],
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(j[a:a + 4096].astype(np.int32)), pa.array(np.where(lead[a:a + 4096], total[at], 0).astype(np.int64))],
                                                      names=[*b.schema.names, "cell", "sure"])
 
     fields = "qid long, model string, qvec array<double>, target long, dist double"
     known = q.join(own, ["model", "target"]).select("qid", "model", "qvec", "target", "tvec").mapInArrow(distance, fields)
-    visits = known.mapInArrow(route, f"{fields}, cell int, sure long").checkpoint()
-    counts = cells.meet(visits.drop("sure"), _count_closer, "qid long, model string, n long")
-    total = counts.unionByName(visits.select("qid", "model", F.col("sure").alias("n"))).groupBy("qid", "model").agg(F.sum("n").alias("n"))
-    return visits.select("qid", "model", "target", "dist").distinct().join(total, ["qid", "model"]).select(
-        "qid", "model", F.col("target").alias(target_col), "dist", (F.col("n") + 1).alias("rank"))
+    visits = known.mapInArrow(route, f"{fields}, cell int, sure long")
+    counts = cells.meet(visits, cells.parts(_asked(q), True), _count_closer(pivots), "qid long, model string, target long, dist double, n long")
+    return counts.groupBy("qid", "model", "target", "dist").agg(F.sum("n").alias("n")).select("qid", "model", F.col("target").alias(target_col), "dist", (F.col("n") + 1).alias("rank"))
