@@ -114,3 +114,37 @@ def test_a_query_travels_once_to_a_group(spark):
         assert groups < 6 and q.mapInArrow(knn._visits(cells.pivots, 5, True), fields).count() == 400 * groups
     finally:
         knn.CELL = old
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_every_score_of_a_scan(spark, tables, monkeypatch, metric):
+    vecs, q = frames(spark, tables)
+    want = [w[:4] for w in brute(tables, 10_000, metric)]
+    for limit in (E.MAX_QUERY_BYTES, 0):
+        monkeypatch.setattr(E, "MAX_QUERY_BYTES", limit)
+        got = sorted(map(tuple, E.similarity_scan(vecs, q, metric, None, "exclude").collect()))
+        assert [g[:3] for g in got] == [w[:3] for w in want_by_id(want)]
+        assert np.allclose([g[3] for g in got], [w[3] for w in want_by_id(want)], atol=1e-12)
+
+
+def want_by_id(want):
+    return sorted(want, key=lambda w: w[:3])
+
+
+def test_cosine_pairs_scores_every_vector(spark):
+    """Each of 27 predictions against all 500 vectors of its set."""
+    from vecspark.plans import q_embed as Q
+    got = Q.cosine_pairs(spark, "/root/testdata/sf0.001")
+    assert got.columns == ["qid", "model", "word_id", "sim"] and got.count() == 27 * 500
+
+
+def test_a_scan_works_in_bounded_pieces(spark):
+    """Neither the formula's vectors nor the scan's matrices have as many rows as an Arrow batch."""
+    sizes = spark.range(5000).coalesce(1)
+    made = E.formula_vectors(sizes, "id", {"m": 8}).mapInArrow(lambda bs: bs, "model string, word_id long, vec array<double>")
+
+    def rows(ids, X, p):
+        assert len(X) <= 1024
+        yield np.array([0]), np.array([len(X)], np.int64)
+    out = E._scanned(made, {"m": {"qid": np.array([7])}}, rows, "qid long, model string, n long", lambda a, b: (a[0], a[1] + b[1])).collect()
+    assert [tuple(r) for r in out] == [(7, "m", 5000)]

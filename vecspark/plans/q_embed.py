@@ -231,19 +231,12 @@ def vector_arithmetic(spark, sf):
         .select("qid", "model", "pos", F.round("v", 6).alias("v"))
 
 
-@register("cosine_pairs", _emb_with("""
-SELECT p.qid, p.model, r.role, s.word_id, round(CASE WHEN p.p IS NULL THEN NULL
-           WHEN list_dot_product(s.vec, s.vec) = 0 OR list_dot_product(p.p, p.p) = 0 THEN 0.0
-           ELSE list_dot_product(s.vec, p.p) / (sqrt(list_dot_product(s.vec, s.vec)) * sqrt(list_dot_product(p.p, p.p))) END, 6) AS sim
-FROM pred2 p, unnest([{'role': 'a', 'id': id_a}, {'role': 'b', 'id': id_b}, {'role': 'c', 'id': id_c}, {'role': 'd', 'id': id_d}]) AS u(r)
-JOIN sets s ON s.model = p.model AND s.word_id = r.id""").replace("r.role, s.word_id", "u.r.role AS role, s.word_id").replace("s.word_id = r.id", "s.word_id = u.r.id"))
+@register("cosine_pairs", _emb_with("SELECT qid, model, word_id, round(sim, 6) AS sim FROM scored"))
 def cosine_pairs(spark, sf):
-    """The prediction against the question's own words."""
+    """Every prediction against every vector of its set."""
     sets, preds = _fixture_preds(spark, sf)
-    pairs = preds.select("qid", "model", "qvec", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("role"), F.col(f"id_{r}").alias("word_id")) for r in "abcd"])).alias("_r")) \
-        .select("qid", "model", "qvec", "_r.role", "_r.word_id")
-    return E.cosine_pairs(pairs, sets).select("qid", "model", "role", "word_id", F.round("sim", 6).alias("sim"))
+    s = E.similarity_scan(sets, preds, "cosine", k=None)
+    return s.select(F.col("qid").cast("int").alias("qid"), "model", "word_id", F.round("score", 6).alias("sim"))
 
 
 def _self_join_sql(score: str, order: str, k: int) -> str:
