@@ -216,3 +216,18 @@ def test_one_huge_line_is_split_into_bounded_groups(spark):
     assert (row.c1, row.c2, row.target, row.c3, row.c4) == tuple(p % 97 + 1 for p in range(4998, 5003))
     edge = win.where("pos = 59999").first()
     assert (edge.c3, edge.c4) == (0, 0)
+
+
+def test_only_rare_words_travel_when_the_vocabulary_is_large(spark, monkeypatch):
+    """Of a vocabulary beyond the broadcast bound the frequent words are broadcast; the shuffle join gets the tokens of the others alone."""
+    from vecspark.operators import text as T
+    lines = spark.createDataFrame([(d, 0, "the cat and the dog and the bird " * 10 + f"rare{d} word{d}") for d in range(60)], "doc_id long, line_no int, line string")
+    toks = T.tokenize(lines)
+    vocab = T.fit_vocab(toks).checkpoint()
+    want = sorted(map(tuple, T.encode(toks, vocab).collect()))
+    met, join = [], T.salted_join
+    monkeypatch.setattr(T, "salted_join", lambda big, *a, **k: met.append(big.count()) or join(big, *a, **k))
+    got = T.encode(toks, vocab, broadcast_bytes=3000)
+    assert sorted(map(tuple, got.collect())) == want
+    assert sorted(map(tuple, T.decode(got, vocab, broadcast_bytes=3000).select("doc_id", "line_no", "pos", "word").collect())) == sorted(map(tuple, toks.collect()))
+    assert len(met) == 2 and max(met) < 0.03 * len(want)

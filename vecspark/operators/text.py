@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_FILTERS, count_char, word_array
-from ..session import ensure_checkpoint_dir
-from .ranking import fits_broadcast, global_row_number
+from ..session import scratch_path
+from .joins import hot_keys, salted_join
+from .ranking import broadcast_limit, estimated_bytes, fits_broadcast, global_row_number
 
 
 def filter_sentences(lines: DataFrame, min_spaces: int = 2, col: str = "line") -> DataFrame:
@@ -36,9 +37,11 @@ def tokenize(lines: DataFrame, filters: str = DEFAULT_FILTERS, col: str = "line"
 
 def stage_words(words: DataFrame) -> DataFrame:
     """Writes word lines to the shared folder once, for users that read the tokens more than once (vocabulary, then
-    ids): the text is split into words a single time, and a lost task reads the table."""
-    ensure_checkpoint_dir(words.sparkSession)
-    return words.checkpoint()
+    ids): the text is split into words a single time, and a lost task reads the table. Columns compress to a fraction of a
+    checkpoint's rows, which pad each word to eight bytes and add eight."""
+    path = scratch_path(words.sparkSession, "word-lines")
+    words.write.option("compression", "zstd").parquet(path)
+    return words.sparkSession.read.schema(words.schema).parquet(path)
 
 
 def first_key(words: DataFrame | None = None) -> Column:
@@ -77,27 +80,41 @@ def encode(tokens: DataFrame, vocab: DataFrame, broadcast_bytes: int | None = No
     """Tokens -> ``<doc_id, line_no, pos, word_id>``; words missing from ``vocab`` are dropped.
 
     The vocabulary is broadcast only when its measured size is within the byte bound
-    (``broadcast_bytes`` or the session default); otherwise it is a shuffle join on
-    ``word`` with hot words (one word may be a large share of all tokens) salted over
-    several partitions.
+    (``broadcast_bytes`` or the session default). Otherwise its first ids, the most frequent words, are broadcast as far as the bound goes
+    and nearly all tokens stay where they are; the tokens of the other words meet these in a shuffle join on
+    ``word``, hot words (of a vocabulary not numbered by frequency) salted over several partitions.
     With ``renumber=True`` positions are made dense again after dropping words unknown to a
     vocabulary fitted elsewhere, using a chunked per-line running count.
     """
-    v = vocab.select("word", "word_id")
-    if fits_broadcast(v, F.length("word") + 8, broadcast_bytes):
-        enc = tokens.join(F.broadcast(v), "word")
-    else:
-        from .joins import hot_keys, salted_join
-        counts = vocab.select("word", "n") if "n" in vocab.columns else \
-            tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-        enc = salted_join(tokens, vocab.select("word", "word_id"), "word", hot_keys(counts, "word", "n"),
-                          ["doc_id", "line_no", "pos"])
+    near, far = _frequent(vocab, broadcast_bytes)
+    enc = rest = tokens
+    if near is not None:
+        enc, rest = tokens.join(F.broadcast(near.select("word", "word_id")), "word"), tokens.join(F.broadcast(near.select("word")), "word", "left_anti")
+    if far is not None:
+        counts = far.select("word", "n") if "n" in vocab.columns else \
+            rest.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        met = salted_join(rest, far.select("word", "word_id"), "word", hot_keys(counts, "word", "n"), ["doc_id", "line_no", "pos"])
+        enc = met if near is None else enc.unionByName(met)
     enc = enc.select("doc_id", "line_no", "pos", "word_id")
     if renumber:
         enc = dense_positions(enc)
     return enc
 
 
+def _frequent(vocab: DataFrame, broadcast_bytes: int | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """``vocab`` in two: the lowest ids, as many as are within the byte bound (None if there are none), and the rest
+    (None if nothing is left)."""
+    limit = broadcast_bytes if broadcast_bytes is not None else broadcast_limit(vocab.sparkSession)
+    width = F.length("word") + 8
+    size = estimated_bytes(vocab, width)
+    if size <= limit:
+        return vocab, None
+    last = int(0.9 * limit / size * vocab.count())
+    low = F.coalesce(F.col("word_id") <= last, F.lit(False))
+    near = vocab.where(low)
+    return (near, vocab.where(~low)) if last > 0 and fits_broadcast(near, width, limit) else (None, vocab)
+
+
 def dense_positions(df: DataFrame, chunk: int = 1 << 16) -> DataFrame:
     """Renumber ``pos`` to 0..k-1 within each (doc_id, line_no), keeping order.
 
@@ -118,14 +135,18 @@ def dense_positions(df: DataFrame, chunk: int = 1 << 16) -> DataFrame:
 
 
 def decode(encoded: DataFrame, vocab: DataFrame, broadcast_bytes: int | None = None) -> DataFrame:
-    """Inverse of :func:`encode` (ids back to words), by the same size-checked broadcast or salted join; ids that the
+    """Inverse of :func:`encode` (ids back to words): the lowest ids by a broadcast of bounded size, the others by the same salted join; ids that the
     vocabulary lacks are dropped."""
-    v = vocab.select("word", "word_id")
-    if fits_broadcast(v, F.length("word") + 8, broadcast_bytes):
-        return encoded.join(F.broadcast(v), "word_id")
-    from .joins import hot_keys, salted_join
-    counts = vocab.select("word_id", "n") if "n" in vocab.columns else encoded.groupBy("word_id").agg(F.count(F.lit(1)).alias("n"))
-    return salted_join(encoded, v, "word_id", hot_keys(counts, "word_id", "n"), ["doc_id", "line_no", "pos"])
+    near, far = _frequent(vocab, broadcast_bytes)
+    dec = rest = encoded
+    if near is not None:
+        dec, rest = encoded.join(F.broadcast(near.select("word", "word_id")), "word_id"), encoded.join(F.broadcast(near.select("word_id")), "word_id", "left_anti")
+    if far is not None:
+        counts = far.select("word_id", "n") if "n" in vocab.columns else \
+            rest.groupBy("word_id").agg(F.count(F.lit(1)).alias("n"))
+        met = salted_join(rest, far.select("word", "word_id"), "word_id", hot_keys(counts, "word_id", "n"), ["doc_id", "line_no", "pos"])
+        dec = met if near is None else dec.unionByName(met)
+    return dec
 
 
 def pad(seqs: DataFrame, w: int = 2, value: int = 0, col: str = "ids") -> DataFrame:
