@@ -239,3 +239,21 @@ def test_read_labelled_scales_and_prunes(spark):
     assert np.allclose(np.array(r.features) * 255.0, np.array(raw[r.id], dtype=np.float64), atol=1e-12)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>,label:int>" in plan
+
+
+def test_context_mean_with_part_of_the_vectors_broadcast(spark, monkeypatch):
+    """Frequent ids are broadcast; only windows with others travel, and only those ids' vectors. The key need not tell windows apart."""
+    from vecspark.operators import joins
+    rng = np.random.default_rng(8)
+    E_ = {i: rng.standard_normal(5) for i in range(40)}
+    vecs = spark.createDataFrame([(i, v.tolist()) for i, v in E_.items()], "word_id long, vec array<double>")
+    rows = [(int(rng.integers(0, 3)), *map(int, np.minimum(rng.geometric(0.2, 4), 39))) for _ in range(3000)] + [(0, 39, 38, 39, 38)] * 3 + [(5, 99, 1, 2, 39), (6, None, 1, 2, 39), (7, None, 1, 2, 3)]
+    win = spark.createDataFrame(rows, "target long, c1 int, c2 int, c3 int, c4 int").repartition(3)
+    met, join = [], joins.salted_join
+    monkeypatch.setattr(joins, "salted_join", lambda big, *a, **k: met.append(big.count()) or join(big, *a, **k))
+    for limit in (1000, 0):
+        got = TS.context_mean(win, vecs, ["c1", "c2", "c3", "c4"], ["target"], broadcast_bytes=limit).collect()
+        whole = sorted((r.target, *np.round(r["mean"], 9)) for r in got if r["mean"] is not None)
+        assert sorted(r.target for r in got if r["mean"] is None) == [5, 6, 7]
+        assert whole == sorted((r[0], *np.round((E_[r[1]] + E_[r[2]] + E_[r[3]] + E_[r[4]]) / 4, 9)) for r in rows if None not in r and 99 not in r)
+    assert met[0] < 0.25 * 4 * len(rows) < met[1]
