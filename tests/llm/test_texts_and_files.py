@@ -208,6 +208,40 @@ print("GREW", (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1
     assert int(out.stdout.split("GREW")[1]) < 120, out.stdout + out.stderr[-500:]
 
 
+def test_remembered_pieces_stay_small():
+    import subprocess
+    import sys
+    code = """
+import sys
+from vecspark.llm import piece
+from vecspark.llm.queries import tokenizer_file
+p = piece.coder(open(tokenizer_file("piece_bpe_32k.model"), "rb").read())
+texts = [" ".join("w%d" % (1_000_000 + i) for i in range(at, at + 2000)) for at in range(0, 600_000, 2000)]
+for t in texts:
+    p.encode([t])
+size = lambda v: sys.getsizeof(v) + (sum(map(size, v)) if isinstance(v, tuple) else 0)
+print("KEPT", sum(size(d) + sum(size(k) + size(v) for k, v in d.items()) for d in (p.memo.known, p.memo.old)) >> 20)
+for t in [*texts[:2], *texts[-2:], "", "a  b", "x\\ny \\n z"]:
+    (ids, joined), = p.encode([t])
+    assert ids.tolist() == p.sp.encode(t) and joined == ",".join(map(str, ids.tolist()))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=tokenfile.__file__.split("/vecspark/")[0])
+    assert not out.returncode and int(out.stdout.split("KEPT")[1]) < 64, out.stdout + out.stderr[-500:]
+
+
+def test_small_tables_need_no_python_workers(spark, monkeypatch):
+    """A list of rows given to Spark is read by Python workers of their own, which stay in an executor's memory."""
+    docs = spark.createDataFrame([(i, f"the {i} cats and dogs", "en") for i in range(20)]
+                                 + [(i, f"der {i} hund und die katze", "de") for i in range(20, 50)], "doc_id long, text string, lang string").cache()
+    items = spark.createDataFrame([("a", "12 cats and dogs")], "item_id string, text string").cache()
+    assert docs.count() == 50 and items.count() == 1
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *a, **b: pytest.fail("rows through Python workers"))
+    model = langid.train(docs)
+    assert list(model.dictionaries) == ["de", "en"] and all(b"".join(d.split()) for d in model.dictionaries.values())
+    got = decontam.contamination(docs, items, size=4).where("n_hit > 0").collect()
+    assert [(r.doc_id, r.n_hit, r["items"]) for r in got] == [(12, 4, ["a"])]
+
+
 def test_token_files_of_null_and_repeated_ids(spark):
     spec = open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8").read()
     rows = [(None, f"text {i}", 1, 2) for i in range(30)] + [(4, "same", 1, 2)] * 20 + [(i, f"number {i} " * 40, 1, 2) for i in range(100, 130)]

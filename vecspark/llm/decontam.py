@@ -92,7 +92,7 @@ class Index:
         spark = staged.sparkSession
         each = windows.select("win", "words").distinct()
         vocabulary = each.select(F.explode("words").alias("word")).distinct().withColumn("term", F.monotonically_increasing_id()).checkpoint()
-        none = spark.createDataFrame([(NO_WORD, NONE)], "word string, term long")
+        none = spark.range(0, 1, 1, 1).select(F.lit(NO_WORD).alias("word"), F.lit(NONE).cast("long").alias("term"))
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/postings-{uuid.uuid4().hex}"
         rows = staged.withColumn("uid", F.monotonically_increasing_id()).select(
             "uid", "doc", "th", F.size("words").cast("long").alias("n_words"), F.posexplode(F.concat(F.array(F.lit(NO_WORD)), "words")).alias("pos", "word"))

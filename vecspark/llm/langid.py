@@ -70,7 +70,9 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", docs_per_lang
     counts = {r["l"]: r["n"] for r in t.groupBy("l").agg(F.count("*").alias("n")).collect()}
     sample: dict[str, list[tuple[int, bytes]]] = {k: [] for k in counts}
     if chosen:
-        wanted = F.broadcast(rows.sparkSession.createDataFrame(chosen, top.select("l", "h").schema))
+        # an Arrow table goes to Spark without Python workers, which a list of rows would leave on the executors
+        langs, hashes = zip(*chosen)
+        wanted = F.broadcast(rows.sparkSession.createDataFrame(pa.table({"l": list(langs), "h": pa.array(hashes, pa.int64())})))
         for r in t.join(wanted, ["l", "h"]).groupBy("l", "h").agg(F.min("t").alias("t")).collect():
             sample[r["l"]].append((r["h"], letters(r["t"])))
     return LanguageModel({k: b"\n".join(t for _, t in sorted(sample[k]))

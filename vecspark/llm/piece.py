@@ -127,11 +127,14 @@ class PieceCoder:
             MARK in p.piece.lstrip(MARK) or p.type == kinds.USER_DEFINED for p in m.pieces)
         #: a line feed that no piece has stays a symbol of its own, so units may also end before it
         self.by_line = self.by_unit and not any("\n" in p.piece for p in m.pieces)
-        self.memo = Memo(self._units, lambda v: len(v[0]) + len(v[1]), limit=64 << 20)
-
-    def _units(self, units: list[str]) -> list[tuple[bytes, str]]:
-        """(ids as 32-bit integers, ids as text) of units. A unit is given with its first mark, or
-        without it, as the library puts one; from a line feed on it has none, so that its piece goes."""
+        #: every id as text: only ids are remembered, their text is made from these
+        self.names = [str(i) for i in range(self.sp.get_piece_size())]
+        #: a worker keeps this for as long as it lives, also through other stages
+        self.memo = Memo(self._units, len, limit=24 << 20)
+
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of units as 32-bit integers. A unit is given with its first mark, or without it, as
+        the library puts one; from a line feed on it has none, so that its piece goes."""
         out = []
         plain = [u[1:].replace(MARK, " ") if u[:1] == MARK else u for u in units]
         for u, p, ids in zip(units, plain, self.sp.encode(plain, num_threads=1)):
@@ -139,7 +142,7 @@ class PieceCoder:
                 ids = [self.sp.piece_to_id(MARK)]
             elif u[0] == "\n":
                 del ids[0]
-            out.append((np.array(ids, dtype="<i4").tobytes(), ",".join(map(str, ids))))
+            out.append(struct.pack(f"<{len(ids)}i", *ids))
         return out
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
@@ -155,8 +158,8 @@ class PieceCoder:
             else:
                 units.append(t.replace("\n", " \n").split(" "))
         known = self.memo.of(set().union(*units))
-        got = [[known[u] for u in us] for us in units]
-        return [(np.frombuffer(b"".join([g[0] for g in gs]), dtype="<i4"), ",".join([g[1] for g in gs])) for gs in got]
+        got = [np.frombuffer(b"".join([known[u] for u in us]), dtype="<i4") for us in units]
+        return [(i, ",".join([self.names[x] for x in i.tolist()])) for i in got]
 
     def spans(self, text: str, ids: np.ndarray) -> np.ndarray:
         """Bounds of the pieces in the text's UTF-8 bytes: piece i is ``[b[i], b[i + 1])``."""
