@@ -148,3 +148,74 @@ def test_a_scan_works_in_bounded_pieces(spark):
         yield np.array([0]), np.array([len(X)], np.int64)
     out = E._scanned(made, {"m": {"qid": np.array([7])}}, rows, "qid long, model string, n long", lambda a, b: (a[0], a[1] + b[1])).collect()
     assert [tuple(r) for r in out] == [(7, "m", 5000)]
+
+
+ODD = {"noise": lambda r: r.standard_normal((500, 20)), "far from the origin": lambda r: 1e6 + r.standard_normal((300, 8)), "tiny": lambda r: 1e-25 * r.standard_normal((300, 8)),
+       "huge": lambda r: 1e25 * r.standard_normal((300, 8)), "all the same": lambda r: np.ones((300, 4)), "copies": lambda r: np.repeat(r.standard_normal((10, 6)), 30, axis=0),
+       "closer than single precision": lambda r: 1 + 1e-9 * r.standard_normal((300, 8)), "ties": lambda r: r.integers(0, 3, (400, 4)).astype(float),
+       "all sizes": lambda r: np.concatenate([10.0 ** e * r.standard_normal((100, 5)) for e in (-9, 0, 9)]), "zeros": lambda r: np.concatenate([np.zeros((50, 5)), r.standard_normal((100, 5))])}
+
+
+class OneCell:
+    """Pivots that rule nothing out."""
+
+    def __init__(self, metric):
+        self.metric = metric
+
+    def sides(self, model, Q):
+        none = np.zeros((len(Q), 1))
+        return none, none, none + np.inf
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+@pytest.mark.parametrize("kind", ODD)
+def test_single_precision_only_chooses_candidates(monkeypatch, metric, kind):
+    """Distances are single precision products of a bounded size with a bound of their error; the rows and ranks are those of double precision."""
+    import pyarrow as pa
+    monkeypatch.setattr(knn, "RUN", 64)
+    monkeypatch.setattr(knn, "TILE", 64 * 16)
+    monkeypatch.setattr(knn, "KEPT", 2)
+    r = np.random.default_rng(6)
+    X, k = ODD[kind](r), 7
+    ids = 3 * r.permutation(len(X)).astype(np.int64)
+    Q = np.concatenate([X[:30], 1.5 * X[-5:], 1000 * X[:2], np.zeros((1, X.shape[1])), np.full((1, X.shape[1]), 1e-30)])
+    block = knn.Block.of([(ids[a:z], np.zeros(z - a, np.int64), X[a:z]) for a, z in ((0, 100), (100, len(X)))], X.shape[1], metric)
+    assert block.low.dtype == np.float32 and sorted(block.ids) == sorted(ids)
+    own, bound, scale, tiles = block.tiles(Q, np.ones((len(Q), len(block.runs)), bool))
+    seen = 0
+    for some, a, z, near in tiles:
+        exact = ((knn.space(Q[some], metric, 1)[:, None] - knn.space(block.X[a:z], metric)[None]) ** 2).sum(axis=2) * scale ** 2
+        assert z - a <= 64 and near.size <= 64 * 16 and (np.abs(near + own[some, None] - exact) <= bound[some, None]).all()
+        seen += near.size
+    assert seen == len(Q) * len(X)
+
+    exclude = [[0, 3, 6], None, []] * len(Q)
+    t = pa.table({"id": np.arange(len(Q)), "model": ["m"] * len(Q), "vec": list(Q), "exclude": pa.array(exclude[:len(Q)], pa.list_(pa.int64())), "limit": pa.nulls(len(Q), pa.float64())}).to_batches()[0]
+    pivots = OneCell(metric)
+    limited = next(iter(knn._limits(pivots, k)(block, t, Q))).column("limit")
+    for limit in (t.column("limit"), limited):
+        found = next(iter(knn._top(pivots, k)(block, t.set_column(4, "limit", limit), Q)))
+        got = sorted(zip(found.column("qid").to_pylist(), found.column("score").to_numpy() * (-1 if metric == "cosine" else 1), found.column("word_id").to_pylist()))
+        for q in range(len(Q)):
+            stay = ~np.isin(ids, exclude[q] or [])
+            s = knn.scores(X, Q[q], metric) * (-1 if metric == "cosine" else 1)
+            assert [g[2] for g in got if g[0] == q] == list(ids[stay][np.lexsort((ids[stay], s[stay]))[:k]])
+    if metric == "euclidean":
+        target = r.integers(0, len(X), len(Q))
+        dist = np.array([knn.scores(X[[j]], q, metric)[0] for j, q in zip(target, Q)])
+        t = pa.table({"id": np.arange(len(Q)), "model": ["m"] * len(Q), "target": ids[target], "dist": dist, "sure": np.zeros(len(Q), np.int64)}).to_batches()[0]
+        n = next(iter(knn._count_closer(pivots)(block, t, Q))).column("n").to_pylist()
+        for q in range(len(Q)):
+            s = knn.scores(X, Q[q], metric)
+            assert n[q] == (((s < dist[q]) | ((s == dist[q]) & (ids < ids[target[q]]))) & (ids != ids[target[q]])).sum()
+
+
+def test_the_longest_parts_come_first(spark):
+    """A set of long vectors, most of the work, is not left to the last tasks."""
+    r = np.random.default_rng(4)
+    rows = [(m, i, r.standard_normal(d).tolist()) for m, d in (("a", 2), ("b", 40), ("c", 3)) for i in range(50)]
+    cells = knn.Cells(spark.createDataFrame(rows, "model string, word_id long, vec array<double>"), "euclidean")
+    dealt = cells.parts({m: 50 for m in "abc"}, True)
+    assert [m for m, _, _ in dealt][0] == "b" and dealt[0][1] == 0
+    starts = [0, *np.cumsum([shares * cells.pivots.held[m].shape[1] for m, _, shares in dealt])]
+    assert [start for _, start, _ in dealt] == starts[:3]

@@ -14,6 +14,9 @@ Cosine is searched in Euclidean space on unit vectors; a zero vector (cosine 0 t
 sqrt(2) of all others through a coordinate of its own. Distances only choose candidates: the scores returned
 are computed vector by vector, so equal vectors have equal scores wherever they lie, and ties go to the lower id.
 
+A part's distances are single precision matrix products of at most ``RUN`` rows and ``TILE`` numbers, which stay in a core's cache, with a bound of
+their error; what the bound leaves open is computed again in double precision, so the rows returned do not depend on it.
+
 Null vectors are no candidates, queries with a null vector return nothing, and a query meets its own model's vectors only.
 """
 
@@ -31,8 +34,10 @@ from ..session import ensure_checkpoint_dir
 
 #: Rows of a cell, queries scored at a time, rows pivots are learned from and most pivots (a model).
 CELL, VISITORS, SAMPLE, PIVOTS = 4096, 1024, 2048, 256
-#: Bytes of vectors of a group, of the queries that stream past it in a task; scores made at a time.
-GROUP, STREAM, TILE = 128 << 20, 512 << 20, 1 << 21
+#: Bytes of vectors of a group, of the queries that stream past it in a task; scores made at a time, of so many rows.
+GROUP, STREAM, TILE, RUN = 128 << 20, 512 << 20, 1 << 19, 2048
+#: Candidates of a query beyond which the worse are dropped; bytes of vectors scored pair by pair at a time.
+KEPT, PAIRS = 64, 8 << 20
 
 
 def scores(X: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
@@ -188,11 +193,15 @@ class Cells:
         held, start, out = self.pivots.held, 0, []
         work = {m: asked.get(m, 0) * self.bytes[m] * (int(self.pivots.count[m].sum()) if everywhere else 1) for m in held}
         tasks = (2 if everywhere else 1) * self.rows.sparkSession.sparkContext.defaultParallelism
-        for m in sorted(held):
+        shares = {}
+        for m in held:
             groups = held[m].shape[1]
             stream = asked.get(m, 0) * self.bytes[m] / (1 if everywhere else groups)
-            out.append((m, start, max(1, int(np.ceil(tasks * work[m] / max(1, sum(work.values())) / groups)), int(np.ceil(stream / STREAM)))))
-            start += out[-1][2] * groups
+            shares[m] = max(1, int(np.ceil(tasks * work[m] / max(1, sum(work.values())) / groups)), int(np.ceil(stream / STREAM)))
+        # the parts with most work come first, so that no long one is left at the end
+        for m in sorted(held, key=lambda m: (-work[m] / (shares[m] * held[m].shape[1]), m)):
+            out.append((m, start, shares[m]))
+            start += shares[m] * held[m].shape[1]
         return out
 
     def meet(self, visits: DataFrame, dealt: list[tuple[str, int, int]], use, schema: str) -> DataFrame:
@@ -240,31 +249,162 @@ class Cells:
 
 @dataclass
 class Block:
-    """A group's rows, a cell after the other: ids, vectors, these in the searched space, and each cell's (number, begin, end)."""
+    """A group's rows, a cell after the other: ids, vectors, the runs (begin, end) of at most ``RUN`` of them with the numbers of their cells, and
+    ``low``: -2 x and x . x of the rows x in the searched space, less ``centre`` and times ``scale``."""
     ids: np.ndarray
     X: np.ndarray
-    mapped: np.ndarray
-    cells: list[tuple[int, int, int]]
+    runs: list[tuple[int, int, np.ndarray]]
+    low: np.ndarray
+    centre: np.ndarray
+    scale: float
+    most: float
+    metric: str
 
     @classmethod
     def of(cls, held: list, dim: int, metric: str) -> Block:
-        ids, cell, X = (np.concatenate(p) for p in zip(*held)) if held else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, dim)))
-        held.clear()
-        put = np.argsort(cell, kind="stable")
-        ids, cell, X = ids[put], cell[put], X[put]
-        cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1), len(cell)] if len(cell) else [0]
-        return cls(ids, X, space(X, metric), [(int(cell[i]), int(i), int(j)) for i, j in zip(cuts, cuts[1:])])
-
-    def near(self, Y: np.ndarray, wanted: np.ndarray):
-        """(queries, begin, end, squared distances, slack) for the cells and some of the queries that want them; ``wanted``: (queries, cells)."""
-        for n, (_, begin, end) in enumerate(self.cells):
-            who = np.flatnonzero(wanted[:, n])
-            for a in range(begin, end, 1 << 16):
-                z = min(end, a + (1 << 16))
+        cell = np.concatenate([p[1] for p in held]) if held else np.zeros(0, np.int64)
+        put, at = np.empty(len(cell), np.int64), 0
+        put[np.argsort(cell, kind="stable")] = np.arange(len(cell))
+        ids, X = np.empty(len(cell), np.int64), np.empty((len(cell), held[0][2].shape[1] if held else dim))
+        while held:  # a piece is let go once it is copied
+            some, _, x = held.pop()
+            to = put[len(put) - at - len(some):len(put) - at]
+            ids[to], X[to], at = some, x, at + len(some)
+        cell = np.sort(cell)
+        runs, begin = [], 0
+        while begin < len(cell):
+            end = min(begin + RUN, len(cell))
+            if end < len(cell) and cell[end - 1] == cell[end] and cell[begin] != cell[end]:
+                end = int(np.searchsorted(cell, cell[end]))  # a cell is cut only if it is larger than a run
+            runs.append((begin, end, np.unique(cell[begin:end])))
+            begin = end
+        return cls(ids, X, runs, *_lowered(X, metric, np.float32), metric)
+
+    def tiles(self, Q: np.ndarray, wanted: np.ndarray):
+        """(own, bound, scale, tiles): a query's squared distance to a row, times the square of ``scale``, lies within its ``bound`` of ``near`` + its ``own``.
+        ``tiles`` are (queries, begin, end, near), some of the queries that want a run and its rows; ``wanted``: (queries, runs)."""
+        low, centre, scale, most = self.low, self.centre, self.scale, self.most
+        Y, own = _aside(Q, self.metric, centre, scale)
+        if not own.max(initial=0) + most < 1e30:  # no single precision number, or no number at all
+            low, centre, scale, most = _lowered(self.X, self.metric, np.float64)
+            Y, own = _aside(Q, self.metric, centre, scale)
+        unit = 2 * scale * scale if self.metric == "cosine" else 0.0  # unit vectors are rounded before the centre is taken off
+        bound = 1.1 * (low.shape[1] + 8) * np.finfo(low.dtype).eps * (own + most) + 1e-12 * low.shape[1] * (own + most + unit) + 1e-30
+        Y = np.concatenate([Y, np.ones((len(Y), 1))], axis=1).astype(low.dtype)
+
+        def run():
+            made = np.empty(max(TILE, RUN), low.dtype)
+            for n, (a, z, _) in enumerate(self.runs):
+                who = np.flatnonzero(wanted[:, n])
                 step = max(1, TILE // (z - a))
                 for i in range(0, len(who), step):
                     some = who[i:i + step]
-                    yield (some, a, z, *_squares(Y[some], self.mapped[a:z]))
+                    yield some, a, z, np.matmul(Y[some], low[a:z].T, out=made[:len(some) * (z - a)].reshape(len(some), z - a))
+        return own, bound, scale, run()
+
+
+def _lowered(X: np.ndarray, metric: str, kind) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """``low``, ``centre``, ``scale`` and the largest x . x of a block."""
+    dim = X.shape[1] + 2 * (metric == "cosine")
+    centre, scale, most = np.zeros(dim), 1.0, 0.0
+    pieces = [(a, min(a + RUN, len(X))) for a in range(0, len(X), RUN)]
+    if kind == np.float32:
+        with np.errstate(all="ignore"):
+            for a, z in pieces:
+                centre += space(X[a:z], metric).sum(axis=0) / len(X)
+            top = max((np.abs(space(X[a:z], metric) - centre).max(initial=0) for a, z in pieces), default=0.0)
+        if not (np.isfinite(top) and np.isfinite(centre).all()):
+            return np.zeros((len(X), dim + 1), kind), np.zeros(dim), 1.0, np.inf
+        scale = float(np.exp2(-np.ceil(np.log2(top)))) if 1e-300 < top < 1e300 else 1.0
+    low = np.empty((len(X), dim + 1), kind)
+    with np.errstate(over="ignore", invalid="ignore"):
+        for a, z in pieces:
+            x = (space(X[a:z], metric) - centre) * scale
+            sq = np.einsum("ij,ij->i", x, x)
+            low[a:z, :-1], low[a:z, -1], most = -2 * x, sq, max(most, sq.max(initial=0))
+    return low, centre, scale, float(most)
+
+
+def _aside(Q: np.ndarray, metric: str, centre: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore", invalid="ignore"):
+        Y = (space(Q, metric, 1) - centre) * scale
+        return Y, np.einsum("ij,ij->i", Y, Y)
+
+
+def _threshold(x: np.ndarray, kind, up: bool) -> np.ndarray:
+    """A column of numbers of the given precision that are not below (``up``) or not above ``x``."""
+    with np.errstate(over="ignore"):
+        return np.nextafter(x.astype(kind), kind.type(np.inf if up else -np.inf))[:, None]
+
+
+def _hits(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the few cells that are true: eight are looked at together."""
+    flat = mask.reshape(-1)
+    if flat.size % 8:
+        at = np.flatnonzero(flat)
+    else:
+        words = np.flatnonzero(flat.view(np.uint64))
+        at = np.flatnonzero(flat.reshape(-1, 8)[words])
+        at = words[at >> 3] * 8 + (at & 7)
+    return np.divmod(at, mask.shape[1])
+
+
+def _pair_scores(X: np.ndarray, at: np.ndarray, Q: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
+    """``scores`` of row ``at[i]`` and query ``q[i]``, for some pairs at a time."""
+    out, step = np.empty(len(at)), max(1, PAIRS // (8 * max(1, X.shape[1])))
+    for i in range(0, len(at), step):
+        x, y = X[at[i:i + step]], Q[q[i:i + step]]
+        if metric == "cosine":
+            den = np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))
+            out[i:i + step] = np.where(den == 0, 0.0, np.einsum("ij,ij->i", x, y) / np.where(den == 0, 1.0, den))
+        else:
+            x -= y
+            out[i:i + step] = np.sqrt(np.einsum("ij,ij->i", x, x))
+    return out
+
+
+def _first(q: np.ndarray, ids: np.ndarray, score: np.ndarray, least: np.ndarray, metric: str) -> np.ndarray:
+    """Places of the first ``least`` of each query, in order; ties to the lower id."""
+    put = np.lexsort((ids, -score if metric == "cosine" else score, q))
+    q = q[put]
+    return put[np.arange(len(q)) - np.searchsorted(q, q) < least[q]]
+
+
+class Best:
+    """Candidates of some queries: those that may be among the first ``need`` of the rows seen, by distances with a bound of error."""
+
+    def __init__(self, block: Block, Q: np.ndarray, need: np.ndarray, bound: np.ndarray, within: np.ndarray):
+        self.block, self.Q, self.need, self.bound, self.within = block, Q, need, bound, within
+        self.held: list = []
+        self.n, self.cap = 0, KEPT * len(Q)
+
+    def add(self, q: np.ndarray, at: np.ndarray, near: np.ndarray) -> None:
+        if len(q):
+            self.held.append((q, at, near))
+            self.n += len(q)
+        if self.n > self.cap:
+            q, at, near = self.shrink()
+            self.held, self.n, self.cap = [(q, at, near)], len(q), 2 * len(q) + KEPT * len(self.Q)
+
+    def shrink(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.held:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        q, at, near = (np.concatenate(c) for c in zip(*self.held))
+        put = np.lexsort((near, q))
+        q, at, near = q[put], at[put], near[put]
+        count = np.bincount(q, minlength=len(self.Q))
+        last = np.cumsum(count) - count + self.need - 1
+        full = count >= self.need
+        kth = np.full(len(self.Q), np.inf)
+        kth[full] = near[last[full]]
+        self.within = np.minimum(self.within, kth + self.bound)
+        keep = near <= (kth + 2 * self.bound)[q]
+        q, at, near = q[keep], at[keep], near[keep]
+        if len(q) > KEPT * len(self.Q) + 2 * int(self.need.sum()):  # many as near as another: told apart by their scores
+            metric = self.block.metric
+            keep = np.sort(_first(q, self.block.ids[at], _pair_scores(self.block.X, at, self.Q, q, metric), self.need, metric))
+            q, at, near = q[keep], at[keep], near[keep]
+        return q, at, near
 
 
 def _by_model(b: pa.RecordBatch, vec: str):
@@ -317,23 +457,32 @@ def _home(pivots: Pivots):
     return run
 
 
+def _excluded(t: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(number of excluded ids of each query, the ids one after the other); null ids exclude nothing."""
+    lists = [[x for x in ids or () if x is not None] for ids in t.column("exclude").to_pylist()]
+    return np.array([len(x) for x in lists], dtype=np.int64), np.array([x for ids in lists for x in ids], dtype=np.int64)
+
+
 def _limits(pivots: Pivots, k: int):
-    """The visitors again with ``limit``: a distance in the searched space within which their nearest cell's part here has ``k`` rows; null if it has fewer."""
+    """The visitors again with ``limit``: a distance in the searched space within which some rows here of the run of their nearest cell, and so the
+    whole table, have ``k``; null if there are fewer. It decides what is looked at, not what is returned."""
     def use(block: Block, t: pa.RecordBatch, Q: np.ndarray):
         model = t.column("model")[0].as_py()
-        cell = pivots.sides(model, Q)[0].argmin(axis=1)
-        limit, exclude = np.full(len(Q), np.nan), t.column("exclude").to_pylist()
-        found: list[list] = [[] for _ in range(len(Q))]
-        for who, a, z, near, slack in block.near(space(Q, pivots.metric, 1), cell[:, None] == np.array([c for c, _, _ in block.cells], dtype=np.int64)[None]):
-            for q, row in zip(who, near):
-                if exclude[q]:
-                    row = row[~np.isin(block.ids[a:z], np.asarray(exclude[q], dtype=np.int64))]
-                found[q].append((np.partition(row, k - 1)[:k] if len(row) > k else row) + 2 * slack)
-        for q, parts in enumerate(found):
-            best = np.concatenate(parts) if parts else np.zeros(0)
-            if len(best) >= k:
-                limit[q] = np.sqrt(np.partition(best, k - 1)[k - 1]) * (1 + 1e-9) + 1e-6
-        yield pa.RecordBatch.from_arrays([t.column("id"), t.column("model"), t.column("vec"), t.column("exclude"), pa.array(limit, mask=np.isnan(limit))],
+        cell, need = pivots.sides(model, Q)[0].argmin(axis=1), k + _excluded(t)[0]
+        wanted = np.zeros((len(Q), len(block.runs)), bool)
+        for n, (_, _, cells) in enumerate(block.runs):
+            wanted[:, n] = np.isin(cell, cells)
+        wanted &= np.cumsum(wanted, axis=1) <= 2  # two runs tell enough
+        own, bound, scale, tiles = block.tiles(Q, wanted)
+        least = np.full(len(Q), np.inf)
+        for some, a, z, near in tiles:
+            for n in np.unique(need[some]):
+                if n <= z - a:
+                    who = np.flatnonzero(need[some] == n)
+                    kth = np.partition(near[who], n - 1, axis=1)[:, n - 1].astype(np.float64)
+                    least[some[who]] = np.fmin(least[some[who]], kth)
+        limit = np.sqrt(np.maximum(least + own + bound, 0)) / scale * (1 + 1e-9) + 1e-6
+        yield pa.RecordBatch.from_arrays([t.column("id"), t.column("model"), t.column("vec"), t.column("exclude"), pa.array(limit, mask=~np.isfinite(limit))],
                                          names=["qid", "model", "qvec", "exclude", "limit"])
     return use
 
@@ -341,32 +490,25 @@ def _limits(pivots: Pivots, k: int):
 def _top(pivots: Pivots, k: int):
     """The first ``k`` of a group's rows within each visitor's limit."""
     def use(block: Block, t: pa.RecordBatch, Q: np.ndarray):
-        model, metric, exclude = t.column("model")[0].as_py(), pivots.metric, t.column("exclude").to_pylist()
+        model, metric = t.column("model")[0].as_py(), pivots.metric
         limit = t.column("limit").fill_null(np.inf).to_numpy(zero_copy_only=False)
-        lo = pivots.sides(model, Q)[1]
-        found: list[list] = [[] for _ in range(len(Q))]
-        for who, a, z, near, slack in block.near(space(Q, metric, 1), lo[:, [c for c, _, _ in block.cells]] <= limit[:, None]):
-            i, j = np.nonzero(near <= (limit[who] ** 2)[:, None] + 2 * slack)
-            cuts = np.searchsorted(i, np.arange(len(who) + 1))
-            for n, q in enumerate(who):
-                if cuts[n] < cuts[n + 1]:
-                    at = j[cuts[n]:cuts[n + 1]]
-                    if len(at) > 4 * k + len(exclude[q] or ()):
-                        row = near[n, at]
-                        least = k + len(exclude[q] or ())
-                        at = at[row <= np.partition(row, least - 1)[least - 1] + 2 * slack]
-                    found[q].append((a + at, near[n, at], slack))
-        who, what, score = [], [], []
-        for q, parts in enumerate(found):
-            if parts:
-                at, near = (np.concatenate([p[c] for p in parts]) for c in (0, 1))
-                best, s = _best(block.ids[at], block.X[at], near, max(p[2] for p in parts), Q[q], k, metric, exclude[q])
-                who.append(np.full(len(best), q))
-                what.append(best)
-                score.append(s)
-        if who:
-            at = pa.array(np.concatenate(who))
-            yield pa.RecordBatch.from_arrays([t.column("id").take(at), t.column("model").take(at), pa.array(np.concatenate(what)), pa.array(np.concatenate(score))],
+        many, ids = _excluded(t)
+        near_side = pivots.sides(model, Q)[1] <= limit[:, None]
+        own, bound, scale, tiles = block.tiles(Q, np.array([near_side[:, cells].any(axis=1) for _, _, cells in block.runs], dtype=bool).reshape(len(block.runs), len(Q)).T)
+        best = Best(block, Q, k + many, bound, (limit * scale) ** 2)
+        for some, a, z, near in tiles:
+            i, j = _hits(near <= _threshold((best.within + bound - own)[some], near.dtype, True))
+            best.add(some[i], a + j, near[i, j].astype(np.float64) + own[some[i]])
+        q, at, _ = best.shrink()
+        if len(ids) and len(q):
+            known, code = np.unique(np.concatenate([block.ids[at], ids]), return_inverse=True)
+            stay = ~np.isin(q * len(known) + code[:len(q)], np.repeat(np.arange(len(Q)), many) * len(known) + code[len(q):])
+            q, at = q[stay], at[stay]
+        if len(q):
+            score = _pair_scores(block.X, at, Q, q, metric)
+            put = _first(q, block.ids[at], score, np.full(len(Q), k), metric)
+            who = pa.array(q[put])
+            yield pa.RecordBatch.from_arrays([t.column("id").take(who), t.column("model").take(who), pa.array(block.ids[at[put]]), pa.array(score[put])],
                                              names=["qid", "model", "word_id", "score"])
     return use
 
@@ -405,19 +547,22 @@ def _count_closer(pivots: Pivots):
         model, n = t.column("model")[0].as_py(), t.column("sure").to_numpy().copy()
         dist, target = t.column("dist").to_numpy(), t.column("target").to_numpy()
         _, lo, hi = pivots.sides(model, Q)
-        have = [c for c, _, _ in block.cells]
-        within = hi[:, have] < dist[:, None]
-        n += (within * np.array([e - b for _, b, e in block.cells], dtype=np.int64)[None]).sum(axis=1)
-        for who, a, z, near, slack in block.near(Q, ~within & (lo[:, have] <= dist[:, None])):
-            sq = (dist[who] ** 2)[:, None]
-            n[who] += (near < sq - 2 * slack).sum(axis=1)
-            i, j = np.nonzero(np.abs(near - sq) <= 2 * slack)  # too close to tell by a matrix product
-            cuts = np.searchsorted(i, np.arange(len(who) + 1))
-            for x, q in enumerate(who):
-                at = a + j[cuts[x]:cuts[x + 1]]
-                if len(at):
-                    d, ids = scores(block.X[at], Q[q], "euclidean"), block.ids[at]
-                    n[q] += int((((d < dist[q]) | ((d == dist[q]) & (ids < target[q]))) & (ids != target[q])).sum())
+        shape = (len(block.runs), len(Q))
+        within = np.array([(hi[:, cells] < dist[:, None]).all(axis=1) for _, _, cells in block.runs], dtype=bool).reshape(shape).T
+        reach = np.array([(lo[:, cells] <= dist[:, None]).any(axis=1) for _, _, cells in block.runs], dtype=bool).reshape(shape).T
+        n += (within * np.array([e - b for b, e, _ in block.runs], dtype=np.int64)[None]).sum(axis=1)
+        own, bound, scale, tiles = block.tiles(Q, reach & ~within)
+        cut = (dist * scale) ** 2
+        for some, a, z, near in tiles:
+            at = (cut - own)[some]
+            closer = near < _threshold(at - bound[some], near.dtype, False)
+            open_ = near <= _threshold(at + bound[some], near.dtype, True)
+            n[some] += np.add.reduce(closer.view(np.uint8), axis=1, dtype=np.uint32)
+            i, j = _hits(np.logical_xor(closer, open_, out=open_))  # too close to tell
+            if len(i):
+                q, row = some[i], a + j
+                d, ids = _pair_scores(block.X, row, Q, q, "euclidean"), block.ids[row]
+                n += np.bincount(q[((d < dist[q]) | ((d == dist[q]) & (ids < target[q]))) & (ids != target[q])], minlength=len(n))
         yield pa.RecordBatch.from_arrays([t.column("id"), t.column("model"), t.column("target"), t.column("dist"), pa.array(n)], names=["qid", "model", "target", "dist", "n"])
     return use
 
@@ -436,10 +581,10 @@ def rank_join(vectors: DataFrame, queries: DataFrame, target_col: str = "target"
 
     def distance(batches):
         for b in batches:
-            if b.num_rows:
-                T, Q = b.column("tvec"), b.column("qvec")
-                d = [float(scores(np.array([t]), np.array(v), "euclidean")[0]) for t, v in zip(T.to_pylist(), Q.to_pylist())]
-                keep = b.select(["qid", "model", "qvec", "target"])
+            for _, rows, Q in _by_model(b, "qvec"):
+                keep = b.select(["qid", "model", "qvec", "target"]).take(rows)
+                every = np.arange(len(Q))
+                d = _pair_scores(to_matrix(b.column("tvec").take(rows))[0], every, Q, every, "euclidean")
                 yield pa.RecordBatch.from_arrays([*keep.columns, pa.array(d, pa.float64())], names=[*keep.schema.names, "dist"])
 
     def route(batches):
