@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from vecspark.functions import nn
@@ -257,3 +258,47 @@ def test_context_mean_with_part_of_the_vectors_broadcast(spark, monkeypatch):
         assert sorted(r.target for r in got if r["mean"] is None) == [5, 6, 7]
         assert whole == sorted((r[0], *np.round((E_[r[1]] + E_[r[2]] + E_[r[3]] + E_[r[4]]) / 4, 9)) for r in rows if None not in r and 99 not in r)
     assert met[0] < 0.25 * 4 * len(rows) < met[1]
+
+
+@pytest.mark.parametrize("step", [1, 7])
+def test_context_mean_over_slices_of_the_vectors(spark, monkeypatch, step):
+    """A matrix beyond a worker's bound is broadcast some columns at a time: neither windows nor vectors are shuffled, whatever the ids."""
+    from vecspark.operators import joins
+    rng = np.random.default_rng(9)
+    E_ = {step * i - 3: rng.standard_normal(5) for i in range(40)}
+    ids = np.array(list(E_))
+    vecs = spark.createDataFrame([(int(i), v.tolist()) for i, v in E_.items()] + [(1000, None)], "word_id long, vec array<double>").repartition(4)
+    rows = [(int(rng.integers(0, 3)), *map(int, rng.choice(ids, 4))) for _ in range(3000)]
+    lost = [(5, 99999, *map(int, ids[:3])), (6, None, *map(int, ids[:3])), (7, 1000, *map(int, ids[:3])), (8, -9, *map(int, ids[:3]))]
+    win = spark.createDataFrame(rows + lost, "target long, c1 int, c2 int, c3 int, c4 int").repartition(3)
+    args = (win, vecs, ["c1", "c2", "c3", "c4"], ["target"])
+    monkeypatch.setattr(joins, "salted_join", lambda *a, **k: pytest.fail("shuffled"))
+    want = sorted((r[0], *np.round(sum(E_[i] for i in r[1:]) / 4, 9)) for r in rows)
+    assert 40 * 5 * 8 > 1500
+    for limit in (1500, 700):  # two columns at a time, then one; many groups of windows
+        made = TS.context_mean(*args, broadcast_bytes=limit, sliced_bytes=1 << 20)
+        assert "hashpartitioning" not in made._jdf.queryExecution().executedPlan().toString()
+        got = made.collect()
+        assert sorted(r.target for r in got if r["mean"] is None) == [5, 6, 7, 8]
+        assert sorted((r.target, *np.round(r["mean"], 9)) for r in got if r["mean"] is not None) == want
+        short = TS.context_mean(*args, broadcast_bytes=limit, sliced_bytes=1 << 20, digest=True).collect()
+        assert sorted(r.target for r in short if r.msum is None and r.mnorm is None) == [5, 6, 7, 8]
+        assert np.allclose(sorted((r.target, r.msum, r.mnorm) for r in short if r.msum is not None),
+                           sorted((w[0], sum(w[1:]), np.linalg.norm(w[1:])) for w in want), atol=1e-7)
+
+
+def test_context_mean_slices_by_the_sessions_bounds(spark, monkeypatch):
+    """The session's bound of all slices decides; beyond it the vectors are joined."""
+    from vecspark.operators import joins
+    vecs = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(100)], "word_id long, vec array<double>")
+    win = spark.createDataFrame([(i, i, 99 - i) for i in range(100)], "k int, a int, b int")
+    met, join = [], joins.salted_join
+    monkeypatch.setattr(joins, "salted_join", lambda *a, **k: met.append(1) or join(*a, **k))
+    spark.conf.set("vecspark.pythonBroadcastBytes", "2000")
+    try:
+        assert {tuple(r["mean"]) for r in TS.context_mean(win, vecs, ["a", "b"], ["k"]).collect()} == {(49.5, 1.0)} and not met
+        spark.conf.set("vecspark.slicedBroadcastBytes", "2000")
+        assert {tuple(r["mean"]) for r in TS.context_mean(win, vecs, ["a", "b"], ["k"]).collect()} == {(49.5, 1.0)} and met
+    finally:
+        spark.conf.unset("vecspark.pythonBroadcastBytes")
+        spark.conf.unset("vecspark.slicedBroadcastBytes")
